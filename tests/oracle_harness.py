@@ -1,0 +1,61 @@
+"""Run a registered Spark query and its DuckDB oracle side by side and compare.
+
+Mirrors the driver's gate: row count, column names (sorted) and an
+order-insensitive hash of the values.
+"""
+
+from __future__ import annotations
+
+import datetime as dt
+import decimal
+import hashlib
+import math
+
+import duckdb
+
+TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",
+          "embeddings", "pages", "benchmark", "labels", "conversations"]
+
+
+def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
+    con = duckdb.connect()
+    for t in TABLES:
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf_dir}/{t}.parquet')")
+    return con
+
+
+def _norm(v):
+    if v is None:
+        return None
+    if isinstance(v, decimal.Decimal):
+        return format(v.normalize(), "f") if v == v.to_integral() else str(round(float(v), 6))
+    if isinstance(v, float):
+        if math.isnan(v):
+            return "nan"
+        return str(round(v, 6)) if v != int(v) else str(int(v))
+    if isinstance(v, bool):
+        return str(v)
+    if isinstance(v, int):
+        return str(v)
+    if isinstance(v, (dt.datetime, dt.date)):
+        return v.isoformat()
+    return str(v)
+
+
+def digest(columns: list[str], rows: list[tuple]) -> tuple[int, list[str], str]:
+    order = sorted(range(len(columns)), key=lambda i: columns[i])
+    lines = sorted(repr(tuple(_norm(r[i]) for i in order)) for r in rows)
+    h = hashlib.sha256("\n".join(lines).encode()).hexdigest()
+    return len(rows), sorted(columns), h
+
+
+def compare(spark, sf_dir: str, fn, sql: str, con=None) -> dict:
+    df = fn(spark, sf_dir)
+    s_rows = [tuple(r) for r in df.collect()]
+    s = digest(df.columns, s_rows)
+    con = con or duck(sf_dir)
+    rel = con.sql(sql)
+    o_rows = rel.fetchall()
+    o = digest(list(rel.columns), o_rows)
+    return {"rows": (s[0], o[0]), "columns_match": s[1] == o[1], "hash_match": s[2] == o[2],
+            "spark_columns": s[1], "oracle_columns": o[1], "ok": s == o}
