@@ -91,16 +91,20 @@ def ranked_counts(counts: DataFrame, keys: Sequence[str] = ("periodo",), code: s
 
 
 def assign_groups(counts: DataFrame, keys: Sequence[str] = ("periodo",), code: str = CODE,
-                  limit: int = 150000, bucket_length: int | None = 18) -> DataFrame:
-    """(keys, code, total_registros, grupo_salida): the group of every code."""
+                  limit: int = 150000, bucket_length: int | None = 18, bin_width: int | None = None) -> DataFrame:
+    """(keys, code, total_registros, grupo_salida): the group of every code.
+
+    ``bin_width`` defaults to ``limit`` (the reference uses one number for both).
+    """
+    width = int(bin_width or limit)
     r = ranked_counts(counts, keys, code, limit, bucket_length)
     grupo = F.when(F.col("es_grande"), F.col("rango_grande")).otherwise(
-        F.col("n_grandes") + F.expr(f"(acumulado - 1) div {int(limit)}") + F.lit(1))
+        F.col("n_grandes") + F.expr(f"(acumulado - 1) div {width}") + F.lit(1))
     return r.select(*keys, code, COUNT, grupo.cast("long").alias(GROUP))
 
 
 def balance_groups(lines: DataFrame, keys: Sequence[str] = ("periodo",), code: str = CODE,
-                   limit: int = 150000, bucket_length: int | None = 18) -> DataFrame:
+                   limit: int = 150000, bucket_length: int | None = 18, bin_width: int | None = None) -> DataFrame:
     """Lines plus ``grupo_salida``; lines of a NULL code are dropped (J1, inner join)."""
-    groups = assign_groups(transaction_counts(lines, keys, code), keys, code, limit, bucket_length)
+    groups = assign_groups(transaction_counts(lines, keys, code), keys, code, limit, bucket_length, bin_width)
     return lines.join(groups.select(*keys, code, GROUP), [*keys, code])

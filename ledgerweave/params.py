@@ -36,6 +36,7 @@ class FeedParams:
     source_description: str = SOURCE_DESCRIPTION
     mapped_field: str = MAPPED_FIELD
     large_limit: int = LARGE_LIMIT
+    bin_width: int | None = None          # defaults to large_limit
     voucher_width: int = CODE_WIDTHS[0]
     sequence_width: int = CODE_WIDTHS[1]
     rerun_width: int = CODE_WIDTHS[2]

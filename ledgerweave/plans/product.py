@@ -67,7 +67,8 @@ def ledger_product(movements_src: DataFrame, mapping: DataFrame, run_log: DataFr
     offsets = numbering.slice_offsets(sliced, KEYS).select(*KEYS, numbering.SLICE, numbering.SLICE_OFFSET)
     # one row per transaction: lines after mapping (duplicates count), then the group
     counts = balance.transaction_counts(map_accounts(sliced, mapping, params), ["periodo"], CODE)
-    groups = (balance.assign_groups(counts, ["periodo"], CODE, params.large_limit, params.bucket_length)
+    groups = (balance.assign_groups(counts, ["periodo"], CODE, params.large_limit, params.bucket_length,
+                                            params.bin_width)
               .where(F.col(CODE).isNotNull())
               .select("periodo", F.col(CODE).alias(TKEY), balance.GROUP))
     assign = offsets.join(groups, KEYS)

@@ -75,7 +75,7 @@ def run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("event_type").alias("FUENTE"),
         F.col("ts").cast("date").alias("PERIODO_EJECUTADO_FAH"),
         (F.col("user_id") % 5).cast("int").alias("NUM_VECES_REPROCESADO"),
-        F.col("ts").cast("timestamp").alias("ULT_FECHA_DE_CARGUE"),
+        F.col("ts").cast("timestamp_ntz").alias("ULT_FECHA_DE_CARGUE"),
     )
 
 
