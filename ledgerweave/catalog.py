@@ -40,6 +40,18 @@ def _product(spark: SparkSession, sf: str, params: FeedParams = FeedParams()) ->
     return product.ledger_product(mov, mp, log, params)
 
 
+def _product_table(spark: SparkSession, sf: str, params: FeedParams = FeedParams()) -> DataFrame:
+    """The product written as its daily-partitioned table and read back (as the exporter reads it).
+
+    Used where several reports read the product: they scan the table instead
+    of recomputing the product once per report.
+    """
+    from ledgerweave.plans.tables import overwrite_partitions
+    from ledgerweave.session import work_dir
+    import uuid
+    return overwrite_partitions(_product(spark, sf, params), work_dir(spark, f"product-{uuid.uuid4().hex}"))
+
+
 def _unp(spark: SparkSession, sf: str) -> DataFrame:
     mov = fixtures.movements(spark, sf)
     return journal.unpivot_movements(journal.filter_period(journal.movements_projection(mov), None))
@@ -260,7 +272,7 @@ def q_sink_report_lines(spark, sf):
 
 
 def _manifest(spark, sf) -> DataFrame:
-    prod = _product(spark, sf)
+    prod = _product_table(spark, sf)
     specs = {n: _spec(n) for n in reports.REPORTS}
     rendered = {n: export.render_report(fn(prod), specs[n]) for n, fn in reports.REPORTS.items()}
     return export.manifest(rendered, specs, 1, DELIVERY)

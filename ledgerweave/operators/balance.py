@@ -44,7 +44,9 @@ def two_level_running_sums(df: DataFrame, keys: Sequence[str], order_col: str, b
     first, as in both reference engines.  Adds ``_run_<name>`` (inclusive
     running sum) and ``_all_<name>`` (total over the key) per value.
     """
-    b = df.withColumn(BUCKET, bucket if bucket is not None else F.lit(None).cast("string"))
+    # '' is below every other string, so a NULL order key (which sorts first)
+    # can share it; non-null surrogate keeps the join back a plain equi-join
+    b = df.withColumn(BUCKET, F.coalesce(bucket, F.lit("")) if bucket is not None else F.lit(""))
     for name, v in values.items():
         b = b.withColumn(f"_v_{name}", v)
     w_in = (Window.partitionBy(*keys, BUCKET).orderBy(F.col(order_col).asc_nulls_first())
@@ -52,7 +54,7 @@ def two_level_running_sums(df: DataFrame, keys: Sequence[str], order_col: str, b
     local = b.select("*", *[F.sum(f"_v_{n}").over(w_in).alias(f"_l_{n}") for n in values])
 
     totals = b.groupBy(*keys, BUCKET).agg(*[F.sum(f"_v_{n}").alias(f"_t_{n}") for n in values])
-    w_before = (Window.partitionBy(*keys).orderBy(F.col(BUCKET).asc_nulls_first())
+    w_before = (Window.partitionBy(*keys).orderBy(F.col(BUCKET))
                 .rowsBetween(Window.unboundedPreceding, -1))
     w_all = Window.partitionBy(*keys)
     offsets = totals.select(
@@ -61,8 +63,8 @@ def two_level_running_sums(df: DataFrame, keys: Sequence[str], order_col: str, b
         *[F.coalesce(F.sum(f"_t_{n}").over(w_before), F.lit(0)).alias(f"_o_{n}") for n in values],
         *[F.sum(f"_t_{n}").over(w_all).alias(f"_all_{n}") for n in values],
     )
-    cond = [local[k] == offsets[f"_k_{i}"] for i, k in enumerate(keys)]
-    cond.append(local[BUCKET].eqNullSafe(offsets["_b"]))
+    cond = [local[k].eqNullSafe(offsets[f"_k_{i}"]) for i, k in enumerate(keys)]
+    cond.append(local[BUCKET] == offsets["_b"])
     joined = local.join(offsets, cond)
     out = joined.select(
         *[local[c] for c in df.columns],

@@ -92,8 +92,8 @@ def attach_rerun(lines: DataFrame, run_log: DataFrame | None, params: FeedParams
     aggregate; for many periods that becomes a left join on the period."""
     if params.rerun is not None or run_log is None:
         return lines.withColumn("codigo_reproceso", F.lit(int(params.rerun or 1)).cast("long"))
-    rr = rerun_by_period(run_log, params.source)
-    rr = broadcast_if_small(rr, params.broadcast_row_limit)
+    # one row per logged day: the size is bounded by the calendar, not by the data
+    rr = F.broadcast(rerun_by_period(run_log, params.source))
     return (lines.join(rr, "periodo", "left")
             .withColumn("codigo_reproceso", F.coalesce(F.col("codigo_reproceso"), F.lit(1).cast("long"))))
 
@@ -117,14 +117,23 @@ def mapping_for(mapping: DataFrame, params: FeedParams) -> DataFrame:
             .select("VALOR_ORIGEN", "VALOR_SALIDA"))
 
 
-def map_accounts(lines: DataFrame, mapping: DataFrame, params: FeedParams, account: str = "ctacon") -> DataFrame:
+def prepared_mapping(mapping: DataFrame, params: FeedParams) -> DataFrame:
+    """The mapping rows of this run, marked for broadcast when their row count is under the limit.
+
+    The count is one small job on the dimension table; beyond the limit the
+    join stays a sort-merge join (AQE splits a hot account).  Prepare once and
+    pass ``prepared=True`` to every join of the run.
+    """
+    return broadcast_if_small(mapping_for(mapping, params), params.broadcast_row_limit)
+
+
+def map_accounts(lines: DataFrame, mapping: DataFrame, params: FeedParams, account: str = "ctacon",
+                 prepared: bool = False) -> DataFrame:
     """``COALESCE(hom.VALOR_SALIDA, CAST(account AS STRING))`` via a left join.
 
-    The mapping is broadcast only when its row count is under the limit;
-    otherwise it is a sort-merge join (AQE splits a hot account).  Duplicate
-    mapping rows multiply lines, as in the reference.
+    Duplicate mapping rows multiply lines, as in the reference.
     """
-    m = broadcast_if_small(mapping_for(mapping, params), params.broadcast_row_limit)
+    m = mapping if prepared else prepared_mapping(mapping, params)
     joined = lines.join(m, F.col(account).cast("string") == F.col("VALOR_ORIGEN"), "left")
     return joined.withColumn("cuenta", F.coalesce(F.col("VALOR_SALIDA"), F.col(account).cast("string"))) \
                  .drop("VALOR_ORIGEN", "VALOR_SALIDA")

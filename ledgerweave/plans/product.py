@@ -12,21 +12,24 @@ plan for any number of days, with one shuffle of the lines:
    ``operators.numbering``), account mapping (broadcast behind a row-count
    check), then the group assignment is joined on the same keys, so the
    lines side does not move again;
-4. per-slice and per-code counts are aggregated map-side from the work table, and
-   the group assignment is a two-level prefix sum over one row per code
-   (``operators.balance``).
+4. per-slice and per-code counts come from one map-side aggregation of the
+   work table (``slice_table``), and the group assignment is a two-level
+   prefix sum over one row per code (``operators.balance``).
 """
 
 from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerweave.operators import balance, numbering
+from ledgerweave.operators.joins import broadcast_if_small
 from ledgerweave.operators.journal import (CODE, JOURNAL_COLUMNS, TKEY, coded_lines, constant_columns,
-                                           line_order, map_accounts, movements_projection)
+                                           line_order, map_accounts, mapping_for, movements_projection,
+                                           prepared_mapping)
 from ledgerweave.params import FeedParams
 from ledgerweave.session import materialize
 
@@ -50,28 +53,57 @@ def journal_lines(movements_src: DataFrame, mapping: DataFrame, run_log: DataFra
     sliced = _sliced(movements_src, run_log, params)
     numbered = numbering.local_numbers(sliced, KEYS, line_order())
     offsets = numbering.slice_offsets(sliced, KEYS).select(*KEYS, numbering.SLICE, numbering.SLICE_OFFSET)
-    mapped = map_accounts(numbered, mapping, params)
+    mapped = map_accounts(numbered, prepared_mapping(mapping, params), params, prepared=True)
     out = mapped.join(offsets, [*KEYS, numbering.SLICE]).withColumn(
         "contador_linea", F.col(numbering.LOCAL_RN) + F.col(numbering.SLICE_OFFSET))
     return constant_columns(out, params).select(*JOURNAL_COLUMNS)
 
 
+def slice_table(sliced: DataFrame, mapping: DataFrame, params: FeedParams) -> DataFrame:
+    """One row per (periodo, code, slice): line offset of the slice and lines of its transaction.
+
+    One aggregation over the coded lines gives both counts the plan needs:
+    ``pre`` (lines before the account mapping, for line numbers) and ``post``
+    (lines after it; a duplicated mapping row multiplies a line, as in the
+    reference), using the number of mapping rows per account (broadcast behind
+    the same row-count check as the mapping).  A window over the slices of
+    each transaction (one row per slice) turns them into the slice offset and
+    the transaction total.  The table is small (about one row per
+    transaction) and feeds two branches, so it is persisted; a lost block is
+    recomputed from the work table.
+    """
+    mult = broadcast_if_small(mapping_for(mapping, params).groupBy("VALOR_ORIGEN")
+                              .agg(F.count(F.lit(1)).alias("_copies")), params.broadcast_row_limit)
+    per_slice = (sliced.join(mult, F.col("ctacon").cast("string") == F.col("VALOR_ORIGEN"), "left")
+                 .groupBy(*KEYS, numbering.SLICE)
+                 .agg(F.count(F.lit(1)).alias("_pre"), F.sum(F.coalesce("_copies", F.lit(1))).alias("_post")))
+    w_before = Window.partitionBy(*KEYS).orderBy(numbering.SLICE).rowsBetween(Window.unboundedPreceding, -1)
+    w_all = Window.partitionBy(*KEYS)
+    w_first = Window.partitionBy(*KEYS).orderBy(numbering.SLICE)
+    return per_slice.select(
+        *KEYS, numbering.SLICE,
+        F.coalesce(F.sum("_pre").over(w_before), F.lit(0)).cast("long").alias(numbering.SLICE_OFFSET),
+        F.sum("_post").over(w_all).cast("long").alias(balance.COUNT),
+        (F.row_number().over(w_first) == 1).alias("_first"),
+    ).persist(StorageLevel.MEMORY_AND_DISK)
+
+
 def ledger_product(movements_src: DataFrame, mapping: DataFrame, run_log: DataFrame | None,
                    params: FeedParams = FeedParams()) -> DataFrame:
     """Final product (C11): 20 columns, partition column ``periodo`` last."""
     sliced = _sliced(movements_src, run_log, params)
     numbered = numbering.local_numbers(sliced, KEYS, line_order())
-    mapped = map_accounts(numbered, mapping, params)
+    mapped = map_accounts(numbered, prepared_mapping(mapping, params), params, prepared=True)
 
-    # one row per slice: offset of the slice inside its transaction
-    offsets = numbering.slice_offsets(sliced, KEYS).select(*KEYS, numbering.SLICE, numbering.SLICE_OFFSET)
-    # one row per transaction: lines after mapping (duplicates count), then the group
-    counts = balance.transaction_counts(map_accounts(sliced, mapping, params), ["periodo"], CODE)
+    slices = slice_table(sliced, mapping, params)
+    # one row per transaction (the NULL code too: it shifts the running totals)
+    counts = slices.where("_first").select(
+        "periodo", F.when(F.col(TKEY) != "", F.col(TKEY)).alias(CODE), balance.COUNT)
     groups = (balance.assign_groups(counts, ["periodo"], CODE, params.large_limit, params.bucket_length,
-                                            params.bin_width)
+                                    params.bin_width)
               .where(F.col(CODE).isNotNull())
               .select("periodo", F.col(CODE).alias(TKEY), balance.GROUP))
-    assign = offsets.join(groups, KEYS)
+    assign = slices.select(*KEYS, numbering.SLICE, numbering.SLICE_OFFSET).join(groups, KEYS)
 
     out = mapped.join(assign, [*KEYS, numbering.SLICE]).withColumn(
         "contador_linea", F.col(numbering.LOCAL_RN) + F.col(numbering.SLICE_OFFSET))

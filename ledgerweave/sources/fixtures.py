@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerweave.params import MAPPED_FIELD, SOURCE
-from ledgerweave.sources.tables import read_table
+from ledgerweave.sources.tables import read_table, spread
 
 AMOUNT = "decimal(18,2)"
 
@@ -29,9 +29,9 @@ def movements(spark: SparkSession, sf_dir: str) -> DataFrame:
     key is unique in orders so it is not skewed).  Upper-case names as in the
     source table.
     """
-    li = read_table(spark, sf_dir, "lineitem").select(
+    li = spread(read_table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_extendedprice",
-        "l_discount", "l_returnflag", "l_linestatus", "l_shipdate")
+        "l_discount", "l_returnflag", "l_linestatus", "l_shipdate"))
     od = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate", "o_orderpriority")
     j = li.join(od, li.l_orderkey == od.o_orderkey)
     flag = F.col("l_returnflag")

@@ -14,6 +14,19 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin a scan that has fewer splits than the cluster has cores.
+
+    A table stored as a few large files with one row group each is read by a
+    few tasks, and everything up to the first shuffle runs on those tasks.
+    A large table has far more splits than cores and is left untouched, so
+    this adds a shuffle only where the input is too thin to use the cluster.
+    """
+    spark = df.sparkSession
+    want = min_partitions or spark.sparkContext.defaultParallelism
+    return df.repartition(want) if df.rdd.getNumPartitions() < want else df
+
+
 def register_views(spark: SparkSession, tables: Mapping[str, DataFrame]) -> None:
     """Temp views so report SQL can be run with ``spark.sql``."""
     for name, df in tables.items():
