@@ -74,7 +74,7 @@ def test_file_name_rules(spark):
 def test_export_feed_end_to_end(spark, tmp_path):
     res = export_feed(spark, SF0001, root=str(tmp_path / "run"), loaded_at=dt.datetime(2026, 1, 1))
     files = {r["archivo"]: r["lineas"] for r in res["files"].collect()}
-    man = res["manifest"]
+    man = res["manifest"].collect()
     assert len(files) == len(man) and res["summary"]["REGISTROS_LEIDOS"] == sum(r["registros"] for r in man)
     # control file LINE count equals the lines file of the same group (minus its header row)
     by = {(r["report"], r["periodo"], r["grupo"]): r for r in man}
@@ -87,3 +87,11 @@ def test_export_feed_end_to_end(spark, tmp_path):
     assert all(n.startswith("Metadata_DAVIBANK_") and n.endswith("_1.txt") for n in meta)
     log = spark.read.parquet(res["run_log"])
     assert log.where("FUENTE = 'DAVIBANK'").count() == len({r["periodo"] for r in man})
+
+
+def test_export_feed_without_renames(spark, tmp_path):
+    """Above the rename limit the layout stays one folder per file, listed by the manifest."""
+    res = export_feed(spark, SF0001, root=str(tmp_path / "run"), loaded_at=dt.datetime(2026, 1, 1), rename_limit=0)
+    man = res["manifest"]
+    assert res["files"].count() == man.count() > 0
+    assert res["summary"]["RUTA_SALIDA"] == []
