@@ -92,14 +92,49 @@ def ranked_counts(counts: DataFrame, keys: Sequence[str] = ("periodo",), code: s
     )
 
 
+def single_level_fits(counts: DataFrame, keys: Sequence[str], max_codes: int | None) -> bool:
+    """True when every key has at most ``max_codes`` codes (one small aggregation job).
+
+    Then one window per key is bounded and cheaper than the two-level form;
+    beyond it (a day holding a large share of all codes) the two-level form
+    is used.  ``None`` disables the check.
+    """
+    if not max_codes or not keys:
+        return False
+    biggest = counts.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]
+    return biggest is not None and biggest <= max_codes
+
+
+def ranked_counts_single(counts: DataFrame, keys: Sequence[str], code: str, limit: int) -> DataFrame:
+    """Same columns as ``ranked_counts`` with one window per key (bounded by ``single_level_fits``)."""
+    large = F.col(COUNT) > F.lit(limit)
+    w = (Window.partitionBy(*keys).orderBy(F.col(code).asc_nulls_first())
+         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    r = counts.select(
+        "*",
+        F.sum(F.when(large, F.lit(1)).otherwise(F.lit(0))).over(w).cast("long").alias("_run_large"),
+        F.sum(F.when(large, F.lit(0)).otherwise(F.col(COUNT))).over(w).cast("long").alias("_run_small"),
+        F.sum(F.when(large, F.lit(1)).otherwise(F.lit(0))).over(Window.partitionBy(*keys)).cast("long")
+        .alias("_all_large"),
+    )
+    return r.select(*counts.columns, large.alias("es_grande"), F.when(large, F.col("_run_large")).alias("rango_grande"),
+                    F.when(~large, F.col("_run_small")).alias("acumulado"), F.col("_all_large").alias("n_grandes"))
+
+
 def assign_groups(counts: DataFrame, keys: Sequence[str] = ("periodo",), code: str = CODE,
-                  limit: int = 150000, bucket_length: int | None = 18, bin_width: int | None = None) -> DataFrame:
+                  limit: int = 150000, bucket_length: int | None = 18, bin_width: int | None = None,
+                  single_level_max: int | None = None) -> DataFrame:
     """(keys, code, total_registros, grupo_salida): the group of every code.
 
     ``bin_width`` defaults to ``limit`` (the reference uses one number for both).
+    With ``single_level_max``, keys whose code count is checked to be at most
+    that use one window per key; otherwise the two-level prefix sum.
     """
     width = int(bin_width or limit)
-    r = ranked_counts(counts, keys, code, limit, bucket_length)
+    if single_level_fits(counts, keys, single_level_max):
+        r = ranked_counts_single(counts, keys, code, limit)
+    else:
+        r = ranked_counts(counts, keys, code, limit, bucket_length)
     grupo = F.when(F.col("es_grande"), F.col("rango_grande")).otherwise(
         F.col("n_grandes") + F.expr(f"(acumulado - 1) div {width}") + F.lit(1))
     return r.select(*keys, code, COUNT, grupo.cast("long").alias(GROUP))

@@ -45,6 +45,8 @@ class FeedParams:
     line_block: int = 1 << 20
     # rows above which a small side is not broadcast but shuffled (checked by count)
     broadcast_row_limit: int = 2_000_000
+    # codes per day up to which the group windows run per day (checked); above, two-level
+    single_level_max: int | None = 2_000_000
     extra: dict = field(default_factory=dict, compare=False, hash=False)
 
     @property

@@ -26,7 +26,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerweave.operators import balance, numbering
-from ledgerweave.operators.joins import broadcast_if_small
 from ledgerweave.operators.journal import (CODE, JOURNAL_COLUMNS, TKEY, coded_lines, constant_columns,
                                            line_order, map_accounts, mapping_for, movements_projection,
                                            prepared_mapping)
@@ -59,7 +58,7 @@ def journal_lines(movements_src: DataFrame, mapping: DataFrame, run_log: DataFra
     return constant_columns(out, params).select(*JOURNAL_COLUMNS)
 
 
-def slice_table(sliced: DataFrame, mapping: DataFrame, params: FeedParams) -> DataFrame:
+def slice_table(sliced: DataFrame, mapping: DataFrame, params: FeedParams, mapping_is_small: bool) -> DataFrame:
     """One row per (periodo, code, slice): line offset of the slice and lines of its transaction.
 
     One aggregation over the coded lines gives both counts the plan needs:
@@ -72,8 +71,9 @@ def slice_table(sliced: DataFrame, mapping: DataFrame, params: FeedParams) -> Da
     transaction) and feeds two branches, so it is persisted; a lost block is
     recomputed from the work table.
     """
-    mult = broadcast_if_small(mapping_for(mapping, params).groupBy("VALOR_ORIGEN")
-                              .agg(F.count(F.lit(1)).alias("_copies")), params.broadcast_row_limit)
+    mult = mapping_for(mapping, params).groupBy("VALOR_ORIGEN").agg(F.count(F.lit(1)).alias("_copies"))
+    if mapping_is_small:                       # fewer rows than the mapping itself
+        mult = F.broadcast(mult)
     per_slice = (sliced.join(mult, F.col("ctacon").cast("string") == F.col("VALOR_ORIGEN"), "left")
                  .groupBy(*KEYS, numbering.SLICE)
                  .agg(F.count(F.lit(1)).alias("_pre"), F.sum(F.coalesce("_copies", F.lit(1))).alias("_post")))
@@ -93,14 +93,16 @@ def ledger_product(movements_src: DataFrame, mapping: DataFrame, run_log: DataFr
     """Final product (C11): 20 columns, partition column ``periodo`` last."""
     sliced = _sliced(movements_src, run_log, params)
     numbered = numbering.local_numbers(sliced, KEYS, line_order())
-    mapped = map_accounts(numbered, prepared_mapping(mapping, params), params, prepared=True)
+    m = mapping_for(mapping, params)
+    small = m.count() <= params.broadcast_row_limit      # one count for both mapping joins
+    mapped = map_accounts(numbered, F.broadcast(m) if small else m, params, prepared=True)
 
-    slices = slice_table(sliced, mapping, params)
+    slices = slice_table(sliced, mapping, params, small)
     # one row per transaction (the NULL code too: it shifts the running totals)
     counts = slices.where("_first").select(
         "periodo", F.when(F.col(TKEY) != "", F.col(TKEY)).alias(CODE), balance.COUNT)
     groups = (balance.assign_groups(counts, ["periodo"], CODE, params.large_limit, params.bucket_length,
-                                    params.bin_width)
+                                    params.bin_width, params.single_level_max)
               .where(F.col(CODE).isNotNull())
               .select("periodo", F.col(CODE).alias(TKEY), balance.GROUP))
     assign = slices.select(*KEYS, numbering.SLICE, numbering.SLICE_OFFSET).join(groups, KEYS)

@@ -92,3 +92,12 @@ def test_amounts_preserved_all_periods(spark, inputs):
 def test_pending_periods(inputs):
     mov, _, log = inputs
     assert product.pending_periods(mov, log, "DAVIBANK").count() == 80
+
+
+def test_single_and_two_level_products_agree(spark):
+    from conftest import SF0001
+    mov, mp, log = (fixtures.movements(spark, SF0001), fixtures.account_mapping(spark, SF0001),
+                    fixtures.run_log(spark, SF0001))
+    a = product.ledger_product(mov, mp, log, FeedParams(large_limit=5, bin_width=40, single_level_max=None))
+    b = product.ledger_product(mov, mp, log, FeedParams(large_limit=5, bin_width=40, single_level_max=10 ** 9))
+    assert sorted(map(tuple, a.collect()), key=repr) == sorted(map(tuple, b.collect()), key=repr)
