@@ -8,17 +8,21 @@ tables; the one-day queries are the reference's daily run, pruned by period.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ledgerweave import oracle_sql as O
 from ledgerweave import params as P
 from ledgerweave.functions.columns import format_date, lpad_zero, normalise_date, parse_tag, source_from_name
 from ledgerweave.operators import balance, journal, numbering, reports, runlog
 from ledgerweave.params import FeedParams
 from ledgerweave.plans import export, product
+from ledgerweave.plans.run import METADATA_ARGS, export_feed
+from ledgerweave.plans.tables import overwrite_partitions, replace_table
+from ledgerweave.session import work_dir
 from ledgerweave.sources import fixtures, registry
 from ledgerweave.sources.tables import read_table
 
@@ -46,9 +50,6 @@ def _product_table(spark: SparkSession, sf: str, params: FeedParams = FeedParams
     Used where several reports read the product: they scan the table instead
     of recomputing the product once per report.
     """
-    from ledgerweave.plans.tables import overwrite_partitions
-    from ledgerweave.session import work_dir
-    import uuid
     return overwrite_partitions(_product(spark, sf, params), work_dir(spark, f"product-{uuid.uuid4().hex}"))
 
 
@@ -221,11 +222,11 @@ def q_distinct_groups(spark, sf):
 
 
 def q_layout_header(spark, sf):
-    return _product(spark, sf).select(*reports._apply(reports.header_layout()))
+    return _product(spark, sf).select(*reports.apply_layout(reports.header_layout()))
 
 
 def q_layout_lines(spark, sf):
-    return _product(spark, sf).select(*reports._apply(reports.lines_layout()))
+    return _product(spark, sf).select(*reports.apply_layout(reports.lines_layout()))
 
 
 def q_output_columns(spark, sf):
@@ -262,8 +263,6 @@ def q_report_header_row(spark, sf):
 
 
 def q_sink_report_lines(spark, sf):
-    from ledgerweave.session import work_dir
-    import uuid
     path = work_dir(spark, f"sink-lines-{uuid.uuid4().hex}")
     export.write_rendered(_rendered(spark, sf, "ARCHIVO_LINES_DAVIBANK"), path)
     back = spark.read.option("basePath", path).text(path)
@@ -304,21 +303,15 @@ def q_query_source(spark, sf):
 
 def q_query_parameters(spark, sf):
     _product(spark, sf).createOrReplaceTempView("ledger_product")
-    return spark.sql(registry.METADATA_SQL, args={"version": "3", "application": P.SOURCE})
+    return spark.sql(registry.METADATA_SQL, args=METADATA_ARGS)
 
 
 def q_sink_replace_table(spark, sf):
-    from ledgerweave.plans.tables import replace_table
-    from ledgerweave.session import work_dir
-    import uuid
     path = work_dir(spark, f"product-{uuid.uuid4().hex}")
     return replace_table(_product(spark, sf), path)
 
 
 def q_sink_overwrite_partition(spark, sf):
-    from ledgerweave.plans.tables import overwrite_partitions, replace_table
-    from ledgerweave.session import work_dir
-    import uuid
     path = work_dir(spark, f"product-{uuid.uuid4().hex}")
     replace_table(_product(spark, sf), path)
     return overwrite_partitions(_product(spark, sf, FeedParams(periods=(DAY,), rerun=3)), path)
@@ -360,21 +353,17 @@ def q_fn_source_from_name(spark, sf):
 
 
 def q_fn_parse_tag(spark, sf):
-    from pyspark.sql import types as T
     ev = read_table(spark, sf, "events")
     schema = T.StructType([T.StructField("k", T.IntegerType())])
     return ev.select("event_id", parse_tag("props", schema).getField("k").alias("k"))
 
 
 def q_export_run(spark, sf):
-    from ledgerweave.plans.run import export_feed
     result = export_feed(spark, sf, periods=None)
     return result["files"]
 
 
 def q_sink_encoded_report(spark, sf):
-    from ledgerweave.session import work_dir
-    import uuid
     path = work_dir(spark, f"sink-iso-{uuid.uuid4().hex}")
     name = "ARCHIVO_METADATA_DAVIBANK"
     export.write_rendered(_rendered(spark, sf, name), path, _spec(name).encoding)

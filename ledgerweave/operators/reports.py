@@ -74,7 +74,7 @@ def lines_layout() -> list[tuple[str, str | None]]:
     return head + fill + amounts + tail
 
 
-def _apply(layout: list[tuple[str, str | None]]) -> list[Column]:
+def apply_layout(layout: list[tuple[str, str | None]]) -> list[Column]:
     return [_null(n) if e is None else F.expr(e).alias(n) for n, e in layout]
 
 
@@ -104,7 +104,7 @@ def report_header(product: DataFrame) -> DataFrame:
 
 def report_lines(product: DataFrame) -> DataFrame:
     """One row per line (C6): 147 columns + grupo + periodo; a pure projection."""
-    return product.select(*_apply(lines_layout()), F.col("grupo_salida").alias(GROUP), PERIOD)
+    return product.select(*apply_layout(lines_layout()), F.col("grupo_salida").alias(GROUP), PERIOD)
 
 
 def control_counts(product: DataFrame) -> DataFrame:

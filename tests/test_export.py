@@ -95,3 +95,22 @@ def test_export_feed_without_renames(spark, tmp_path):
     man = res["manifest"]
     assert res["files"].count() == man.count() > 0
     assert res["summary"]["RUTA_SALIDA"] == []
+
+
+def test_large_transaction_continues_in_chunks(spark, tmp_path):
+    """A transaction larger than chunk_rows is written by several tasks as continuation files."""
+    day = dt.date(2024, 1, 5)
+    rows = [("T1", n, 1, day) for n in range(1, 8)] + [("T2", 1, 2, day)]
+    df = spark.createDataFrame(rows, "TRANSACTION_NUMBER string, LINE_NUMBER long, grupo long, periodo date")
+    spec = export.ReportSpec(name="L", query="", header=True, delimiter=",", extension="csv",
+                             template="L_{CONTADOR}.{EXTENCION}")
+    r = export.render_report(df, spec, chunk_rows=3)
+    staging = str(tmp_path / "s")
+    export.write_rendered(r, f"{staging}/{export.encoding_dir('UTF-8')}", "UTF-8")
+    man = [dict(x.asDict()) for x in export.manifest({"L": r}, {"L": spec}, 1, "out").collect()]
+    assert {(m["grupo"], m["ultimo_chunk"], m["registros"]) for m in man} == {("1", 2, 7), ("2", 0, 1)}
+    export.finalize_files(spark, staging, str(tmp_path / "o"), man)
+    files = _files(tmp_path / "o")
+    assert files == {"L_1.csv": b"TRANSACTION_NUMBER,LINE_NUMBER\r\nT1,1\r\nT1,2\r\nT1,3\r\n",
+                     "L_1.csv.1": b"T1,4\r\nT1,5\r\nT1,6\r\n", "L_1.csv.2": b"T1,7\r\n",
+                     "L_2.csv": b"TRANSACTION_NUMBER,LINE_NUMBER\r\nT2,1\r\n"}

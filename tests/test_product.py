@@ -101,3 +101,13 @@ def test_single_and_two_level_products_agree(spark):
     a = product.ledger_product(mov, mp, log, FeedParams(large_limit=5, bin_width=40, single_level_max=None))
     b = product.ledger_product(mov, mp, log, FeedParams(large_limit=5, bin_width=40, single_level_max=10 ** 9))
     assert sorted(map(tuple, a.collect()), key=repr) == sorted(map(tuple, b.collect()), key=repr)
+
+
+def test_slicing_does_not_change_line_numbers(spark):
+    """Forcing many slices per transaction (a tiny line_block) gives the same product."""
+    from conftest import SF0001
+    mov, mp, log = (fixtures.movements(spark, SF0001), fixtures.account_mapping(spark, SF0001),
+                    fixtures.run_log(spark, SF0001))
+    a = product.ledger_product(mov, mp, log, FeedParams(line_block=2))
+    b = product.ledger_product(mov, mp, log, FeedParams())
+    assert sorted(map(tuple, a.collect()), key=repr) == sorted(map(tuple, b.collect()), key=repr)
