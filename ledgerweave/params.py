@@ -51,10 +51,12 @@ class FeedParams:
 
     @property
     def bucket_length(self) -> int:
-        """Prefix of the transaction code that is voucher + two dates.
+        """Prefix of the transaction code used as the balancing bucket.
 
         For strings, x < y implies prefix(x) <= prefix(y), so ranking inside a
-        prefix and adding per-prefix offsets equals one global ranking.  With the
-        default widths a prefix holds at most 10**4 * 10 distinct codes.
+        prefix and adding per-prefix offsets equals one global ranking.  The
+        prefix keeps all but the last four sequence digits and the re-run
+        digits, so a bucket holds at most 10**4 * 10**rerun_width codes
+        whatever the widths (voucher + two dates with the default widths).
         """
-        return self.voucher_width + 16
+        return self.voucher_width + 16 + max(0, self.sequence_width - 4)
