@@ -25,6 +25,7 @@ from ledgerweave.plans.tables import overwrite_partitions, replace_table
 from ledgerweave.session import work_dir
 from ledgerweave.sources import fixtures, registry
 from ledgerweave.sources.tables import read_table
+from ledgerweave.streaming.daily_feed import start_daily_feed
 
 DAY = dt.date(1995, 7, 1)          # the period of FIXTURES §3
 DAY_PARAMS = FeedParams(periods=(DAY,), rerun=3, large_limit=3, bin_width=100)
@@ -358,6 +359,21 @@ def q_fn_parse_tag(spark, sf):
     return ev.select("event_id", parse_tag("props", schema).getField("k").alias("k"))
 
 
+def q_daily_feed(spark, sf):
+    """The streaming feed (C12 re-aimed): movements land as a daily-partitioned table, an
+    ``availableNow`` file stream runs the product for the days it sees; the result is the
+    product table, equal to ``ledger_product``."""
+    root = work_dir(spark, f"feed-{uuid.uuid4().hex}")
+    mov = fixtures.movements(spark, sf)
+    mov.write.partitionBy("PERIODO").parquet(f"{root}/movements")
+    q = start_daily_feed(spark, f"{root}/movements", mov.schema, fixtures.account_mapping(spark, sf),
+                         fixtures.run_log(spark, sf), f"{root}/product", f"{root}/checkpoint")
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+    return spark.read.parquet(f"{root}/product")
+
+
 def q_export_run(spark, sf):
     result = export_feed(spark, sf, periods=None)
     return result["files"]
@@ -424,6 +440,7 @@ QUERIES: dict[str, Query] = {
     "fn_normalise_date": q_fn_normalise_date,
     "fn_source_from_name": q_fn_source_from_name,
     "fn_parse_tag": q_fn_parse_tag,
+    "daily_feed": q_daily_feed,
     "export_run": q_export_run,
     "sink_encoded_report": q_sink_encoded_report,
 }

@@ -214,6 +214,7 @@ ORACLE: dict[str, str] = {
     "query_source": PROD + CONTROL,
     "query_parameters": PROD + METADATA,
     "sink_replace_table": PROD + " SELECT * FROM product",
+    "daily_feed": PROD + " SELECT * FROM product",
     "sink_overwrite_partition": O.with_product(rerun_override=(DAY, 3)) + " SELECT * FROM product",
     "run_log_upsert": BASE + "," + RUN_LOG_UPSERT,
     "fn_lpad": ("SELECT l_orderkey, l_linenumber, lpad(CAST(l_orderkey AS VARCHAR), 4, '0') AS seq4, "

@@ -11,7 +11,8 @@ from ledgerweave.sources import fixtures
 from ledgerweave.sources.tables import scan_partitioned
 
 FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython")
-WRITERS = {"export_run", "sink_encoded_report", "sink_report_lines", "sink_replace_table", "sink_overwrite_partition"}
+WRITERS = {"export_run", "sink_encoded_report", "sink_report_lines", "sink_replace_table", "sink_overwrite_partition",
+           "daily_feed"}
 
 
 def _plan(df):
