@@ -84,3 +84,13 @@ def test_empty_day(spark, frames):
     mov, mapping, log = frames
     p = product.ledger_product(mov, mapping, log, FeedParams(periods=(dt.date(2030, 1, 1),)))
     assert p.count() == 0 and len(p.columns) == 20
+
+
+def test_feed_checks_count_the_quirks(frames):
+    from ledgerweave.plans.run import feed_checks
+    mov, mapping, log = frames
+    table = product.ledger_product(mov, mapping, log, FeedParams())
+    checks = feed_checks(mov, mapping, table, FeedParams())
+    # 12345 and 1234 share code ...12341; the NULL-date line has no code; key 10 has two rows
+    assert checks == {"codigos_con_colision": 1, "lineas_sin_codigo": 1, "claves_mapeo_duplicadas": 1,
+                      "valores_con_delimitador": 0}

@@ -85,6 +85,9 @@ def test_export_feed_end_to_end(spark, tmp_path):
     assert ctl and all(files[r["archivo"]] == 2 for r in ctl)
     meta = [r["archivo"] for r in man if r["report"] == "ARCHIVO_METADATA_DAVIBANK"]
     assert all(n.startswith("Metadata_DAVIBANK_") and n.endswith("_1.txt") for n in meta)
+    checks = res["summary"]["CONTROLES"]
+    assert checks["lineas_sin_codigo"] == 0 and checks["claves_mapeo_duplicadas"] == 0
+    assert checks["codigos_con_colision"] >= 0 and checks["valores_con_delimitador"] >= 0
     log = spark.read.parquet(res["run_log"])
     assert log.where("FUENTE = 'DAVIBANK'").count() == len({r["periodo"] for r in man})
 
