@@ -67,9 +67,11 @@ GROUP BY periodo, grupo
 """
 
 METADATA = """
-SELECT o.ORDEN, o.file_content_string, g.grupo, g.periodo
+SELECT 1 AS ORDEN, 'Metadata version number : 3' AS file_content_string, g.grupo, g.periodo
+FROM (SELECT DISTINCT grupo_salida AS grupo, periodo FROM product WHERE grupo_salida IS NOT NULL) g
+UNION ALL
+SELECT 2 AS ORDEN, 'Application Short Name : DAVIBANK' AS file_content_string, g.grupo, g.periodo
 FROM (SELECT DISTINCT grupo_salida AS grupo, periodo FROM product WHERE grupo_salida IS NOT NULL) g
-CROSS JOIN (VALUES (1, 'Metadata version number : 3'), (2, 'Application Short Name : DAVIBANK')) AS o(ORDEN, file_content_string)
 """
 
 LI = """

@@ -19,7 +19,10 @@ def plain_groups(counts, keys, code, limit, width):
     nbig = big.groupBy(*keys).agg(F.max("grupo_salida").alias("m")) if keys else \
         big.agg(F.max("grupo_salida").alias("m"))
     small = counts.where(~large)
-    small = small.join(nbig, list(keys), "left") if keys else small.crossJoin(nbig)
+    if keys:
+        small = small.join(nbig, list(keys), "left")
+    else:                                  # one global maximum: a literal, no join
+        small = small.withColumn("m", F.lit(nbig.first()["m"]).cast("long"))
     small = small.withColumn("grupo_salida", (F.coalesce("m", F.lit(0)) + F.floor(
         (F.sum("total_registros").over(w.rowsBetween(Window.unboundedPreceding, 0)) - 1) / width) + 1)
         .cast("long")).drop("m")
