@@ -37,7 +37,7 @@ def day_batch(spark: SparkSession, movements_path: str, mapping: DataFrame, run_
             return
         p = dataclasses.replace(params, periods=days)
         source = scan_partitioned(spark, movements_path, days, "PERIODO")
-        overwrite_partitions(ledger_product(source, mapping, run_log, p), product_path)
+        overwrite_partitions(ledger_product(source, mapping, run_log, p), product_path, rebalance=len(days) > 1)
 
     return run
 
