@@ -117,3 +117,18 @@ def test_large_transaction_continues_in_chunks(spark, tmp_path):
     assert files == {"L_1.csv": b"TRANSACTION_NUMBER,LINE_NUMBER\r\nT1,1\r\nT1,2\r\nT1,3\r\n",
                      "L_1.csv.1": b"T1,4\r\nT1,5\r\nT1,6\r\n", "L_1.csv.2": b"T1,7\r\n",
                      "L_2.csv": b"TRANSACTION_NUMBER,LINE_NUMBER\r\nT2,1\r\n"}
+
+
+def test_run_from_reference_arguments(spark, tmp_path):
+    from ledgerweave.plans.run import run_from_args
+    from ledgerweave.sources import fixtures
+    mov = fixtures.movements(spark, SF0001)
+    args = {"project_id": "p", "NOMBRE_REPORTE": "GENERAR_FAH_DAVIBANK_COMPLETO_ZIP",
+            "dict_dates": {"fecha_inicio": "19950701"}, "COLUMNAS_EXCLUIR": ["grupo", "orden"]}
+    res = run_from_args(spark, mov, fixtures.account_mapping(spark, SF0001), fixtures.run_log(spark, SF0001),
+                        args, root=str(tmp_path / "run"))
+    man = res["manifest"].collect()
+    assert man and {r["periodo"] for r in man} == {dt.date(1995, 7, 1)}
+    assert res["summary"]["FECHA_INICIO"] == "1995-07-01"
+    with pytest.raises(ValueError):
+        run_from_args(spark, mov, mov, mov, {"FECHA_INICIAL": "20240101"})
