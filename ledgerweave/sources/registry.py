@@ -113,27 +113,27 @@ ORDER BY d.NOMBRE_REPORTE
 """
 
 # Fixed values of the five registered reports:
-# (id, report name, table, tag format, tag entity, dataset, query, encoding,
+# (id, report name, table, tag format, tag entity, target dataset (our own name), query, encoding,
 #  file-name template, extension, delimiter, header flag, execution type, report id)
 REPORT_ROWS = [
-    (19, "ARCHIVO_METADATA_DAVIBANK", "DAVIBANK_FAH", "ARCHIVO_METADATA_DAVIBANK", "ARCHIVO", "cur_administrativa",
+    (19, "ARCHIVO_METADATA_DAVIBANK", "DAVIBANK_FAH", "ARCHIVO_METADATA_DAVIBANK", "ARCHIVO", "ledger",
      METADATA_SQL, "ISO-8859-1",
      "Metadata_DAVIBANK_{FORMATO_FECHA}_{CONTADOR}_de_{TOTAL_ARCHIVOS}_{VAR_REPROCESO}.{EXTENCION}",
      "txt", ",", False, "SQL", "RPT-DAVIBANK-ARCHIVO-V1"),
-    (20, "ARCHIVO_HEADER_DAVIBANK", "DAVIBANK_FAH", "ARCHIVO_HEADER_DAVIBANK", "ARCHIVO", "cur_administrativa",
+    (20, "ARCHIVO_HEADER_DAVIBANK", "DAVIBANK_FAH", "ARCHIVO_HEADER_DAVIBANK", "ARCHIVO", "ledger",
      HEADER_SQL, "UTF-8",
      "XlaTrxH_DAVIBANK_{FORMATO_FECHA}_{CONTADOR}_de_{TOTAL_ARCHIVOS}_{VAR_REPROCESO}.{EXTENCION}",
      "csv", ",", True, "SQL", "RPT-DAVIBANK-ARCHIVO-V1"),
-    (21, "ARCHIVO_LINES_DAVIBANK", "DAVIBANK_FAH", "ARCHIVO_LINES_DAVIBANK", "ARCHIVO", "cur_administrativa",
+    (21, "ARCHIVO_LINES_DAVIBANK", "DAVIBANK_FAH", "ARCHIVO_LINES_DAVIBANK", "ARCHIVO", "ledger",
      LINES_SQL, "UTF-8",
      "XlaTrxL_DAVIBANK_{FORMATO_FECHA}_{CONTADOR}_de_{TOTAL_ARCHIVOS}_{VAR_REPROCESO}.{EXTENCION}",
      "csv", ",", True, "SQL", "RPT-DAVIBANK-ARCHIVO-V1"),
-    (22, "ARCHIVO_CONTROL_DAVIBANK", "DAVIBANK_FAH", "ARCHIVO_CONTROL_DAVIBANK", "ARCHIVO", "cur_administrativa",
+    (22, "ARCHIVO_CONTROL_DAVIBANK", "DAVIBANK_FAH", "ARCHIVO_CONTROL_DAVIBANK", "ARCHIVO", "ledger",
      CONTROL_SQL, "UTF-8",
      "XlaCtl_DAVIBANK_{FORMATO_FECHA}_{CONTADOR}_de_{TOTAL_ARCHIVOS}_{VAR_REPROCESO}.{EXTENCION}",
      "txt", ",", False, "SQL", "RPT-DAVIBANK-ARCHIVO-V1"),
     (23, "GENERAR_FAH_DAVIBANK_COMPLETO_ZIP", "GENERAR_FAH_DAVIBANK_COMPLETO_ZIP",
-     "GENERAR_FAH_DAVIBANK_COMPLETO_ZIP", "ZIP", "8096_tec_planeacion_y_riesgo",
+     "GENERAR_FAH_DAVIBANK_COMPLETO_ZIP", "ZIP", "reports",
      DISCOVERY_SQL, "UTF-8",
      "XlaTransaction_DAVIBANK_{FORMATO_FECHA}_{CONTADOR}_de_{TOTAL_ARCHIVOS}_{VAR_REPROCESO}.{EXTENCION}",
      "zip", None, False, "PySpark", "RPT-DAVIBANK-ZIP-V1"),
