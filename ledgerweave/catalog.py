@@ -22,7 +22,7 @@ from ledgerweave.params import FeedParams
 from ledgerweave.plans import export, product
 from ledgerweave.plans.run import METADATA_ARGS, export_feed
 from ledgerweave.plans.tables import overwrite_partitions, replace_table
-from ledgerweave.session import work_dir
+from ledgerweave.session import materialize, work_dir
 from ledgerweave.sources import fixtures, registry
 from ledgerweave.sources.tables import read_table
 from ledgerweave.streaming.daily_feed import start_daily_feed
@@ -123,7 +123,7 @@ def q_transaction_code(spark, sf):
 
 def q_line_numbers(spark, sf):
     p = FeedParams()
-    coded = _coded(spark, sf, p)
+    coded = materialize(_coded(spark, sf, p), "coded_lines")     # feeds the numbering and the slice counts
     out = numbering.ordered_row_number(coded, ["periodo", journal.TKEY], journal.line_order(),
                                        "consecutivo_extraccion", p.line_block, "contador_linea")
     return out.drop(journal.TKEY)
