@@ -67,4 +67,19 @@ def materialize(df, name: str = "work"):
     spark = df.sparkSession
     path = work_dir(spark, f"{name}-{uuid.uuid4().hex}")
     df.write.mode("error").parquet(path)
+    WORK_TABLES.append(path)
     return spark.read.parquet(path)
+
+
+# Work tables written by ``materialize`` in this process, oldest first.
+WORK_TABLES: list[str] = []
+
+
+def drop_work_tables(spark: SparkSession, paths: list[str]) -> None:
+    """Delete work tables nothing reads any more (a file-system delete, run on the driver)."""
+    jvm = spark._jvm
+    for p in paths:
+        hp = jvm.org.apache.hadoop.fs.Path(p)
+        hp.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hp, True)
+        if p in WORK_TABLES:
+            WORK_TABLES.remove(p)

@@ -72,7 +72,10 @@ def test_file_name_rules(spark):
 
 
 def test_export_feed_end_to_end(spark, tmp_path):
+    from ledgerweave.session import WORK_TABLES
+    before = list(WORK_TABLES)
     res = export_feed(spark, SF0001, root=str(tmp_path / "run"), loaded_at=dt.datetime(2026, 1, 1))
+    assert WORK_TABLES == before                     # the run's work table was dropped
     files = {r["archivo"]: r["lineas"] for r in res["files"].collect()}
     man = res["manifest"].collect()
     assert len(files) == len(man) and res["summary"]["REGISTROS_LEIDOS"] == sum(r["registros"] for r in man)
