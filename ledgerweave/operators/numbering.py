@@ -12,6 +12,11 @@ because every row of an earlier slice sorts before every row of a later one.
 The data is shuffled once, on (keys, slice).  The per-slice counts are read
 from the same exchange and joined back co-partitioned, so only the small
 count table moves again.
+
+``range_row_number`` is the fallback for a slice that is itself hot (many
+rows sharing one value of the first ordering column): range partitioning on
+the full order plus a unique tag, local runs per partition, and shifts for
+the keys that cross a partition boundary.
 """
 
 from __future__ import annotations
@@ -20,6 +25,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 SLICE = "_slice"
 LOCAL_RN = "_rn_local"
@@ -78,3 +84,76 @@ def ordered_row_number(df: DataFrame, keys: Sequence[str], order: Sequence[Colum
     offsets = slice_offsets(sliced, keys).select(*keys, SLICE, SLICE_OFFSET)
     joined = numbered.join(offsets, [*keys, SLICE])
     return joined.withColumn(out, F.col(LOCAL_RN) + F.col(SLICE_OFFSET)).drop(LOCAL_RN, SLICE_OFFSET, SLICE)
+
+
+# ---------------------------------------------------------------- fallback for hot slices
+
+PID = "_pid"
+COPY = "_copy"
+
+
+def _local_runs(key_cols: list[str]):
+    """mapInPandas body: partition id and row number inside each run of equal keys.
+
+    The partition arrives sorted; a run that continues across Arrow batches
+    keeps counting.  Vectorised per batch (numpy), no per-row Python.
+    """
+    def run(batches):
+        import numpy as np
+        from pyspark import TaskContext
+        pid = TaskContext.get().partitionId()
+        last_key, carried = None, 0
+        for pdf in batches:
+            n = len(pdf)
+            if n == 0:
+                continue
+            cols = [pdf[c].to_numpy() for c in key_cols]
+            change = np.zeros(n, dtype=bool)
+            change[0] = True
+            for v in cols:
+                change[1:] |= v[1:] != v[:-1]
+            idx = np.arange(n)
+            local = idx - np.maximum.accumulate(np.where(change, idx, 0)) + 1
+            first = tuple(v[0] for v in cols)
+            if last_key is not None and first == last_key:
+                first_run_end = np.argmax(change[1:]) + 1 if change[1:].any() else n
+                local[:first_run_end] += carried
+            carried = int(local[-1])
+            last_key = tuple(v[-1] for v in cols)
+            yield pdf.assign(**{PID: pid, LOCAL_RN: local.astype("int64")})
+    return run
+
+
+def range_row_number(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str], out: str,
+                     partitions: int) -> DataFrame:
+    """Exact row number per key for any distribution of the order columns.
+
+    Rows get a unique tag (``monotonically_increasing_id`` on a materialised
+    input, so it is stable on re-execution) that breaks ties among rows equal
+    in every order column -- such rows are interchangeable.  The rows are
+    range-partitioned on (keys, order, tag), so a hot key, or a hot group of
+    copies, spans several partitions.  Each partition numbers its runs of
+    equal keys (Arrow batches in ``mapInPandas``).  A key that continues from
+    earlier partitions is shifted by the rows it has there; only keys that
+    cross a partition boundary need a shift, at most two rows per partition,
+    so that table is broadcast.  ``df`` should be a materialised table.
+    """
+    keys, order_cols = list(keys), list(order_cols)
+    tagged = df.withColumn(COPY, F.monotonically_increasing_id())
+    sort_cols = [*keys, *order_cols, COPY]
+    ranged = (tagged.repartitionByRange(int(partitions), *[F.col(c).asc_nulls_first() for c in sort_cols])
+              .sortWithinPartitions(*[F.col(c).asc_nulls_first() for c in sort_cols]))
+    schema = T.StructType(ranged.schema.fields + [T.StructField(PID, T.IntegerType()),
+                                                  T.StructField(LOCAL_RN, T.LongType())])
+    numbered = ranged.mapInPandas(_local_runs(keys), schema)
+    from ledgerweave.session import materialize
+    numbered = materialize(numbered, "range_numbered")
+    # rows of each key per partition; a key present in several partitions is shifted by its rows before
+    per_part = numbered.groupBy(PID, *keys).agg(F.max(LOCAL_RN).alias("_rows"))
+    w = Window.partitionBy(*keys).orderBy(PID).rowsBetween(Window.unboundedPreceding, -1)
+    shifts = (per_part.withColumn("_shift", F.sum("_rows").over(w)).where(F.col("_shift") > 0)
+              .select(F.col(PID).alias("_spid"), *[F.col(k).alias(f"_sk{i}") for i, k in enumerate(keys)],
+                      "_shift"))
+    cond = [F.col(PID) == F.col("_spid")] + [F.col(k).eqNullSafe(F.col(f"_sk{i}")) for i, k in enumerate(keys)]
+    joined = numbered.join(F.broadcast(shifts), cond, "left")
+    return joined.select(*df.columns, (F.col(LOCAL_RN) + F.coalesce(F.col("_shift"), F.lit(0))).alias(out))

@@ -43,11 +43,18 @@ class FeedParams:
     periods: tuple[dt.date, ...] | None = None
     rerun: int | None = None
     line_block: int = 1 << 20
+    # lines per slice above which numbering falls back to range partitioning (default 4 * line_block)
+    hot_slice_rows: int | None = None
     # rows above which a small side is not broadcast but shuffled (checked by count)
     broadcast_row_limit: int = 2_000_000
     # codes per day up to which the group windows run per day (checked); above, two-level
     single_level_max: int | None = 2_000_000
 
+    @property
+    def hot_slice_limit(self) -> int:
+        """With unique extraction sequences a slice has at most 2 * line_block lines."""
+        return int(self.hot_slice_rows or 4 * self.line_block)
+
     @property
     def bucket_length(self) -> int:
         """Prefix of the transaction code used as the balancing bucket.

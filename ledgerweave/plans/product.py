@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerweave.operators import balance, numbering
-from ledgerweave.operators.journal import (CODE, JOURNAL_COLUMNS, TKEY, coded_lines, constant_columns,
+from ledgerweave.operators.journal import (CODE, JOURNAL_COLUMNS, LINE_ORDER, TKEY, coded_lines, constant_columns,
                                            line_order, map_accounts, mapping_for, movements_projection,
                                            prepared_mapping)
 from ledgerweave.params import FeedParams
@@ -85,17 +85,24 @@ def slice_table(sliced: DataFrame, mapping: DataFrame, params: FeedParams, mappi
         F.coalesce(F.sum("_pre").over(w_before), F.lit(0)).cast("long").alias(numbering.SLICE_OFFSET),
         F.sum("_post").over(w_all).cast("long").alias(balance.COUNT),
         (F.row_number().over(w_first) == 1).alias("_first"),
+        F.col("_pre").alias(numbering.SLICE_ROWS),
     ).persist(StorageLevel.MEMORY_AND_DISK)
 
 
 def ledger_product(movements_src: DataFrame, mapping: DataFrame, run_log: DataFrame | None,
                    params: FeedParams = FeedParams()) -> DataFrame:
-    """Final product (C11): 20 columns, partition column ``periodo`` last."""
+    """Final product (C11): 20 columns, partition column ``periodo`` last.
+
+    Line numbers normally come from the sliced window.  If the per-slice
+    table shows a slice above ``params.hot_slice_limit`` lines (many lines
+    sharing one extraction sequence, e.g. copies of one movement), the lines
+    are numbered by range partitioning on the full order instead
+    (``numbering.range_row_number``), which no key distribution can skew.
+    """
     sliced = _sliced(movements_src, run_log, params)
-    numbered = numbering.local_numbers(sliced, KEYS, line_order())
     m = mapping_for(mapping, params)
     small = m.count() <= params.broadcast_row_limit      # one count for both mapping joins
-    mapped = map_accounts(numbered, F.broadcast(m) if small else m, params, prepared=True)
+    m_join = F.broadcast(m) if small else m
 
     slices = slice_table(sliced, mapping, params, small)
     # one row per transaction (the NULL code too: it shifts the running totals)
@@ -105,8 +112,17 @@ def ledger_product(movements_src: DataFrame, mapping: DataFrame, run_log: DataFr
                                     params.bin_width, params.single_level_max)
               .where(F.col(CODE).isNotNull())
               .select("periodo", F.col(CODE).alias(TKEY), balance.GROUP))
-    assign = slices.select(*KEYS, numbering.SLICE, numbering.SLICE_OFFSET).join(groups, KEYS)
 
+    hottest = slices.agg(F.max(numbering.SLICE_ROWS)).first()[0] or 0
+    if hottest > params.hot_slice_limit:
+        parts = int(movements_src.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        numbered = numbering.range_row_number(sliced, KEYS, LINE_ORDER, "contador_linea", parts)
+        out = map_accounts(numbered, m_join, params, prepared=True).join(groups, KEYS)
+        return constant_columns(out, params).select(*PRODUCT_COLUMNS)
+
+    numbered = numbering.local_numbers(sliced, KEYS, line_order())
+    mapped = map_accounts(numbered, m_join, params, prepared=True)
+    assign = slices.select(*KEYS, numbering.SLICE, numbering.SLICE_OFFSET).join(groups, KEYS)
     out = mapped.join(assign, [*KEYS, numbering.SLICE]).withColumn(
         "contador_linea", F.col(numbering.LOCAL_RN) + F.col(numbering.SLICE_OFFSET))
     return constant_columns(out, params).select(*PRODUCT_COLUMNS)

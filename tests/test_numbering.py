@@ -35,3 +35,27 @@ def test_slice_is_monotone(spark):
 def test_block_must_split(spark):
     with pytest.raises(ValueError):
         numbering.slice_of("x", 1)
+
+
+@pytest.mark.parametrize("seed,parts", [(5, 4), (6, 7), (7, 1)])
+def test_range_row_number_with_copies(spark, seed, parts):
+    """Heavy copies (one key holding most rows, many identical rows) and small Arrow batches."""
+    rnd = random.Random(seed)
+    rows = []
+    for _ in range(900):
+        if rnd.random() < 0.6:
+            rows.append((1, "hot", 5, "1", 0))                 # identical copies
+        else:
+            rows.append((rnd.choice([1, 2]), rnd.choice(["a", "hot", ""]), rnd.randint(0, 9),
+                         rnd.choice(["1", "2"]), rnd.randint(0, 3)))
+    df = spark.createDataFrame(rows, "p int, k string, seq long, nat string, tie long")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "37")
+    try:
+        got = numbering.range_row_number(df, ["p", "k"], ["seq", "nat", "tie"], "rn", parts)
+        cols = ["p", "k", "seq", "nat", "tie", "rn"]
+        got_rows = sorted(map(tuple, got.select(cols).collect()), key=repr)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    order = [F.col("seq").asc_nulls_first(), F.col("nat"), F.col("tie")]
+    want = df.withColumn("rn", F.row_number().over(Window.partitionBy("p", "k").orderBy(*order)).cast("long"))
+    assert got_rows == sorted(map(tuple, want.select(cols).collect()), key=repr)

@@ -55,3 +55,27 @@ def test_hot_transaction_is_sliced(spark):
     stats = per.agg(F.count("*").alias("slices"), F.max("count").alias("biggest"), F.sum("count").alias("n")).first()
     # extraction sequences span 0..150000 at sf0.01: about 37 slices of about 2100 lines each
     assert stats["slices"] >= 30 and stats["biggest"] <= 2 * p.line_block
+
+
+def copies_movements(spark):
+    """Every movement with the same extraction sequence and dates: one slice holds everything."""
+    return (hot_movements(spark).withColumn("CONSECUTIVO_EXTRACCION", F.lit(7).cast("long")))
+
+
+def test_copies_fall_back_to_range_numbering(spark, duck001):
+    p = FeedParams(line_block=4096, large_limit=1000)
+    mov, mp, log = copies_movements(spark), fixtures.account_mapping(spark, SF001), fixtures.run_log(spark, SF001)
+    q = lambda s, sf: product.ledger_product(mov, mp, log, p)
+    sql = hot_sql(1000).replace("l.l_orderkey * 10 + l.l_linenumber AS CONSECUTIVO_EXTRACCION",
+                                "CAST(7 AS BIGINT) AS CONSECUTIVO_EXTRACCION")
+    r = H.compare(spark, SF001, q, sql, duck001)
+    assert r["ok"], r
+
+
+def test_forced_fallback_equals_sliced(spark):
+    from conftest import SF0001
+    mov, mp, log = (fixtures.movements(spark, SF0001), fixtures.account_mapping(spark, SF0001),
+                    fixtures.run_log(spark, SF0001))
+    a = product.ledger_product(mov, mp, log, FeedParams(hot_slice_rows=1))
+    b = product.ledger_product(mov, mp, log, FeedParams())
+    assert sorted(map(tuple, a.collect()), key=repr) == sorted(map(tuple, b.collect()), key=repr)
