@@ -135,3 +135,16 @@ def test_run_from_reference_arguments(spark, tmp_path):
     assert res["summary"]["FECHA_INICIO"] == "1995-07-01"
     with pytest.raises(ValueError):
         run_from_args(spark, mov, mov, mov, {"FECHA_INICIAL": "20240101"})
+
+
+def test_command_line(spark, tmp_path):
+    from ledgerweave.__main__ import main, parse_args_dict
+    from ledgerweave.sources import fixtures
+    fixtures.movements(spark, SF0001).write.partitionBy("PERIODO").parquet(str(tmp_path / "mov"))
+    fixtures.account_mapping(spark, SF0001).write.parquet(str(tmp_path / "map"))
+    fixtures.run_log(spark, SF0001).write.parquet(str(tmp_path / "log"))
+    args = "{'NOMBRE_REPORTE': 'GENERAR_FAH_DAVIBANK_COMPLETO_ZIP', 'FECHA_INICIAL': '1995-07-01'}"
+    assert parse_args_dict(args)["FECHA_INICIAL"] == "1995-07-01"
+    assert main(["--movements", str(tmp_path / "mov"), "--mapping", str(tmp_path / "map"),
+                 "--run-log", str(tmp_path / "log"), "--root", str(tmp_path / "run"), args]) == 0
+    assert (tmp_path / "run" / "manifest").exists()
