@@ -123,15 +123,17 @@ def ranked_counts_single(counts: DataFrame, keys: Sequence[str], code: str, limi
 
 def assign_groups(counts: DataFrame, keys: Sequence[str] = ("periodo",), code: str = CODE,
                   limit: int = 150000, bucket_length: int | None = 18, bin_width: int | None = None,
-                  single_level_max: int | None = None) -> DataFrame:
+                  single_level_max: int | None = None, single_level: bool | None = None) -> DataFrame:
     """(keys, code, total_registros, grupo_salida): the group of every code.
 
     ``bin_width`` defaults to ``limit`` (the reference uses one number for both).
     With ``single_level_max``, keys whose code count is checked to be at most
-    that use one window per key; otherwise the two-level prefix sum.
+    that use one window per key; otherwise the two-level prefix sum.  A caller
+    that already knows the largest key's code count passes ``single_level``.
     """
     width = int(bin_width or limit)
-    if single_level_fits(counts, keys, single_level_max):
+    use_single = single_level if single_level is not None else single_level_fits(counts, keys, single_level_max)
+    if use_single and keys:
         r = ranked_counts_single(counts, keys, code, limit)
     else:
         r = ranked_counts(counts, keys, code, limit, bucket_length)

@@ -105,15 +105,21 @@ def ledger_product(movements_src: DataFrame, mapping: DataFrame, run_log: DataFr
     m_join = F.broadcast(m) if small else m
 
     slices = slice_table(sliced, mapping, params, small)
+    # one small job on the persisted slice table: codes of the largest day, lines of the largest slice
+    stats = (slices.groupBy("periodo").agg(F.sum(F.col("_first").cast("long")).alias("codes"),
+                                          F.max(numbering.SLICE_ROWS).alias("hot"))
+             .agg(F.max("codes").alias("codes"), F.max("hot").alias("hot")).first())
+    most_codes, hottest = int(stats["codes"] or 0), int(stats["hot"] or 0)
+    single = bool(params.single_level_max) and most_codes <= params.single_level_max
+
     # one row per transaction (the NULL code too: it shifts the running totals)
     counts = slices.where("_first").select(
         "periodo", F.when(F.col(TKEY) != "", F.col(TKEY)).alias(CODE), balance.COUNT)
     groups = (balance.assign_groups(counts, ["periodo"], CODE, params.large_limit, params.bucket_length,
-                                    params.bin_width, params.single_level_max)
+                                    params.bin_width, single_level=single)
               .where(F.col(CODE).isNotNull())
               .select("periodo", F.col(CODE).alias(TKEY), balance.GROUP))
 
-    hottest = slices.agg(F.max(numbering.SLICE_ROWS)).first()[0] or 0
     if hottest > params.hot_slice_limit:
         parts = int(movements_src.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         numbered = numbering.range_row_number(sliced, KEYS, LINE_ORDER, "contador_linea", parts)
