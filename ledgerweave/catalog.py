@@ -125,7 +125,8 @@ def q_line_numbers(spark, sf):
     p = FeedParams()
     coded = materialize(_coded(spark, sf, p), "coded_lines")     # feeds the numbering and the slice counts
     out = numbering.ordered_row_number(coded, ["periodo", journal.TKEY], journal.line_order(),
-                                       "consecutivo_extraccion", p.line_block, "contador_linea")
+                                       "consecutivo_extraccion", p.line_block, "contador_linea",
+                                       journal.LINE_ORDER, p.hot_slice_limit)
     return out.drop(journal.TKEY)
 
 

@@ -23,6 +23,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -72,17 +73,26 @@ def slice_offsets(sliced: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def ordered_row_number(df: DataFrame, keys: Sequence[str], order: Sequence[Column], order_col: str,
-                       block: int, out: str) -> DataFrame:
+                       block: int, out: str, order_cols: Sequence[str] | None = None,
+                       hot_limit: int | None = None) -> DataFrame:
     """Exact row number per key, computed slice by slice.
 
     ``keys`` must be non-null surrogate columns (NULL keys still form one
     group, as in a window, when mapped to a value no real key takes).
-    ``order[0]`` must be ascending on ``order_col``.
+    ``order[0]`` must be ascending on ``order_col``.  With ``hot_limit`` and
+    ``order_cols`` (the plain column names of ``order``), a slice above that
+    many rows switches to ``range_row_number``; ``df`` should then be a
+    materialised table.
     """
     sliced = add_slices(df, order_col, block)
+    offsets = slice_offsets(sliced, keys).persist(StorageLevel.MEMORY_AND_DISK)
+    if hot_limit is not None and order_cols is not None:
+        hottest = offsets.agg(F.max(SLICE_ROWS)).first()[0] or 0
+        if hottest > hot_limit:
+            parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+            return range_row_number(df, keys, order_cols, out, parts)
     numbered = local_numbers(sliced, keys, order)
-    offsets = slice_offsets(sliced, keys).select(*keys, SLICE, SLICE_OFFSET)
-    joined = numbered.join(offsets, [*keys, SLICE])
+    joined = numbered.join(offsets.select(*keys, SLICE, SLICE_OFFSET), [*keys, SLICE])
     return joined.withColumn(out, F.col(LOCAL_RN) + F.col(SLICE_OFFSET)).drop(LOCAL_RN, SLICE_OFFSET, SLICE)
 
 

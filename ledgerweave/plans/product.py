@@ -42,20 +42,24 @@ KEYS = ["periodo", TKEY]
 
 
 def _sliced(movements_src: DataFrame, run_log: DataFrame | None, params: FeedParams) -> DataFrame:
+    """Coded lines with their slice, written once as a work table."""
     coded = coded_lines(movements_src, run_log, params)
     return materialize(numbering.add_slices(coded, "consecutivo_extraccion", params.line_block), "coded_lines")
 
 
 def journal_lines(movements_src: DataFrame, mapping: DataFrame, run_log: DataFrame | None,
                   params: FeedParams = FeedParams()) -> DataFrame:
-    """Transform 1 (C1): 19 columns, one row per line (NULL-code lines kept)."""
+    """Transform 1 (C1): 19 columns, one row per line (NULL-code lines kept).
+
+    Lines are numbered before the account mapping, as in the reference, so
+    copies made by duplicate mapping rows share a line number.
+    """
     sliced = _sliced(movements_src, run_log, params)
-    numbered = numbering.local_numbers(sliced, KEYS, line_order())
-    offsets = numbering.slice_offsets(sliced, KEYS).select(*KEYS, numbering.SLICE, numbering.SLICE_OFFSET)
+    numbered = numbering.ordered_row_number(sliced, KEYS, line_order(), "consecutivo_extraccion",
+                                            params.line_block, "contador_linea", LINE_ORDER,
+                                            params.hot_slice_limit)
     mapped = map_accounts(numbered, prepared_mapping(mapping, params), params, prepared=True)
-    out = mapped.join(offsets, [*KEYS, numbering.SLICE]).withColumn(
-        "contador_linea", F.col(numbering.LOCAL_RN) + F.col(numbering.SLICE_OFFSET))
-    return constant_columns(out, params).select(*JOURNAL_COLUMNS)
+    return constant_columns(mapped, params).select(*JOURNAL_COLUMNS)
 
 
 def slice_table(sliced: DataFrame, mapping: DataFrame, params: FeedParams, mapping_is_small: bool) -> DataFrame:

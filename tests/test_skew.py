@@ -79,3 +79,12 @@ def test_forced_fallback_equals_sliced(spark):
     a = product.ledger_product(mov, mp, log, FeedParams(hot_slice_rows=1))
     b = product.ledger_product(mov, mp, log, FeedParams())
     assert sorted(map(tuple, a.collect()), key=repr) == sorted(map(tuple, b.collect()), key=repr)
+
+
+def test_journal_lines_fallback_equals_sliced(spark):
+    from conftest import SF0001
+    mov, mp, log = (fixtures.movements(spark, SF0001), fixtures.account_mapping(spark, SF0001),
+                    fixtures.run_log(spark, SF0001))
+    a = product.journal_lines(mov, mp, log, FeedParams(hot_slice_rows=1))
+    b = product.journal_lines(mov, mp, log, FeedParams())
+    assert sorted(map(tuple, a.collect()), key=repr) == sorted(map(tuple, b.collect()), key=repr)
