@@ -27,8 +27,9 @@ from ledgerweave.sources import fixtures, registry
 from ledgerweave.sources.tables import read_table
 from ledgerweave.streaming.daily_feed import start_daily_feed
 
-DAY = dt.date(1995, 7, 1)          # the period of FIXTURES §3
-DAY_PARAMS = FeedParams(periods=(DAY,), rerun=3, large_limit=3, bin_width=100)
+# The one-day queries run the busiest day of the movements (the heaviest daily
+# run; earliest on ties), with the re-run digit and limits of FIXTURES §3.
+DAY_SETTINGS = dict(rerun=3, large_limit=3, bin_width=100)
 RUN_TS = dt.datetime(2026, 1, 1, 0, 0, 0)
 DELIVERY = "delivery"              # relative root of file paths in the manifest queries
 MONTH_LIMIT = 750                  # balance of lineitem by ship month (FIXTURES §3)
@@ -54,6 +55,13 @@ def _product_table(spark: SparkSession, sf: str, params: FeedParams = FeedParams
     return overwrite_partitions(_product(spark, sf, params), work_dir(spark, f"product-{uuid.uuid4().hex}"))
 
 
+def busiest_day(spark: SparkSession, sf: str) -> dt.date:
+    """Processing day with the most movements (one row of a per-day count)."""
+    proj = journal.movements_projection(fixtures.movements(spark, sf)).where(F.col("periodo").isNotNull())
+    per_day = proj.groupBy("periodo").agg(F.count(F.lit(1)).alias("n"))
+    return per_day.orderBy(F.col("n").desc(), F.col("periodo")).first()["periodo"]
+
+
 def _unp(spark: SparkSession, sf: str) -> DataFrame:
     mov = fixtures.movements(spark, sf)
     return journal.unpivot_movements(journal.filter_period(journal.movements_projection(mov), None))
@@ -71,7 +79,7 @@ def q_ledger_product(spark, sf):
 
 
 def q_ledger_product_day(spark, sf):
-    return _product(spark, sf, DAY_PARAMS)
+    return _product(spark, sf, FeedParams(periods=(busiest_day(spark, sf),), **DAY_SETTINGS))
 
 
 def q_journal_lines(spark, sf):
@@ -88,12 +96,13 @@ def q_movements_projection(spark, sf):
 
 
 def q_filter_period(spark, sf):
-    return journal.filter_period(journal.movements_projection(fixtures.movements(spark, sf)), [DAY])
+    return journal.filter_period(journal.movements_projection(fixtures.movements(spark, sf)),
+                                 [busiest_day(spark, sf)])
 
 
 def q_filter_period_literal(spark, sf):
     proj = journal.movements_projection(fixtures.movements(spark, sf))
-    return proj.where(F.col("periodo") == F.lit(DAY.isoformat()))
+    return proj.where(F.col("periodo") == F.lit(busiest_day(spark, sf).isoformat()))
 
 
 def q_filter_positive(spark, sf):
@@ -316,7 +325,8 @@ def q_sink_replace_table(spark, sf):
 def q_sink_overwrite_partition(spark, sf):
     path = work_dir(spark, f"product-{uuid.uuid4().hex}")
     replace_table(_product(spark, sf), path)
-    return overwrite_partitions(_product(spark, sf, FeedParams(periods=(DAY,), rerun=3)), path)
+    day = busiest_day(spark, sf)
+    return overwrite_partitions(_product(spark, sf, FeedParams(periods=(day,), rerun=3)), path)
 
 
 def q_run_log_upsert(spark, sf):

@@ -31,8 +31,8 @@ movp AS (
 
 
 def mov_sql(period: str | None = None) -> str:
-    """``mov``: projected movements of every non-NULL period, or of one period."""
-    cond = "periodo IS NOT NULL" if period is None else f"periodo = DATE '{period}'"
+    """``mov``: projected movements of every non-NULL period, or of one (``period`` is SQL text)."""
+    cond = "periodo IS NOT NULL" if period is None else f"periodo = {period}"
     return MOV_SQL + f""",
 mov AS (SELECT * FROM movp WHERE {cond})"""
 
@@ -57,7 +57,7 @@ def coded_sql(rerun: int | None = None, rerun_override: tuple[str, int] | None =
     r = "COALESCE(rr.codigo_reproceso, 1)" if rerun is None else f"CAST({int(rerun)} AS BIGINT)"
     if rerun_override is not None:
         day, n = rerun_override
-        r = f"CASE WHEN u.periodo = DATE '{day}' THEN CAST({int(n)} AS BIGINT) ELSE {r} END"
+        r = f"CASE WHEN u.periodo = {day} THEN CAST({int(n)} AS BIGINT) ELSE {r} END"
     return f"""
 coded AS (
   SELECT u.*, {r} AS codigo_reproceso,

@@ -7,7 +7,9 @@ from ledgerweave import params as P
 from ledgerweave.operators.reports import header_layout, lines_layout
 from ledgerweave.sources.registry import REPORT_ROWS
 
-DAY = "1995-07-01"
+# the processing day with the most movements, earliest on ties (SQL text)
+DAY = ("(SELECT PERIODO FROM movements WHERE PERIODO IS NOT NULL GROUP BY PERIODO "
+       "ORDER BY COUNT(*) DESC, PERIODO LIMIT 1)")
 MONTH_LIMIT = 750
 RUN_TS = "2026-01-01 00:00:00"
 DELIVERY = "delivery"
@@ -143,8 +145,8 @@ ORACLE: dict[str, str] = {
     "journal_lines": PROD + " SELECT * FROM t1",
     "scan_movements": BASE + " SELECT * FROM movements",
     "movements_projection": BASE + " SELECT * FROM movp",
-    "filter_period": BASE + f" SELECT * FROM movp WHERE periodo = DATE '{DAY}'",
-    "filter_period_literal": BASE + f" SELECT * FROM movp WHERE periodo = '{DAY}'",
+    "filter_period": BASE + f" SELECT * FROM movp WHERE periodo = {DAY}",
+    "filter_period_literal": BASE + f" SELECT * FROM movp WHERE periodo = CAST(CAST({DAY} AS VARCHAR) AS DATE)",
     "filter_positive": BASE + " SELECT * FROM movp WHERE vlrdeb > 0 OR vlrcre > 0",
     "unpivot_movements": BASE + " SELECT * FROM unp",
     "scan_mapping": BASE + (f" SELECT VALOR_ORIGEN, VALOR_SALIDA FROM mapping WHERE FUENTE = '{P.SOURCE}' "
