@@ -23,11 +23,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerweave.session import keep, materialize
+
 SLICE = "_slice"
 LOCAL_RN = "_rn_local"
 SLICE_ROWS = "_slice_rows"
@@ -85,7 +86,7 @@ def ordered_row_number(df: DataFrame, keys: Sequence[str], order: Sequence[Colum
     materialised table.
     """
     sliced = add_slices(df, order_col, block)
-    offsets = slice_offsets(sliced, keys).persist(StorageLevel.MEMORY_AND_DISK)
+    offsets = keep(slice_offsets(sliced, keys))
     if hot_limit is not None and order_cols is not None:
         hottest = offsets.agg(F.max(SLICE_ROWS)).first()[0] or 0
         if hottest > hot_limit:
@@ -156,7 +157,6 @@ def range_row_number(df: DataFrame, keys: Sequence[str], order_cols: Sequence[st
     schema = T.StructType(ranged.schema.fields + [T.StructField(PID, T.IntegerType()),
                                                   T.StructField(LOCAL_RN, T.LongType())])
     numbered = ranged.mapInPandas(_local_runs(keys), schema)
-    from ledgerweave.session import materialize
     numbered = materialize(numbered, "range_numbered")
     # rows of each key per partition; a key present in several partitions is shifted by its rows before
     per_part = numbered.groupBy(PID, *keys).agg(F.max(LOCAL_RN).alias("_rows"))

@@ -21,7 +21,6 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -30,7 +29,7 @@ from ledgerweave.operators.journal import (CODE, JOURNAL_COLUMNS, LINE_ORDER, TK
                                            line_order, map_accounts, mapping_for, movements_projection,
                                            prepared_mapping)
 from ledgerweave.params import FeedParams
-from ledgerweave.session import materialize
+from ledgerweave.session import keep, materialize
 
 PRODUCT_COLUMNS = [
     "fecha_efectiva", "cuenta", "moneda", "moneda_origen", "dependencia", "consecutivo", "descripcion",
@@ -84,13 +83,14 @@ def slice_table(sliced: DataFrame, mapping: DataFrame, params: FeedParams, mappi
     w_before = Window.partitionBy(*KEYS).orderBy(numbering.SLICE).rowsBetween(Window.unboundedPreceding, -1)
     w_all = Window.partitionBy(*KEYS)
     w_first = Window.partitionBy(*KEYS).orderBy(numbering.SLICE)
-    return per_slice.select(
+    table = per_slice.select(
         *KEYS, numbering.SLICE,
         F.coalesce(F.sum("_pre").over(w_before), F.lit(0)).cast("long").alias(numbering.SLICE_OFFSET),
         F.sum("_post").over(w_all).cast("long").alias(balance.COUNT),
         (F.row_number().over(w_first) == 1).alias("_first"),
         F.col("_pre").alias(numbering.SLICE_ROWS),
-    ).persist(StorageLevel.MEMORY_AND_DISK)
+    )
+    return keep(table)
 
 
 def ledger_product(movements_src: DataFrame, mapping: DataFrame, run_log: DataFrame | None,

@@ -6,6 +6,7 @@ import os
 import tempfile
 import uuid
 
+from pyspark import StorageLevel
 from pyspark.sql import SparkSession
 
 
@@ -71,8 +72,34 @@ def materialize(df, name: str = "work"):
     return spark.read.parquet(path)
 
 
-# Work tables written by ``materialize`` in this process, oldest first.
+# Work tables written by ``materialize`` and frames persisted by ``keep`` in this process, oldest first.
 WORK_TABLES: list[str] = []
+PERSISTED: list = []
+
+
+def keep(df):
+    """Persist a small intermediate that feeds several branches (memory, spilling to disk).
+
+    A lost block is recomputed from its lineage (a work table).  ``release``
+    unpersists what a run kept once its outputs are written.
+    """
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    PERSISTED.append(df)
+    return df
+
+
+def release(spark: SparkSession, since: tuple[int, int]) -> None:
+    """Unpersist frames and delete work tables created after the marks in ``since``."""
+    frames, tables = since
+    for df in PERSISTED[frames:]:
+        df.unpersist()
+    del PERSISTED[frames:]
+    drop_work_tables(spark, WORK_TABLES[tables:])
+
+
+def marks() -> tuple[int, int]:
+    """Current positions in the persisted / work-table lists (for ``release``)."""
+    return len(PERSISTED), len(WORK_TABLES)
 
 
 def drop_work_tables(spark: SparkSession, paths: list[str]) -> None:
