@@ -52,6 +52,10 @@ def test_iso_8859_1_and_strict(spark, tmp_path):
     bad = spark.createDataFrame([(1, "日本", "x", 1, day)], "ORDEN int, A string, B string, grupo long, periodo date")
     with pytest.raises(Exception):
         export.write_rendered(export.render_report(bad, spec), str(tmp_path / "bad"), spec.encoding)
+    one_col = export.ReportSpec(name="E", query="", encoding="ISO-8859-1", template="E.{EXTENCION}")
+    empty = spark.createDataFrame([(1, None, 1, day)], "ORDEN int, A string, grupo long, periodo date")
+    with pytest.raises(Exception, match="empty line"):
+        export.write_rendered(export.render_report(empty, one_col), str(tmp_path / "empty"), one_col.encoding)
 
 
 def test_group_routing(spark):
