@@ -67,7 +67,9 @@ HEADLINE = {
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    spark = local_session(cpus, int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", "16")), app="ledgerweave-bench")
+    # shuffle partitions = cores in local mode (AQE coalesces further); a cluster sets its own
+    parts = int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", cpus if cpus.isdigit() else "8"))
+    spark = local_session(cpus, parts, app="ledgerweave-bench")
     only = os.environ.get("BENCH_ONLY")
     # warm-up: every headline query once on the smallest scale (JIT, codegen), untimed;
     # nothing of the measured scale is read or cached by it
