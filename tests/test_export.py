@@ -152,3 +152,15 @@ def test_command_line(spark, tmp_path):
     assert main(["--movements", str(tmp_path / "mov"), "--mapping", str(tmp_path / "map"),
                  "--run-log", str(tmp_path / "log"), "--root", str(tmp_path / "run"), args]) == 0
     assert (tmp_path / "run" / "manifest").exists()
+
+
+def test_run_pending_then_nothing_left(spark, tmp_path):
+    from ledgerweave.plans.run import run_pending
+    from ledgerweave.sources import fixtures
+    mov = fixtures.movements(spark, SF0001).where(F.col("PERIODO") <= dt.date(1995, 3, 1))
+    mapping, log = fixtures.account_mapping(spark, SF0001), fixtures.run_log(spark, SF0001)
+    res = run_pending(spark, mov, mapping, log, root=str(tmp_path / "run1"), loaded_at=dt.datetime(2026, 1, 1))
+    assert {r["periodo"] for r in res["manifest"].select("periodo").distinct().collect()} == \
+        {dt.date(1995, 1, 1), dt.date(1995, 2, 1), dt.date(1995, 3, 1)}
+    new_log = spark.read.parquet(res["run_log"])
+    assert run_pending(spark, mov, mapping, new_log, root=str(tmp_path / "run2")) is None
