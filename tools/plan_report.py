@@ -20,8 +20,12 @@ WRITERS = {"export_run", "sink_encoded_report", "sink_report_lines", "sink_repla
            "sink_overwrite_partition", "daily_feed"}
 
 
-def walk(node, out: Counter) -> None:
+def walk(node, out: Counter, seen: set | None = None) -> None:
+    seen = set() if seen is None else seen
     name = node.nodeName()
+    if name == "AdaptiveSparkPlan":              # e.g. the plan of a persisted table
+        walk(node.initialPlan(), out, seen)
+        return
     out[name] += 1
     if name == "Exchange":
         text = node.toString()
@@ -35,10 +39,14 @@ def walk(node, out: Counter) -> None:
             out["Exchange:hash"] += 1
     seq = node.children()
     for i in range(seq.size()):
-        walk(seq.apply(i), out)
-    # subqueries and broadcast children are reached through children(); InMemoryRelation is not
+        walk(seq.apply(i), out, seen)
+    # a persisted table is computed once however often it is read: count its plan once
     if name == "InMemoryTableScan":
-        walk(node.relation().cachedPlan(), out)
+        cached = node.relation().cachedPlan()
+        key = cached.toString()
+        if key not in seen:
+            seen.add(key)
+            walk(cached, out, seen)
 
 
 def main() -> None:
