@@ -1,0 +1,86 @@
+"""Every delivered file of a one-day export equals a rendering built from the DuckDB product.
+
+The expected files are made in plain Python from the oracle's product rows:
+the file name from the registry template, the header row, the row order
+(ORDEN; transaction and line number; LINE before HEADER), the delimiter,
+NULL as an empty field, CRLF and the report's encoding.
+"""
+
+import datetime as dt
+import os
+
+from conftest import SF0001
+from ledgerweave import oracle_sql as O
+from ledgerweave.operators.reports import header_layout, lines_layout
+from ledgerweave.plans.run import export_feed
+from ledgerweave.sources.registry import REPORT_ROWS
+
+DAY = dt.date(1995, 7, 1)
+
+
+def _text(v):
+    return "" if v is None else (v.isoformat() if isinstance(v, dt.date) else str(v))
+
+
+def expected_files(duck) -> dict[str, bytes]:
+    rel = duck.sql(O.with_product(period=f"DATE '{DAY}'") + " SELECT * FROM product")
+    cols = rel.columns
+    rows = [dict(zip(cols, r)) for r in rel.fetchall()]
+    groups = sorted({r["grupo_salida"] for r in rows})
+    d = DAY.strftime("%Y%m%d")
+    spec = {r[1]: r for r in REPORT_ROWS}
+
+    def name(report, grupo, n):
+        t = spec[report][8]
+        for k, v in [("{FORMATO_FECHA}", d), ("{CONTADOR}", str(grupo)), ("{TOTAL_ARCHIVOS}", str(len(groups))),
+                     ("{VAR_REPROCESO}", "1"), ("{EXTENCION}", spec[report][9]), ("{CANTIDAD_REGISTROS}", str(n))]:
+            t = t.replace(k, v)
+        return t
+
+    def value(r, expr_name):
+        src = {"TRANSACTION_NUMBER": "codigo_transaccion", "EVENT_TYPE_CODE": "tipo_evento",
+               "LEDGER_NAME": "tipo_libro_contable", "DESCRIPCION_ORIGEN_TRANSACCION": "desc_origen_transaccion",
+               "COMPROBANTE_CONTABLE": "tipo_de_comprobante", "ORIGEN_TRANSACCION": "origen_transaccion",
+               "MONEDA": "moneda", "LINE_NUMBER": "contador_linea", "OFICINA_ORIGEN_TRANSACCION": "dependencia",
+               "CUENTA_CONTABLE": "cuenta", "NATURALEZA": "naturaleza", "DESC_TRANSACCION": "desc_origen_transaccion",
+               "REFERENCIA_01": "referencia", "TIPO_COMPROBANTE": "tipo_de_comprobante",
+               "VALOR_COP_1": "valor_movimiento", "VALOR_MO_1": "valor_movimiento"}
+        if expr_name == "TRANSACTION_DATE":
+            return r["fecha_efectiva"].isoformat()
+        if expr_name == "TRANSACTION_REVERSAL_FLAG":
+            return "N"
+        if expr_name == "REFERENCIA_02":
+            return "0"
+        return _text(r[src[expr_name]])
+
+    def render(r, layout):
+        return ",".join("" if e is None else value(r, n) for n, e in layout)
+
+    out = {}
+    for g in groups:
+        mine = [r for r in rows if r["grupo_salida"] == g]
+        meta = ["Metadata version number : 3", "Application Short Name : DAVIBANK"]
+        out[name("ARCHIVO_METADATA_DAVIBANK", g, 2)] = "".join(x + "\r\n" for x in meta).encode("latin-1")
+        heads = sorted({(r["codigo_transaccion"], render(r, header_layout())) for r in mine})
+        hdr = ",".join(n for n, _ in header_layout())
+        out[name("ARCHIVO_HEADER_DAVIBANK", g, len(heads))] = \
+            (hdr + "\r\n" + "".join(v + "\r\n" for _, v in heads)).encode()
+        lines = sorted((r["codigo_transaccion"], r["contador_linea"], render(r, lines_layout())) for r in mine)
+        lhdr = ",".join(n for n, _ in lines_layout())
+        out[name("ARCHIVO_LINES_DAVIBANK", g, len(lines))] = \
+            (lhdr + "\r\n" + "".join(v + "\r\n" for _, _, v in lines)).encode()
+        ctl = [f"{d},LINE,{len(mine)}", f"{d},HEADER,{len({r['codigo_transaccion'] for r in mine})}"]
+        out[name("ARCHIVO_CONTROL_DAVIBANK", g, 2)] = "".join(x + "\r\n" for x in ctl).encode()
+    return out
+
+
+def test_delivered_bytes_equal_oracle_rendering(spark, duck0001, tmp_path):
+    res = export_feed(spark, SF0001, periods=(DAY,), root=str(tmp_path / "run"),
+                      loaded_at=dt.datetime(2026, 1, 1))
+    delivery = tmp_path / "run" / "delivery"
+    got = {n: (delivery / n).read_bytes() for n in os.listdir(delivery) if not n.startswith(".")}
+    want = expected_files(duck0001)
+    assert len(want) >= 4 and sorted(got) == sorted(want)
+    for n in want:
+        assert got[n] == want[n], n
+    assert res["summary"]["ARCHIVOS"] == len(want)
