@@ -9,7 +9,10 @@ NULL as an empty field, CRLF and the report's encoding.
 import datetime as dt
 import os
 
+import pytest
+
 from conftest import SF0001
+from ledgerweave.params import FeedParams
 from ledgerweave import oracle_sql as O
 from ledgerweave.operators.reports import header_layout, lines_layout
 from ledgerweave.plans.run import export_feed
@@ -22,8 +25,8 @@ def _text(v):
     return "" if v is None else (v.isoformat() if isinstance(v, dt.date) else str(v))
 
 
-def expected_files(duck) -> dict[str, bytes]:
-    rel = duck.sql(O.with_product(period=f"DATE '{DAY}'") + " SELECT * FROM product")
+def expected_files(duck, limit: int = 150000, width: int | None = None) -> dict[str, bytes]:
+    rel = duck.sql(O.with_product(limit=limit, width=width, period=f"DATE '{DAY}'") + " SELECT * FROM product")
     cols = rel.columns
     rows = [dict(zip(cols, r)) for r in rel.fetchall()]
     groups = sorted({r["grupo_salida"] for r in rows})
@@ -74,12 +77,13 @@ def expected_files(duck) -> dict[str, bytes]:
     return out
 
 
-def test_delivered_bytes_equal_oracle_rendering(spark, duck0001, tmp_path):
-    res = export_feed(spark, SF0001, periods=(DAY,), root=str(tmp_path / "run"),
-                      loaded_at=dt.datetime(2026, 1, 1))
+@pytest.mark.parametrize("limit,width", [(150000, None), (3, 20)])
+def test_delivered_bytes_equal_oracle_rendering(spark, duck0001, tmp_path, limit, width):
+    params = FeedParams(periods=(DAY,), large_limit=limit, bin_width=width)
+    res = export_feed(spark, SF0001, root=str(tmp_path / "run"), loaded_at=dt.datetime(2026, 1, 1), params=params)
     delivery = tmp_path / "run" / "delivery"
     got = {n: (delivery / n).read_bytes() for n in os.listdir(delivery) if not n.startswith(".")}
-    want = expected_files(duck0001)
+    want = expected_files(duck0001, limit, width)
     assert len(want) >= 4 and sorted(got) == sorted(want)
     for n in want:
         assert got[n] == want[n], n
