@@ -74,3 +74,34 @@ def test_transaction_code(spark, rows):
             "AK" + e.strftime("%Y%m%d") + p.strftime("%Y%m%d") + pad(s, 4) + pad(r, 1)
             for e, p, s, r in rows]
     assert got == want
+
+
+def brute_file_name(template, date_text, rows, counter, total, rerun, ext):
+    ext = ext or "txt"
+    name = template
+    for k, v in [("{FECHA_INICIAL}", date_text), ("{FECHA_FINAL}", date_text), ("{{FORMATO_FECHA}}", date_text),
+                 ("{FORMATO_FECHA}", date_text), ("{CANTIDAD_REGISTROS}", str(rows)), ("{CONTADOR}", str(counter)),
+                 ("{TOTAL_ARCHIVOS}", str(total)), ("{VAR_REPROCESO}", str(rerun)), ("{EXTENCION}", ext)]:
+        name = name.replace(k, v)
+    if "{VAR_REPROCESO}" not in template and name.endswith(f"_1.{ext}"):
+        name = name[: -len(f"_1.{ext}")] + f"_{rerun}.{ext}"
+    return name.replace(" ", "_").replace("/", "_")
+
+
+parts = st.sampled_from(["{FECHA_INICIAL}", "{FECHA_FINAL}", "{{FORMATO_FECHA}}", "{FORMATO_FECHA}",
+                         "{CANTIDAD_REGISTROS}", "{CONTADOR}", "{TOTAL_ARCHIVOS}", "{VAR_REPROCESO}",
+                         "{EXTENCION}", "_", "_1", ".", " ", "/", "X", "de", "_1.txt", "_1.csv"])
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.lists(parts, min_size=1, max_size=8).map("".join),
+                          st.integers(min_value=0, max_value=999), st.integers(min_value=1, max_value=99),
+                          st.integers(min_value=1, max_value=99), st.integers(min_value=1, max_value=12),
+                          st.sampled_from([None, "txt", "csv"])), min_size=1, max_size=25))
+def test_file_names_match_brute_force(spark, cases):
+    from ledgerweave.functions.filenames import file_name
+    df = spark.createDataFrame([(t, r, c, tot, rr, e) for t, r, c, tot, rr, e in cases],
+                               "t string, r long, c long, tot long, rr long, e string")
+    got = [x[0] for x in df.select(file_name(F.col("t"), F.lit("20240105"), F.col("r"), F.col("c"), F.col("tot"),
+                                             F.col("rr"), F.col("e"))).collect()]
+    assert got == [brute_file_name(t, "20240105", r, c, tot, rr, e) for t, r, c, tot, rr, e in cases]
