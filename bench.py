@@ -4,7 +4,7 @@ Each query is run to completion with the ``noop`` sink (every row is
 computed, nothing is collected to the driver), once, after an untimed
 warm-up pass of all queries on the smallest scale (JIT and codegen warm-up).  ``balance_plain_window`` is
 the reference's formulation (one window per period over all codes) kept as a
-baseline for the two-level prefix sum in ``ledger_product``.
+baseline for the prefix-level sums in ``ledger_product``.
 """
 
 from __future__ import annotations
@@ -42,7 +42,7 @@ def balance_plain_window(spark, sf):
     return big.unionByName(small)
 
 
-def balance_two_level(spark, sf):
+def balance_prefix_levels(spark, sf):
     p = FeedParams()
     mapped = journal.map_accounts(catalog._coded(spark, sf, p), fixtures.account_mapping(spark, sf), p)
     c = balance.transaction_counts(mapped, ["periodo"], journal.CODE)
@@ -53,7 +53,7 @@ HEADLINE = {
     "ledger_product": catalog.q_ledger_product,
     "ledger_product_day": catalog.q_ledger_product_day,
     "journal_lines": catalog.q_journal_lines,
-    "balance_two_level": balance_two_level,
+    "balance_prefix_levels": balance_prefix_levels,
     "balance_plain_window": balance_plain_window,
     "report_header": catalog.q_report_header,
     "report_lines": catalog.q_report_lines,

@@ -11,11 +11,14 @@ Reference semantics, per period:
   total but matches nothing, so its lines vanish.
 
 Both windows order *all* codes of a period.  A plain window would put them in
-one task (``Exchange SinglePartition``).  Here they are a two-level prefix sum:
-codes are cut into buckets by a prefix of the code (for strings, x < y implies
-prefix(x) <= prefix(y)), ranked inside each bucket in parallel, and shifted by
-the totals of the earlier buckets (one small row per bucket).  With the
-default code layout a bucket (voucher + two dates) holds at most 10**5 codes.
+one task.  Here they are a prefix sum over levels of code prefixes (for
+strings, x < y implies prefix(x) <= prefix(y)): codes are ranked inside the
+finest prefix in parallel and shifted by the totals of the earlier prefixes,
+computed the same way one level up over one row per prefix.  With the code
+layout voucher + effective date + posting date + sequence + re-run, the
+levels are bounded by the calendar (effective dates of a day, posting dates
+per effective date) and by the code format (at most 10**5 codes per date
+pair), whatever the shape of the day.
 """
 
 from __future__ import annotations
@@ -28,7 +31,6 @@ from pyspark.sql import functions as F
 CODE = "codigo_transaccion"
 COUNT = "total_registros"
 GROUP = "grupo_salida"
-BUCKET = "_bucket"
 
 
 def transaction_counts(lines: DataFrame, keys: Sequence[str] = ("periodo",), code: str = CODE) -> DataFrame:
@@ -36,50 +38,65 @@ def transaction_counts(lines: DataFrame, keys: Sequence[str] = ("periodo",), cod
     return lines.groupBy(*keys, code).agg(F.count(F.lit(1)).alias(COUNT))
 
 
-def two_level_running_sums(df: DataFrame, keys: Sequence[str], order_col: str, bucket: Column | None,
-                           values: Mapping[str, Column]) -> DataFrame:
+def _prefix_levels(b: DataFrame, keys: list[str], order_col: str, prefixes: list[int],
+                   names: list[str]) -> DataFrame:
+    """Recursive step: ``b`` has ``keys``, ``order_col`` and ``_v_<name>``; adds ``_run_`` and ``_all_``."""
+    if not prefixes:
+        w = (Window.partitionBy(*keys).orderBy(F.col(order_col).asc_nulls_first())
+             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+        w_all = Window.partitionBy(*keys)
+        return b.select("*", *[F.sum(f"_v_{n}").over(w).alias(f"_run_{n}") for n in names],
+                        *[F.sum(f"_v_{n}").over(w_all).alias(f"_all_{n}") for n in names])
+    level = f"_b{len(prefixes)}"
+    # '' is below every other string, so a NULL order key (which sorts first) can share it;
+    # the non-null bucket keeps the join back a plain equi-join
+    b = b.withColumn(level, F.coalesce(F.substring(F.col(order_col), 1, prefixes[-1]), F.lit("")))
+    w_in = (Window.partitionBy(*keys, level).orderBy(F.col(order_col).asc_nulls_first())
+            .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    local = b.select("*", *[F.sum(f"_v_{n}").over(w_in).alias(f"_l_{n}") for n in names])
+    # one row per bucket; its running total over the key comes from the coarser levels
+    totals = b.groupBy(*keys, level).agg(*[F.sum(f"_v_{n}").alias(f"_v_{n}") for n in names])
+    upper = _prefix_levels(totals, keys, level, prefixes[:-1], names)
+    offsets = upper.select(*[F.col(k).alias(f"_k_{i}") for i, k in enumerate(keys)], F.col(level).alias("_bb"),
+                           *[(F.col(f"_run_{n}") - F.col(f"_v_{n}")).alias(f"_o_{n}") for n in names],
+                           *[F.col(f"_all_{n}").alias(f"_a_{n}") for n in names])
+    cond = [local[k].eqNullSafe(offsets[f"_k_{i}"]) for i, k in enumerate(keys)] + [local[level] == offsets["_bb"]]
+    joined = local.join(offsets, cond)
+    return joined.select(*[local[c] for c in b.columns],
+                         *[(F.col(f"_l_{n}") + F.col(f"_o_{n}")).alias(f"_run_{n}") for n in names],
+                         *[F.col(f"_a_{n}").alias(f"_all_{n}") for n in names])
+
+
+def prefix_running_sums(df: DataFrame, keys: Sequence[str], order_col: str, prefixes: Sequence[int],
+                        values: Mapping[str, Column]) -> DataFrame:
     """Running sums of ``values`` ordered by ``order_col`` within ``keys``, plus key totals.
 
-    ``order_col`` must be unique within ``keys`` (one row per code); NULL sorts
-    first, as in both reference engines.  Adds ``_run_<name>`` (inclusive
-    running sum) and ``_all_<name>`` (total over the key) per value.
+    ``order_col`` is a string, unique within ``keys`` (one row per code);
+    NULL sorts first, as in both reference engines.  ``prefixes`` are
+    increasing prefix lengths: rows are summed inside the finest prefix,
+    each bucket is shifted by the running total of the earlier buckets, which
+    is the same computation one level up over one row per bucket, down to a
+    window per key over the coarsest buckets.  For strings x < y implies
+    prefix(x) <= prefix(y), so the result equals one window over all rows.
+    Adds ``_run_<name>`` (inclusive) and ``_all_<name>`` (key total).
     """
-    # '' is below every other string, so a NULL order key (which sorts first)
-    # can share it; non-null surrogate keeps the join back a plain equi-join
-    b = df.withColumn(BUCKET, F.coalesce(bucket, F.lit("")) if bucket is not None else F.lit(""))
-    for name, v in values.items():
-        b = b.withColumn(f"_v_{name}", v)
-    w_in = (Window.partitionBy(*keys, BUCKET).orderBy(F.col(order_col).asc_nulls_first())
-            .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    local = b.select("*", *[F.sum(f"_v_{n}").over(w_in).alias(f"_l_{n}") for n in values])
-
-    totals = b.groupBy(*keys, BUCKET).agg(*[F.sum(f"_v_{n}").alias(f"_t_{n}") for n in values])
-    w_before = (Window.partitionBy(*keys).orderBy(F.col(BUCKET))
-                .rowsBetween(Window.unboundedPreceding, -1))
-    w_all = Window.partitionBy(*keys)
-    offsets = totals.select(
-        *[F.col(k).alias(f"_k_{i}") for i, k in enumerate(keys)],
-        F.col(BUCKET).alias("_b"),
-        *[F.coalesce(F.sum(f"_t_{n}").over(w_before), F.lit(0)).alias(f"_o_{n}") for n in values],
-        *[F.sum(f"_t_{n}").over(w_all).alias(f"_all_{n}") for n in values],
-    )
-    cond = [local[k].eqNullSafe(offsets[f"_k_{i}"]) for i, k in enumerate(keys)]
-    cond.append(local[BUCKET] == offsets["_b"])
-    joined = local.join(offsets, cond)
-    out = joined.select(
-        *[local[c] for c in df.columns],
-        *[(F.col(f"_l_{n}") + F.col(f"_o_{n}")).cast("long").alias(f"_run_{n}") for n in values],
-        *[F.col(f"_all_{n}").cast("long").alias(f"_all_{n}") for n in values],
-    )
-    return out
+    names = list(values)
+    b = df.select(*df.columns, *[v.alias(f"_v_{n}") for n, v in values.items()])
+    out = _prefix_levels(b, list(keys), order_col, sorted(set(prefixes)), names)
+    return out.select(*df.columns, *[F.col(f"_run_{n}").cast("long").alias(f"_run_{n}") for n in names],
+                      *[F.col(f"_all_{n}").cast("long").alias(f"_all_{n}") for n in names])
 
 
 def ranked_counts(counts: DataFrame, keys: Sequence[str] = ("periodo",), code: str = CODE,
-                  limit: int = 150000, bucket_length: int | None = 18) -> DataFrame:
-    """Counts plus ``es_grande`` (P11), ``rango_grande`` (W2) and ``acumulado``."""
+                  limit: int = 150000, bucket_length: int | Sequence[int] | None = (10, 18)) -> DataFrame:
+    """Counts plus ``es_grande`` (P11), ``rango_grande`` (W2) and ``acumulado``.
+
+    ``bucket_length``: prefix length(s) of the code used as levels of the
+    prefix sum (``None``: one window per key).
+    """
     large = F.col(COUNT) > F.lit(limit)
-    bucket = F.substring(F.col(code), 1, bucket_length) if bucket_length else None
-    r = two_level_running_sums(counts, keys, code, bucket, {
+    prefixes = [] if not bucket_length else ([bucket_length] if isinstance(bucket_length, int) else list(bucket_length))
+    r = prefix_running_sums(counts, keys, code, prefixes, {
         "large": F.when(large, F.lit(1)).otherwise(F.lit(0)),
         "small": F.when(large, F.lit(0)).otherwise(F.col(COUNT)),
     })
@@ -95,9 +112,9 @@ def ranked_counts(counts: DataFrame, keys: Sequence[str] = ("periodo",), code: s
 def single_level_fits(counts: DataFrame, keys: Sequence[str], max_codes: int | None) -> bool:
     """True when every key has at most ``max_codes`` codes (one small aggregation job).
 
-    Then one window per key is bounded and cheaper than the two-level form;
-    beyond it (a day holding a large share of all codes) the two-level form
-    is used.  ``None`` disables the check.
+    Then one window per key is bounded and cheaper than the prefix levels;
+    beyond it (a day holding a large share of all codes) the prefix levels
+    are used.  ``None`` disables the check.
     """
     if not max_codes or not keys:
         return False
@@ -122,13 +139,14 @@ def ranked_counts_single(counts: DataFrame, keys: Sequence[str], code: str, limi
 
 
 def assign_groups(counts: DataFrame, keys: Sequence[str] = ("periodo",), code: str = CODE,
-                  limit: int = 150000, bucket_length: int | None = 18, bin_width: int | None = None,
-                  single_level_max: int | None = None, single_level: bool | None = None) -> DataFrame:
+                  limit: int = 150000, bucket_length: int | Sequence[int] | None = (10, 18),
+                  bin_width: int | None = None, single_level_max: int | None = None,
+                  single_level: bool | None = None) -> DataFrame:
     """(keys, code, total_registros, grupo_salida): the group of every code.
 
     ``bin_width`` defaults to ``limit`` (the reference uses one number for both).
     With ``single_level_max``, keys whose code count is checked to be at most
-    that use one window per key; otherwise the two-level prefix sum.  A caller
+    that use one window per key; otherwise the prefix levels.  A caller
     that already knows the largest key's code count passes ``single_level``.
     """
     width = int(bin_width or limit)
@@ -143,7 +161,8 @@ def assign_groups(counts: DataFrame, keys: Sequence[str] = ("periodo",), code: s
 
 
 def balance_groups(lines: DataFrame, keys: Sequence[str] = ("periodo",), code: str = CODE,
-                   limit: int = 150000, bucket_length: int | None = 18, bin_width: int | None = None) -> DataFrame:
+                   limit: int = 150000, bucket_length: int | Sequence[int] | None = (10, 18),
+                   bin_width: int | None = None) -> DataFrame:
     """Lines plus ``grupo_salida``; lines of a NULL code are dropped (J1, inner join)."""
     groups = assign_groups(transaction_counts(lines, keys, code), keys, code, limit, bucket_length, bin_width)
     return lines.join(groups.select(*keys, code, GROUP), [*keys, code])

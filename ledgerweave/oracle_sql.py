@@ -3,7 +3,7 @@
 The oracle is written the way the reference states each step -- plain
 windows over a whole period, UNION ALL for the unpivot, a correlated
 maximum for the large-group offset -- so it checks the Spark plans
-(two-level prefix sums, sliced line numbers) against the direct semantics.
+(prefix-level sums, sliced line numbers) against the direct semantics.
 NULL ordering is spelled out: Spark sorts NULL first, DuckDB last.
 """
 

@@ -47,7 +47,7 @@ class FeedParams:
     hot_slice_rows: int | None = None
     # rows above which a small side is not broadcast but shuffled (checked by count)
     broadcast_row_limit: int = 2_000_000
-    # codes per day up to which the group windows run per day (checked); above, two-level
+    # codes per day up to which the group windows run per day (checked); above, prefix levels
     single_level_max: int | None = 2_000_000
 
     @property
@@ -56,13 +56,16 @@ class FeedParams:
         return int(self.hot_slice_rows or 4 * self.line_block)
 
     @property
-    def bucket_length(self) -> int:
-        """Prefix of the transaction code used as the balancing bucket.
+    def bucket_length(self) -> tuple[int, int]:
+        """Prefix lengths of the transaction code used as levels of the balancing prefix sum.
 
-        For strings, x < y implies prefix(x) <= prefix(y), so ranking inside a
-        prefix and adding per-prefix offsets equals one global ranking.  The
-        prefix keeps all but the last four sequence digits and the re-run
-        digits, so a bucket holds at most 10**4 * 10**rerun_width codes
-        whatever the widths (voucher + two dates with the default widths).
+        For strings, x < y implies prefix(x) <= prefix(y), so summing inside a
+        prefix and adding the totals of earlier prefixes equals one global
+        running sum.  Levels: voucher + effective date (at most one per
+        calendar day), then + posting date (at most one per day per effective
+        date), then the codes of one date pair: the last four sequence digits
+        and the re-run digits, at most 10**4 * 10**rerun_width (wider
+        sequences move digits into the prefix).  Every window is bounded by
+        the calendar or by the code format, however the day is shaped.
         """
-        return self.voucher_width + 16 + max(0, self.sequence_width - 4)
+        return (self.voucher_width + 8, self.voucher_width + 16 + max(0, self.sequence_width - 4))

@@ -13,7 +13,7 @@ plan for any number of days, with one shuffle of the lines:
    check), then the group assignment is joined on the same keys, so the
    lines side does not move again;
 4. per-slice and per-code counts come from one map-side aggregation of the
-   work table (``slice_table``), and the group assignment is a two-level
+   work table (``slice_table``), and the group assignment is a multi-level
    prefix sum over one row per code (``operators.balance``);
 5. one small job over the per-slice table picks the forms: a per-day group
    window when the largest day's code count is under ``single_level_max``,

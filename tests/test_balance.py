@@ -29,8 +29,9 @@ def plain_groups(counts, keys, code, limit, width):
     return big.unionByName(small)
 
 
-@pytest.mark.parametrize("seed,bucket_len,limit,width", [(1, 1, 5, 7), (2, 3, 9, 9), (3, 6, 3, 100), (4, None, 4, 4)])
-def test_two_level_equals_plain(spark, seed, bucket_len, limit, width):
+@pytest.mark.parametrize("seed,bucket_len,limit,width", [(1, 1, 5, 7), (2, 3, 9, 9), (3, 6, 3, 100), (4, None, 4, 4),
+                                                         (5, (1, 3), 5, 7), (6, (2, 4, 6), 3, 11)])
+def test_prefix_levels_equal_plain(spark, seed, bucket_len, limit, width):
     rnd = random.Random(seed)
     rows = set()
     for _ in range(300):

@@ -94,7 +94,7 @@ def test_pending_periods(inputs):
     assert product.pending_periods(mov, log, "DAVIBANK").count() == 80
 
 
-def test_single_and_two_level_products_agree(spark):
+def test_single_level_and_prefix_level_products_agree(spark):
     from conftest import SF0001
     mov, mp, log = (fixtures.movements(spark, SF0001), fixtures.account_mapping(spark, SF0001),
                     fixtures.run_log(spark, SF0001))

@@ -36,7 +36,7 @@ codes = st.one_of(st.none(), st.text(alphabet="0129AK", min_size=0, max_size=6))
 @SETTINGS
 @given(st.dictionaries(codes, st.integers(min_value=1, max_value=20), min_size=1, max_size=40),
        st.integers(min_value=1, max_value=15), st.integers(min_value=1, max_value=30),
-       st.sampled_from([None, 1, 2, 4]))
+       st.sampled_from([None, 1, 2, 4, (1, 3), (2, 4, 5)]))
 def test_groups_match_brute_force(spark, counts, limit, width, bucket_len):
     df = spark.createDataFrame([("d", c, n) for c, n in counts.items()],
                                "periodo string, code string, total_registros long")

@@ -51,6 +51,21 @@ def run(variant: str, sf: str) -> None:
     from ledgerweave.sources import fixtures
     S.ensure_checkpoint_dir(spark)
     day = F.lit("2024-06-01").cast("date")
+    if variant.startswith("balance"):
+        # hot day: every movement in one processing day, codes as they are (about 150k per sf0.1)
+        from ledgerweave.operators import balance
+        mov = fixtures.movements(spark, sf).withColumn("PERIODO", day)
+        coded = S.materialize(journal.coded_lines(mov, fixtures.run_log(spark, sf), FeedParams()), "coded")
+        counts = S.materialize(balance.transaction_counts(coded, ["periodo"], journal.CODE), "counts")
+        single = variant == "balance-plain"
+        out = balance.assign_groups(counts, ["periodo"], journal.CODE, 150000, FeedParams().bucket_length,
+                                    single_level=single)
+        out.select("grupo_salida").write.format("noop").mode("overwrite").save()
+        spark.stop()
+        biggest, total = largest_task(log_dir)
+        print(json.dumps({"variant": variant, "codes": "one day", "largest_task_records": biggest,
+                          "shuffle_records": total}))
+        return
     mov = (fixtures.movements(spark, sf).withColumn("FECHA_EFECTIVA", day).withColumn("FECHA_POSTEO", day)
            .withColumn("CONSECUTIVO", F.lit(1).cast("long")).withColumn("PERIODO", day))
     p = FeedParams(line_block=4096)
