@@ -41,11 +41,15 @@ PRODUCT_COLUMNS = [
     "desc_origen_transaccion", "grupo_salida", "periodo",
 ]
 KEYS = ["periodo", TKEY]
+# Columns of the coded lines that anything downstream reads; the work table holds only these
+# (the raw debit/credit columns and the source description are dropped after the unpivot).
+WORK_COLUMNS = ["periodo", "fecha_efectiva", "fecha_posteo", "ctacon", "moneda_origen_raw", "ctrcto", "consecutivo",
+                "consecutivo_extraccion", "valor_movimiento", "naturaleza", CODE, TKEY]
 
 
 def _sliced(movements_src: DataFrame, run_log: DataFrame | None, params: FeedParams) -> DataFrame:
     """Coded lines with their slice, written once as a work table."""
-    coded = coded_lines(movements_src, run_log, params)
+    coded = coded_lines(movements_src, run_log, params).select(*WORK_COLUMNS)
     return materialize(numbering.add_slices(coded, "consecutivo_extraccion", params.line_block), "coded_lines")
 
 
