@@ -1,9 +1,13 @@
-"""Largest task of the line-numbering stage, hot input: sliced numbering vs a plain window.
+"""Largest task under skew: line numbering and group balancing, plain window vs our forms.
 
-Every movement of the table is made one transaction (constant dates and
-sequence), as in tests/test_skew.py.  Each variant runs in its own session
-with the event log written to a scratch folder; the report is the largest
-number of shuffle records one task read, and the total, per variant.
+``plain|sliced``: every movement of the table is made one transaction
+(constant dates and sequence), as in tests/test_skew.py, and the lines are
+numbered.  ``balance-plain|balance-levels``: every movement is put on one
+processing day and the output groups are assigned.  Each variant runs in its
+own session with the event log written to a scratch folder; the report is the
+largest number of shuffle records one task read, and the total.
+
+    python tools/skew_report.py sliced [/root/testdata/sf0.1]
 """
 
 from __future__ import annotations
