@@ -54,13 +54,15 @@ def _prefix_levels(b: DataFrame, keys: list[str], order_col: str, prefixes: list
     w_in = (Window.partitionBy(*keys, level).orderBy(F.col(order_col).asc_nulls_first())
             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     local = b.select("*", *[F.sum(f"_v_{n}").over(w_in).alias(f"_l_{n}") for n in names])
-    # one row per bucket; its running total over the key comes from the coarser levels
-    totals = b.groupBy(*keys, level).agg(*[F.sum(f"_v_{n}").alias(f"_v_{n}") for n in names])
+    # one row per bucket: values are non-negative, so the last (largest) running sum is the bucket total;
+    # reading it from the window output keeps the window's partitioning (no second shuffle of the rows)
+    totals = local.groupBy(*keys, level).agg(*[F.max(f"_l_{n}").alias(f"_v_{n}") for n in names])
     upper = _prefix_levels(totals, keys, level, prefixes[:-1], names)
     offsets = upper.select(*[F.col(k).alias(f"_k_{i}") for i, k in enumerate(keys)], F.col(level).alias("_bb"),
                            *[(F.col(f"_run_{n}") - F.col(f"_v_{n}")).alias(f"_o_{n}") for n in names],
                            *[F.col(f"_all_{n}").alias(f"_a_{n}") for n in names])
-    cond = [local[k].eqNullSafe(offsets[f"_k_{i}"]) for i, k in enumerate(keys)] + [local[level] == offsets["_bb"]]
+    # keys are non-null (callers filter them), so a plain equi-join keeps the rows where they are
+    cond = [local[k] == offsets[f"_k_{i}"] for i, k in enumerate(keys)] + [local[level] == offsets["_bb"]]
     joined = local.join(offsets, cond)
     return joined.select(*[local[c] for c in b.columns],
                          *[(F.col(f"_l_{n}") + F.col(f"_o_{n}")).alias(f"_run_{n}") for n in names],
@@ -72,7 +74,8 @@ def prefix_running_sums(df: DataFrame, keys: Sequence[str], order_col: str, pref
     """Running sums of ``values`` ordered by ``order_col`` within ``keys``, plus key totals.
 
     ``order_col`` is a string, unique within ``keys`` (one row per code);
-    NULL sorts first, as in both reference engines.  ``prefixes`` are
+    NULL sorts first, as in both reference engines.  ``keys`` must be non-null
+    and ``values`` non-negative (counts and 0/1 flags).  ``prefixes`` are
     increasing prefix lengths: rows are summed inside the finest prefix,
     each bucket is shifted by the running total of the earlier buckets, which
     is the same computation one level up over one row per bucket, down to a
