@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark import StorageLevel
 from pyspark.sql import SparkSession
@@ -50,6 +51,23 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return current
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package's source to the executors (once a session), so that Python tasks can import it anywhere."""
+    sc = spark.sparkContext
+    if getattr(sc, "_ledgerweave_shipped", False):
+        return
+    here = os.path.dirname(os.path.abspath(__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="ledgerweave-src-"), "ledgerweave.zip")
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, names in os.walk(here):
+            for n in sorted(names):
+                if n.endswith(".py"):
+                    f = os.path.join(folder, n)
+                    z.write(f, os.path.join("ledgerweave", os.path.relpath(f, here)))
+    sc.addPyFile(path)
+    sc._ledgerweave_shipped = True
+
+
 def work_dir(spark: SparkSession, name: str) -> str:
     """A folder for written work tables or exports, under the shared checkpoint folder."""
     root = spark.conf.get("ledgerweave.work.dir", None) or ensure_checkpoint_dir(spark)
