@@ -2,10 +2,18 @@
 
 from __future__ import annotations
 
-from ledgerweave.llm import jaccard_join
+from ledgerweave.llm import chat_format, jaccard_join, ngram_lm, piece_codec, source_mix, suffix_dedup, token_counts
 
 QUERIES = {
+    "op2_chat_format": chat_format.op2_chat_format,
+    "op3_piece_codec": piece_codec.op3_piece_codec,
+    "op5_ngram_lm": ngram_lm.op5_ngram_lm,
+    "op6_source_mix": source_mix.op6_source_mix,
+    "op8_suffix_array_dedup": suffix_dedup.op8_suffix_array_dedup,
+    "op9_token_counts": token_counts.op9_token_counts,
     "op10_ngram_jaccard_join": jaccard_join.op10_ngram_jaccard_join,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE = {
+    "op2_chat_format": chat_format.OP2_SQL,
+}

@@ -1,0 +1,7 @@
+import pytest
+
+
+@pytest.fixture(scope="session", autouse=True)
+def shipped(spark):
+    from ledgerweave.session import ship_package
+    ship_package(spark)

@@ -1,0 +1,102 @@
+"""Suffix-array dedup and n-gram Jaccard join against brute force."""
+
+import random
+
+import numpy as np
+import pytest
+
+import brute
+from ledgerweave.llm import jaccard_join, suffix_dedup
+
+SCHEMA = "doc_id long, text string, score double, h long, f string"
+
+
+def frame(spark, rows):
+    return spark.createDataFrame([(d, t, 0.5, 1, "x") for d, t in rows], SCHEMA).repartition(3)
+
+
+def texts(seed):
+    rng = random.Random(seed)
+    vocabulary = ["".join(rng.choice("abcdefghiklmnoprstuvé") for _ in range(rng.randint(2, 8))) for _ in range(400)]
+    make = lambda n: " ".join(rng.choice(vocabulary) for _ in range(n))
+    passage = [make(40), make(70)]
+    rows = []
+    for i in range(40):
+        t = make(rng.randint(1, 120))
+        if i % 3 == 0:
+            t += " " + rng.choice(passage) + " " + make(30)
+        rows.append(t)
+    rows += [rows[3], rows[3], rows[7]]  # exact copies
+    base = make(200).split()
+    for i in range(12):  # a family of near copies, each some words further on
+        w = list(base)
+        for j in range(i):
+            w[7 * j % 200] = "changed"
+        rows.append(" ".join(w))
+    rows += [None, "", "   ", "one two", "one  TWO", "a" * 3000, "ab" * 900, "x" + "ab" * 700, "A b c d e", "a B c d e", make(4000)]
+    return list(enumerate(rows, 1)) + [(500, passage[0] * 5), (500, passage[0] * 5), (501, None)]
+
+
+@pytest.mark.parametrize("keep_first", [False, True])
+def test_suffix_dedup(spark, keep_first):
+    rows = texts(1)
+    got = sorted((r.doc_id, bytes(r.kept), r.n_removed, r.n_spans, r.n_bytes) for r in suffix_dedup.cut_texts(frame(spark, rows), keep_first=keep_first).collect())
+    want = brute.repeats(rows, 200, keep_first)
+    assert got == sorted((rows[i][0], *want[i], len((rows[i][1] or "").encode())) for i in range(len(rows)))
+    assert sum(w[1] for w in want.values()) > 5000
+
+
+def test_suffix_dedup_anchors_of_many_runs(spark, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "HOT_RUNS", 3)
+    for keep_first in (False, True):
+        rows = texts(2)
+        got = sorted((r.doc_id, bytes(r.kept)) for r in suffix_dedup.cut_texts(frame(spark, rows), keep_first=keep_first).collect())
+        want = brute.repeats(rows, 200, keep_first)
+        assert got == sorted((rows[i][0], want[i][0]) for i in range(len(rows)))
+
+
+def test_suffix_dedup_whole_characters(spark):
+    t = "é" * 150 + "ü" * 150
+    rows = [(1, "a" + t), (2, "ö" + t + "z")]
+    got = {r.doc_id: bytes(r.kept).decode() for r in suffix_dedup.cut_texts(frame(spark, rows), keep_first=True, whole_chars=True).collect()}
+    assert got[1].startswith("a") and len(got[2].encode()) < 20
+
+
+def test_suffix_dedup_empty(spark):
+    assert suffix_dedup.cut_texts(frame(spark, [])).count() == 0
+
+
+def test_smaller_neighbours():
+    rng = np.random.default_rng(0)
+    pos, run = rng.permutation(200), np.sort(rng.integers(0, 12, 200))
+    before, after = suffix_dedup.smaller_neighbours(pos, run)
+    for i in range(200):
+        left = [j for j in range(i) if run[j] == run[i] and pos[j] < pos[i]]
+        right = [j for j in range(i + 1, 200) if run[j] == run[i] and pos[j] < pos[i]]
+        assert before[i] == (left[-1] if left else -1) and after[i] == (right[0] if right else -1)
+
+
+@pytest.mark.parametrize("frequent", [1 << 17, 0])
+def test_jaccard_join(spark, frequent, monkeypatch):
+    rows = texts(3)
+    monkeypatch.setattr(jaccard_join, "FREQUENT_LEAST", 2)
+    if not frequent:
+        monkeypatch.setattr(jaccard_join, "frequent_shingles", lambda docs, k: np.zeros(0, np.uint64))
+    got = sorted((r.doc_id, r.n_shingles, r.component_id) for r in jaccard_join.jaccard_components(frame(spark, rows)).collect())
+    assert got == sorted((d, *x) for (d, _), x in zip(rows, brute.linked(rows)))
+    assert len({c for _, _, c in got}) < len(rows) - 10
+
+
+def test_jaccard_join_empty(spark):
+    assert jaccard_join.jaccard_components(frame(spark, [])).count() == 0
+
+
+def test_divide_skip_and_sketch():
+    rng = np.random.default_rng(1)
+    for _ in range(30):
+        q = np.unique(rng.integers(0, 1 << 40, 300).astype(np.uint64))
+        members = [np.unique(np.concatenate((rng.permutation(q)[:rng.integers(150, 301)], rng.integers(0, 1 << 40, rng.integers(1, 90)).astype(np.uint64)))) for _ in range(40)]
+        want = [i for i, m in enumerate(members) if 100 * len(np.intersect1d(q, m)) >= 75 * len(np.union1d(q, m))]
+        assert jaccard_join.divide_skip(q, members, 75).tolist() == want
+        for m in members:
+            assert jaccard_join.differing(jaccard_join.sketch(q), jaccard_join.sketch(m)) <= len(np.setxor1d(q, m))
