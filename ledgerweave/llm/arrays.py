@@ -15,7 +15,7 @@ import pyarrow as pa
 
 U = np.uint64
 #: Bytes of text handled at once (a longer text is a chunk of its own).
-CHUNK = 1 << 21
+CHUNK = 1 << 20
 BASE = 0x9E3779B97F4A7C15
 STEP = 0xD1342543DE82EF95
 

@@ -7,10 +7,10 @@ k-word shingles.  The plan:
    (the ``n - ceil(t n) + 1`` shingles that come first in one global order).  Linked sets share a prefix
    shingle.  The order puts the corpus's most frequent shingles last; which shingles count as frequent (a
    bounded table) changes only the cost, never the answer.  Documents with equal sets meet in their set id.
-2. Prefix rows meet by shingle.  Each list first proposes its smallest and its largest set to all others
-   (linear in the list); the verified links make classes.  Only then lists that still hold
-   several classes propose all their pairs *between* classes, so a group of thousands of near copies
-   never spells out its pairs.
+2. Prefix rows meet by shingle, in lists ordered by size; rows without a neighbour of a fitting size go.  Each list
+   first pairs every set with the one before it and with the first of fitting size (linear in the list); the
+   verified links make classes.  Only then lists that still hold several classes propose all their pairs
+   *between* classes, so a group of thousands of near copies never spells out its pairs.
 3. A proposed pair is dropped when its sketches already prove too many differences (the number of differing
    sketch bits never exceeds the size of the symmetric difference).
 4. The rest are decided exactly by T-occurrence search: sets are grouped under the proposing set in blocks, the
@@ -39,7 +39,6 @@ THRESHOLD = 75
 #: Entries of the table of frequent shingles (8 bytes each are broadcast) and the least count in one task to be considered.
 FREQUENT = 1 << 17
 FREQUENT_LEAST = 4
-SKETCH_BITS = 2048
 #: Sets that one block of a search holds, and parts that the sets proposed by one set are dealt to.
 BLOCK, SALTS = 256, 16
 
@@ -86,9 +85,19 @@ def prefix_size(n: np.ndarray, threshold: int) -> np.ndarray:
 
 
 def sketch(x: np.ndarray) -> bytes:
-    """Parity bits of a set: differing bits of two sketches are at most the differing elements of the sets."""
-    c = np.bincount((x >> U(17)).astype(np.int64) % SKETCH_BITS, minlength=SKETCH_BITS) & 1
-    return np.packbits(c.astype(np.uint8)).tobytes()
+    """Parity bits of a set, about two an element: differing bits of two sketches are at most the differing elements of the sets."""
+    bits = 1 << max(9, int(2 * len(x) - 1).bit_length())
+    return np.packbits((np.bincount((x & U(bits - 1)).astype(np.int64), minlength=bits) & 1).astype(np.uint8)).tobytes()
+
+
+def differing(x: bytes, y: bytes) -> int:
+    """Differing bits of two sketches, the longer one folded to the length of the other."""
+    x, y = np.frombuffer(x, U), np.frombuffer(y, U)
+    while len(x) != len(y):
+        if len(x) < len(y):
+            x, y = y, x
+        x = x[:len(x) // 2] ^ x[len(x) // 2:]
+    return int(np.bitwise_count(x ^ y).sum())
 
 
 def set_id(x: np.ndarray) -> np.ndarray:
@@ -96,45 +105,63 @@ def set_id(x: np.ndarray) -> np.ndarray:
     return mix(x * U(0x9FB21C651E98DF25) ^ U(0xA24BAED4963EE407))
 
 
-def document_sets(docs: DataFrame, frequent: np.ndarray, k: int = WORDS, threshold: int = THRESHOLD) -> DataFrame:
-    """(doc_id, f set id (null: empty), n, sketch, prefix) per row of ``docs``."""
-    spark = docs.sparkSession
-    order = np.argsort(frequent)
-    late = spark.sparkContext.broadcast((frequent[order], order.astype(np.int64) + 1))
-    schema = "doc_id long, f long, n long, sketch binary, prefix array<long>"
+def set_ids(x: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    last = np.cumsum(counts)
+    sums = np.concatenate((np.zeros(1, U), np.cumsum(set_id(x))))
+    return mix(sums[last] - sums[last - counts] + counts.astype(U)).view(np.int64)
+
+
+def document_sets(docs: DataFrame, k: int = WORDS) -> DataFrame:
+    """(doc_id, f set id (null: empty), n, sketch) per row of ``docs``."""
 
     def sets(batches):
-        keys, rank = late.value
         for b in batches:
             for lo, hi, data, offs in text_chunks(b.column(1)):
+                x, counts = shingle_sets(data, offs, k)
+                sk = [sketch(own) for own in np.split(x, np.cumsum(counts)[:-1])]
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(lo, hi - lo), pa.array(set_ids(x, counts), mask=counts == 0), pa.array(counts), pa.array(sk, pa.binary())],
+                                                 names=["doc_id", "f", "n", "sketch"])
+
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(sets, "doc_id long, f long, n long, sketch binary")
+
+
+def prefix_rows(docs: DataFrame, frequent: np.ndarray, k: int = WORDS, threshold: int = THRESHOLD) -> DataFrame:
+    """(f, n, h): the prefix shingles of each set, once per set and task."""
+    order = np.argsort(frequent)
+    late = docs.sparkSession.sparkContext.broadcast((frequent[order], order.astype(np.int64) + 1))
+
+    def prefixes(batches):
+        keys, rank = late.value
+        seen = set()
+        for b in batches:
+            for _, _, data, offs in text_chunks(b.column(0)):
                 x, counts = shingle_sets(data, offs, k)
                 last = np.cumsum(counts)
-                first = last - counts
+                rare = np.zeros(len(x), np.int64)
                 if len(keys):
                     at = np.minimum(np.searchsorted(keys, x), len(keys) - 1)
                     rare = np.where(keys[at] == x, rank[at], 0)
-                else:
-                    rare = np.zeros(len(x), np.int64)
-                sums = np.concatenate((np.zeros(1, U), np.cumsum(set_id(x))))
-                f = mix(sums[last] - sums[first] + counts.astype(U))
+                f = set_ids(x, counts)
                 p = prefix_size(counts, threshold)
-                pre, sk = [], []
-                for r in range(hi - lo):
-                    own = x[first[r]:last[r]]
-                    r_own = rare[first[r]:last[r]]
-                    early = own[r_own == 0]  # in fingerprint order, before all frequent ones
+                rows = []
+                for r in np.flatnonzero(counts):
+                    if f[r] in seen:
+                        continue
+                    seen.add(f[r])
+                    own, late_own = x[last[r] - counts[r]:last[r]], rare[last[r] - counts[r]:last[r]]
+                    early = own[late_own == 0]  # in fingerprint order, before all frequent ones
                     if len(early) < p[r]:
-                        y = r_own > 0
-                        early = np.concatenate((early, own[y][np.argsort(r_own[y], kind="stable")]))
-                    pre.append(early[:p[r]].view(np.int64))
-                    sk.append(sketch(own) if len(own) else b"")
-                cuts = pa.array(np.concatenate(([0], np.cumsum([len(y) for y in pre]))).astype(np.int32))
+                        y = late_own > 0
+                        early = np.concatenate((early, own[y][np.argsort(late_own[y], kind="stable")]))
+                    rows.append((r, early[:p[r]]))
+                if not rows:
+                    continue
+                r = np.array([i for i, _ in rows])
+                cuts = np.concatenate(([0], np.cumsum([len(y) for _, y in rows])))
                 yield pa.RecordBatch.from_arrays(
-                    [b.column(0).slice(lo, hi - lo), pa.array(f.view(np.int64), mask=counts == 0), pa.array(counts), pa.array(sk, pa.binary()),
-                     pa.ListArray.from_arrays(cuts, pa.array(np.concatenate(pre) if pre else np.zeros(0, np.int64)))],
-                    names=["doc_id", "f", "n", "sketch", "prefix"])
+                    [pa.array(f[r]), pa.array(counts[r]), pa.ListArray.from_arrays(pa.array(cuts.astype(np.int32)), pa.array(np.concatenate([y for _, y in rows]).view(np.int64)))], names=["f", "n", "prefix"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(sets, schema)
+    return docs.select("text").mapInArrow(prefixes, "f long, n long, prefix array<long>").select("f", "n", F.explode("prefix").alias("h"))
 
 
 def sketch_passes(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
@@ -146,14 +173,11 @@ def sketch_passes(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFram
 
     def keep(batches):
         for b in batches:
-            if not b.num_rows:
-                continue
             n = b.column(2).to_numpy() + b.column(3).to_numpy()
-            x, y = (np.frombuffer(b"".join(b.column(c).to_pylist()), np.uint64).reshape(b.num_rows, -1) for c in (4, 5))
-            differ = np.bitwise_count(x ^ y).sum(axis=1).astype(np.int64)
+            differ = np.array([differing(x, y) for x, y in zip(b.column(4).to_pylist(), b.column(5).to_pylist())], np.int64)
             # |A ^ B| = |A| + |B| - 2 |A & B| and 100 |A & B| >= t (|A| + |B| - |A & B|)
             ok = differ <= n - 2 * -(-threshold * n // (100 + threshold))
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], names=["a", "b"]).filter(pa.array(ok))
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], names=["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
     return p.mapInArrow(keep, "a long, b long")
 
@@ -193,33 +217,31 @@ def divide_skip(query: np.ndarray, members: list[np.ndarray], threshold: int = T
 
 
 def verified(pairs: DataFrame, docs: DataFrame, sets: DataFrame, k: int, threshold: int) -> DataFrame:
-    """The pairs (a, b) that link, decided on whole sets read again from the texts."""
+    """The pairs (a, b) that link, decided on whole sets read again from the texts that hold them."""
     pairs = saved(pairs, "pairs")
     wanted = pairs.select(F.col("a").alias("f")).unionByName(pairs.select(F.col("b").alias("f"))).distinct()
-    holders = saved(sets.select("f", "doc_id").join(wanted, "f"), "holders")
-    spark = docs.sparkSession
-    ids = spark.sparkContext.broadcast(key_filter(holders, "doc_id"))
+    # a set is read from its smallest document
+    holders = saved(sets.select("f", "doc_id").join(wanted, "f").select("f", "doc_id"), "holders")
+    sc = docs.sparkSession.sparkContext
+    by_id, by_f = sc.broadcast(key_filter(holders.select(F.coalesce("doc_id", F.lit(0)).alias("doc_id")), "doc_id")), sc.broadcast(key_filter(holders, "f"))
 
     def read(batches):
         for b in batches:
-            own = b.column(0).fill_null(0).to_numpy()
-            b = b.filter(pa.array(ids.value.has(own)))
+            b = b.filter(pa.array(by_id.value.has(b.column(0).fill_null(0).to_numpy())))
             for lo, hi, data, offs in text_chunks(b.column(1)):
                 x, counts = shingle_sets(data, offs, k)
-                last = np.cumsum(counts)
-                sums = np.concatenate((np.zeros(1, U), np.cumsum(set_id(x))))
-                f = mix(sums[last] - sums[last - counts] + counts.astype(U)).view(np.int64)
-                blobs = pa.array([x[j - m:j].tobytes() for j, m in zip(last, counts)], pa.binary())
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(lo, hi - lo), pa.array(f), blobs], names=["doc_id", "f", "x"])
-
-    # a set's row of ``sets`` is that of its smallest document; repeated rows of that document carry the same set
-    full = (docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(read, "doc_id long, f long, x binary")
-            .join(holders, ["f", "doc_id"], "left_semi").dropDuplicates(["f"]).select("f", "x"))
-    full = saved(full, "sets")
-    dealt = pairs.withColumn("part", F.pmod(F.xxhash64("b"), F.lit(SALTS)).cast("int"))
-    lead = dealt.select("a", "part").distinct().join(full, F.col("a") == F.col("f")).select("a", "part", F.lit(None).cast("long").alias("b"), "x")
-    rows = (dealt.join(full, F.col("b") == F.col("f")).select("a", "part", "b", "x").unionByName(lead)
-            .repartition("a", "part").sortWithinPartitions("a", "part", F.col("b").asc_nulls_first()))
+                f = set_ids(x, counts)
+                blobs = pa.array([own.tobytes() for own in np.split(x, np.cumsum(counts)[:-1])], pa.binary())
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(lo, hi - lo), pa.array(f), blobs], names=["doc_id", "f", "x"]).filter(pa.array((counts > 0) & by_f.value.has(f)))
+
+    full = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(read, "doc_id long, f long, x binary")
+    part = F.pmod(F.xxhash64("b"), F.lit(SALTS)).cast("int")
+    roles = pairs.select(F.col("b").alias("f"), "a", part.alias("part"), "b")
+    roles = roles.unionByName(roles.select(F.col("a").alias("f"), "a", "part", F.lit(None).cast("long").alias("b")).distinct())
+    roles = roles.join(holders.select("f", "doc_id"), "f")
+    # null-safe, as the smallest document of a set may have a null id
+    rows = (roles.join(full.withColumnRenamed("f", "g").withColumnRenamed("doc_id", "d"), (F.col("f") == F.col("g")) & F.col("doc_id").eqNullSafe(F.col("d")))
+            .select("a", "part", "b", "x").repartition("a", "part").sortWithinPartitions("a", "part", F.col("b").asc_nulls_first()))
 
     def search(batches):
         at, query, ids_, members = None, None, [], []
@@ -249,27 +271,40 @@ def verified(pairs: DataFrame, docs: DataFrame, sets: DataFrame, k: int, thresho
     return saved(rows.mapInArrow(search, "a long, b long"), "links")
 
 
+def candidate_lists(docs: DataFrame, k: int, threshold: int) -> DataFrame:
+    """(h, f, n, start, before): prefix rows that meet another of a fitting size, in lists ordered by size.
+
+    ``start`` is the first set of the run of fitting sizes, ``before`` the set just before, where it fits.
+    """
+    w = Window.partitionBy("h").orderBy("n", "f")
+    rows = prefix_rows(docs, frequent_shingles(docs, k), k, threshold)
+    low = F.coalesce(100 * F.lag("n").over(w) >= threshold * F.col("n"), F.lit(False))
+    high = F.coalesce(100 * F.col("n") >= threshold * F.lead("n").over(w), F.lit(False))
+    rows = rows.withColumn("low", low).withColumn("high", high).withColumn("last", F.lag("f").over(w))
+    rows = rows.withColumn("start", F.last(F.when(~F.col("low"), F.col("f")), ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    return rows.where("low or high").select("h", "f", "n", "start", F.when(F.col("low"), F.col("last")).alias("before"))
+
+
 def jaccard_components(docs: DataFrame, k: int = WORDS, threshold: int = THRESHOLD) -> DataFrame:
     """(doc_id, n_shingles, component_id) per row of ``docs`` (doc_id, text); component_id is the smallest doc_id reachable."""
-    own = saved(document_sets(docs, frequent_shingles(docs, k), k, threshold), "docsets")
+    own = saved(document_sets(docs, k), "docsets")
     sets = saved(own.where("f is not null").groupBy("f").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("sketch").alias("sketch")), "sigs")
-    rows = own.where("f is not null").select("f", "n", F.explode("prefix").alias("h"))
-    w = Window.partitionBy("h")
-    lists = saved(rows.withColumn("low", F.min("f").over(w)).withColumn("high", F.max("f").over(w)).where("low <> high"), "lists")
+    lists = saved(candidate_lists(docs, k, threshold), "lists")
 
     def proposals(x: DataFrame) -> DataFrame:
         return x.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
-    stars = proposals(lists.select(F.col("low").alias("a"), F.col("f").alias("b")).unionByName(lists.select(F.col("high").alias("a"), F.col("f").alias("b"))))
+    stars = saved(proposals(lists.select(F.col("start").alias("a"), F.col("f").alias("b")).unionByName(lists.select(F.col("before").alias("a"), F.col("f").alias("b")))), "stars")
     links = verified(sketch_passes(stars, sets, threshold), docs, sets, k, threshold)
     classes = components(links)
-    open_ = lists.select("h", "f", "n").distinct().join(classes.select(F.col("node").alias("f"), "label"), "f", "left").withColumn("label", F.coalesce("label", "f"))
+    w = Window.partitionBy("h")
+    open_ = lists.select("h", "f", "n").join(classes.select(F.col("node").alias("f"), "label"), "f", "left").withColumn("label", F.coalesce("label", "f"))
     open_ = saved(open_.withColumn("low", F.min("label").over(w)).withColumn("high", F.max("label").over(w)).where("low <> high").select("h", "f", "n", "label"), "open")
     x, y = open_.alias("x"), open_.alias("y")
     across = proposals(x.join(y, (F.col("x.h") == F.col("y.h")) & (F.col("x.label") < F.col("y.label"))
                               & (100 * F.least("x.n", "y.n") >= threshold * F.greatest("x.n", "y.n")))
                        .select(F.col("x.f").alias("a"), F.col("y.f").alias("b")))
-    more = verified(sketch_passes(across, sets, threshold), docs, sets, k, threshold)
+    more = verified(sketch_passes(across.join(stars, ["a", "b"], "left_anti"), sets, threshold), docs, sets, k, threshold)
     label = components(links.unionByName(more))
     of = sets.select("f", "doc_id").join(label.select(F.col("node").alias("f"), "label"), "f", "left").withColumn("label", F.coalesce("label", "f"))
     small = of.groupBy("label").agg(F.min("doc_id").alias("component_id"))
