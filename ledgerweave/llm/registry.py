@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from ledgerweave.llm import chat_format, jaccard_join, ngram_lm, piece_codec, source_mix, suffix_dedup, token_counts
+from ledgerweave.llm import chat_format, exact_topk, jaccard_join, learned_partitions, ngram_lm, piece_codec, source_mix, suffix_dedup, token_counts, toxicity
 
 QUERIES = {
+    "op1_learned_partitions": learned_partitions.op1_learned_partitions,
     "op2_chat_format": chat_format.op2_chat_format,
     "op3_piece_codec": piece_codec.op3_piece_codec,
+    "op4_toxicity": toxicity.op4_toxicity,
     "op5_ngram_lm": ngram_lm.op5_ngram_lm,
     "op6_source_mix": source_mix.op6_source_mix,
+    "op7_exact_topk": exact_topk.op7_exact_topk,
     "op8_suffix_array_dedup": suffix_dedup.op8_suffix_array_dedup,
     "op9_token_counts": token_counts.op9_token_counts,
     "op10_ngram_jaccard_join": jaccard_join.op10_ngram_jaccard_join,
@@ -16,4 +19,5 @@ QUERIES = {
 
 ORACLE = {
     "op2_chat_format": chat_format.OP2_SQL,
+    "op7_exact_topk": exact_topk.OP7_SQL,
 }
