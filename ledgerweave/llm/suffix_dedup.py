@@ -32,6 +32,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 
 from ledgerweave.llm.arrays import Prints, text_chunks
 from ledgerweave.llm.base import key_filter, saved, table
@@ -43,7 +44,7 @@ BLOCK = 40
 ANCHOR_BITS = 1 << 27
 HOT_RUNS = 20_000
 #: Bytes of runs that a task folds, or sorts, at once (whole anchors).
-FOLD_BYTES, SORT_BYTES = 32 << 20, 8 << 20
+FOLD_BYTES, SORT_BYTES = 16 << 20, 2 << 20
 POS = np.uint64(0xFFFFFFFF)
 SEEN, HOT = 1, 2
 
@@ -312,13 +313,13 @@ def keyed(docs: DataFrame) -> DataFrame:
     return docs.withColumn("text", text).withColumn("f", F.xxhash64("text")).withColumn("key", F.xxhash64("doc_id", "text"))
 
 
-def cut_texts(docs: DataFrame, length: int = LENGTH, keep_first: bool = False, whole_chars: bool = False) -> DataFrame:
-    """Per row: doc_id, n_bytes, n_removed, n_spans and ``kept``, the bytes left.
+def cut_texts(docs: DataFrame, length: int = LENGTH, keep_first: bool = False, whole_chars: bool = False, carry: list[str] = ()) -> DataFrame:
+    """Per row: doc_id, n_bytes, n_removed, n_spans, ``kept`` (the bytes left) and, in the struct ``more``, the columns to ``carry``.
 
     ``whole_chars`` shrinks each span to whole UTF-8 characters, so that ``kept`` stays valid text.
     """
     spark = docs.sparkSession
-    docs = keyed(docs.select("doc_id", "text"))
+    docs = keyed(docs.select("doc_id", "text", F.struct(*(carry or [F.lit(None).cast("int").alias("none")])).alias("more")))
     spans = repeat_spans(docs, length, keep_first)
     own = spark.sparkContext.broadcast(key_filter(spans, "key"))
 
@@ -330,7 +331,7 @@ def cut_texts(docs: DataFrame, length: int = LENGTH, keep_first: bool = False, w
     docs = docs.withColumn("may", may("key"))
 
     def cut(batches):
-        for b in batches:
+        for b in (whole.slice(i, 200) for whole in batches for i in range(0, whole.num_rows, 200)):
             ids, texts, spans_ = b.column(0), b.column(1).cast(pa.binary()).to_pylist(), b.column(2).to_pylist()
             sizes, removed, runs, kept = [], [], [], []
             for t, sp in zip(texts, spans_):
@@ -348,14 +349,14 @@ def cut_texts(docs: DataFrame, length: int = LENGTH, keep_first: bool = False, w
                 removed.append(gone)
                 runs.append(k)
                 kept.append(b"".join(parts) + t[at:])
-            yield pa.RecordBatch.from_arrays([ids, pa.array(sizes, pa.int64()), pa.array(removed, pa.int64()), pa.array(runs, pa.int64()), pa.array(kept, pa.binary())],
-                                             names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept"])
+            yield pa.RecordBatch.from_arrays([ids, pa.array(sizes, pa.int64()), pa.array(removed, pa.int64()), pa.array(runs, pa.int64()), pa.array(kept, pa.binary()), b.column(3)],
+                                             names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept", "more"])
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    touched = (docs.where("may").join(spans, "key", "left").select("doc_id", "text", "spans")
-               .mapInArrow(cut, f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept binary"))
+    touched = docs.where("may").join(spans, "key", "left").select("doc_id", "text", "spans", "more")
+    schema = StructType([docs.schema["doc_id"], *(StructField(c, LongType()) for c in ("n_bytes", "n_removed", "n_spans")), StructField("kept", BinaryType()), docs.schema["more"]])
+    touched = touched.mapInArrow(cut, schema)
     return (docs.where("not may").select("doc_id", F.octet_length("text").cast("long").alias("n_bytes"), F.lit(0).cast("long").alias("n_removed"),
-                                         F.lit(0).cast("long").alias("n_spans"), F.col("text").cast("binary").alias("kept"))
+                                         F.lit(0).cast("long").alias("n_spans"), F.col("text").cast("binary").alias("kept"), "more")
             .unionByName(touched))
 
 
