@@ -21,14 +21,14 @@ from pyspark.sql import functions as F  # noqa: E402
 
 from ledgerweave import catalog  # noqa: E402
 from ledgerweave.operators import balance, journal  # noqa: E402
-from ledgerweave.params import FeedParams  # noqa: E402
+from ledgerweave.sources.fixtures import feed_params  # noqa: E402
 from ledgerweave.session import local_session  # noqa: E402
 from ledgerweave.sources import fixtures  # noqa: E402
 
 
 def balance_plain_window(spark, sf):
     """Group assignment the way the reference states it: windows over every code of a period."""
-    p = FeedParams()
+    p = feed_params()
     mapped = journal.map_accounts(catalog._coded(spark, sf, p), fixtures.account_mapping(spark, sf), p)
     c = balance.transaction_counts(mapped, ["periodo"], journal.CODE)
     large = F.col(balance.COUNT) > p.large_limit
@@ -43,7 +43,7 @@ def balance_plain_window(spark, sf):
 
 
 def balance_prefix_levels(spark, sf):
-    p = FeedParams()
+    p = feed_params()
     mapped = journal.map_accounts(catalog._coded(spark, sf, p), fixtures.account_mapping(spark, sf), p)
     c = balance.transaction_counts(mapped, ["periodo"], journal.CODE)
     return balance.assign_groups(c, ["periodo"], journal.CODE, p.large_limit, p.bucket_length)

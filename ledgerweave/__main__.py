@@ -1,57 +1,43 @@
-"""Command line: run the feed and export its reports with the exporter's argument dictionary.
+"""Command line: run the feed over parquet tables and export its reports.
 
-    python -m ledgerweave --movements PATH --mapping PATH --run-log PATH --root PATH '<json args>'
+    python -m ledgerweave --movements PATH --mapping PATH --run-log PATH --report-master PATH --report-document PATH
+                          --master NAME --source NAME --book NAME --from 20240105 [--to 20240107] --root PATH
     (or spark-submit ledgerweave/__main__.py ... with the package on the Python path)
 
-The JSON (or Python-literal) dictionary uses the reference exporter's names:
-``NOMBRE_REPORTE``, ``FECHA_INICIAL`` / ``FECHA_FINAL`` or ``dict_dates``,
-``FUENTE_FAH``, ``COLUMNAS_EXCLUIR``.  Tables are parquet paths (the
-movements table partitioned by ``PERIODO`` is pruned to the run's days).
-The summary is printed as one JSON line.
+The movements table is pruned to the run's days.  The summary is printed as one JSON line.
 """
 
 from __future__ import annotations
 
 import argparse
-import ast
 import json
 import sys
 
 from pyspark.sql import SparkSession
 
-from ledgerweave.plans.run import parse_run_date, run_from_args
+from ledgerweave.params import FeedParams
+from ledgerweave.plans.run import run_days, run_feed
 from ledgerweave.session import ensure_checkpoint_dir
+from ledgerweave.sources.tables import period_predicate
 
-
-def parse_args_dict(text: str) -> dict:
-    """JSON first, then a Python literal (callers sometimes pass ``str(dict)``)."""
-    try:
-        return json.loads(text)
-    except json.JSONDecodeError:
-        value = ast.literal_eval(text)
-        if not isinstance(value, dict):
-            raise ValueError("arguments must be a dictionary")
-        return value
+TABLES = ("movements", "mapping", "run-log", "report-master", "report-document")
 
 
 def main(argv: list[str] | None = None) -> int:
     p = argparse.ArgumentParser(prog="ledgerweave")
-    p.add_argument("--movements", required=True)
-    p.add_argument("--mapping", required=True)
-    p.add_argument("--run-log", required=True)
-    p.add_argument("--root", required=True, help="output folder of this run (shared file system)")
-    p.add_argument("arguments", help="exporter argument dictionary (JSON)")
-    ns = p.parse_args(argv)
-    args = parse_args_dict(ns.arguments)
-    spark = SparkSession.builder.appName(f"ledgerweave-{args.get('NOMBRE_REPORTE', 'run')}").getOrCreate()
+    for name in (*TABLES, "master", "source", "book", "from", "root"):
+        p.add_argument(f"--{name}", required=True)
+    p.add_argument("--to")
+    p.add_argument("--exclude", default="GRUPO,ORDEN", help="technical columns left out of the files")
+    ns = vars(p.parse_args(argv))
+    spark = SparkSession.builder.appName(f"ledgerweave-{ns['master']}").getOrCreate()
     ensure_checkpoint_dir(spark)
-    start = (args.get("dict_dates") or {}).get("fecha_inicio") or args.get("FECHA_INICIAL")
-    movements = spark.read.parquet(ns.movements)
-    if start and "PERIODO" in movements.columns:
-        end = (args.get("dict_dates") or {}).get("fecha_fin") or args.get("FECHA_FINAL") or start
-        movements = movements.where(movements["PERIODO"].between(parse_run_date(start), parse_run_date(end)))
-    result = run_from_args(spark, movements, spark.read.parquet(ns.mapping), spark.read.parquet(ns.run_log),
-                           args, root=ns.root)
+    movements, mapping, log, master, document = (spark.read.parquet(ns[t.replace("-", "_")]) for t in TABLES)
+    days = run_days(ns["from"], ns["to"])
+    excluded = tuple(c.strip().upper() for c in ns["exclude"].split(",") if c.strip()) + ("PERIODO",)
+    result = run_feed(spark, movements.where(period_predicate("PERIODO", days)), mapping, log,
+                      FeedParams(source=ns["source"], book=ns["book"], periods=days), (master, document), ns["master"],
+                      ns["root"], excluded=excluded)
     print(json.dumps(result["summary"], ensure_ascii=False, default=str))
     return 0
 

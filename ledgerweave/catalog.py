@@ -15,21 +15,25 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerweave import params as P
 from ledgerweave.functions.columns import format_date, lpad_zero, normalise_date, parse_tag, source_from_name
 from ledgerweave.operators import balance, journal, numbering, reports, runlog
 from ledgerweave.params import FeedParams
 from ledgerweave.plans import export, product
-from ledgerweave.plans.run import METADATA_ARGS, export_feed
+from ledgerweave.plans.run import METADATA_VERSION, export_feed
 from ledgerweave.plans.tables import overwrite_partitions, replace_table
 from ledgerweave.session import materialize, work_dir
 from ledgerweave.sources import fixtures, registry
+from ledgerweave.sources.fixtures import feed_params
 from ledgerweave.sources.tables import read_table
 from ledgerweave.streaming.daily_feed import start_daily_feed
 
 # The one-day queries run the busiest day of the movements (the heaviest daily
 # run; earliest on ties), with the re-run digit and limits of FIXTURES §3.
 DAY_SETTINGS = dict(rerun=3, large_limit=3, bin_width=100)
+# Reports, routing and export run with limits that give every day several groups and some large transactions;
+# lines are numbered with narrow slices, of which the fuller ones count as hot.
+REPORT_SETTINGS = dict(large_limit=8, bin_width=40)
+HOT_SETTINGS = dict(line_block=50, hot_slice_rows=4)
 RUN_TS = dt.datetime(2026, 1, 1, 0, 0, 0)
 DELIVERY = "delivery"              # relative root of file paths in the manifest queries
 MONTH_LIMIT = 750                  # balance of lineitem by ship month (FIXTURES §3)
@@ -41,12 +45,13 @@ def _inputs(spark: SparkSession, sf: str):
     return fixtures.movements(spark, sf), fixtures.account_mapping(spark, sf), fixtures.run_log(spark, sf)
 
 
-def _product(spark: SparkSession, sf: str, params: FeedParams = FeedParams()) -> DataFrame:
+def _product(spark: SparkSession, sf: str, params: FeedParams | None = None) -> DataFrame:
+    """The product, with the settings of the report queries unless others are given."""
     mov, mp, log = _inputs(spark, sf)
-    return product.ledger_product(mov, mp, log, params)
+    return product.ledger_product(mov, mp, log, params or feed_params(**REPORT_SETTINGS))
 
 
-def _product_table(spark: SparkSession, sf: str, params: FeedParams = FeedParams()) -> DataFrame:
+def _product_table(spark: SparkSession, sf: str, params: FeedParams | None = None) -> DataFrame:
     """The product written as its daily-partitioned table and read back (as the exporter reads it).
 
     Used where several reports read the product: they scan the table instead
@@ -67,24 +72,28 @@ def _unp(spark: SparkSession, sf: str) -> DataFrame:
     return journal.unpivot_movements(journal.filter_period(journal.movements_projection(mov), None))
 
 
-def _coded(spark: SparkSession, sf: str, params: FeedParams = FeedParams()) -> DataFrame:
+def _coded(spark: SparkSession, sf: str, params: FeedParams | None = None) -> DataFrame:
     mov, _, log = _inputs(spark, sf)
-    return journal.coded_lines(mov, log, params)
+    return journal.coded_lines(mov, log, params or feed_params())
 
 
 # ---------------------------------------------------------------- product and its stages
 
 def q_ledger_product(spark, sf):
-    return _product(spark, sf)
+    return _product(spark, sf, feed_params())
+
+
+def q_ledger_product_hot(spark, sf):
+    return _product(spark, sf, feed_params(**REPORT_SETTINGS, **HOT_SETTINGS))
 
 
 def q_ledger_product_day(spark, sf):
-    return _product(spark, sf, FeedParams(periods=(busiest_day(spark, sf),), **DAY_SETTINGS))
+    return _product(spark, sf, feed_params(periods=(busiest_day(spark, sf),), **DAY_SETTINGS))
 
 
 def q_journal_lines(spark, sf):
     mov, mp, log = _inputs(spark, sf)
-    return product.journal_lines(mov, mp, log, FeedParams())
+    return product.journal_lines(mov, mp, log, feed_params())
 
 
 def q_scan_movements(spark, sf):
@@ -115,11 +124,11 @@ def q_unpivot_movements(spark, sf):
 
 
 def q_scan_mapping(spark, sf):
-    return journal.mapping_for(fixtures.account_mapping(spark, sf), FeedParams())
+    return journal.mapping_for(fixtures.account_mapping(spark, sf), feed_params())
 
 
 def q_cross_join_counter(spark, sf):
-    return journal.attach_rerun(_unp(spark, sf), fixtures.run_log(spark, sf), FeedParams())
+    return journal.attach_rerun(_unp(spark, sf), fixtures.run_log(spark, sf), feed_params())
 
 
 def q_reprocess_counter(spark, sf):
@@ -131,37 +140,36 @@ def q_transaction_code(spark, sf):
 
 
 def q_line_numbers(spark, sf):
-    p = FeedParams()
+    p = feed_params(**HOT_SETTINGS)
     coded = materialize(_coded(spark, sf, p), "coded_lines")     # feeds the numbering and the slice counts
-    out = numbering.ordered_row_number(coded, ["periodo", journal.TKEY], journal.line_order(),
-                                       "consecutivo_extraccion", p.line_block, "contador_linea",
-                                       journal.LINE_ORDER, p.hot_slice_limit)
+    out = numbering.ordered_row_number(coded, ["periodo", journal.TKEY], journal.LINE_ORDER, p.line_block,
+                                       "contador_linea", p.hot_slice_limit)
     return out.drop(journal.TKEY)
 
 
 def q_map_accounts(spark, sf):
-    return journal.map_accounts(_unp(spark, sf), fixtures.account_mapping(spark, sf), FeedParams())
+    return journal.map_accounts(_unp(spark, sf), fixtures.account_mapping(spark, sf), feed_params())
 
 
 def q_constant_columns(spark, sf):
-    return journal.constant_columns(_unp(spark, sf), FeedParams())
+    return journal.constant_columns(_unp(spark, sf), feed_params())
 
 
 def q_parameter_column(spark, sf):
     _unp(spark, sf).createOrReplaceTempView("lw_lines")
     return spark.sql("SELECT periodo, consecutivo_extraccion, naturaleza, valor_movimiento, "
-                     ":libro AS tipo_libro_contable FROM lw_lines", args={"libro": P.BOOK})
+                     ":libro AS tipo_libro_contable FROM lw_lines", args={"libro": fixtures.BOOK})
 
 
 def q_transaction_counts(spark, sf):
-    p = FeedParams()
+    p = feed_params()
     mapped = journal.map_accounts(_coded(spark, sf, p), fixtures.account_mapping(spark, sf), p)
     return balance.transaction_counts(mapped, ["periodo"], journal.CODE)
 
 
 def q_pending_periods(spark, sf):
     mov, _, log = _inputs(spark, sf)
-    return product.pending_periods(mov, log, P.SOURCE)
+    return product.pending_periods(mov, log, fixtures.SOURCE)
 
 
 # ---------------------------------------------------------------- balancing, generic form
@@ -202,7 +210,7 @@ def q_assign_groups_join(spark, sf):
 # ---------------------------------------------------------------- reports
 
 def q_report_metadata(spark, sf):
-    return reports.report_metadata(_product(spark, sf))
+    return reports.report_metadata(_product(spark, sf), fixtures.SOURCE)
 
 
 def q_report_header(spark, sf):
@@ -246,95 +254,120 @@ def q_output_columns(spark, sf):
 
 
 def q_group_routing(spark, sf):
-    ctl = reports.report_control(_product(spark, sf))
-    return export.group_routing(ctl).select("periodo_formateado", "tipo_registro", "recuento", "_file_group")
+    """Lines of which some have no group: January days none at all, other days every fifth line."""
+    g = (F.when(F.month("periodo") == 1, F.lit(None)).when(F.col("contador_linea") % 5 == 0, F.lit(0))
+         .otherwise(F.col("grupo_salida")))
+    lines = _product_table(spark, sf).select("periodo", "codigo_transaccion", "contador_linea", "cuenta", g.alias("grupo"))
+    return export.group_routing(lines).select("periodo", "codigo_transaccion", "contador_linea", "cuenta", "_file_group")
 
 
-def _spec(name: str) -> export.ReportSpec:
-    for row in registry.REPORT_ROWS:
-        if row[1] == name:
-            return export.ReportSpec(name=name, query=row[6], encoding=row[7], template=row[8], extension=row[9],
-                                     delimiter=row[10], header=row[11])
-    raise KeyError(name)
+SPECS: dict[str, export.ReportSpec] = {
+    kind: export.ReportSpec(name=registry.report_name(kind, fixtures.SOURCE), query=text, encoding=encoding,
+                            template=registry.NAME_TEMPLATE.format(prefix=prefix, source=fixtures.SOURCE),
+                            extension=extension, delimiter=delimiter, header=header)
+    for kind, (_, text, encoding, prefix, extension, delimiter, header) in registry.REPORT_KINDS.items() if kind != "ZIP"}
 
 
-def _rendered(spark, sf, name: str) -> DataFrame:
-    df = reports.REPORTS[name](_product(spark, sf))
-    return export.render_report(df, _spec(name))
+def _report(kind: str, prod: DataFrame) -> DataFrame:
+    return reports.report_metadata(prod, fixtures.SOURCE) if kind == "METADATA" else reports.REPORTS[kind](prod)
+
+
+def _files(prod: DataFrame, kinds=registry.KINDS) -> DataFrame:
+    """Manifest of the reports over a written product table."""
+    specs = {SPECS[k].name: SPECS[k] for k in kinds}
+    rows = export.file_rows(specs, {}, export.product_counts(prod))
+    return export.manifest(rows, specs, 1, DELIVERY)
 
 
 def q_report_split_by_group(spark, sf):
-    r = _rendered(spark, sf, "ARCHIVO_CONTROL_DAVIBANK")
-    return r.select("report", "periodo", "grupo", "chunk", "value")
+    r = export.render_report(_report("CONTROL", _product(spark, sf)), SPECS["CONTROL"])
+    return r.select("report", "periodo", "grupo", "parte", "value")
 
 
 def q_report_header_row(spark, sf):
-    r = _rendered(spark, sf, "ARCHIVO_HEADER_DAVIBANK")
-    return r.where(F.col("_ord") == 0).select("report", "periodo", "grupo", "value")
+    heads = {SPECS["HEADER"].name: ",".join(n for n, _ in reports.header_layout())}
+    return export.header_rows(_files(_product(spark, sf)), heads).select("report", "periodo", "grupo", "value")
+
+
+def _written(spark, sf, kinds) -> tuple[DataFrame, str, DataFrame]:
+    """Manifest, folder and product of reports written to staging."""
+    prod = _product_table(spark, sf)
+    specs = {SPECS[k].name: SPECS[k] for k in kinds}
+    loaded = {SPECS[k].name: _report(k, prod) for k in kinds}
+    files = materialize(_files(prod, kinds), "manifest")
+    path = work_dir(spark, f"sink-{uuid.uuid4().hex}")
+    export.write_files({n: export.render_report(df, specs[n]) for n, df in loaded.items()}, specs, files, path, loaded=loaded)
+    return files, path, prod
+
+
+def _read_back(spark, files: DataFrame, path: str, encoding: str) -> DataFrame:
+    """Lines of staged files with the file they are in and their place."""
+    folder = f"{path}/{export.encoding_dir(encoding)}"
+    text = (spark.read.option("basePath", folder).option("encoding", encoding).text(folder).withColumn("id", F.col("id").cast("string"))
+            .withColumn("at", F.monotonically_increasing_id()))
+    return text.join(files.select("id", "report", "periodo", "grupo", "parte"), "id")
 
 
 def q_sink_report_lines(spark, sf):
-    path = work_dir(spark, f"sink-lines-{uuid.uuid4().hex}")
-    export.write_rendered(_rendered(spark, sf, "ARCHIVO_LINES_DAVIBANK"), path)
-    back = spark.read.option("basePath", path).text(path)
-    return back.select(F.col("report").cast("string"), F.col("periodo").cast("date"),
-                       F.col("grupo").cast("string"), F.col("chunk").cast("long"), "value")
+    files, path, _ = _written(spark, sf, ["LINES"])
+    return _read_back(spark, files, path, "UTF-8").select("report", "periodo", "grupo", "parte", "value")
 
 
-def _manifest(spark, sf) -> DataFrame:
-    prod = _product_table(spark, sf)
-    specs = {n: _spec(n) for n in reports.REPORTS}
-    rendered = {n: export.render_report(fn(prod), specs[n]) for n, fn in reports.REPORTS.items()}
-    return export.manifest(rendered, specs, 1, DELIVERY)
+def q_file_order(spark, sf):
+    """O1, O2: of every file the first and last data lines in file order, and how many lines are out of it."""
+    files, path, _ = _written(spark, sf, ["HEADER", "LINES", "CONTROL"])
+    back = _read_back(spark, files, path, "UTF-8").where(~F.col("value").startswith("TRANSACTION_NUMBER,"))
+    return (back.groupBy("report", "periodo", "grupo")
+            .agg(F.min_by("value", "at").alias("primera"), F.max_by("value", "at").alias("ultima"), F.count(F.lit(1)).alias("lineas")))
 
 
 def q_run_manifest(spark, sf):
-    return _manifest(spark, sf)
+    return _files(_product_table(spark, sf)).drop("id")
 
 
 def q_file_names(spark, sf):
-    return _manifest(spark, sf).select("report", "periodo", "grupo", "archivo")
+    return _files(_product_table(spark, sf)).select("report", "periodo", "grupo", "archivo")
 
 
 def q_trailer_line(spark, sf):
-    return _manifest(spark, sf).select("report", "periodo", "grupo", "trailer")
+    return _files(_product_table(spark, sf)).select("report", "periodo", "grupo", "trailer")
 
 
 def q_run_summary(spark, sf):
-    m = _manifest(spark, sf)
-    return m.agg(F.count(F.lit(1)).alias("archivos"), F.sum("registros").alias("registros_leidos"),
-                 F.sum("registros").alias("registros_escritos"),
-                 F.countDistinct("periodo").alias("periodos"))
+    return _files(_product_table(spark, sf)).agg(
+        F.count(F.lit(1)).alias("archivos"), F.sum("registros").alias("registros_leidos"),
+        F.sum("registros").alias("registros_escritos"), F.countDistinct("periodo").alias("periodos"))
 
 
 def q_query_source(spark, sf):
     _product(spark, sf).createOrReplaceTempView("ledger_product")
-    return spark.sql(registry.CONTROL_SQL)
+    return spark.sql(registry.CONTROL_SQL, args={"desde": None, "hasta": None})
 
 
 def q_query_parameters(spark, sf):
+    """A stored text with its parameters bound: version, application and the days of the run (the first half of 1996)."""
     _product(spark, sf).createOrReplaceTempView("ledger_product")
-    return spark.sql(registry.METADATA_SQL, args=METADATA_ARGS)
+    days = (dt.date(1996, 1, 1), dt.date(1996, 6, 1))
+    return spark.sql(registry.METADATA_SQL, args=export.report_args(fixtures.SOURCE, METADATA_VERSION, days))
 
 
 def q_sink_replace_table(spark, sf):
     path = work_dir(spark, f"product-{uuid.uuid4().hex}")
-    return replace_table(_product(spark, sf), path)
+    return replace_table(_product(spark, sf, feed_params()), path)
 
 
 def q_sink_overwrite_partition(spark, sf):
     path = work_dir(spark, f"product-{uuid.uuid4().hex}")
-    replace_table(_product(spark, sf), path)
+    replace_table(_product(spark, sf, feed_params()), path)
     day = busiest_day(spark, sf)
-    return overwrite_partitions(_product(spark, sf, FeedParams(periods=(day,), rerun=3)), path)
+    return overwrite_partitions(_product(spark, sf, feed_params(periods=(day,), rerun=3)), path)
 
 
 def q_run_log_upsert(spark, sf):
     mov, _, log = _inputs(spark, sf)
     keys = (log.select(*runlog.KEYS)
-            .unionByName(runlog.keys_of(journal.filter_period(journal.movements_projection(mov), None), P.SOURCE)))
-    updates = runlog.planned_updates(log, keys, RUN_TS)
-    return runlog.run_log_upsert(log, updates)
+            .unionByName(runlog.keys_of(journal.filter_period(journal.movements_projection(mov), None), fixtures.SOURCE)))
+    return runlog.run_log_upsert(log, runlog.planned_updates(runlog.next_numbers(log, keys), RUN_TS))
 
 
 # ---------------------------------------------------------------- scalar functions over data
@@ -378,7 +411,7 @@ def q_daily_feed(spark, sf):
     mov = fixtures.movements(spark, sf)
     mov.write.partitionBy("PERIODO").parquet(f"{root}/movements")
     q = start_daily_feed(spark, f"{root}/movements", mov.schema, fixtures.account_mapping(spark, sf),
-                         fixtures.run_log(spark, sf), f"{root}/product", f"{root}/checkpoint")
+                         fixtures.run_log(spark, sf), f"{root}/product", f"{root}/checkpoint", feed_params())
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
@@ -386,21 +419,21 @@ def q_daily_feed(spark, sf):
 
 
 def q_export_run(spark, sf):
-    result = export_feed(spark, sf, periods=None)
-    return result["files"]
+    """A whole run; the delivered files are read again and counted: (file name, lines)."""
+    result = export_feed(spark, sf, feed_params(**REPORT_SETTINGS))
+    name = F.regexp_extract(F.input_file_name(), r"([^/]+)$", 1)
+    return spark.read.text(f"{result['root']}/delivery").groupBy(name.alias("archivo")).agg(F.count(F.lit(1)).alias("lineas"))
 
 
 def q_sink_encoded_report(spark, sf):
-    path = work_dir(spark, f"sink-iso-{uuid.uuid4().hex}")
-    name = "ARCHIVO_METADATA_DAVIBANK"
-    export.write_rendered(_rendered(spark, sf, name), path, _spec(name).encoding)
-    back = spark.read.option("basePath", path).option("encoding", _spec(name).encoding).text(path)
-    return back.select(F.col("grupo").cast("string"), F.col("periodo").cast("date"), "value")
+    files, path, _ = _written(spark, sf, ["METADATA"])
+    return _read_back(spark, files, path, "ISO-8859-1").select("grupo", "periodo", "value")
 
 
 QUERIES: dict[str, Query] = {
     "ledger_product": q_ledger_product,
     "ledger_product_day": q_ledger_product_day,
+    "ledger_product_hot": q_ledger_product_hot,
     "journal_lines": q_journal_lines,
     "scan_movements": q_scan_movements,
     "movements_projection": q_movements_projection,
@@ -437,6 +470,7 @@ QUERIES: dict[str, Query] = {
     "report_split_by_group": q_report_split_by_group,
     "report_header_row": q_report_header_row,
     "sink_report_lines": q_sink_report_lines,
+    "file_order": q_file_order,
     "run_manifest": q_run_manifest,
     "file_names": q_file_names,
     "trailer_line": q_trailer_line,
@@ -455,7 +489,3 @@ QUERIES: dict[str, Query] = {
     "export_run": q_export_run,
     "sink_encoded_report": q_sink_encoded_report,
 }
-
-# Keys checked by row count only (they write files; their text equals the
-# rendered lines checked by sink_report_lines / report_* oracles).
-ROWS_ONLY = {"export_run", "sink_encoded_report"}

@@ -118,13 +118,13 @@ def mapping_for(mapping: DataFrame, params: FeedParams) -> DataFrame:
 
 
 def prepared_mapping(mapping: DataFrame, params: FeedParams) -> DataFrame:
-    """The mapping rows of this run, marked for broadcast when their row count is under the limit.
+    """The mapping rows of this run, marked for broadcast when their values fit the byte limit.
 
-    The count is one small job on the dimension table; beyond the limit the
+    The check is one small job on the dimension table; beyond the limit the
     join stays a sort-merge join (AQE splits a hot account).  Prepare once and
     pass ``prepared=True`` to every join of the run.
     """
-    return broadcast_if_small(mapping_for(mapping, params), params.broadcast_row_limit)
+    return broadcast_if_small(mapping_for(mapping, params), params.broadcast_bytes)
 
 
 def map_accounts(lines: DataFrame, mapping: DataFrame, params: FeedParams, account: str = "ctacon",

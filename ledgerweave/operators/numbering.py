@@ -13,10 +13,8 @@ The data is shuffled once, on (keys, slice).  The per-slice counts are read
 from the same exchange and joined back co-partitioned, so only the small
 count table moves again.
 
-``range_row_number`` is the fallback for a slice that is itself hot (many
-rows sharing one value of the first ordering column): range partitioning on
-the full order plus a unique tag, local runs per partition, and shifts for
-the keys that cross a partition boundary.
+A slice that is itself hot (many rows sharing one value of the first ordering
+column) is cut further, and only its rows are: see ``hot_numbers``.
 """
 
 from __future__ import annotations
@@ -25,9 +23,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from ledgerweave.session import keep, materialize
+from ledgerweave.session import keep
 
 SLICE = "_slice"
 LOCAL_RN = "_rn_local"
@@ -73,97 +70,73 @@ def slice_offsets(sliced: DataFrame, keys: Sequence[str]) -> DataFrame:
     return counts.withColumn(SLICE_OFFSET, F.coalesce(F.sum(SLICE_ROWS).over(w), F.lit(0)).cast("long"))
 
 
-def ordered_row_number(df: DataFrame, keys: Sequence[str], order: Sequence[Column], order_col: str,
-                       block: int, out: str, order_cols: Sequence[str] | None = None,
-                       hot_limit: int | None = None) -> DataFrame:
-    """Exact row number per key, computed slice by slice.
+def ordered_row_number(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str], block: int, out: str,
+                       hot_rows: int) -> DataFrame:
+    """Exact row number per key (``order_cols`` ascending, NULL first), computed slice by slice.
 
     ``keys`` must be non-null surrogate columns (NULL keys still form one
     group, as in a window, when mapped to a value no real key takes).
-    ``order[0]`` must be ascending on ``order_col``.  With ``hot_limit`` and
-    ``order_cols`` (the plain column names of ``order``), a slice above that
-    many rows switches to ``range_row_number``; ``df`` should then be a
-    materialised table.
+    ``df`` must be a materialised table: it is read by several branches.
     """
-    sliced = add_slices(df, order_col, block)
+    sliced = add_slices(df, order_cols[0], block)
     offsets = keep(slice_offsets(sliced, keys))
-    if hot_limit is not None and order_cols is not None:
-        hottest = offsets.agg(F.max(SLICE_ROWS)).first()[0] or 0
-        if hottest > hot_limit:
-            parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-            return range_row_number(df, keys, order_cols, out, parts)
-    numbered = local_numbers(sliced, keys, order)
-    joined = numbered.join(offsets.select(*keys, SLICE, SLICE_OFFSET), [*keys, SLICE])
-    return joined.withColumn(out, F.col(LOCAL_RN) + F.col(SLICE_OFFSET)).drop(LOCAL_RN, SLICE_OFFSET, SLICE)
+    return numbered_lines(sliced, offsets, keys, order_cols, out, hot_rows).drop(SLICE)
 
 
-# ---------------------------------------------------------------- fallback for hot slices
+def numbered_lines(sliced: DataFrame, offsets: DataFrame, keys: Sequence[str], order_cols: Sequence[str], out: str,
+                   hot_rows: int, carried: Sequence[str] = ()) -> DataFrame:
+    """``sliced`` with ``out``: the local number plus the offset of the slice.
 
-PID = "_pid"
-COPY = "_copy"
+    ``offsets`` has one row per (keys, slice): SLICE_ROWS, SLICE_OFFSET and columns ``carried`` to the lines.  Rows of slices above ``hot_rows`` take
+    their local number from ``hot_numbers``; the others from one window.  Both branches are always in the plan, so the
+    form does not depend on the data; without hot slices the second one is empty.
+    """
+    of_slice = [*keys, SLICE]
+    hot = offsets.where(F.col(SLICE_ROWS) > hot_rows).select(*of_slice, SLICE_OFFSET, *carried)
+    order = [F.col(c).asc_nulls_first() for c in order_cols]
+    cold = local_numbers(sliced, keys, order).join(
+        offsets.where(F.col(SLICE_ROWS) <= hot_rows).select(*of_slice, SLICE_OFFSET, *carried), of_slice)
+    warm = hot_numbers(sliced.withColumn(TAG, F.monotonically_increasing_id()).join(hot, of_slice), of_slice, order_cols)
+    both = cold.unionByName(warm)
+    return both.withColumn(out, F.col(LOCAL_RN) + F.col(SLICE_OFFSET)).drop(LOCAL_RN, SLICE_OFFSET)
 
 
-def _local_runs(key_cols: list[str]):
-    """mapInPandas body: partition id and row number inside each run of equal keys.
+# ---------------------------------------------------------------- rows of hot slices
 
-    The partition arrives sorted; a run that continues across Arrow batches
-    keeps counting.  Vectorised per batch (numpy), no per-row Python.
-    """
-    def run(batches):
-        import numpy as np
-        from pyspark import TaskContext
-        pid = TaskContext.get().partitionId()
-        last_key, carried = None, 0
-        for pdf in batches:
-            n = len(pdf)
-            if n == 0:
-                continue
-            cols = [pdf[c].to_numpy() for c in key_cols]
-            change = np.zeros(n, dtype=bool)
-            change[0] = True
-            for v in cols:
-                change[1:] |= v[1:] != v[:-1]
-            idx = np.arange(n)
-            local = idx - np.maximum.accumulate(np.where(change, idx, 0)) + 1
-            first = tuple(v[0] for v in cols)
-            if last_key is not None and first == last_key:
-                first_run_end = np.argmax(change[1:]) + 1 if change[1:].any() else n
-                local[:first_run_end] += carried
-            carried = int(local[-1])
-            last_key = tuple(v[-1] for v in cols)
-            yield pdf.assign(**{PID: pid, LOCAL_RN: local.astype("int64")})
-    return run
-
-
-def range_row_number(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str], out: str,
-                     partitions: int) -> DataFrame:
-    """Exact row number per key for any distribution of the order columns.
-
-    Rows get a unique tag (``monotonically_increasing_id`` on a materialised
-    input, so it is stable on re-execution) that breaks ties among rows equal
-    in every order column -- such rows are interchangeable.  The rows are
-    range-partitioned on (keys, order, tag), so a hot key, or a hot group of
-    copies, spans several partitions.  Each partition numbers its runs of
-    equal keys (Arrow batches in ``mapInPandas``).  A key that continues from
-    earlier partitions is shifted by the rows it has there; only keys that
-    cross a partition boundary need a shift, at most two rows per partition,
-    so that table is broadcast.  ``df`` should be a materialised table.
+TAG = "_tag"
+PART = "_part"
+PARTS = 64
+
+
+def hot_numbers(rows: DataFrame, keys: Sequence[str], order_cols: Sequence[str], split: int = 3) -> DataFrame:
+    """``rows`` (with TAG) plus LOCAL_RN: the exact row number within ``keys``, without a window over all rows of a key.
+
+    Rows equal in every order column are interchangeable, so they are dealt to PARTS parts by their tag and numbered inside
+    a part.  The numbers are shifted level by level, each level one aggregation and one window over its own distinct
+    values: the parts of equal rows, the distinct rows of one value of the first ``split`` order columns, those values
+    within the key.  The tag is stable because the input is a materialised table.
     """
-    keys, order_cols = list(keys), list(order_cols)
-    tagged = df.withColumn(COPY, F.monotonically_increasing_id())
-    sort_cols = [*keys, *order_cols, COPY]
-    ranged = (tagged.repartitionByRange(int(partitions), *[F.col(c).asc_nulls_first() for c in sort_cols])
-              .sortWithinPartitions(*[F.col(c).asc_nulls_first() for c in sort_cols]))
-    schema = T.StructType(ranged.schema.fields + [T.StructField(PID, T.IntegerType()),
-                                                  T.StructField(LOCAL_RN, T.LongType())])
-    numbered = ranged.mapInPandas(_local_runs(keys), schema)
-    numbered = materialize(numbered, "range_numbered")
-    # rows of each key per partition; a key present in several partitions is shifted by its rows before
-    per_part = numbered.groupBy(PID, *keys).agg(F.max(LOCAL_RN).alias("_rows"))
-    w = Window.partitionBy(*keys).orderBy(PID).rowsBetween(Window.unboundedPreceding, -1)
-    shifts = (per_part.withColumn("_shift", F.sum("_rows").over(w)).where(F.col("_shift") > 0)
-              .select(F.col(PID).alias("_spid"), *[F.col(k).alias(f"_sk{i}") for i, k in enumerate(keys)],
-                      "_shift"))
-    cond = [F.col(PID) == F.col("_spid")] + [F.col(k).eqNullSafe(F.col(f"_sk{i}")) for i, k in enumerate(keys)]
-    joined = numbered.join(F.broadcast(shifts), cond, "left")
-    return joined.select(*df.columns, (F.col(LOCAL_RN) + F.coalesce(F.col("_shift"), F.lit(0))).alias(out))
+    keys, order = list(keys), list(order_cols)
+    head = order[:split]
+    rows = rows.withColumn(PART, F.pmod(F.xxhash64(TAG), F.lit(PARTS)))
+    counts = rows.groupBy(*keys, *order, PART).agg(F.count(F.lit(1)).alias("_n"))     # combined map-side
+    first = lambda cols: [F.col(c).asc_nulls_first() for c in cols]
+    before = lambda part, by, v: F.coalesce(F.sum(v).over(Window.partitionBy(*part).orderBy(*first(by)).rowsBetween(
+        Window.unboundedPreceding, -1)), F.lit(0))
+    parts = counts.withColumn("_in_copies", before([*keys, *order], [PART], "_n"))
+    tuples = counts.groupBy(*keys, *order).agg(F.sum("_n").alias("_n"))
+    heads = tuples.groupBy(*keys, *head).agg(F.sum("_n").alias("_n"))
+    tuples = tuples.withColumn("_in_head", before([*keys, *head], order[split:], "_n")).drop("_n")
+    heads = heads.withColumn("_in_key", before(keys, head, "_n")).drop("_n")
+
+    def joined(left: DataFrame, right: DataFrame, on: Sequence[str], value: str) -> DataFrame:
+        r = right.select(*[F.col(c).alias(f"_r_{c}") for c in on], value)
+        cond = [left[c].eqNullSafe(r[f"_r_{c}"]) for c in on]
+        return left.join(r, cond).drop(*[f"_r_{c}" for c in on])
+
+    shifts = joined(joined(parts.drop("_n"), tuples, [*keys, *order], "_in_head"), heads, [*keys, *head], "_in_key")
+    shifts = shifts.withColumn("_shift", F.col("_in_copies") + F.col("_in_head") + F.col("_in_key"))
+    w = Window.partitionBy(*keys, *order, PART).orderBy(TAG)
+    local = rows.withColumn(LOCAL_RN, F.row_number().over(w).cast("long"))
+    out = joined(local, shifts, [*keys, *order, PART], "_shift")
+    return out.withColumn(LOCAL_RN, F.col(LOCAL_RN) + F.col("_shift")).drop("_shift", PART, TAG)

@@ -26,11 +26,8 @@ def keyed_replace(current: DataFrame, incoming: DataFrame, keys: Sequence[str])
 
 def registry_join(document: DataFrame, master: DataFrame) -> DataFrame:
     """Document settings joined to their master row on (id, product name)."""
-    m = master.select("ID_PRODUCTO_DATOS", "NOMBRE_PRODUCTO_DATOS", "QUERY", "DATASET_DESTINO_MST", "TAG_NEGOCIO",
-                      "NOMBRE_TABLA", "ID_TIPO_PROCESO", "CATEGORIA_VOLUMETRIA", "AUTOMATIZACION", "PERIODICIDAD",
-                      "FLAG_NOTIFICACION", "CORREO_NOTIFICACION", "ASUNTO", "CUERPO", "FLG_ADJUNTOS")
-    d = document.drop("FECHA_REGISTRO")
-    return d.join(m, ["ID_PRODUCTO_DATOS", "NOMBRE_PRODUCTO_DATOS"])
+    m = master.select("ID_PRODUCTO_DATOS", "NOMBRE_PRODUCTO_DATOS", "QUERY", "TAG_NEGOCIO")
+    return document.join(m, ["ID_PRODUCTO_DATOS", "NOMBRE_PRODUCTO_DATOS"])
 
 
 def master_lookup(document: DataFrame, master: DataFrame, report_name: str) -> DataFrame:

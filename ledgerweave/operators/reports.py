@@ -11,16 +11,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerweave.functions.columns import format_date
-from ledgerweave.params import EVENT_TYPE
 
 GROUP = "grupo"
 PERIOD = "periodo"
 
-# Fixed values of the metadata report (ORDEN, text).
-METADATA_LINES = [
-    (1, "Metadata version number : ", "3"),
-    (2, "Application Short Name : ", EVENT_TYPE),
-]
+# Fixed values of the metadata report: version and the texts before it and before the application's name.
+METADATA_VERSION = "3"
+METADATA_TEXTS = ("Metadata version number : ", "Application Short Name : ")
 
 
 def _null(name: str) -> Column:
@@ -78,13 +75,13 @@ def apply_layout(layout: list[tuple[str, str | None]]) -> list[Column]:
     return [_null(n) if e is None else F.expr(e).alias(n) for n, e in layout]
 
 
-def report_metadata(product: DataFrame) -> DataFrame:
+def report_metadata(product: DataFrame, application: str) -> DataFrame:
     """Two text lines per (period, group) (C4): (ORDEN, file_content_string, grupo, periodo)."""
     groups = (product.where(F.col("grupo_salida").isNotNull())
               .select(F.col(PERIOD), F.col("grupo_salida").alias(GROUP)).distinct())
     lines = F.array(*[F.struct(F.lit(o).cast("int").alias("ORDEN"),
                                F.concat(F.lit(a), F.lit(b).cast("string")).alias("file_content_string"))
-                      for o, a, b in METADATA_LINES])
+                      for o, (a, b) in enumerate(zip(METADATA_TEXTS, (METADATA_VERSION, application)), 1)])
     return (groups.select(F.inline(lines), GROUP, PERIOD)
             .select("ORDEN", "file_content_string", GROUP, PERIOD))
 
@@ -128,9 +125,4 @@ def report_control(product: DataFrame) -> DataFrame:
     ).select("periodo_formateado", "tipo_registro", "recuento", GROUP, PERIOD)
 
 
-REPORTS = {
-    "ARCHIVO_METADATA_DAVIBANK": report_metadata,
-    "ARCHIVO_HEADER_DAVIBANK": report_header,
-    "ARCHIVO_LINES_DAVIBANK": report_lines,
-    "ARCHIVO_CONTROL_DAVIBANK": report_control,
-}
+REPORTS = {"METADATA": report_metadata, "HEADER": report_header, "LINES": report_lines, "CONTROL": report_control}

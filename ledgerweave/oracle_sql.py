@@ -1,143 +1,140 @@
-"""DuckDB text of every registered query (the correctness oracle).
+"""DuckDB text of the fixture views and of the product, for the correctness oracle.
 
-The oracle is written the way the reference states each step -- plain
-windows over a whole period, UNION ALL for the unpivot, a correlated
-maximum for the large-group offset -- so it checks the Spark plans
-(prefix-level sums, sliced line numbers) against the direct semantics.
+Written from the meaning of the steps, over a whole period at once and with literals of its own, so that it shares
+nothing with the Spark plans (prefix-level sums, sliced line numbers) but the given tables.
 NULL ordering is spelled out: Spark sorts NULL first, DuckDB last.
 """
 
 from __future__ import annotations
 
-from ledgerweave import params as P
-from ledgerweave.sources.fixtures import MAPPING_SQL, MOVEMENTS_SQL, RUN_LOG_SQL
-
-
-def _nf(cols: list[str]) -> str:
-    return ", ".join(f"{c} NULLS FIRST" for c in cols)
-
-
-LINE_ORDER_SQL = _nf(["consecutivo_extraccion", "naturaleza", "ctacon", "ctrcto", "valor_movimiento",
-                      "moneda_origen_raw", "consecutivo"])
-
-MOV_SQL = """
+SOURCE, BOOK = "SOURCEA", "BOOK_A"
+LIMIT = 150000
+
+# the three input views
+VIEWS = f"""
+movements AS (
+  SELECT CAST(o.o_orderdate AS DATE) AS FECHA_EFECTIVA,
+         CASE WHEN l.l_orderkey % 97 <> 0 THEN CAST(l.l_shipdate AS DATE) END AS FECHA_POSTEO,
+         l.l_partkey AS CTACON, l.l_linestatus AS MONEDA, l.l_suppkey AS CTRCTO, l.l_orderkey AS CONSECUTIVO,
+         o.o_orderpriority AS DESCRIPCION,
+         CASE WHEN l.l_returnflag IN ('R', 'A') THEN CAST(l.l_extendedprice AS DECIMAL(18,2)) END AS VLRDEB,
+         CASE l.l_returnflag WHEN 'N' THEN CAST(l.l_extendedprice AS DECIMAL(18,2))
+              WHEN 'A' THEN CAST(round(l.l_discount * 100) AS DECIMAL(18,2))
+              WHEN 'R' THEN CAST(0 AS DECIMAL(18,2)) END AS VLRCRE,
+         CAST(date_trunc('month', CAST(o.o_orderdate AS DATE)) AS DATE) AS PERIODO,
+         l.l_orderkey * 10 + l.l_linenumber AS CONSECUTIVO_EXTRACCION
+  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
+),
+mapping AS (
+  SELECT '{SOURCE}' AS FUENTE, CASE WHEN p_partkey % 3 <> 0 THEN 'Cuenta' ELSE 'Oficina' END AS CAMPO_ORIGEN,
+         CAST(p_partkey AS VARCHAR) AS VALOR_ORIGEN,
+         unnest(CASE WHEN p_size > 45 THEN [p_brand, p_brand || '-B'] ELSE [p_brand] END) AS VALOR_SALIDA
+  FROM part WHERE p_size > 25
+),
+run_log AS (
+  SELECT event_type AS FUENTE, CAST(ts AS DATE) AS PERIODO_EJECUTADO_FAH,
+         CAST(user_id % 5 AS INTEGER) AS NUM_VECES_REPROCESADO, CAST(ts AS TIMESTAMP) AS ULT_FECHA_DE_CARGUE
+  FROM events
+  UNION ALL
+  SELECT DISTINCT '{SOURCE}', CAST(date_trunc('month', CAST(o_orderdate AS DATE)) AS DATE),
+         CAST(month(CAST(o_orderdate AS DATE)) // 2 - o_orderkey % 3 AS INTEGER), CAST(o_orderdate AS TIMESTAMP)
+  FROM orders WHERE month(CAST(o_orderdate AS DATE)) % 2 = 0 AND o_orderkey % 5 = 0
+),
 movp AS (
   SELECT FECHA_EFECTIVA AS fecha_efectiva, FECHA_POSTEO AS fecha_posteo, CTACON AS ctacon,
          MONEDA AS moneda_origen_raw, CTRCTO AS ctrcto, CONSECUTIVO AS consecutivo,
          DESCRIPCION AS descripcion_origen, VLRDEB AS vlrdeb, VLRCRE AS vlrcre, PERIODO AS periodo,
          CONSECUTIVO_EXTRACCION AS consecutivo_extraccion
   FROM movements
+),
+accounts AS (
+  SELECT VALOR_ORIGEN AS ctacon_text, list(VALOR_SALIDA) AS targets
+  FROM mapping WHERE FUENTE = '{SOURCE}' AND CAMPO_ORIGEN = 'Cuenta' GROUP BY VALOR_ORIGEN
 )"""
 
 
-def mov_sql(period: str | None = None) -> str:
-    """``mov``: projected movements of every non-NULL period, or of one (``period`` is SQL text)."""
-    cond = "periodo IS NOT NULL" if period is None else f"periodo = {period}"
-    return MOV_SQL + f""",
-mov AS (SELECT * FROM movp WHERE {cond})"""
-
-UNPIVOT_SQL = """
+def lines_sql(day: str | None = None) -> str:
+    """``unp``: an entry's two sides as lines, positive ones, of all days or of ``day`` (SQL text)."""
+    return f"""
 unp AS (
-  SELECT *, vlrdeb AS valor_movimiento, '1' AS naturaleza FROM mov WHERE vlrdeb > 0
-  UNION ALL
-  SELECT *, vlrcre AS valor_movimiento, '2' AS naturaleza FROM mov WHERE vlrcre > 0
-)"""
-
-RERUN_SQL = f"""
-rr AS (
-  SELECT PERIODO_EJECUTADO_FAH AS periodo, CAST(MAX(NUM_VECES_REPROCESADO) + 1 AS BIGINT) AS codigo_reproceso
-  FROM run_log WHERE FUENTE = '{P.SOURCE}' GROUP BY PERIODO_EJECUTADO_FAH
+  SELECT m.*, IF(side = '1', vlrdeb, vlrcre) AS valor_movimiento, side AS naturaleza
+  FROM movp m, (VALUES ('1'), ('2')) s(side)
+  WHERE IF(side = '1', vlrdeb, vlrcre) > 0 AND periodo {"IS NOT NULL" if day is None else "= " + day}
 )"""
 
-CODE_EXPR = ("lpad('{v}', 2, '0') || strftime({t}.fecha_efectiva, '%Y%m%d') || strftime({t}.fecha_posteo, '%Y%m%d')"
-             " || lpad(CAST({t}.consecutivo AS VARCHAR), 4, '0') || lpad(CAST({r} AS VARCHAR), 1, '0')")
 
-def coded_sql(rerun: int | None = None, rerun_override: tuple[str, int] | None = None) -> str:
-    """``coded``: lines with the re-run digit (from the log, fixed, or fixed for one day) and the code."""
-    r = "COALESCE(rr.codigo_reproceso, 1)" if rerun is None else f"CAST({int(rerun)} AS BIGINT)"
-    if rerun_override is not None:
-        day, n = rerun_override
-        r = f"CASE WHEN u.periodo = {day} THEN CAST({int(n)} AS BIGINT) ELSE {r} END"
+def coded_sql(rerun: str | None = None) -> str:
+    """``coded``: lines with the number of the run (``rerun``: SQL text instead of the log's) and the code."""
+    logged = (f"COALESCE((SELECT CAST(max(NUM_VECES_REPROCESADO) + 1 AS BIGINT) FROM run_log g "
+              f"WHERE g.FUENTE = '{SOURCE}' AND g.PERIODO_EJECUTADO_FAH = unp.periodo), 1)")
     return f"""
 coded AS (
-  SELECT u.*, {r} AS codigo_reproceso,
-         {CODE_EXPR.format(v=P.VOUCHER_TYPE, t='u', r=r)} AS codigo_transaccion
-  FROM unp u LEFT JOIN rr ON u.periodo = rr.periodo
+  SELECT *, 'AK' || strftime(fecha_efectiva, '%Y%m%d') || strftime(fecha_posteo, '%Y%m%d')
+            || lpad(CAST(consecutivo AS VARCHAR), 4, '0') || left(CAST(codigo_reproceso AS VARCHAR), 1) AS codigo_transaccion
+  FROM (SELECT *, {logged if rerun is None else rerun.replace("$logged", logged)} AS codigo_reproceso FROM unp)
 )"""
 
 
-CODED_SQL = coded_sql()
-
-NUMBERED_SQL = f"""
+# line numbers and accounts in one step: the accounts of a line as a list, so that copies share the number
+NUMBERED = """
 numbered AS (
-  SELECT c.*, ROW_NUMBER() OVER (PARTITION BY periodo, codigo_transaccion ORDER BY {LINE_ORDER_SQL}) AS contador_linea
-  FROM coded c
+  SELECT coded.*, COALESCE(targets, [NULL]) AS targets,
+         row_number() OVER (PARTITION BY periodo, codigo_transaccion ORDER BY consecutivo_extraccion NULLS FIRST,
+           naturaleza NULLS FIRST, ctacon NULLS FIRST, ctrcto NULLS FIRST, valor_movimiento NULLS FIRST,
+           moneda_origen_raw NULLS FIRST, consecutivo NULLS FIRST) AS contador_linea
+  FROM coded LEFT JOIN accounts ON ctacon_text = CAST(ctacon AS VARCHAR)
 )"""
 
-T1_SQL = f"""
-t1 AS (
-  SELECT b.fecha_efectiva, COALESCE(h.VALOR_SALIDA, CAST(b.ctacon AS VARCHAR)) AS cuenta, '{P.CURRENCY}' AS moneda,
-         b.moneda_origen_raw AS moneda_origen, b.ctrcto AS dependencia, b.consecutivo,
-         '{P.EVENT_TYPE}' AS descripcion, b.contador_linea, b.valor_movimiento, b.naturaleza, b.fecha_posteo,
-         '{P.VOUCHER_TYPE}' AS tipo_de_comprobante, CAST(NULL AS VARCHAR) AS referencia, b.codigo_transaccion,
-         '{P.EVENT_TYPE}' AS tipo_evento, '{P.BOOK}' AS tipo_libro_contable, '{P.EVENT_TYPE}' AS origen_transaccion,
-         '{P.SOURCE_DESCRIPTION}' AS desc_origen_transaccion, b.periodo
-  FROM numbered b
-  LEFT JOIN mapping h ON h.FUENTE = '{P.SOURCE}' AND h.CAMPO_ORIGEN = '{P.MAPPED_FIELD}'
-                     AND h.VALOR_ORIGEN = CAST(b.ctacon AS VARCHAR)
+JOURNAL = f"""
+journal AS (
+  SELECT fecha_efectiva, COALESCE(target, CAST(ctacon AS VARCHAR)) AS cuenta, 'COP' AS moneda,
+         moneda_origen_raw AS moneda_origen, ctrcto AS dependencia, consecutivo, '{SOURCE}' AS descripcion,
+         contador_linea, valor_movimiento, naturaleza, fecha_posteo, 'AK' AS tipo_de_comprobante,
+         CAST(NULL AS VARCHAR) AS referencia, codigo_transaccion, '{SOURCE}' AS tipo_evento,
+         '{BOOK}' AS tipo_libro_contable, '{SOURCE}' AS origen_transaccion,
+         'MOVIMIENTO {SOURCE}' AS desc_origen_transaccion, periodo
+  FROM (SELECT *, unnest(targets) AS target FROM numbered)
 )"""
 
 
-def groups_sql(source: str, keys: list[str], code: str, limit: int, name: str = "asg", width: int | None = None) -> str:
-    """Balance CTEs over ``source``: cnt, big, nbig, small and the union ``name``."""
-    k = ", ".join(keys)
-    part = f"PARTITION BY {k} " if keys else ""
-    kj = " AND ".join(f"c.{x} = n.{x}" for x in keys) or "TRUE"
-    kc = ", ".join(f"c.{x}" for x in keys)
-    sel_k = (k + ", ") if keys else ""
-    sel_kc = (kc + ", ") if keys else ""
-    gb = ", ".join(keys + [code])
-    width = width or limit
+def groups_sql(rows: str, code: str, limit: int, width: int | None = None, day: str | None = None) -> str:
+    """``grouped``: per code its lines and group, from one pass over the counts: large codes are counted, the others summed up."""
+    part = f"PARTITION BY {day}" if day else ""
+    head = f"{day}, " if day else ""
     return f"""
-cnt AS (SELECT {gb}, COUNT(*) AS total_registros FROM {source} GROUP BY {gb}),
-big AS (SELECT {sel_k}{code}, DENSE_RANK() OVER ({part}ORDER BY {code} NULLS FIRST) AS grupo_salida
-        FROM cnt WHERE total_registros > {limit}),
-nbig AS (SELECT {sel_k}MAX(grupo_salida) AS m FROM big {"GROUP BY " + k if keys else ""}),
-small AS (SELECT {sel_kc}c.{code},
-                 COALESCE(n.m, 0) + CAST(FLOOR((SUM(c.total_registros) OVER ({"PARTITION BY " + kc + " " if keys else ""}ORDER BY c.{code} NULLS FIRST) - 1) / {width}) + 1 AS BIGINT) AS grupo_salida
-          FROM cnt c LEFT JOIN nbig n ON {kj} WHERE c.total_registros <= {limit}),
-{name} AS (SELECT {sel_k}{code}, grupo_salida FROM big UNION ALL SELECT {sel_k}{code}, grupo_salida FROM small)"""
+counted AS (SELECT {head}{code}, count(*) AS total_registros FROM {rows} GROUP BY ALL),
+grouped AS (
+  SELECT *, total_registros > {limit} AS es_grande,
+         CAST(count(*) FILTER (total_registros > {limit}) OVER upto AS BIGINT) AS grandes_hasta,
+         CAST(sum(total_registros) FILTER (total_registros <= {limit}) OVER upto AS BIGINT) AS acumulado,
+         CAST(IF(total_registros > {limit}, count(*) FILTER (total_registros > {limit}) OVER upto,
+                 count(*) FILTER (total_registros > {limit}) OVER ({part})
+                 + (sum(total_registros) FILTER (total_registros <= {limit}) OVER upto - 1) // {width or limit} + 1) AS BIGINT) AS grupo_salida
+  FROM counted WINDOW upto AS ({part} ORDER BY {code} NULLS FIRST)
+)"""
 
 
-PRODUCT_SELECT = """
+PRODUCT = """
 product AS (
-  SELECT t1.fecha_efectiva, t1.cuenta, t1.moneda, t1.moneda_origen, t1.dependencia, t1.consecutivo, t1.descripcion,
-         t1.contador_linea, t1.valor_movimiento, t1.naturaleza, t1.fecha_posteo, t1.tipo_de_comprobante,
-         t1.referencia, t1.codigo_transaccion, t1.tipo_evento, t1.tipo_libro_contable, t1.origen_transaccion,
-         t1.desc_origen_transaccion, af.grupo_salida, t1.periodo
-  FROM t1 JOIN asg af ON t1.periodo = af.periodo AND t1.codigo_transaccion = af.codigo_transaccion
+  SELECT j.* EXCLUDE (periodo), g.grupo_salida, j.periodo
+  FROM journal j JOIN grouped g USING (periodo, codigo_transaccion)
 )"""
 
-
-def product_ctes(limit: int = P.LARGE_LIMIT, width: int | None = None, period: str | None = None,
-                 rerun: int | None = None, rerun_override: tuple[str, int] | None = None) -> list[str]:
-    """CTEs from the fixture views to ``product`` (all periods, or one)."""
-    return [MOVEMENTS_SQL, MAPPING_SQL, RUN_LOG_SQL, mov_sql(period), UNPIVOT_SQL, RERUN_SQL,
-            coded_sql(rerun, rerun_override),
-            NUMBERED_SQL, T1_SQL, groups_sql("t1", ["periodo"], "codigo_transaccion", limit, width=width),
-            PRODUCT_SELECT]
+# lines and transactions per file group: what the control report and the files are made of
+PER_GROUP = """
+per_group AS (
+  SELECT periodo, grupo_salida AS grupo, count(*) AS lineas, count(DISTINCT codigo_transaccion) AS cabeceras
+  FROM product GROUP BY ALL
+)"""
 
 
-def with_product(limit: int = P.LARGE_LIMIT, width: int | None = None, extra: str = "", period: str | None = None,
-                 rerun: int | None = None, rerun_override: tuple[str, int] | None = None) -> str:
-    """``WITH`` clause ending in the ``product`` CTE, plus ``extra`` CTEs."""
-    ctes = product_ctes(limit, width, period, rerun, rerun_override)
-    if extra:
-        ctes.append(extra)
-    return "WITH " + ",".join(ctes)
+def with_product(limit: int = LIMIT, width: int | None = None, day: str | None = None, rerun: str | None = None,
+                 more: str = "") -> str:
+    """``WITH`` clause ending in ``product`` and ``per_group``, plus ``more`` tables."""
+    parts = [VIEWS, lines_sql(day), coded_sql(rerun), NUMBERED, JOURNAL, groups_sql("journal", "codigo_transaccion", limit, width, "periodo"), PRODUCT, PER_GROUP]
+    return "WITH " + ",".join(parts + ([more] if more else []))
 
 
-def with_base(*ctes: str) -> str:
-    """``WITH`` clause of the three fixture views, the projected/unpivoted lines, plus ``ctes``."""
-    return "WITH " + ",".join([MOVEMENTS_SQL, MAPPING_SQL, RUN_LOG_SQL, mov_sql(), UNPIVOT_SQL, RERUN_SQL,
-                                CODED_SQL, *ctes])
+def with_lines(more: str = "") -> str:
+    """``WITH`` clause of the views, the lines and the coded lines, plus ``more`` tables."""
+    return "WITH " + ",".join([VIEWS, lines_sql(), coded_sql()] + ([more] if more else []))

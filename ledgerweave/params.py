@@ -6,13 +6,9 @@ import datetime as dt
 from dataclasses import dataclass
 
 # Fixed values that must equal the reference's for identical output.
-SOURCE = "DAVIBANK"                       # FUENTE in the run log and the mapping table
 MAPPED_FIELD = "Cuenta"                   # CAMPO_ORIGEN of the account mapping
 VOUCHER_TYPE = "AK"                       # tipo_de_comprobante, first part of the code
 CURRENCY = "COP"                          # moneda
-EVENT_TYPE = "DAVIBANK"                   # tipo_evento, origen_transaccion, descripcion
-SOURCE_DESCRIPTION = "MOVIMIENTO DAVIBANK"  # desc_origen_transaccion
-BOOK = "BIFRS_DAV"                        # tipo_libro_contable (@libro)
 LARGE_LIMIT = 150000                      # lines above which a transaction is its own group; bin width
 CODE_WIDTHS = (2, 4, 1)                   # lpad widths: voucher, sequence, re-run (they truncate too)
 
@@ -21,6 +17,7 @@ CODE_WIDTHS = (2, 4, 1)                   # lpad widths: voucher, sequence, re-r
 class FeedParams:
     """Parameters of one run of the feed.
 
+    ``source`` names the source system (FUENTE in the run log and the mapping) and ``book`` the ledger book.
     ``periods`` limits the run to some processing dates; ``None`` means every
     period present in the source (a backfill is one job, not one job per day).
     ``rerun`` fixes the re-run digit instead of reading it from the run log.
@@ -28,12 +25,12 @@ class FeedParams:
     transaction is cut into for line numbering (bounds the rows per task).
     """
 
-    source: str = SOURCE
-    book: str = BOOK
+    source: str
+    book: str
     voucher: str = VOUCHER_TYPE
     currency: str = CURRENCY
-    event_type: str = EVENT_TYPE
-    source_description: str = SOURCE_DESCRIPTION
+    event_type: str | None = None         # defaults to the source
+    source_description: str | None = None  # defaults to "MOVIMIENTO <source>"
     mapped_field: str = MAPPED_FIELD
     large_limit: int = LARGE_LIMIT
     bin_width: int | None = None          # defaults to large_limit
@@ -43,12 +40,18 @@ class FeedParams:
     periods: tuple[dt.date, ...] | None = None
     rerun: int | None = None
     line_block: int = 1 << 20
-    # lines per slice above which numbering falls back to range partitioning (default 4 * line_block)
+    # a slice with more lines (many sharing one extraction sequence) is cut further (default 4 * line_block)
     hot_slice_rows: int | None = None
-    # rows above which a small side is not broadcast but shuffled (checked by count)
-    broadcast_row_limit: int = 2_000_000
-    # codes per day up to which the group windows run per day (checked); above, prefix levels
-    single_level_max: int | None = 2_000_000
+    # a small side is broadcast only up to this many bytes of values (checked); beyond, it is shuffled
+    broadcast_bytes: int = 8 << 20
+    # lines of a transaction per delivered file; None: one file per group, whatever its size
+    rows_per_file: int | None = None
+
+    def __post_init__(self):
+        if self.event_type is None:
+            object.__setattr__(self, "event_type", self.source)
+        if self.source_description is None:
+            object.__setattr__(self, "source_description", f"MOVIMIENTO {self.source}")
 
     @property
     def hot_slice_limit(self) -> int:

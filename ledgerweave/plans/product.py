@@ -1,7 +1,7 @@
 """The data product (C11): movements -> journal lines -> balanced groups -> 20 columns.
 
-The reference runs four materialised stages for one day.  Here it is one lazy
-plan for any number of days, with one shuffle of the lines:
+The reference runs four materialised stages for one day.  Here it is one plan
+for any number of days, with one shuffle of the lines:
 
 1. scan (period filter and column pruning reach parquet), unpivot in one pass,
    re-run digit per period (broadcast, one row per day), code expression;
@@ -9,15 +9,14 @@ plan for any number of days, with one shuffle of the lines:
    columnar by each branch), then hash-partitioned on (periodo, code,
    slice) -- the only full shuffle of lines;
 3. local line numbers inside each (periodo, code, slice) (W1, see
-   ``operators.numbering``), account mapping (broadcast behind a row-count
-   check), then the group assignment is joined on the same keys, so the
-   lines side does not move again;
+   ``operators.numbering``; rows of a hot slice take a path of their own),
+   account mapping (broadcast behind a byte check), then the group assignment;
 4. per-slice and per-code counts come from one map-side aggregation of the
    work table (``slice_table``), and the group assignment is a multi-level
-   prefix sum over one row per code (``operators.balance``);
-5. one small job over the per-slice table picks the forms: a per-day group
-   window when the largest day's code count is under ``single_level_max``,
-   and range-partitioned numbering when a slice is hot (``hot_slice_limit``).
+   prefix sum over one row per code (``operators.balance``).
+
+Building the frame is not free of work: it writes the work table and checks the size of the mapping (one small job).
+Wrap it in ``session.owned`` to have the work table deleted when the result has been written.
 """
 
 from __future__ import annotations
@@ -28,9 +27,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerweave.operators import balance, numbering
+from ledgerweave.operators.joins import value_bytes
 from ledgerweave.operators.journal import (CODE, JOURNAL_COLUMNS, LINE_ORDER, TKEY, coded_lines, constant_columns,
-                                           line_order, map_accounts, mapping_for, movements_projection,
-                                           prepared_mapping)
+                                           map_accounts, mapping_for, movements_projection, prepared_mapping)
 from ledgerweave.params import FeedParams
 from ledgerweave.session import keep, materialize
 
@@ -54,15 +53,14 @@ def _sliced(movements_src: DataFrame, run_log: DataFrame | None, params: FeedPar
 
 
 def journal_lines(movements_src: DataFrame, mapping: DataFrame, run_log: DataFrame | None,
-                  params: FeedParams = FeedParams()) -> DataFrame:
+                  params: FeedParams) -> DataFrame:
     """Transform 1 (C1): 19 columns, one row per line (NULL-code lines kept).
 
     Lines are numbered before the account mapping, as in the reference, so
     copies made by duplicate mapping rows share a line number.
     """
     sliced = _sliced(movements_src, run_log, params)
-    numbered = numbering.ordered_row_number(sliced, KEYS, line_order(), "consecutivo_extraccion",
-                                            params.line_block, "contador_linea", LINE_ORDER,
+    numbered = numbering.ordered_row_number(sliced, KEYS, LINE_ORDER, params.line_block, "contador_linea",
                                             params.hot_slice_limit)
     mapped = map_accounts(numbered, prepared_mapping(mapping, params), params, prepared=True)
     return constant_columns(mapped, params).select(*JOURNAL_COLUMNS)
@@ -75,7 +73,7 @@ def slice_table(sliced: DataFrame, mapping: DataFrame, params: FeedParams, mappi
     ``pre`` (lines before the account mapping, for line numbers) and ``post``
     (lines after it; a duplicated mapping row multiplies a line, as in the
     reference), using the number of mapping rows per account (broadcast behind
-    the same row-count check as the mapping).  A window over the slices of
+    the same byte check as the mapping).  A window over the slices of
     each transaction (one row per slice) turns them into the slice offset and
     the transaction total.  The table is small (about one row per
     transaction) and feeds two branches, so it is persisted; a lost block is
@@ -86,7 +84,8 @@ def slice_table(sliced: DataFrame, mapping: DataFrame, params: FeedParams, mappi
         mult = F.broadcast(mult)
     per_slice = (sliced.join(mult, F.col("ctacon").cast("string") == F.col("VALOR_ORIGEN"), "left")
                  .groupBy(*KEYS, numbering.SLICE)
-                 .agg(F.count(F.lit(1)).alias("_pre"), F.sum(F.coalesce("_copies", F.lit(1))).alias("_post")))
+                 .agg(F.count(F.lit(1)).alias("_pre"), F.sum(F.coalesce("_copies", F.lit(1))).alias("_post"),
+                      F.min("consecutivo").alias("_low"), F.max("consecutivo").alias("_high")))
     w_before = Window.partitionBy(*KEYS).orderBy(numbering.SLICE).rowsBetween(Window.unboundedPreceding, -1)
     w_all = Window.partitionBy(*KEYS)
     w_first = Window.partitionBy(*KEYS).orderBy(numbering.SLICE)
@@ -96,53 +95,38 @@ def slice_table(sliced: DataFrame, mapping: DataFrame, params: FeedParams, mappi
         F.sum("_post").over(w_all).cast("long").alias(balance.COUNT),
         (F.row_number().over(w_first) == 1).alias("_first"),
         F.col("_pre").alias(numbering.SLICE_ROWS),
+        (F.min("_low").over(w_all) != F.max("_high").over(w_all)).alias("_mixed"),
     )
     return keep(table)
 
 
 def ledger_product(movements_src: DataFrame, mapping: DataFrame, run_log: DataFrame | None,
-                   params: FeedParams = FeedParams()) -> DataFrame:
-    """Final product (C11): 20 columns, partition column ``periodo`` last.
-
-    Line numbers normally come from the sliced window.  If the per-slice
-    table shows a slice above ``params.hot_slice_limit`` lines (many lines
-    sharing one extraction sequence, e.g. copies of one movement), the lines
-    are numbered by range partitioning on the full order instead
-    (``numbering.range_row_number``), which no key distribution can skew.
-    """
+                   params: FeedParams) -> DataFrame:
+    """Final product (C11): 20 columns, partition column ``periodo`` last."""
+    return product_and_slices(movements_src, mapping, run_log, params)[0]
+
+
+def product_and_slices(movements_src: DataFrame, mapping: DataFrame, run_log: DataFrame | None,
+                       params: FeedParams) -> tuple[DataFrame, DataFrame]:
+    """The product, and the small slice table it was planned from (for the run's control counts)."""
     sliced = _sliced(movements_src, run_log, params)
     m = mapping_for(mapping, params)
-    small = m.count() <= params.broadcast_row_limit      # one count for both mapping joins
-    m_join = F.broadcast(m) if small else m
-
+    small = value_bytes(m) <= params.broadcast_bytes      # one check for both mapping joins
     slices = slice_table(sliced, mapping, params, small)
-    # one small job on the persisted slice table: codes of the largest day, lines of the largest slice
-    stats = (slices.groupBy("periodo").agg(F.sum(F.col("_first").cast("long")).alias("codes"),
-                                          F.max(numbering.SLICE_ROWS).alias("hot"))
-             .agg(F.max("codes").alias("codes"), F.max("hot").alias("hot")).first())
-    most_codes, hottest = int(stats["codes"] or 0), int(stats["hot"] or 0)
-    single = bool(params.single_level_max) and most_codes <= params.single_level_max
 
     # one row per transaction (the NULL code too: it shifts the running totals)
     counts = slices.where("_first").select(
         "periodo", F.when(F.col(TKEY) != "", F.col(TKEY)).alias(CODE), balance.COUNT)
     groups = (balance.assign_groups(counts, ["periodo"], CODE, params.large_limit, params.bucket_length,
-                                    params.bin_width, single_level=single)
+                                    params.bin_width)
               .where(F.col(CODE).isNotNull())
               .select("periodo", F.col(CODE).alias(TKEY), balance.GROUP))
-
-    if hottest > params.hot_slice_limit:
-        parts = int(movements_src.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        numbered = numbering.range_row_number(sliced, KEYS, LINE_ORDER, "contador_linea", parts)
-        out = map_accounts(numbered, m_join, params, prepared=True).join(groups, KEYS)
-        return constant_columns(out, params).select(*PRODUCT_COLUMNS)
-
-    numbered = numbering.local_numbers(sliced, KEYS, line_order())
-    mapped = map_accounts(numbered, m_join, params, prepared=True)
-    assign = slices.select(*KEYS, numbering.SLICE, numbering.SLICE_OFFSET).join(groups, KEYS)
-    out = mapped.join(assign, [*KEYS, numbering.SLICE]).withColumn(
-        "contador_linea", F.col(numbering.LOCAL_RN) + F.col(numbering.SLICE_OFFSET))
-    return constant_columns(out, params).select(*PRODUCT_COLUMNS)
+    # the group of a transaction travels with the offsets of its slices, so the lines are joined once
+    offsets = slices.select(*KEYS, numbering.SLICE, numbering.SLICE_ROWS, numbering.SLICE_OFFSET).join(groups, KEYS)
+    numbered = numbering.numbered_lines(sliced, offsets, KEYS, LINE_ORDER, "contador_linea", params.hot_slice_limit,
+                                        [balance.GROUP])
+    mapped = map_accounts(numbered, F.broadcast(m) if small else m, params, prepared=True)
+    return constant_columns(mapped, params).select(*PRODUCT_COLUMNS), slices
 
 
 def pending_periods(movements_src: DataFrame, run_log: DataFrame, source: str) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import contextvars
 import os
 import tempfile
 import uuid
@@ -39,15 +41,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     folder and is used as is; a cluster without one is an error.  Only a
     local-mode session (tests, bench) with none set gets a scratch folder.
     """
-    current = spark.conf.get("spark.checkpoint.dir", None)
-    if not current:
-        current = spark.sparkContext.getCheckpointDir()
+    sc = spark.sparkContext
+    current = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not current:
-        if not spark.sparkContext.master.startswith("local"):
+        if not sc.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS / object store) for this cluster")
         current = tempfile.mkdtemp(prefix="ledgerweave-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", current)
-    spark.sparkContext.setCheckpointDir(current)
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(current)
     return current
 
 
@@ -74,6 +75,39 @@ def work_dir(spark: SparkSession, name: str) -> str:
     return f"{root.rstrip('/')}/{name}"
 
 
+class Owned:
+    """Work tables and persisted frames of one run; ``release`` deletes its own and nothing else."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.tables, self.frames = spark, [], []
+
+    def release(self) -> None:
+        while self.frames:
+            self.frames.pop().unpersist()
+        conf = self.spark._jsc.hadoopConfiguration()
+        while self.tables:
+            path = self.spark._jvm.org.apache.hadoop.fs.Path(self.tables.pop())
+            path.getFileSystem(conf).delete(path, True)
+
+
+_OWNER: contextvars.ContextVar[Owned | None] = contextvars.ContextVar("ledgerweave_owner", default=None)
+
+
+@contextlib.contextmanager
+def owned(spark: SparkSession):
+    """What ``materialize`` and ``keep`` make inside belongs to this block and goes at its end, also after a failure.
+
+    Frames that read the work tables must have been written by then.  Runs in other threads have owners of their own.
+    """
+    owner = Owned(spark)
+    token = _OWNER.set(owner)
+    try:
+        yield owner
+    finally:
+        _OWNER.reset(token)
+        owner.release()
+
+
 def materialize(df, name: str = "work"):
     """Cut lineage: write ``df`` as a parquet work table in the shared folder and read it back.
 
@@ -85,46 +119,20 @@ def materialize(df, name: str = "work"):
     """
     spark = df.sparkSession
     path = work_dir(spark, f"{name}-{uuid.uuid4().hex}")
+    owner = _OWNER.get()
+    if owner:
+        owner.tables.append(path)
     df.write.mode("error").parquet(path)
-    WORK_TABLES.append(path)
-    return spark.read.parquet(path)
-
-
-# Work tables written by ``materialize`` and frames persisted by ``keep`` in this process, oldest first.
-WORK_TABLES: list[str] = []
-PERSISTED: list = []
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def keep(df):
     """Persist a small intermediate that feeds several branches (memory, spilling to disk).
 
-    A lost block is recomputed from its lineage (a work table).  ``release``
-    unpersists what a run kept once its outputs are written.
+    A lost block is recomputed from its lineage (a work table).
     """
     df = df.persist(StorageLevel.MEMORY_AND_DISK)
-    PERSISTED.append(df)
+    owner = _OWNER.get()
+    if owner:
+        owner.frames.append(df)
     return df
-
-
-def release(spark: SparkSession, since: tuple[int, int]) -> None:
-    """Unpersist frames and delete work tables created after the marks in ``since``."""
-    frames, tables = since
-    for df in PERSISTED[frames:]:
-        df.unpersist()
-    del PERSISTED[frames:]
-    drop_work_tables(spark, WORK_TABLES[tables:])
-
-
-def marks() -> tuple[int, int]:
-    """Current positions in the persisted / work-table lists (for ``release``)."""
-    return len(PERSISTED), len(WORK_TABLES)
-
-
-def drop_work_tables(spark: SparkSession, paths: list[str]) -> None:
-    """Delete work tables nothing reads any more (a file-system delete, run on the driver)."""
-    jvm = spark._jvm
-    for p in paths:
-        hp = jvm.org.apache.hadoop.fs.Path(p)
-        hp.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hp, True)
-        if p in WORK_TABLES:
-            WORK_TABLES.remove(p)

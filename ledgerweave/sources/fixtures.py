@@ -7,13 +7,26 @@ log.  The test data has none of them, so they are views over ``lineitem``,
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerweave.params import MAPPED_FIELD, SOURCE
+from ledgerweave.params import MAPPED_FIELD, FeedParams
+from ledgerweave.sources import registry
 from ledgerweave.sources.tables import read_table, spread
 
 AMOUNT = "decimal(18,2)"
+# Neutral names of the fixture's source system, ledger book and master report.
+SOURCE = "SOURCEA"
+BOOK = "BOOK_A"
+MASTER_NAME = f"GENERAR_FAH_{SOURCE}_COMPLETO_ZIP"
+
+
+def feed_params(**settings) -> FeedParams:
+    """Parameters of a run over the fixture tables."""
+    return FeedParams(source=SOURCE, book=BOOK, **settings)
+
 
 # Column order of the source movements table as the reference selects it.
 MOVEMENT_COLUMNS = [
@@ -22,6 +35,11 @@ MOVEMENT_COLUMNS = [
 ]
 
 
+def registered(spark: SparkSession) -> tuple[DataFrame, DataFrame]:
+    """(report_master, report_document) of the fixture's source, registered on a fixed day."""
+    return registry.registry_frames(spark, SOURCE, dt.date(2026, 1, 1))
+
+
 def movements(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Source ledger movements, one row per entry, debit and credit apart.
 
@@ -39,7 +57,8 @@ def movements(spark: SparkSession, sf_dir: str) -> DataFrame:
     order_date = F.col("o_orderdate").cast("date")
     return j.select(
         order_date.alias("FECHA_EFECTIVA"),
-        F.col("l_shipdate").cast("date").alias("FECHA_POSTEO"),
+        # some movements have no posting date, so their lines have no code
+        F.when(F.col("l_orderkey") % 97 != 0, F.col("l_shipdate").cast("date")).alias("FECHA_POSTEO"),
         F.col("l_partkey").alias("CTACON"),
         F.col("l_linestatus").alias("MONEDA"),
         F.col("l_suppkey").alias("CTRCTO"),
@@ -57,57 +76,31 @@ def movements(spark: SparkSession, sf_dir: str) -> DataFrame:
 def account_mapping(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Mapping table (FUENTE, CAMPO_ORIGEN, VALOR_ORIGEN, VALOR_SALIDA) from ``part``.
 
-    Only parts with size > 25 are mapped, so the left join misses some accounts.
+    Only parts with size > 25 are mapped, so the left join misses some accounts; those above 45 are mapped
+    twice, so it multiplies some lines; every third row is of another field.
     """
-    part = read_table(spark, sf_dir, "part")
-    return part.where(F.col("p_size") > 25).select(
+    part = read_table(spark, sf_dir, "part").where(F.col("p_size") > 25)
+    target = F.explode(F.expr("CASE WHEN p_size > 45 THEN array(p_brand, concat(p_brand, '-B')) ELSE array(p_brand) END"))
+    return part.select(
         F.lit(SOURCE).alias("FUENTE"),
-        F.lit(MAPPED_FIELD).alias("CAMPO_ORIGEN"),
+        F.when(F.col("p_partkey") % 3 != 0, MAPPED_FIELD).otherwise("Oficina").alias("CAMPO_ORIGEN"),
         F.col("p_partkey").cast("string").alias("VALOR_ORIGEN"),
-        F.col("p_brand").alias("VALOR_SALIDA"),
+        target.alias("VALOR_SALIDA"),
     )
 
 
 def run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Run log (FUENTE, PERIODO_EJECUTADO_FAH, NUM_VECES_REPROCESADO, ULT_FECHA_DE_CARGUE) from ``events``."""
+    """Run log (FUENTE, PERIODO_EJECUTADO_FAH, NUM_VECES_REPROCESADO, ULT_FECHA_DE_CARGUE) from ``events``
+    and ``orders``: the feed's own source has run the even months, some of them several times."""
     ev = read_table(spark, sf_dir, "events")
-    return ev.select(
+    day = F.trunc(F.col("o_orderdate").cast("date"), "month")
+    own = (read_table(spark, sf_dir, "orders").where((F.month(day) % 2 == 0) & (F.col("o_orderkey") % 5 == 0))
+           .select(F.lit(SOURCE).alias("FUENTE"), day.alias("PERIODO_EJECUTADO_FAH"),
+                   (F.month(day) / 2 - F.col("o_orderkey") % 3).cast("int").alias("NUM_VECES_REPROCESADO"),
+                   F.col("o_orderdate").cast("timestamp_ntz").alias("ULT_FECHA_DE_CARGUE")).distinct())
+    return own.unionByName(ev.select(
         F.col("event_type").alias("FUENTE"),
         F.col("ts").cast("date").alias("PERIODO_EJECUTADO_FAH"),
         (F.col("user_id") % 5).cast("int").alias("NUM_VECES_REPROCESADO"),
         F.col("ts").cast("timestamp_ntz").alias("ULT_FECHA_DE_CARGUE"),
-    )
-
-
-# DuckDB text of the same three views, for the oracle SQL.
-MOVEMENTS_SQL = """
-movements AS (
-  SELECT CAST(o.o_orderdate AS DATE) AS FECHA_EFECTIVA,
-         CAST(l.l_shipdate AS DATE) AS FECHA_POSTEO,
-         l.l_partkey AS CTACON,
-         l.l_linestatus AS MONEDA,
-         l.l_suppkey AS CTRCTO,
-         l.l_orderkey AS CONSECUTIVO,
-         o.o_orderpriority AS DESCRIPCION,
-         CASE WHEN l.l_returnflag IN ('R', 'A') THEN CAST(l.l_extendedprice AS DECIMAL(18,2)) END AS VLRDEB,
-         CASE WHEN l.l_returnflag = 'N' THEN CAST(l.l_extendedprice AS DECIMAL(18,2))
-              WHEN l.l_returnflag = 'A' THEN CAST(round(l.l_discount * 100) AS DECIMAL(18,2))
-              WHEN l.l_returnflag = 'R' THEN CAST(0 AS DECIMAL(18,2)) END AS VLRCRE,
-         CAST(date_trunc('month', CAST(o.o_orderdate AS DATE)) AS DATE) AS PERIODO,
-         l.l_orderkey * 10 + l.l_linenumber AS CONSECUTIVO_EXTRACCION
-  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
-)"""
-
-MAPPING_SQL = f"""
-mapping AS (
-  SELECT '{SOURCE}' AS FUENTE, '{MAPPED_FIELD}' AS CAMPO_ORIGEN,
-         CAST(p_partkey AS VARCHAR) AS VALOR_ORIGEN, p_brand AS VALOR_SALIDA
-  FROM part WHERE p_size > 25
-)"""
-
-RUN_LOG_SQL = """
-run_log AS (
-  SELECT event_type AS FUENTE, CAST(ts AS DATE) AS PERIODO_EJECUTADO_FAH,
-         CAST(user_id % 5 AS INTEGER) AS NUM_VECES_REPROCESADO, ts AS ULT_FECHA_DE_CARGUE
-  FROM events
-)"""
+    ))

@@ -68,7 +68,8 @@ def _select_list(layout) -> str:
 
 METADATA_SQL = """
 SELECT o.ORDEN, o.file_content_string, g.grupo, g.periodo
-FROM (SELECT DISTINCT grupo_salida AS grupo, periodo FROM ledger_product WHERE grupo_salida IS NOT NULL) g
+FROM (SELECT DISTINCT grupo_salida AS grupo, periodo FROM ledger_product
+      WHERE grupo_salida IS NOT NULL AND (:desde IS NULL OR periodo BETWEEN :desde AND :hasta)) g
 LATERAL VIEW inline(array(
   named_struct('ORDEN', 1, 'file_content_string', concat('Metadata version number : ', CAST(:version AS STRING))),
   named_struct('ORDEN', 2, 'file_content_string', concat('Application Short Name : ', CAST(:application AS STRING)))
@@ -81,19 +82,20 @@ SELECT {_select_list(header_layout())},
 FROM (SELECT DISTINCT codigo_transaccion, tipo_evento, tipo_libro_contable, fecha_efectiva,
                       desc_origen_transaccion, tipo_de_comprobante, origen_transaccion, moneda,
                       grupo_salida AS grupo, periodo
-      FROM ledger_product)
+      FROM ledger_product WHERE :desde IS NULL OR periodo BETWEEN :desde AND :hasta)
 """
 
 LINES_SQL = f"""
 SELECT {_select_list(lines_layout())},
        grupo_salida AS grupo, periodo
-FROM ledger_product
+FROM ledger_product WHERE :desde IS NULL OR periodo BETWEEN :desde AND :hasta
 """
 
 CONTROL_SQL = """
 WITH c AS (
   SELECT periodo, grupo_salida AS grupo, count(1) AS lineas, count(DISTINCT codigo_transaccion) AS cabeceras
-  FROM ledger_product GROUP BY periodo, grupo_salida
+  FROM ledger_product WHERE :desde IS NULL OR periodo BETWEEN :desde AND :hasta
+  GROUP BY periodo, grupo_salida
 )
 SELECT date_format(periodo, 'yyyyMMdd') AS periodo_formateado, t.tipo_registro, t.recuento, grupo, periodo
 FROM c LATERAL VIEW stack(2, 'LINE', lineas, 'HEADER', cabeceras) t AS tipo_registro, recuento
@@ -112,51 +114,42 @@ WHERE d.FLAG_ACTIVO = TRUE
 ORDER BY d.NOMBRE_REPORTE
 """
 
-# Fixed values of the five registered reports:
-# (id, report name, table, tag format, tag entity, target dataset (our own name), query, encoding,
-#  file-name template, extension, delimiter, header flag, execution type, report id)
-REPORT_ROWS = [
-    (19, "ARCHIVO_METADATA_DAVIBANK", "DAVIBANK_FAH", "ARCHIVO_METADATA_DAVIBANK", "ARCHIVO", "ledger",
-     METADATA_SQL, "ISO-8859-1",
-     "Metadata_DAVIBANK_{FORMATO_FECHA}_{CONTADOR}_de_{TOTAL_ARCHIVOS}_{VAR_REPROCESO}.{EXTENCION}",
-     "txt", ",", False, "SQL", "RPT-DAVIBANK-ARCHIVO-V1"),
-    (20, "ARCHIVO_HEADER_DAVIBANK", "DAVIBANK_FAH", "ARCHIVO_HEADER_DAVIBANK", "ARCHIVO", "ledger",
-     HEADER_SQL, "UTF-8",
-     "XlaTrxH_DAVIBANK_{FORMATO_FECHA}_{CONTADOR}_de_{TOTAL_ARCHIVOS}_{VAR_REPROCESO}.{EXTENCION}",
-     "csv", ",", True, "SQL", "RPT-DAVIBANK-ARCHIVO-V1"),
-    (21, "ARCHIVO_LINES_DAVIBANK", "DAVIBANK_FAH", "ARCHIVO_LINES_DAVIBANK", "ARCHIVO", "ledger",
-     LINES_SQL, "UTF-8",
-     "XlaTrxL_DAVIBANK_{FORMATO_FECHA}_{CONTADOR}_de_{TOTAL_ARCHIVOS}_{VAR_REPROCESO}.{EXTENCION}",
-     "csv", ",", True, "SQL", "RPT-DAVIBANK-ARCHIVO-V1"),
-    (22, "ARCHIVO_CONTROL_DAVIBANK", "DAVIBANK_FAH", "ARCHIVO_CONTROL_DAVIBANK", "ARCHIVO", "ledger",
-     CONTROL_SQL, "UTF-8",
-     "XlaCtl_DAVIBANK_{FORMATO_FECHA}_{CONTADOR}_de_{TOTAL_ARCHIVOS}_{VAR_REPROCESO}.{EXTENCION}",
-     "txt", ",", False, "SQL", "RPT-DAVIBANK-ARCHIVO-V1"),
-    (23, "GENERAR_FAH_DAVIBANK_COMPLETO_ZIP", "GENERAR_FAH_DAVIBANK_COMPLETO_ZIP",
-     "GENERAR_FAH_DAVIBANK_COMPLETO_ZIP", "ZIP", "reports",
-     DISCOVERY_SQL, "UTF-8",
-     "XlaTransaction_DAVIBANK_{FORMATO_FECHA}_{CONTADOR}_de_{TOTAL_ARCHIVOS}_{VAR_REPROCESO}.{EXTENCION}",
-     "zip", None, False, "PySpark", "RPT-DAVIBANK-ZIP-V1"),
-]
-
 PRODUCT_NAME = "FAH"
+KINDS = ("METADATA", "HEADER", "LINES", "CONTROL")
+# Fixed values of the five registered reports, by kind:
+# (id, stored text, encoding, file prefix, extension, delimiter, header flag)
+REPORT_KINDS = {
+    "METADATA": (19, METADATA_SQL, "ISO-8859-1", "Metadata", "txt", ",", False),
+    "HEADER": (20, HEADER_SQL, "UTF-8", "XlaTrxH", "csv", ",", True),
+    "LINES": (21, LINES_SQL, "UTF-8", "XlaTrxL", "csv", ",", True),
+    "CONTROL": (22, CONTROL_SQL, "UTF-8", "XlaCtl", "txt", ",", False),
+    "ZIP": (23, DISCOVERY_SQL, "UTF-8", "XlaTransaction", "zip", None, False),
+}
+NAME_TEMPLATE = "{prefix}_{source}_{{FORMATO_FECHA}}_{{CONTADOR}}_de_{{TOTAL_ARCHIVOS}}_{{VAR_REPROCESO}}.{{EXTENCION}}"
+
+
+def report_name(kind: str, source: str) -> str:
+    return f"GENERAR_FAH_{source}_COMPLETO_ZIP" if kind == "ZIP" else f"ARCHIVO_{kind}_{source}"
 
 
-def registry_rows(registered: dt.date, destination: str | None = None):
-    """Master and document rows of the five reports, registered on ``registered``."""
+def registry_rows(source: str, registered: dt.date, destination: str | None = None):
+    """Master and document rows of the five reports of ``source``, registered on ``registered``."""
     master, document = [], []
-    for (rid, name, table, fmt, entity, dataset, query, enc, template, ext, delim, header, kind,
-         report_id) in REPORT_ROWS:
-        tag = f'{{"formato": "{fmt}", "entidad": "{entity}"}}'
+    for kind, (rid, query, encoding, prefix, extension, delimiter, header) in REPORT_KINDS.items():
+        name, bundle = report_name(kind, source), kind == "ZIP"
+        table, dataset = (name, "reports") if bundle else (f"{source}_FAH", "ledger")
+        entity = "ZIP" if bundle else "ARCHIVO"
+        tag = f'{{"formato": "{name}", "entidad": "{entity}"}}'
         master.append((rid, 1, PRODUCT_NAME, tag, dataset, table, "BAJA", query, None, "Diaria", True, False,
                        None, None, None, False, registered))
-        document.append((rid, PRODUCT_NAME, report_id, name, "Archivo", kind, None, None, enc, template, ext,
-                         delim, header, destination, "YYYYMMDD", None, True, False, None, None, True, registered))
+        document.append((rid, PRODUCT_NAME, f"RPT-{source}-{entity}-V1", name, "Archivo", "PySpark" if bundle else "SQL",
+                         None, None, encoding, NAME_TEMPLATE.format(prefix=prefix, source=source), extension, delimiter,
+                         header, destination, "YYYYMMDD", None, True, False, None, None, True, registered))
     return master, document
 
 
-def registry_frames(spark: SparkSession, registered: dt.date,
+def registry_frames(spark: SparkSession, source: str, registered: dt.date,
                     destination: str | None = None) -> tuple[DataFrame, DataFrame]:
     """(report_master, report_document) DataFrames (config-sized: five rows each)."""
-    master, document = registry_rows(registered, destination)
+    master, document = registry_rows(source, registered, destination)
     return (spark.createDataFrame(master, MASTER_SCHEMA), spark.createDataFrame(document, DOCUMENT_SCHEMA))

@@ -22,6 +22,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ledgerweave.params import FeedParams
 from ledgerweave.plans.product import ledger_product
 from ledgerweave.plans.tables import overwrite_partitions
+from ledgerweave.session import owned
 from ledgerweave.sources.tables import scan_partitioned
 
 
@@ -37,21 +38,22 @@ def day_batch(spark: SparkSession, movements_path: str, mapping: DataFrame, run_
             return
         p = dataclasses.replace(params, periods=days)
         source = scan_partitioned(spark, movements_path, days, "PERIODO")
-        overwrite_partitions(ledger_product(source, mapping, run_log, p), product_path, rebalance=len(days) > 1)
+        with owned(spark):      # the batch's work table goes with the batch
+            overwrite_partitions(ledger_product(source, mapping, run_log, p), product_path, rebalance=len(days) > 1)
 
     return run
 
 
 def start_daily_feed(spark: SparkSession, movements_path: str, schema: T.StructType, mapping: DataFrame,
                      run_log: DataFrame | None, product_path: str, checkpoint: str,
-                     params: FeedParams = FeedParams(), available_now: bool = True) -> StreamingQuery:
+                     params: FeedParams, available_now: bool = True) -> StreamingQuery:
     """Watch the movements table (partitioned by PERIODO) and keep the product table current.
 
     ``available_now`` processes everything that is there and stops (a
     scheduled run); otherwise the query keeps running and picks up new days.
     """
-    stream = (spark.readStream.schema(schema).option("basePath", movements_path)
-              .option("maxFilesPerTrigger", 1000).parquet(movements_path))
+    # no file limit: a batch takes all files that are there, so a day is recomputed once per arrival of its files
+    stream = spark.readStream.schema(schema).option("basePath", movements_path).parquet(movements_path)
     writer = (stream.select("PERIODO").writeStream
               .foreachBatch(day_batch(spark, movements_path, mapping, run_log, product_path, params))
               .option("checkpointLocation", checkpoint))

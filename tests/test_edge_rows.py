@@ -6,8 +6,8 @@ from decimal import Decimal as D
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerweave.params import FeedParams
-from ledgerweave.plans import product
+from ledgerweave.sources.fixtures import feed_params
+from ledgerweave.plans import export, product
 
 SCHEMA = ("FECHA_EFECTIVA date, FECHA_POSTEO date, CTACON long, MONEDA string, CTRCTO long, CONSECUTIVO long, "
           "DESCRIPCION string, VLRDEB decimal(18,2), VLRCRE decimal(18,2), PERIODO date, CONSECUTIVO_EXTRACCION long")
@@ -32,12 +32,12 @@ def frames(spark):
     ]
     mov = spark.createDataFrame(rows, SCHEMA)
     mapping = spark.createDataFrame([
-        ("DAVIBANK", "Cuenta", "10", "A10"), ("DAVIBANK", "Cuenta", "10", "B10"),   # duplicate key
-        ("DAVIBANK", "Cuenta", "12", None),                                          # NULL target
-        ("OTRA", "Cuenta", "14", "X"), ("DAVIBANK", "Otro", "15", "Y"),              # other source / field
+        ("SOURCEA", "Cuenta", "10", "A10"), ("SOURCEA", "Cuenta", "10", "B10"),   # duplicate key
+        ("SOURCEA", "Cuenta", "12", None),                                          # NULL target
+        ("OTRA", "Cuenta", "14", "X"), ("SOURCEA", "Otro", "15", "Y"),              # other source / field
     ], MAP_SCHEMA)
     log = spark.createDataFrame([
-        ("DAVIBANK", D2, 9, dt.datetime(2024, 3, 3)), ("DAVIBANK", D2, 4, dt.datetime(2024, 3, 2)),
+        ("SOURCEA", D2, 9, dt.datetime(2024, 3, 3)), ("SOURCEA", D2, 4, dt.datetime(2024, 3, 2)),
         ("OTRA", D1, 5, dt.datetime(2024, 3, 2)),
     ], LOG_SCHEMA)
     return mov, mapping, log
@@ -45,7 +45,7 @@ def frames(spark):
 
 def test_journal_lines_edge_rows(frames):
     mov, mapping, log = frames
-    j = product.journal_lines(mov, mapping, log, FeedParams())
+    j = product.journal_lines(mov, mapping, log, feed_params())
     got = sorted(((r["periodo"], r["codigo_transaccion"], r["cuenta"], r["naturaleza"], r["valor_movimiento"],
                   r["contador_linea"]) for r in j.collect()), key=repr)
     c7 = "AK202403012024030400071"
@@ -71,7 +71,7 @@ def test_journal_lines_edge_rows(frames):
 
 def test_product_drops_null_code_and_groups(frames):
     mov, mapping, log = frames
-    p = product.ledger_product(mov, mapping, log, FeedParams(large_limit=1, bin_width=2))
+    p = product.ledger_product(mov, mapping, log, feed_params(large_limit=1, bin_width=2))
     rows = p.collect()
     assert all(r["codigo_transaccion"] is not None for r in rows)
     # day 1 codes: NULL (1 line, vanishes), c1234 (2 lines), c7 (4 lines): both large (> 1)
@@ -82,15 +82,71 @@ def test_product_drops_null_code_and_groups(frames):
 
 def test_empty_day(spark, frames):
     mov, mapping, log = frames
-    p = product.ledger_product(mov, mapping, log, FeedParams(periods=(dt.date(2030, 1, 1),)))
+    p = product.ledger_product(mov, mapping, log, feed_params(periods=(dt.date(2030, 1, 1),)))
     assert p.count() == 0 and len(p.columns) == 20
 
 
 def test_feed_checks_count_the_quirks(frames):
     from ledgerweave.plans.run import feed_checks
     mov, mapping, log = frames
-    table = product.ledger_product(mov, mapping, log, FeedParams())
-    checks = feed_checks(mov, mapping, table, FeedParams())
+    table, slices = product.product_and_slices(mov, mapping, log, feed_params())
+    checks = feed_checks(slices, mapping, export.product_counts(table), feed_params())
     # 12345 and 1234 share code ...12341; the NULL-date line has no code; key 10 has two rows
     assert checks == {"codigos_con_colision": 1, "lineas_sin_codigo": 1, "claves_mapeo_duplicadas": 1,
                       "valores_con_delimitador": 0}
+
+
+def runs(spark, frames, root, params, **kwargs):
+    from ledgerweave.plans.run import run_feed
+    from ledgerweave.sources import fixtures
+    mov, mapping, log = frames
+    return run_feed(spark, mov, mapping, kwargs.pop("log", log), params, kwargs.pop("registered", fixtures.registered(spark)), fixtures.MASTER_NAME, str(root), **kwargs)
+
+
+def test_fixed_number_is_used_everywhere(spark, frames, tmp_path):
+    """The run's number in codes, file names and the log is one and the same."""
+    res = runs(spark, frames, tmp_path, feed_params(periods=(D1,), rerun=7))
+    files = [r["archivo"] for r in res["files"].collect()]
+    assert files and all(f.rsplit(".", 1)[0].endswith("_7") for f in files)
+    log = spark.read.parquet(res["run_log"]).where("FUENTE = 'SOURCEA'")
+    assert [r["NUM_VECES_REPROCESADO"] for r in log.where(F.col("PERIODO_EJECUTADO_FAH") == D1).collect()] == [7]
+    codes = spark.read.parquet(f"{tmp_path}/product").select("codigo_transaccion").collect()
+    assert all(c[0].endswith("7") for c in codes)
+
+
+def test_empty_day_ends_cleanly(spark, frames, tmp_path):
+    with pytest.warns(UserWarning, match="no movements"):
+        res = runs(spark, frames, tmp_path, feed_params(periods=(dt.date(2030, 1, 1),)))
+    assert res["summary"]["ARCHIVOS"] == 0 and res["run_log"] is None
+
+
+def test_no_sub_reports_end_cleanly(spark, frames, tmp_path):
+    from ledgerweave.sources import fixtures
+    master, document = fixtures.registered(spark)
+    only_master = document.where("EXTENSION = 'zip'")
+    with pytest.warns(UserWarning, match="sub-reports"):
+        res = runs(spark, frames, tmp_path, feed_params(periods=(D1,)), registered=(master, only_master))
+    assert res["run_log"] is None and not (tmp_path / "product").exists()
+
+
+def test_second_run_in_the_same_folder(spark, frames, tmp_path):
+    """Another day in the same lasting folder leaves the first alone; the same day again replaces its files and counts up."""
+    one = runs(spark, frames, tmp_path, feed_params(periods=(D1,)))
+    two = runs(spark, frames, tmp_path, feed_params(periods=(D2,)))
+    assert {r["periodo"] for r in two["manifest"].collect()} == {D2}
+    assert {r["periodo"] for r in spark.read.parquet(f"{tmp_path}/product").select("periodo").distinct().collect()} == {D1, D2}
+    log = spark.read.parquet(one["run_log"])
+    again = runs(spark, frames, tmp_path, feed_params(periods=(D1,)), log=log)
+    assert {r["archivo"].rsplit("_", 1)[1] for r in one["files"].collect()} == {"1.txt", "1.csv"}
+    assert {r["archivo"].rsplit("_", 1)[1] for r in again["files"].collect()} == {"2.txt", "2.csv"}
+    retry = runs(spark, frames, tmp_path, feed_params(periods=(D1,)), log=log)        # as after a failure
+    assert sorted(map(tuple, retry["files"].collect())) == sorted(map(tuple, again["files"].collect()))
+
+
+def test_report_goes_to_its_own_destination(spark, frames, tmp_path):
+    from ledgerweave.sources import fixtures
+    master, document = fixtures.registered(spark)
+    document = document.withColumn("RUTA_DESTINO", F.when(F.col("NOMBRE_REPORTE").contains("CONTROL"), f"{tmp_path}/elsewhere"))
+    runs(spark, frames, tmp_path, feed_params(periods=(D1,)), registered=(master, document))
+    assert [p for p in (tmp_path / "elsewhere").iterdir() if p.name.startswith("XlaCtl")]
+    assert not [p for p in (tmp_path / "delivery").iterdir() if p.name.startswith("XlaCtl")]

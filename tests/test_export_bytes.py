@@ -12,13 +12,12 @@ import os
 import pytest
 
 from conftest import SF0001
-from ledgerweave.params import FeedParams
 from ledgerweave import oracle_sql as O
-from ledgerweave.operators.reports import header_layout, lines_layout
+from ledgerweave.oracles import HEADER, LINE, REPORTS
 from ledgerweave.plans.run import export_feed
-from ledgerweave.sources.registry import REPORT_ROWS
+from ledgerweave.sources.fixtures import feed_params
 
-DAY = dt.date(1995, 7, 1)
+DAY = dt.date(1995, 8, 1)        # a day the log has seen
 
 
 def _text(v):
@@ -26,19 +25,17 @@ def _text(v):
 
 
 def expected_files(duck, limit: int = 150000, width: int | None = None) -> dict[str, bytes]:
-    rel = duck.sql(O.with_product(limit=limit, width=width, period=f"DATE '{DAY}'") + " SELECT * FROM product")
+    rel = duck.sql(O.with_product(limit=limit, width=width, day=f"DATE '{DAY}'") + " SELECT * FROM product")
     cols = rel.columns
     rows = [dict(zip(cols, r)) for r in rel.fetchall()]
     groups = sorted({r["grupo_salida"] for r in rows})
+    rerun = duck.sql("WITH " + O.VIEWS + f" SELECT COALESCE(max(NUM_VECES_REPROCESADO), 0) + 1 FROM run_log WHERE FUENTE = 'SOURCEA' AND PERIODO_EJECUTADO_FAH = DATE '{DAY}'").fetchall()[0][0]
     d = DAY.strftime("%Y%m%d")
-    spec = {r[1]: r for r in REPORT_ROWS}
+    spec = {r[0]: r for r in REPORTS}
 
-    def name(report, grupo, n):
-        t = spec[report][8]
-        for k, v in [("{FORMATO_FECHA}", d), ("{CONTADOR}", str(grupo)), ("{TOTAL_ARCHIVOS}", str(len(groups))),
-                     ("{VAR_REPROCESO}", "1"), ("{EXTENCION}", spec[report][9]), ("{CANTIDAD_REGISTROS}", str(n))]:
-            t = t.replace(k, v)
-        return t
+    def name(kind, grupo):
+        _, prefix, extension, *_ = spec[kind]
+        return f"{prefix}_SOURCEA_{d}_{grupo}_de_{len(groups)}_{rerun}.{extension}"
 
     def value(r, expr_name):
         src = {"TRANSACTION_NUMBER": "codigo_transaccion", "EVENT_TYPE_CODE": "tipo_evento",
@@ -62,25 +59,25 @@ def expected_files(duck, limit: int = 150000, width: int | None = None) -> dict[
     out = {}
     for g in groups:
         mine = [r for r in rows if r["grupo_salida"] == g]
-        meta = ["Metadata version number : 3", "Application Short Name : DAVIBANK"]
-        out[name("ARCHIVO_METADATA_DAVIBANK", g, 2)] = "".join(x + "\r\n" for x in meta).encode("latin-1")
-        heads = sorted({(r["codigo_transaccion"], render(r, header_layout())) for r in mine})
-        hdr = ",".join(n for n, _ in header_layout())
-        out[name("ARCHIVO_HEADER_DAVIBANK", g, len(heads))] = \
+        meta = ["Metadata version number : 3", "Application Short Name : SOURCEA"]
+        out[name("METADATA", g)] = "".join(x + "\r\n" for x in meta).encode("latin-1")
+        heads = sorted({(r["codigo_transaccion"], render(r, HEADER)) for r in mine})
+        hdr = ",".join(n for n, _ in HEADER)
+        out[name("HEADER", g)] = \
             (hdr + "\r\n" + "".join(v + "\r\n" for _, v in heads)).encode()
-        lines = sorted((r["codigo_transaccion"], r["contador_linea"], render(r, lines_layout())) for r in mine)
-        lhdr = ",".join(n for n, _ in lines_layout())
-        out[name("ARCHIVO_LINES_DAVIBANK", g, len(lines))] = \
+        lines = sorted((r["codigo_transaccion"], r["contador_linea"], render(r, LINE)) for r in mine)
+        lhdr = ",".join(n for n, _ in LINE)
+        out[name("LINES", g)] = \
             (lhdr + "\r\n" + "".join(v + "\r\n" for _, _, v in lines)).encode()
         ctl = [f"{d},LINE,{len(mine)}", f"{d},HEADER,{len({r['codigo_transaccion'] for r in mine})}"]
-        out[name("ARCHIVO_CONTROL_DAVIBANK", g, 2)] = "".join(x + "\r\n" for x in ctl).encode()
+        out[name("CONTROL", g)] = "".join(x + "\r\n" for x in ctl).encode()
     return out
 
 
 @pytest.mark.parametrize("limit,width", [(150000, None), (3, 20)])
 def test_delivered_bytes_equal_oracle_rendering(spark, duck0001, tmp_path, limit, width):
-    params = FeedParams(periods=(DAY,), large_limit=limit, bin_width=width)
-    res = export_feed(spark, SF0001, root=str(tmp_path / "run"), loaded_at=dt.datetime(2026, 1, 1), params=params)
+    params = feed_params(periods=(DAY,), large_limit=limit, bin_width=width)
+    res = export_feed(spark, SF0001, params, root=str(tmp_path / "run"), loaded_at=dt.datetime(2026, 1, 1))
     delivery = tmp_path / "run" / "delivery"
     got = {n: (delivery / n).read_bytes() for n in os.listdir(delivery) if not n.startswith(".")}
     want = expected_files(duck0001, limit, width)

@@ -14,7 +14,7 @@ import oracle_harness as H
 from conftest import SF001
 from ledgerweave import oracle_sql as O
 from ledgerweave.operators import journal, numbering
-from ledgerweave.params import FeedParams
+from ledgerweave.sources.fixtures import feed_params
 from ledgerweave.plans import product
 from ledgerweave.sources import fixtures
 
@@ -30,14 +30,14 @@ def hot_movements(spark):
 def hot_sql(limit):
     sql = O.with_product(limit=limit) + " SELECT * FROM product"
     return sql.replace("CAST(o.o_orderdate AS DATE) AS FECHA_EFECTIVA", f"DATE '{DAY}' AS FECHA_EFECTIVA") \
-              .replace("CAST(l.l_shipdate AS DATE) AS FECHA_POSTEO", f"DATE '{DAY}' AS FECHA_POSTEO") \
+              .replace("CASE WHEN l.l_orderkey % 97 <> 0 THEN CAST(l.l_shipdate AS DATE) END AS FECHA_POSTEO", f"DATE '{DAY}' AS FECHA_POSTEO") \
               .replace("l.l_orderkey AS CONSECUTIVO,", "CAST(1 AS BIGINT) AS CONSECUTIVO,") \
               .replace("CAST(date_trunc('month', CAST(o.o_orderdate AS DATE)) AS DATE) AS PERIODO",
                        f"DATE '{DAY}' AS PERIODO")
 
 
 def test_hot_transaction_matches_oracle(spark, duck001):
-    p = FeedParams(line_block=4096, large_limit=1000)
+    p = feed_params(line_block=4096, large_limit=1000)
     mov, mp, log = hot_movements(spark), fixtures.account_mapping(spark, SF001), fixtures.run_log(spark, SF001)
     q = lambda s, sf: product.ledger_product(mov, mp, log, p)
     r = H.compare(spark, SF001, q, hot_sql(1000), duck001)
@@ -48,7 +48,7 @@ def test_hot_transaction_matches_oracle(spark, duck001):
 
 
 def test_hot_transaction_is_sliced(spark):
-    p = FeedParams(line_block=4096)
+    p = feed_params(line_block=4096)
     coded = journal.coded_lines(hot_movements(spark), fixtures.run_log(spark, SF001), p)
     sliced = numbering.add_slices(coded, "consecutivo_extraccion", p.line_block)
     per = sliced.groupBy(journal.TKEY, numbering.SLICE).count()
@@ -62,8 +62,8 @@ def copies_movements(spark):
     return (hot_movements(spark).withColumn("CONSECUTIVO_EXTRACCION", F.lit(7).cast("long")))
 
 
-def test_copies_fall_back_to_range_numbering(spark, duck001):
-    p = FeedParams(line_block=4096, large_limit=1000)
+def test_copies_in_one_slice(spark, duck001):
+    p = feed_params(line_block=4096, large_limit=1000, hot_slice_rows=2000)
     mov, mp, log = copies_movements(spark), fixtures.account_mapping(spark, SF001), fixtures.run_log(spark, SF001)
     q = lambda s, sf: product.ledger_product(mov, mp, log, p)
     sql = hot_sql(1000).replace("l.l_orderkey * 10 + l.l_linenumber AS CONSECUTIVO_EXTRACCION",
@@ -72,19 +72,19 @@ def test_copies_fall_back_to_range_numbering(spark, duck001):
     assert r["ok"], r
 
 
-def test_forced_fallback_equals_sliced(spark):
+def test_all_slices_hot_equals_none_hot(spark):
     from conftest import SF0001
     mov, mp, log = (fixtures.movements(spark, SF0001), fixtures.account_mapping(spark, SF0001),
                     fixtures.run_log(spark, SF0001))
-    a = product.ledger_product(mov, mp, log, FeedParams(hot_slice_rows=1))
-    b = product.ledger_product(mov, mp, log, FeedParams())
+    a = product.ledger_product(mov, mp, log, feed_params(hot_slice_rows=1))
+    b = product.ledger_product(mov, mp, log, feed_params())
     assert sorted(map(tuple, a.collect()), key=repr) == sorted(map(tuple, b.collect()), key=repr)
 
 
-def test_journal_lines_fallback_equals_sliced(spark):
+def test_journal_lines_all_slices_hot(spark):
     from conftest import SF0001
     mov, mp, log = (fixtures.movements(spark, SF0001), fixtures.account_mapping(spark, SF0001),
                     fixtures.run_log(spark, SF0001))
-    a = product.journal_lines(mov, mp, log, FeedParams(hot_slice_rows=1))
-    b = product.journal_lines(mov, mp, log, FeedParams())
+    a = product.journal_lines(mov, mp, log, feed_params(hot_slice_rows=1))
+    b = product.journal_lines(mov, mp, log, feed_params())
     assert sorted(map(tuple, a.collect()), key=repr) == sorted(map(tuple, b.collect()), key=repr)

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from conftest import SF0001
-from ledgerweave.params import FeedParams
+from ledgerweave.sources.fixtures import feed_params
 from ledgerweave.plans.product import ledger_product
 from ledgerweave.sources import fixtures
 from ledgerweave.streaming.daily_feed import start_daily_feed
@@ -17,14 +17,14 @@ def test_daily_feed_matches_batch(spark, tmp_path):
     first, second = days[:3], days[3:]
     mov.where(F.col("PERIODO").isin(first)).write.partitionBy("PERIODO").parquet(src)
     out, ckpt = str(tmp_path / "product"), str(tmp_path / "ckpt")
-    q = start_daily_feed(spark, src, mov.schema, mapping, log, out, ckpt)
+    q = start_daily_feed(spark, src, mov.schema, mapping, log, out, ckpt, feed_params())
     q.awaitTermination(300)
     # a later delivery: three more days arrive, the next scheduled run picks up only those
     mov.where(F.col("PERIODO").isin(second)).write.mode("append").partitionBy("PERIODO").parquet(src)
-    q = start_daily_feed(spark, src, mov.schema, mapping, log, out, ckpt)
+    q = start_daily_feed(spark, src, mov.schema, mapping, log, out, ckpt, feed_params())
     q.awaitTermination(300)
     got = spark.read.parquet(out)
-    want = ledger_product(mov, mapping, log, FeedParams(periods=tuple(days)))
+    want = ledger_product(mov, mapping, log, feed_params(periods=tuple(days)))
     cols = want.columns
     assert sorted(map(tuple, got.select(cols).collect()), key=repr) == \
         sorted(map(tuple, want.select(cols).collect()), key=repr)
