@@ -51,7 +51,7 @@ def run(variant: str, sf: str) -> None:
     spark = session(log_dir)
     from ledgerweave import session as S
     from ledgerweave.operators import journal, numbering
-    from ledgerweave.params import FeedParams
+    from ledgerweave.sources.fixtures import feed_params
     from ledgerweave.sources import fixtures
     S.ensure_checkpoint_dir(spark)
     day = F.lit("2024-06-01").cast("date")
@@ -59,10 +59,10 @@ def run(variant: str, sf: str) -> None:
         # hot day: every movement in one processing day, codes as they are (about 150k per sf0.1)
         from ledgerweave.operators import balance
         mov = fixtures.movements(spark, sf).withColumn("PERIODO", day)
-        coded = S.materialize(journal.coded_lines(mov, fixtures.run_log(spark, sf), FeedParams()), "coded")
+        coded = S.materialize(journal.coded_lines(mov, fixtures.run_log(spark, sf), feed_params()), "coded")
         counts = S.materialize(balance.transaction_counts(coded, ["periodo"], journal.CODE), "counts")
         single = variant == "balance-plain"
-        out = balance.assign_groups(counts, ["periodo"], journal.CODE, 150000, FeedParams().bucket_length,
+        out = balance.assign_groups(counts, ["periodo"], journal.CODE, 150000, feed_params().bucket_length,
                                     single_level=single)
         out.select("grupo_salida").write.format("noop").mode("overwrite").save()
         spark.stop()
@@ -72,7 +72,7 @@ def run(variant: str, sf: str) -> None:
         return
     mov = (fixtures.movements(spark, sf).withColumn("FECHA_EFECTIVA", day).withColumn("FECHA_POSTEO", day)
            .withColumn("CONSECUTIVO", F.lit(1).cast("long")).withColumn("PERIODO", day))
-    p = FeedParams(line_block=4096)
+    p = feed_params(line_block=4096)
     coded = S.materialize(journal.coded_lines(mov, fixtures.run_log(spark, sf), p), "coded")
     keys = ["periodo", journal.TKEY]
     if variant == "sliced":
