@@ -13,10 +13,10 @@ from collections import Counter
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-import __spark_entry__ as E  # noqa: E402
+from ledgerweave.catalog import QUERIES  # noqa: E402
 from ledgerweave.session import local_session  # noqa: E402
 
-WRITERS = {"export_run", "sink_encoded_report", "sink_report_lines", "sink_replace_table",
+WRITERS = {"export_run", "sink_encoded_report", "sink_report_lines", "file_order", "sink_replace_table",
            "sink_overwrite_partition", "daily_feed"}
 
 
@@ -53,7 +53,7 @@ def main() -> None:
     spark = local_session(8, 8)
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.001"
     rows = []
-    for key, fn in E.queries().items():
+    for key, fn in QUERIES.items():
         if key in WRITERS:
             rows.append((key, "writes files; see the plans of the queries it is built from"))
             continue

@@ -61,9 +61,8 @@ def run(variant: str, sf: str) -> None:
         mov = fixtures.movements(spark, sf).withColumn("PERIODO", day)
         coded = S.materialize(journal.coded_lines(mov, fixtures.run_log(spark, sf), feed_params()), "coded")
         counts = S.materialize(balance.transaction_counts(coded, ["periodo"], journal.CODE), "counts")
-        single = variant == "balance-plain"
-        out = balance.assign_groups(counts, ["periodo"], journal.CODE, 150000, feed_params().bucket_length,
-                                    single_level=single)
+        levels = None if variant == "balance-plain" else feed_params().bucket_length
+        out = balance.assign_groups(counts, ["periodo"], journal.CODE, 150000, levels)
         out.select("grupo_salida").write.format("noop").mode("overwrite").save()
         spark.stop()
         biggest, total = largest_task(log_dir)
@@ -76,8 +75,7 @@ def run(variant: str, sf: str) -> None:
     coded = S.materialize(journal.coded_lines(mov, fixtures.run_log(spark, sf), p), "coded")
     keys = ["periodo", journal.TKEY]
     if variant == "sliced":
-        out = numbering.ordered_row_number(coded, keys, journal.line_order(), "consecutivo_extraccion",
-                                           p.line_block, "rn")
+        out = numbering.ordered_row_number(coded, keys, journal.LINE_ORDER, p.line_block, "rn", p.hot_slice_limit)
     else:
         out = coded.withColumn("rn", F.row_number().over(Window.partitionBy(*keys).orderBy(*journal.line_order())))
     out.select("rn").write.format("noop").mode("overwrite").save()
