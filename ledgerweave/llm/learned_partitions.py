@@ -4,8 +4,8 @@
    (a spectral split at the median, then swaps that lower the cut).
 2. A small network learns, for a vector, the parts its neighbours lie in.  It stands for the partition from then on.
 3. Every row of the table is indexed under its most probable part; a query goes to its several most probable parts, and the rows
-   there are ranked by exact distance.  How many parts is measured on the sample: the least number that covers
-   ``COVER`` of the sample's true neighbours.
+   there are ranked by exact distance.  How many parts is measured on sampled rows that were not learned from: the least
+   number that covers ``COVER`` of their true neighbours.
 
 The sample and the network have fixed sizes; rows are routed in Spark.  A part is dealt to as many groups as its row count
 asks for, so large parts stay bounded per task.  Nearness: Euclidean distance in double precision, ties to the smaller vec_id.
@@ -26,7 +26,7 @@ from ledgerweave.llm.vectors import best, matrix, usable
 
 K = 10
 #: Rows sampled for the graph, parts, neighbours of the graph, and the share of true neighbours that probing must cover.
-SAMPLE, PARTS, NEIGHBOURS, COVER = 4096, 16, 16, 0.98
+SAMPLE, PARTS, NEIGHBOURS, COVER = 4096, 16, 16, 0.94
 #: Tables up to this size have one part; rows of a group of a part.
 SMALL, GROUP = 1000, 4096
 HIDDEN, STEPS = 128, 600
@@ -124,6 +124,7 @@ class Router:
 def learn(x: np.ndarray, parts: int = PARTS, cover: float = COVER, seed: int = 7) -> tuple[Router, int]:
     """Router and number of parts to probe, from sampled vectors."""
     rng = np.random.default_rng(seed)
+    asked, x = x[:len(x) // 4], x[len(x) // 4:]
     k = min(NEIGHBOURS, len(x) - 1)
     graph = neighbour_graph(x, k)
     part = balanced_parts(graph, parts, rng)
@@ -131,11 +132,12 @@ def learn(x: np.ndarray, parts: int = PARTS, cover: float = COVER, seed: int = 7
     np.add.at(target, (np.repeat(np.arange(len(x)), k), part[graph].ravel()), 1)
     np.add.at(target, (np.arange(len(x)), part), 1)
     router = Router(x, target / target.sum(1, keepdims=True), rng)
-    order = router.order(x)
+    # of rows not learned from: the place, in their order of parts, of the part each true neighbour is indexed under
+    indexed, order = router.order(x)[:, 0], router.order(asked)
     place = np.empty_like(order)
     np.put_along_axis(place, order, np.arange(parts)[None, :], 1)
-    near = graph[:, :min(K, k)] if k <= K else neighbour_graph(x, K)
-    need = np.sort(np.take_along_axis(place, order[:, 0][near], 1).ravel())  # place of the neighbour's part in the query's order
+    near = np.argsort((x * x).sum(1)[None, :] - 2 * asked @ x.T, axis=1, kind="stable")[:, :K]
+    need = np.sort(np.take_along_axis(place, indexed[near], 1).ravel())
     return router, int(need[min(len(need) - 1, int(np.ceil(cover * len(need))))]) + 1
 
 
