@@ -28,7 +28,7 @@ from ledgerweave.llm.arrays import LOWER, U, Prints, mix, text_chunks, word_span
 from ledgerweave.llm.base import saved, table
 
 #: Labelled rows learned from, features kept, and the lengths (bytes) of word beginnings used as features.
-TRAIN_ROWS, FEATURES, STEMS = 12_000, 4096, (4, 5, 6)
+TRAIN_ROWS, FEATURES, STEMS = 12_000, 4096, (4, 5, 6, 7, 8)
 #: Symbols of the character model: end of a word, letters, anything else.
 LETTERS = "abcdefghijklmnopqrstuvwxyzàáâãäåæçèéêëìíîïñòóôõöøùúûüÿßœ"
 EDGE, OTHER = 0, len(LETTERS) + 1
@@ -251,7 +251,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Model:
             yield pa.RecordBatch.from_arrays([pa.array(u.view(np.int64)), pa.array(np.bincount(at[y == 1], minlength=len(u))), pa.array(np.bincount(at[y == 0], minlength=len(u)))], names=["h", "n1", "n0"])
 
     # the features that tell most: G^2 of presence against the label
-    counts = sample.mapInArrow(count, "h long, n1 long, n0 long").groupBy("h").agg(F.sum("n1").alias("n1"), F.sum("n0").alias("n0")).where("n1 + n0 >= 4")
+    counts = sample.mapInArrow(count, "h long, n1 long, n0 long").groupBy("h").agg(F.sum("n1").alias("n1"), F.sum("n0").alias("n0")).where("n1 + n0 >= 3")
     share = (F.col("n1") + F.col("n0")) / float(n1 + n0)
     part = lambda x, m: F.when(x > 0, x * F.log(x / m)).otherwise(0.0)
     gain = sum(part(F.col(c), n_ * share) + part(n_ - F.col(c), n_ * (1 - share)) for c, n_ in (("n1", float(n1)), ("n0", float(n0))))
@@ -283,7 +283,7 @@ def _hits(data, offs, decoder, keys) -> tuple[np.ndarray, np.ndarray]:
     return both // len(keys), both % len(keys)
 
 
-def logistic(rows: list[list[int]], y: np.ndarray, n: int, penalty: float = 0.5, steps: int = 400) -> tuple[np.ndarray, float]:
+def logistic(rows: list[list[int]], y: np.ndarray, n: int, penalty: float = 0.1, steps: int = 400) -> tuple[np.ndarray, float]:
     """Weights and intercept of a logistic regression on present features, by accelerated gradient steps."""
     if not len(y):
         return np.zeros(n), 0.0
