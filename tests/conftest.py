@@ -13,8 +13,9 @@ SF001 = "/root/testdata/sf0.01"
 
 @pytest.fixture(scope="session")
 def spark():
-    from ledgerweave.session import local_session
+    from ledgerweave.session import local_session, ship_package
     s = local_session("4", 8, app="ledgerweave-tests")
+    ship_package(s)
     yield s
     s.stop()
 
