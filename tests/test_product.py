@@ -46,15 +46,17 @@ def test_debit_credit_lines(inputs):
 
 def test_day_product_checked_values(day_product):
     p = day_product
-    assert p.count() == 1214
-    assert p.select("codigo_transaccion").distinct().count() == 924
-    assert p.select("grupo_salida").distinct().count() == 13
-    assert p.agg(F.sum("valor_movimiento")).first()[0] == decimal.Decimal("48840037.05")
+    assert p.count() == 1297
+    assert p.select("codigo_transaccion").distinct().count() == 920
+    assert p.select("grupo_salida").distinct().count() == 32
+    assert p.agg(F.sum("valor_movimiento")).first()[0] == decimal.Decimal("52118955.58")
     sizes = {r["grupo_salida"]: r["n"] for r in p.groupBy("grupo_salida").agg(F.count("*").alias("n")).collect()}
-    assert sizes == {**{g: 100 for g in range(1, 13)}, 13: 14}
-    assert p.where(~F.col("cuenta").rlike("^[0-9]+$")).count() == 615
+    # group 1 is that of the five lines without a code, which vanish; then the large codes, then bins of about 100
+    assert {g: n for g, n in sizes.items() if g < 21} == {g: 4 for g in range(2, 21)}
+    assert [sizes[g] for g in range(21, 34)] == [99, 101, 100, 100, 100, 100, 99, 101, 100, 99, 101, 99, 22]
+    assert p.where(~F.col("cuenta").rlike("^[0-9]+$")).count() == 504
     ctl = reports.report_control(p)
-    assert ctl.where(F.col("tipo_registro") == "HEADER").agg(F.sum("recuento")).first()[0] == 924
+    assert ctl.where(F.col("tipo_registro") == "HEADER").agg(F.sum("recuento")).first()[0] == 920
 
 
 def test_codes_have_rerun_digit_and_truncated_sequence(day_product):
@@ -66,11 +68,11 @@ def test_invariants(day_product):
     p = day_product
     # each code in exactly one group
     assert p.groupBy("codigo_transaccion").agg(F.countDistinct("grupo_salida").alias("g")).where("g != 1").count() == 0
-    # line numbers are 1..n per code (the mapping here has unique keys)
+    # line numbers are 1..n per code; copies made by duplicate mapping rows share them
     per = p.groupBy("codigo_transaccion").agg(F.count("*").alias("n"), F.min("contador_linea").alias("lo"),
                                               F.max("contador_linea").alias("hi"),
                                               F.countDistinct("contador_linea").alias("d"))
-    assert per.where("lo != 1 OR hi != n OR d != n").count() == 0
+    assert per.where("lo != 1 OR hi != d OR n < d").count() == 0
     # control LINE / HEADER equal the lines and header reports per group
     ctl = reports.report_control(p)
     lines = reports.report_lines(p).groupBy("grupo").count()
@@ -85,8 +87,9 @@ def test_amounts_preserved_all_periods(spark, inputs):
     mov, mp, log = inputs
     lines = journal.unpivot_movements(journal.filter_period(journal.movements_projection(mov), None))
     prod = product.ledger_product(mov, mp, log, feed_params())
-    # the mapping of the fixture has unique keys, so no line is duplicated
-    assert lines.agg(F.sum("valor_movimiento")).first()[0] == prod.agg(F.sum("valor_movimiento")).first()[0]
+    # lines without a posting date have no code; accounts mapped twice give two lines
+    mapped = journal.map_accounts(lines.where("fecha_posteo IS NOT NULL"), mp, feed_params())
+    assert mapped.agg(F.sum("valor_movimiento")).first()[0] == prod.agg(F.sum("valor_movimiento")).first()[0]
 
 
 def test_pending_periods(inputs):
