@@ -115,10 +115,11 @@ def encoder(sp, split: bool):
 
 def word_slices(col: pa.Array, split: bool):
     """(first row, end row, bytes, offsets, word starts, word ends) of slices of a text column."""
-    for lo, hi, data, offs in text_chunks(marked(col)):
-        if split:
-            start, end = marked_words(data, offs)
-        else:  # pieces may cross markers: a whole text is one word
-            full = np.diff(offs) > 0
-            start, end = offs[:-1][full], offs[1:][full]
-        yield lo, hi, data, offs, start, end
+    for k in range(0, len(col), 500):
+        for lo, hi, data, offs in text_chunks(marked(col.slice(k, 500))):
+            if split:
+                start, end = marked_words(data, offs)
+            else:  # pieces may cross markers: a whole text is one word
+                full = np.diff(offs) > 0
+                start, end = offs[:-1][full], offs[1:][full]
+            yield k + lo, k + hi, data, offs, start, end
