@@ -32,7 +32,7 @@ from ledgerweave.llm.base import saved, table
 
 ORDER = 2
 #: Text of a block, and the fingerprints of the marks before and after a text.
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 8 << 20
 START, STOP = U(0x243F6A8885A308D3), U(0x13198A2E03707344)
 BLOCKS = "p long, ids array<long>, held array<boolean>, lens binary, words binary, idx binary"
 ANSWERS = "p long, level int, shard int, body binary"
@@ -94,21 +94,35 @@ class Block:
         n = unpacked(lens, np.int64) + 2
         self.first = np.cumsum(n) - n
         self.size = n
-        self.hash = np.empty(int(n.sum()), U)
-        inner = np.ones(len(self.hash), bool)
+        words = np.frombuffer(words, U)
+        self.words = np.append(words, [START, STOP])
+        self.code = np.empty(int(n.sum()), np.int64)  # of each token: its place among the words
+        inner = np.ones(len(self.code), bool)
         inner[self.first] = inner[self.first + n - 1] = False
-        self.hash[inner] = np.frombuffer(words, U)[unpacked(idx, np.uint32)]
-        self.hash[self.first], self.hash[self.first + n - 1] = START, STOP
-        self.place = np.arange(len(self.hash)) - np.repeat(self.first, n)  # within the text
+        self.code[inner] = unpacked(idx, np.uint32)
+        self.code[self.first], self.code[self.first + n - 1] = len(words), len(words) + 1
+        self.place = np.arange(len(self.code)) - np.repeat(self.first, n)  # within the text
         self.train = np.repeat(~self.held, n)
-
-    def grams(self, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """(positions where a k-gram ends, its fingerprints)."""
-        at = np.flatnonzero(self.place >= k - 1)
-        h = np.zeros(len(at), U)
-        for j in range(k):
-            h += self.hash[at - j] * U(pow(0x9E3779B97F4A7C15, j + 1, 1 << 64))
-        return at, mix(h + U(k))
+        self._grams = {}
+
+    def grams(self, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Positions where a k-gram ends, sorted fingerprints of the distinct ones, which one stands where, a position of each."""
+        if k not in self._grams:
+            factor = lambda j: U(pow(0x9E3779B97F4A7C15, j + 1, 1 << 64))
+            at = np.flatnonzero(self.place >= k - 1)
+            if k == 1:  # the words are distinct already
+                h = mix(self.words * factor(0) + U(1))
+                order = np.argsort(h)
+                rank = np.empty(len(order), np.int64)
+                rank[order] = np.arange(len(order))
+                self._grams[k] = at, h[order], rank[self.code], None
+            else:
+                h = np.zeros(len(at), U)
+                for j in range(k):
+                    h += self.words[self.code[at - j]] * factor(j)
+                keys, one, back = np.unique(mix(h + U(k)), return_index=True, return_inverse=True)
+                self._grams[k] = at, keys, back, at[one]
+        return self._grams[k]
 
 
 def bounds(shards: int) -> np.ndarray:
@@ -119,9 +133,8 @@ FIELDS = 6  # of an n-gram: raw count, adjusted count, and as a context: total,
 
 
 def requests(block: Block, k: int, order: int, above) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct k-grams of the block and its share of their figures; ``above``: (keys, figures, owned) of order k + 1."""
-    at, h = block.grams(k)
-    keys, back = np.unique(h, return_inverse=True)
+    """Distinct k-grams of the block and its share of their figures; ``above``: the answers of order k + 1."""
+    at, keys, back, _ = block.grams(k)
     f = np.zeros((FIELDS, len(keys)), np.int64)
     counts = block.train[at] & (block.place[at] > 0)  # the start mark alone is no event
     f[0] = np.bincount(back[counts], minlength=len(keys))
@@ -130,29 +143,32 @@ def requests(block: Block, k: int, order: int, above) -> tuple[np.ndarray, np.nd
     else:
         begins = counts & (block.place[at] == k - 1)
         f[1] = np.bincount(back[begins], minlength=len(keys))
-        high_keys, high, owned = above
-        high_at, high_h = block.grams(k + 1)
-        _, one = np.unique(high_h, return_index=True)  # an occurrence of each, in key order
-        one = one[owned]
-        adjusted = high[1][owned]
-        where = np.full(len(block.hash), -1, np.int64)
+        owned = above.owned()
+        one = block.grams(k + 1)[3][owned]  # an occurrence of each of the owned
+        adjusted = above.figure(1)[owned]
+        where = np.full(len(block.code), -1, np.int64)
         where[at] = back
-        f[1] += np.bincount(where[high_at[one]], minlength=len(keys))
-        ctx = where[high_at[one] - 1]
+        f[1] += np.bincount(where[one], minlength=len(keys))
+        ctx = where[one - 1]
         f[2] = np.bincount(ctx, weights=adjusted, minlength=len(keys)).astype(np.int64)
         for j, hit in ((3, adjusted == 1), (4, adjusted == 2), (5, adjusted > 2)):
             f[j] = np.bincount(ctx[hit], minlength=len(keys))
     return keys, f
 
 
-def body_of(*arrays: np.ndarray) -> bytes:
-    parts = [packed(a) for a in arrays]
+def joined(parts: list[bytes]) -> bytes:
     return np.array([len(x) for x in parts], np.int64).tobytes() + b"".join(parts)
 
 
-def of_body(b: bytes, dtypes) -> list[np.ndarray]:
-    cuts = np.concatenate(([0], np.cumsum(np.frombuffer(b[:8 * len(dtypes)], np.int64)))) + 8 * len(dtypes)
-    return [unpacked(b[x:y], d) for x, y, d in zip(cuts[:-1], cuts[1:], dtypes)]
+def body_of(*arrays: np.ndarray) -> bytes:
+    return joined([packed(a) for a in arrays])
+
+
+def of_body(b: bytes, i: int, dtypes) -> np.ndarray:
+    """The i-th array of a body."""
+    size = np.frombuffer(b[:8 * len(dtypes)], np.int64)
+    start = 8 * len(dtypes) + int(size[:i].sum())
+    return unpacked(b[start:start + int(size[i])], dtypes[i])
 
 
 KEY = [np.uint64] + [np.uint32, np.uint32, np.uint64, np.uint32, np.uint32, np.uint32]
@@ -173,18 +189,26 @@ def requests_of(rows: DataFrame, k: int, order: int, shards: int) -> DataFrame:
     return rows.mapInArrow(work, ANSWERS)
 
 
+class Answers:
+    """What the shards answered a block for one order; figures are unpacked when they are asked for."""
+
+    def __init__(self, bodies):
+        self.bodies = [b for _, b in sorted(bodies, key=lambda x: x[0])]
+
+    def figure(self, i: int) -> np.ndarray:
+        return np.concatenate([of_body(b, i, ANSWER) for b in self.bodies]).astype(np.int64)
+
+    def owned(self) -> np.ndarray:
+        return self.figure(FIELDS).astype(bool)
+
+
 def _blocks(batches, levels):
-    """Blocks in rows sorted by p, each followed by its answers: yields (block, {level: (keys, figures, owned)}, p)."""
+    """Blocks in rows sorted by p, each followed by its answers: yields (block, {level: answers}, p)."""
     now = None
 
     def finish():
         block, bodies, p = now
-        above = {}
-        for level in levels:
-            got = [of_body(b, ANSWER) for _, b in sorted(bodies.get(level, []), key=lambda x: x[0])]
-            f = np.array([np.concatenate([g[i] for g in got]).astype(np.int64) for i in range(FIELDS)])
-            above[level] = (np.unique(block.grams(level)[1]), f, np.concatenate([g[FIELDS] for g in got]).astype(bool))
-        return block, above, p
+        return block, {k: Answers(bodies.get(k, [])) for k in levels}, p
 
     for b in batches:
         for r in b.to_pylist():
@@ -203,26 +227,29 @@ def answers_of(asked: DataFrame) -> DataFrame:
 
     def work(t: pa.Table) -> pa.Table:
         ps, level, shard, bodies = (t.column(c).to_pylist() for c in ("p", "level", "shard", "body"))
-        got = [of_body(b, KEY) for b in bodies]
-        for g in got:
-            g[0] = np.cumsum(g[0])
-        n = np.array([len(g[0]) for g in got])
-        keys, back = np.unique(np.concatenate([g[0] for g in got]), return_inverse=True)
-        total = np.zeros((FIELDS, len(keys)), np.int64)
-        for i in range(FIELDS):
-            v = np.concatenate([g[i + 1] for g in got])
-            for lo in range(0, len(v), 1 << 20):  # exact integer sums
-                np.add.at(total[i], back[lo:lo + (1 << 20)], v[lo:lo + (1 << 20)].astype(np.int64))
+        sent = [np.cumsum(of_body(b, 0, KEY)) for b in bodies]
+        edge = np.cumsum([0, *(len(x) for x in sent)])
+        keys, back = np.unique(np.concatenate(sent), return_inverse=True)
+        del sent
+        parts, stat = [[] for _ in bodies], []
+        for i in range(FIELDS):  # one figure at a time; sums stay far below 2^53
+            v = np.concatenate([of_body(b, i + 1, KEY) for b in bodies])
+            total = np.bincount(back, weights=v, minlength=len(keys)).astype(np.int64)
+            if i == 0:
+                stat = [total.sum(), (total > 0).sum()]
+            elif i == 1:
+                stat = [*((total == c).sum() for c in (1, 2, 3, 4)), total.sum(), (total > 2).sum(), *stat]
+                counted = total > 0
+            for part, x, y in zip(parts, edge[:-1], edge[1:]):
+                part.append(packed(total[back[x:y]].astype(ANSWER[i])))
         first = np.full(len(keys), len(back), np.int64)
         np.minimum.at(first, back, np.arange(len(back)))
         owner = np.zeros(len(back), np.uint8)
-        owner[first[total[1] > 0]] = 1
-        edge = np.concatenate(([0], np.cumsum(n)))
-        out = [body_of(*(total[i][back[x:y]].astype(d) for i, d in enumerate(ANSWER[:-1])), owner[x:y]) for x, y in zip(edge[:-1], edge[1:])]
-        a = total[1]
-        stat = np.array([(a == 1).sum(), (a == 2).sum(), (a == 3).sum(), (a == 4).sum(), a.sum(), (a > 2).sum(), total[0].sum(), (total[0] > 0).sum()], np.int64)
-        return pa.table({"p": pa.array([*ps, -1]), "level": pa.array([*level, level[0]], pa.int32()), "shard": pa.array([*shard, shard[0]], pa.int32()),
-                         "body": pa.array([*out, stat.tobytes()], pa.binary())})
+        owner[first[counted]] = 1
+        for part, x, y in zip(parts, edge[:-1], edge[1:]):
+            part.append(packed(owner[x:y]))
+        out = [joined(part) for part in parts] + [np.array(stat, np.int64).tobytes()]
+        return pa.table({"p": pa.array([*ps, -1]), "level": pa.array([*level, level[0]], pa.int32()), "shard": pa.array([*shard, shard[0]], pa.int32()), "body": pa.array(out, pa.binary())})
 
     return asked.groupBy("shard").applyInArrow(work, ANSWERS)
 
@@ -243,56 +270,54 @@ def discounts(stat: np.ndarray) -> np.ndarray:
     return np.array([0.0, *(min(max(x, 0.05), c) for x, c in zip(d, (1.0, 2.0, 3.0)))])
 
 
-def mapped(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The arrays in a file that has no name any more, mapped into memory."""
-    if not len(keys):
-        return keys, values
+def mapped(arrays: list[np.ndarray]) -> list[np.ndarray]:
+    """The arrays in a file that has no name any more, mapped into memory; counts in 4 bytes where they fit."""
+    arrays = [a.astype(np.uint32) if a.dtype == np.int64 and a.max(initial=0) < 1 << 32 else np.ascontiguousarray(a) for a in arrays]
+    if not len(arrays[0]):
+        return arrays
     with tempfile.TemporaryFile() as f:
-        f.write(keys.tobytes())
-        f.write(np.ascontiguousarray(values).tobytes())
+        for a in arrays:
+            f.write(a.tobytes())
         f.flush()
-        return (np.memmap(f, keys.dtype, "r", 0, keys.shape), np.memmap(f, values.dtype, "r", keys.nbytes, values.shape))
+        ends = np.cumsum([a.nbytes for a in arrays])
+        return [np.memmap(f, a.dtype, "r", int(e) - a.nbytes, a.shape) for a, e in zip(arrays, ends)]
 
 
 def scores(block: Block, slices: dict, order: int, stats: dict[int, np.ndarray]):
     """Per text: tokens, known tokens, base score, score (log10)."""
     n_train, vocabulary = int(stats[1][6]), int(stats[1][7])
-    model = {k: mapped(keys, f) for k, (keys, f, _) in slices.items()}
     event = np.flatnonzero(block.place > 0)
-    prob = np.full(len(block.hash), 1.0 / (vocabulary + 1))
-    d = discounts(stats[1])
-    at, h = block.grams(1)
-    keys, f = model[1]
-    found = np.searchsorted(keys, h)
-    raw, a = f[0][found], f[1][found]
-    total = float(stats[1][4])
-    if total:
-        left = float(d[1] * stats[1][0] + d[2] * stats[1][1] + d[3] * stats[1][5])
-        prob = np.maximum(a - d[np.minimum(a, 3)], 0) / total + left / total * prob
-    context, context_at = found, f
-    for k in range(2, order + 1):
+    prob = np.full(len(block.code), 1.0 / (vocabulary + 1))
+    raw, context = None, None
+    for k in range(1, order + 1):
+        at, own, back, _ = block.grams(k)
+        # the slice of the model: sorted fingerprints, and of the highest order only the counts
+        keys, *values = mapped([own, *(slices[k].figure(i) for i in ([1] if k == order > 1 else range(FIELDS)))])
+        found = np.searchsorted(keys, own)
+        figure = lambda v: v[found].astype(np.int64)
         d = discounts(stats[k])
-        at, h = block.grams(k)
-        keys, f = model[k]
-        found = np.searchsorted(keys, h)
-        a = f[1][found]
-        c = np.full(len(block.hash), -1, np.int64)
-        lower_at = block.grams(k - 1)[0]
-        c[lower_at] = context
-        c = c[at - 1]
-        s, n1, n2, n3 = (context_at[j][c] for j in (2, 3, 4, 5))
-        seen = s > 0
-        p = np.maximum(a - d[np.minimum(a, 3)], 0)
-        share = d[1] * n1 + d[2] * n2 + d[3] * n3
-        p = np.where(seen, (p + share * prob[at]) / np.maximum(s, 1), prob[at])
-        prob = prob.copy()
-        prob[at] = p
-        context, context_at = found, f
-    base = np.zeros(len(block.hash))
+        a = figure(values[0] if k == order > 1 else values[1])
+        left = np.maximum(a - d[np.minimum(a, 3)], 0)[back]
+        if k == 1:
+            raw = figure(values[0])[back]
+            total = float(stats[1][4])
+            if total:
+                rest = float(d[1] * stats[1][0] + d[2] * stats[1][1] + d[3] * stats[1][5])
+                prob = left / total + rest / total * prob
+        else:
+            s, share = (v[at - 1] for v in context(d))
+            prob[at] = np.where(s > 0, (left + share * prob[at]) / np.maximum(s, 1), prob[at])
+        if k < order:
+            def context(d, at=at, back=back, n=[figure(v) for v in values[2:]]):
+                """Of the k-gram ending at a position, as a context: its total and what discounting leaves for the order below."""
+                total, share = np.zeros(len(block.code)), np.zeros(len(block.code))
+                total[at], share[at] = n[0][back], (d[1] * n[1] + d[2] * n[2] + d[3] * n[3])[back]
+                return total, share
+    base = np.zeros(len(block.code))
     base[event] = np.log10((raw[event] + 1.0) / (n_train + vocabulary + 1.0))
-    full = np.zeros(len(block.hash))
+    full = np.zeros(len(block.code))
     full[event] = np.log10(prob[event])
-    known = np.zeros(len(block.hash), np.int64)
+    known = np.zeros(len(block.code), np.int64)
     known[event] = raw[event] > 0
     return block.size - 1, *(np.add.reduceat(x, block.first) for x in (known, base, full))
 
