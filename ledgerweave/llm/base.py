@@ -63,20 +63,27 @@ def key_filter(df: DataFrame, key: str, size: int = FILTER_BITS) -> KeyFilter:
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """Connected components of undirected ``edges``: (node, label), label = smallest node of the component.
 
-    Minimum labels spread along edges, then labels of labels are followed (so a chain
-    of length n takes about log n rounds).  Every round is a written table; only one number
-    comes back to the driver.  Nodes without edges do not appear.
+    Every node hooks onto its smallest neighbour if that is smaller; following these pointers (log n hops) leads to a
+    root.  Then edges are drawn between roots only, and it starts again until none is left, so the edges of a large
+    group are gone after one round.  Every step is a written table; only one row comes back to the driver.
+    Nodes without edges do not appear.
     """
-    e = edges.select(F.col(a).alias("x"), F.col(b).alias("y")).where("x <> y")
-    e = saved(e.unionByName(e.select(F.col("y").alias("x"), F.col("x").alias("y"))).distinct(), "edges")
-    lab = saved(e.groupBy(F.col("x").alias("node")).agg(F.least(F.min("y"), F.col("x")).alias("label")), "labels")
-    while True:
-        near = (e.join(lab, e.x == lab.node).groupBy(F.col("y").alias("node")).agg(F.min("label").alias("near")))
-        step = lab.join(near, "node", "left").select("node", "label", F.least("label", "near").alias("next"))
-        step = saved(step, "spread")
-        hop = step.select(F.col("node").alias("next"), F.col("next").alias("hop"))
-        new = saved(step.join(hop, "next", "left").select("node", F.least("next", "hop").alias("label"),
-                                                           (F.col("label") != F.least("next", "hop")).alias("moved")), "labels")
-        lab = new.select("node", "label")
-        if new.where("moved").limit(1).count() == 0:
-            return lab
+    x, y = F.col(a), F.col(b)
+    e = saved(edges.select(F.least(x, y).alias("x"), F.greatest(x, y).alias("y")).where("x <> y").distinct(), "edges")
+    label = None
+    while label is None or e.limit(1).count():
+        ends = e.select(F.col("x").alias("node"), F.col("y").alias("other")).unionByName(e.select(F.col("y").alias("node"), F.col("x").alias("other")))
+        up = saved(ends.groupBy("node").agg(F.least(F.min("other"), F.col("node")).alias("root")), "hooks")
+        while True:
+            hop = up.select(F.col("node").alias("root"), F.col("root").alias("next"))
+            step = saved(up.join(hop, "root").select("node", F.col("next").alias("root"), (F.col("next") != F.col("root")).alias("moved")), "hops")
+            up = step.select("node", "root")
+            if not step.where("moved").limit(1).count():
+                break
+        if label is None:
+            label = up.select("node", F.col("root").alias("label"))
+        else:
+            label = saved(label.join(up.select(F.col("node").alias("label"), "root"), "label", "left").select("node", F.coalesce("root", "label").alias("label")), "labels")
+        p, q = up.select(F.col("node").alias("x"), F.col("root").alias("rx")), up.select(F.col("node").alias("y"), F.col("root").alias("ry"))
+        e = saved(e.join(p, "x").join(q, "y").where("rx <> ry").select(F.least("rx", "ry").alias("x"), F.greatest("rx", "ry").alias("y")).distinct(), "edges")
+    return label

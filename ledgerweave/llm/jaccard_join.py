@@ -41,6 +41,8 @@ FREQUENT = 1 << 17
 FREQUENT_LEAST = 4
 #: Sets that one block of a search holds, and parts that the sets proposed by one set are dealt to.
 BLOCK, SALTS = 256, 16
+#: Lists longer than this are compared in blocks of so many rows, by sketch, and give only the pairs that pass.
+LONG_LIST, LIST_BLOCK = 64, 1024
 
 
 def frequent_shingles(texts: DataFrame, k: int = WORDS, most: int = FREQUENT) -> np.ndarray:
@@ -285,6 +287,65 @@ def candidate_lists(docs: DataFrame, k: int, threshold: int) -> DataFrame:
     return rows.where("low or high").select("h", "f", "n", "start", F.when(F.col("low"), F.col("last")).alias("before"))
 
 
+def long_list_pairs(lists: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
+    """Pairs (a, b) between classes of long lists (h, f, n, label, size) whose sizes and sketches allow the threshold.
+
+    The rows of a list are dealt to blocks, and each pair of blocks is compared in one place, so no list has to fit
+    in a task and pairs that the sketches rule out are never written.
+    """
+    blocks = F.ceil(F.col("size") / LIST_BLOCK).cast("int")
+    rows = lists.join(sets.select("f", "sketch"), "f").withColumn("own", F.pmod(F.xxhash64("f"), blocks).cast("int"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    rows = rows.select("h", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "own", "f", "n", "label", "sketch")
+
+    def compare(t: pa.Table):
+        col = lambda c: t.column(c).to_numpy()
+        own, f, n, label = col("own"), col("f"), col("n"), col("label")
+        sk = [np.frombuffer(x, U) for x in t.column("sketch").to_pylist()]
+        left, right = own == t.column("lo")[0].as_py(), own == t.column("hi")[0].as_py()
+        for i in np.flatnonzero(left):
+            fits = right & (label > label[i] if t.column("lo")[0].as_py() == t.column("hi")[0].as_py() else label != label[i])
+            fits &= 100 * np.minimum(n, n[i]) >= threshold * np.maximum(n, n[i])
+            at = np.flatnonzero(fits)
+            for size in {len(sk[j]) for j in at}:
+                same = at[[len(sk[j]) == size for j in at]]
+                one, many = sk[i], np.stack([sk[j] for j in same])
+                while len(one) != many.shape[1]:
+                    if len(one) > many.shape[1]:
+                        one = one[:len(one) // 2] ^ one[len(one) // 2:]
+                    else:
+                        many = many[:, :many.shape[1] // 2] ^ many[:, many.shape[1] // 2:]
+                total = n[i] + n[same]
+                ok = np.bitwise_count(one ^ many).sum(axis=1).astype(np.int64) <= total - 2 * -(-threshold * total // (100 + threshold))
+                if ok.any():
+                    yield np.full(int(ok.sum()), f[i]), f[same[ok]]
+
+    def work(batches):
+        held, seen = None, set()
+        for b in batches:
+            t = pa.Table.from_batches([b])
+            held = t if held is None else pa.concat_tables([held, t])
+            key = np.stack([held.column(c).to_numpy() for c in ("h", "lo", "hi")], 1) if held.num_rows else np.zeros((0, 3), np.int64)
+            cuts = np.flatnonzero((key[1:] != key[:-1]).any(1)) + 1
+            for x, y in zip([0, *cuts[:-1]], cuts):
+                yield from found(held.slice(x, y - x), seen)
+            if len(cuts):  # the last group may go on
+                held = held.slice(cuts[-1])
+        if held is not None and held.num_rows:
+            yield from found(held, seen)
+
+    def found(t, seen):
+        for a, b in compare(t):
+            fresh = [i for i, pair in enumerate(zip(a.tolist(), b.tolist())) if pair not in seen]
+            if len(seen) < 1_000_000:  # only spares repeats
+                seen.update(zip(a.tolist(), b.tolist()))
+            if fresh:
+                yield pa.RecordBatch.from_arrays([pa.array(a[fresh]), pa.array(b[fresh])], names=["a", "b"])
+
+    rows = rows.repartition("h", "lo", "hi").sortWithinPartitions("h", "lo", "hi")
+    return rows.mapInArrow(work, "a long, b long")
+
+
 def jaccard_components(docs: DataFrame, k: int = WORDS, threshold: int = THRESHOLD) -> DataFrame:
     """(doc_id, n_shingles, component_id) per row of ``docs`` (doc_id, text); component_id is the smallest doc_id reachable."""
     own = saved(document_sets(docs, k), "docsets")
@@ -299,12 +360,16 @@ def jaccard_components(docs: DataFrame, k: int = WORDS, threshold: int = THRESHO
     classes = components(links)
     w = Window.partitionBy("h")
     open_ = lists.select("h", "f", "n").join(classes.select(F.col("node").alias("f"), "label"), "f", "left").withColumn("label", F.coalesce("label", "f"))
-    open_ = saved(open_.withColumn("low", F.min("label").over(w)).withColumn("high", F.max("label").over(w)).where("low <> high").select("h", "f", "n", "label"), "open")
-    x, y = open_.alias("x"), open_.alias("y")
+    open_ = saved(open_.withColumn("low", F.min("label").over(w)).withColumn("high", F.max("label").over(w)).where("low <> high")
+                  .select("h", "f", "n", "label", F.count(F.lit(1)).over(w).alias("size")), "open")
+    short = open_.where(F.col("size") <= LONG_LIST)
+    x, y = short.alias("x"), short.alias("y")
     across = proposals(x.join(y, (F.col("x.h") == F.col("y.h")) & (F.col("x.label") < F.col("y.label"))
                               & (100 * F.least("x.n", "y.n") >= threshold * F.greatest("x.n", "y.n")))
                        .select(F.col("x.f").alias("a"), F.col("y.f").alias("b")))
-    more = verified(sketch_passes(across.join(stars, ["a", "b"], "left_anti"), sets, threshold), docs, sets, k, threshold)
+    across = sketch_passes(across.join(stars, ["a", "b"], "left_anti"), sets, threshold)
+    across = across.unionByName(proposals(long_list_pairs(open_.where(F.col("size") > LONG_LIST), sets, threshold))).distinct()
+    more = verified(across, docs, sets, k, threshold)
     label = components(links.unionByName(more))
     of = sets.select("f", "doc_id").join(label.select(F.col("node").alias("f"), "label"), "f", "left").withColumn("label", F.coalesce("label", "f"))
     small = of.groupBy("label").agg(F.min("doc_id").alias("component_id"))

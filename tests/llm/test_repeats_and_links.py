@@ -76,9 +76,11 @@ def test_smaller_neighbours():
         assert before[i] == (left[-1] if left else -1) and after[i] == (right[0] if right else -1)
 
 
-@pytest.mark.parametrize("frequent", [1 << 17, 0])
-def test_jaccard_join(spark, frequent, monkeypatch):
+@pytest.mark.parametrize("frequent,long_list", [(1 << 17, 64), (0, 64), (0, 1)])
+def test_jaccard_join(spark, frequent, long_list, monkeypatch):
     rows = texts(3)
+    monkeypatch.setattr(jaccard_join, "LONG_LIST", long_list)
+    monkeypatch.setattr(jaccard_join, "LIST_BLOCK", 3)
     monkeypatch.setattr(jaccard_join, "FREQUENT_LEAST", 2)
     if not frequent:
         monkeypatch.setattr(jaccard_join, "frequent_shingles", lambda docs, k: np.zeros(0, np.uint64))
