@@ -27,40 +27,45 @@ SCALE = 1024
 #: Vectors and queries of a block.
 VECTORS, QUERIES = 4096, 1024
 #: Depths, as shares of a list, at which the bounds are looked at.
-DEPTHS = (1 / 16, 1 / 8, 1 / 4, 1 / 2, 3 / 4)
+DEPTHS = (1 / 8, 1 / 4, 1 / 2, 3 / 4)
 
 
 class SortedLists:
     """One sorted list per component over the objects of a block."""
 
     def __init__(self, values: np.ndarray):
-        self.values = values
+        # sums of products stay exact in doubles while they are below 2^53
+        small = len(values) == 0 or np.abs(values).max() ** 2 < (1 << 52) // values.shape[1]
+        self.kind = np.float64 if small else np.int64
+        self.values = values.astype(self.kind)
         order = np.argsort(values, axis=0, kind="stable")
-        self.sorted = np.take_along_axis(values, order, 0)
-        self.rank = np.empty(order.shape, np.int32)
-        np.put_along_axis(self.rank, order, np.arange(len(values), dtype=np.int32)[:, None], 0)
+        self.sorted = np.take_along_axis(self.values, order, 0)
+        self.place = np.empty(order.shape, np.int32)  # in the ascending list
+        np.put_along_axis(self.place, order, np.arange(len(values), dtype=np.int32)[:, None], 0)
+        self.back = len(values) - 1 - self.place
 
     def search(self, query: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """Objects that may be among the k best (ties kept) with full scores."""
-        n = len(self.values)
-        down = query > 0  # such lists are read from their large end
+        """Objects that may be among the k best (ties kept), with full scores."""
+        n, down = len(self.values), query > 0  # lists of positive components are read from their large end
+        query = query.astype(self.kind)
+        if np.abs(query).max() * np.abs(self.values).max(initial=0) * len(query) >= 1 << 53:  # rare: whole integers
+            return np.arange(n), self.values.astype(np.int64) @ query.astype(np.int64)
         worst = np.where(down, self.sorted[0], self.sorted[-1]) * query
-        left = np.arange(n)
+        left, values, place = np.arange(n), self.values, np.where(down, self.back, self.place)
         for share in DEPTHS:
             depth = int(n * share)
             if depth < 1 or len(left) <= 4 * k:
                 continue
             reached = np.where(down, self.sorted[n - depth], self.sorted[depth - 1]) * query
-            r = self.rank[left]
-            read = np.where(down, r >= n - depth, r < depth)
-            product = self.values[left] * query
-            known = np.where(read, product, 0).sum(1)
-            lower = known + np.where(read, 0, worst).sum(1)
-            upper = known + np.where(read, 0, reached).sum(1)
-            bar = np.partition(lower, len(lower) - k)[len(lower) - k] if len(lower) >= k else None
-            if bar is not None:
-                left = left[upper >= bar]  # unread objects are among them: their upper bound is the threshold
-        return left, self.values[left] @ query
+            read = (place < depth).astype(self.kind)
+            known = (read * values) @ query
+            lower = known + worst.sum() - read @ worst
+            upper = known + reached.sum() - read @ reached
+            # what is unread is among them too: its upper bound is the threshold of the depth
+            keep = upper >= np.partition(lower, len(lower) - k)[len(lower) - k]
+            if not keep.all():
+                left, values, place = left[keep], values[keep], place[keep]
+        return left, (values @ query).astype(np.int64)
 
 
 def exact_top(vectors: DataFrame, is_query, k: int = K) -> DataFrame:
