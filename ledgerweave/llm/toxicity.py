@@ -327,12 +327,10 @@ def accepted(docs: DataFrame, model: Model, limit: float = 0.5) -> DataFrame:
         m = own.value
         decoder = Decoder(m.characters)
         for b in batches:
-            keep = np.zeros(b.num_rows, bool)
             for lo, hi, data, offs in text_chunks(b.column(text)):
                 r, f = _hits(data, offs, decoder, m.keys)
                 z = m.intercept + np.bincount(r, weights=m.weights[f] if len(f) else None, minlength=hi - lo)
-                keep[lo:hi] = 1 / (1 + np.exp(-z)) < limit
-            yield b.filter(pa.array(keep))
+                yield b.slice(lo, hi - lo).filter(pa.array(1 / (1 + np.exp(-z)) < limit))
 
     return docs.mapInArrow(work, docs.schema)
 
