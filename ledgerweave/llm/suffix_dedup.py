@@ -44,7 +44,7 @@ BLOCK = 40
 ANCHOR_BITS = 1 << 27
 HOT_RUNS = 20_000
 #: Bytes of runs that a task folds, or sorts, at once (whole anchors).
-FOLD_BYTES, SORT_BYTES = 16 << 20, 2 << 20
+FOLD_BYTES, SORT_BYTES = 8 << 20, 2 << 20
 POS = np.uint64(0xFFFFFFFF)
 SEEN, HOT = 1, 2
 
@@ -90,7 +90,7 @@ def anchor_counts(docs: DataFrame, length: int) -> DataFrame:
             for _, _, data, offs in text_chunks(b.column(0)):
                 held.append(anchor_runs(data, offs, length)[2])
                 size += len(held[-1])
-                if size > 2_000_000:
+                if size > 500_000:
                     yield flush()
                     held, size = [], 0
         if size:
