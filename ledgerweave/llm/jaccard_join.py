@@ -294,14 +294,17 @@ def long_list_pairs(lists: DataFrame, sets: DataFrame, threshold: int) -> DataFr
     in a task and pairs that the sketches rule out are never written.
     """
     blocks = F.ceil(F.col("size") / LIST_BLOCK).cast("int")
-    rows = lists.join(sets.select("f", "sketch"), "f").withColumn("own", F.pmod(F.xxhash64("f"), blocks).cast("int"))
+    # of each set its first long lists: a pair is written only where the first list common to these is compared
+    firsts = lists.groupBy("f").agg(F.slice(F.sort_array(F.collect_set("h")), 1, 8).alias("firsts"))
+    rows = lists.join(sets.select("f", "sketch"), "f").join(firsts, "f").withColumn("own", F.pmod(F.xxhash64("f"), blocks).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    rows = rows.select("h", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "own", "f", "n", "label", "sketch")
+    rows = rows.select("h", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "own", "f", "n", "label", "sketch", "firsts")
 
     def compare(t: pa.Table):
         col = lambda c: t.column(c).to_numpy()
         own, f, n, label = col("own"), col("f"), col("n"), col("label")
         sk = [np.frombuffer(x, U) for x in t.column("sketch").to_pylist()]
+        here, firsts = t.column("h")[0].as_py(), [set(x) for x in t.column("firsts").to_pylist()]
         left, right = own == t.column("lo")[0].as_py(), own == t.column("hi")[0].as_py()
         for i in np.flatnonzero(left):
             fits = right & (label > label[i] if t.column("lo")[0].as_py() == t.column("hi")[0].as_py() else label != label[i])
@@ -317,8 +320,9 @@ def long_list_pairs(lists: DataFrame, sets: DataFrame, threshold: int) -> DataFr
                         many = many[:, :many.shape[1] // 2] ^ many[:, many.shape[1] // 2:]
                 total = n[i] + n[same]
                 ok = np.bitwise_count(one ^ many).sum(axis=1).astype(np.int64) <= total - 2 * -(-threshold * total // (100 + threshold))
-                if ok.any():
-                    yield np.full(int(ok.sum()), f[i]), f[same[ok]]
+                passed = [j for j in same[ok] if min(firsts[i] & firsts[j], default=here) == here]
+                if passed:
+                    yield np.full(len(passed), f[i]), f[passed]
 
     def work(batches):
         held, seen = None, set()
