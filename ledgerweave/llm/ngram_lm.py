@@ -20,6 +20,7 @@ an empty table gives no rows; other columns are ignored.  64-bit fingerprints st
 from __future__ import annotations
 
 import tempfile
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +31,7 @@ from pyspark.sql import functions as F
 from ledgerweave.llm.arrays import U, mix, text_chunks, word_prints
 from ledgerweave.llm.base import saved, table
 
-ORDER = 2
+ORDER = 3
 #: Text of a block, and the fingerprints of the marks before and after a text.
 BLOCK_BYTES = 8 << 20
 START, STOP = U(0x243F6A8885A308D3), U(0x13198A2E03707344)
@@ -132,6 +133,11 @@ def bounds(shards: int) -> np.ndarray:
 FIELDS = 6  # of an n-gram: raw count, adjusted count, and as a context: total, continuations seen once, twice, more
 
 
+def sent(k: int, order: int) -> list[int]:
+    """The figures of k-grams that are read again: raw counts of words only; nothing of contexts at the highest order, where none is one."""
+    return [*([0] if k == 1 else []), 1, *(range(2, FIELDS) if k < order else [])]
+
+
 def requests(block: Block, k: int, order: int, above) -> tuple[np.ndarray, np.ndarray]:
     """Distinct k-grams of the block and its share of their figures; ``above``: the answers of order k + 1."""
     at, keys, back, _ = block.grams(k)
@@ -183,7 +189,8 @@ def requests_of(rows: DataFrame, k: int, order: int, shards: int) -> DataFrame:
         for block, above, p in _blocks(batches, [k + 1] if k < order else []):
             keys, f = requests(block, k, order, above.get(k + 1))
             edge = np.concatenate(([0], np.searchsorted(keys, cuts), [len(keys)]))
-            out = [(p, k, s, body_of(np.diff(keys[x:y], prepend=U(0)), *(v[x:y].astype(d) for v, d in zip(f, KEY[1:])))) for s, (x, y) in enumerate(zip(edge[:-1], edge[1:])) if y > x]
+            figures = [v.astype(d) if i in sent(k, order) else np.zeros(0, d) for i, (v, d) in enumerate(zip(f, KEY[1:]))]
+            out = [(p, k, s, body_of(np.diff(keys[x:y], prepend=U(0)), *(v[x:y] for v in figures))) for s, (x, y) in enumerate(zip(edge[:-1], edge[1:])) if y > x]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.int32(), pa.int32(), pa.binary()))], names=["p", "level", "shard", "body"])
 
     return rows.mapInArrow(work, ANSWERS)
@@ -222,23 +229,27 @@ def _blocks(batches, levels):
         yield finish()
 
 
-def answers_of(asked: DataFrame) -> DataFrame:
+def answers_of(asked: DataFrame, order: int) -> DataFrame:
     """Add up each shard's requests; a row per asking block, and one with p = -1 holding the shard's counts of counts."""
 
     def work(t: pa.Table) -> pa.Table:
         ps, level, shard, bodies = (t.column(c).to_pylist() for c in ("p", "level", "shard", "body"))
-        sent = [np.cumsum(of_body(b, 0, KEY)) for b in bodies]
-        edge = np.cumsum([0, *(len(x) for x in sent)])
-        keys, back = np.unique(np.concatenate(sent), return_inverse=True)
-        del sent
-        parts, stat = [[] for _ in bodies], []
+        asked_for = [np.cumsum(of_body(b, 0, KEY)) for b in bodies]
+        edge = np.cumsum([0, *(len(x) for x in asked_for)])
+        keys, back = np.unique(np.concatenate(asked_for), return_inverse=True)
+        del asked_for
+        parts, words = [[] for _ in bodies], [0, 0]
         for i in range(FIELDS):  # one figure at a time; sums stay far below 2^53
+            if i not in sent(level[0], order):
+                for part in parts:
+                    part.append(packed(np.zeros(0, ANSWER[i])))
+                continue
             v = np.concatenate([of_body(b, i + 1, KEY) for b in bodies])
             total = np.bincount(back, weights=v, minlength=len(keys)).astype(np.int64)
             if i == 0:
-                stat = [total.sum(), (total > 0).sum()]
+                words = [total.sum(), (total > 0).sum()]
             elif i == 1:
-                stat = [*((total == c).sum() for c in (1, 2, 3, 4)), total.sum(), (total > 2).sum(), *stat]
+                stat = [*((total == c).sum() for c in (1, 2, 3, 4)), total.sum(), (total > 2).sum(), *words]
                 counted = total > 0
             for part, x, y in zip(parts, edge[:-1], edge[1:]):
                 part.append(packed(total[back[x:y]].astype(ANSWER[i])))
@@ -292,11 +303,12 @@ def scores(block: Block, slices: dict, order: int, stats: dict[int, np.ndarray])
     for k in range(1, order + 1):
         at, own, back, _ = block.grams(k)
         # the slice of the model: sorted fingerprints, and of the highest order only the counts
-        keys, *values = mapped([own, *(slices[k].figure(i) for i in ([1] if k == order > 1 else range(FIELDS)))])
+        keys, *values = mapped([own, *(slices[k].figure(i) for i in sent(k, order))])
+        values = dict(zip(sent(k, order), values))
         found = np.searchsorted(keys, own)
         figure = lambda v: v[found].astype(np.int64)
         d = discounts(stats[k])
-        a = figure(values[0] if k == order > 1 else values[1])
+        a = figure(values[1])
         left = np.maximum(a - d[np.minimum(a, 3)], 0)[back]
         if k == 1:
             raw = figure(values[0])[back]
@@ -308,7 +320,7 @@ def scores(block: Block, slices: dict, order: int, stats: dict[int, np.ndarray])
             s, share = (v[at - 1] for v in context(d))
             prob[at] = np.where(s > 0, (left + share * prob[at]) / np.maximum(s, 1), prob[at])
         if k < order:
-            def context(d, at=at, back=back, n=[figure(v) for v in values[2:]]):
+            def context(d, at=at, back=back, n=[figure(values[i]) for i in range(2, FIELDS)]):
                 """Of the k-gram ending at a position, as a context: its total and what discounting leaves for the order below."""
                 total, share = np.zeros(len(block.code)), np.zeros(len(block.code))
                 total[at], share[at] = n[0][back], (d[1] * n[1] + d[2] * n[2] + d[3] * n[3])[back]
@@ -322,6 +334,18 @@ def scores(block: Block, slices: dict, order: int, stats: dict[int, np.ndarray])
     return block.size - 1, *(np.add.reduceat(x, block.first) for x in (known, base, full))
 
 
+@contextmanager
+def shuffles_removed(spark: SparkSession):
+    """Shuffle files of a write go when it is done: the table is in the shared folder then, and no later job reads them."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    old = spark.conf.get(key, None)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, old) if old is not None else spark.conf.unset(key)
+
+
 def score_texts(docs: DataFrame, held, order: int = ORDER) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of each row of ``docs`` (doc_id, text)."""
     spark = docs.sparkSession
@@ -336,7 +360,8 @@ def score_texts(docs: DataFrame, held, order: int = ORDER) -> DataFrame:
         return rows.repartition("p").sortWithinPartitions("p", F.col("shard").asc_nulls_first()) if levels else rows
 
     for k in range(order, 0, -1):
-        answers[k] = saved(answers_of(requests_of(with_answers([k + 1] if k < order else []), k, order, shards)), f"order{k}")
+        with shuffles_removed(spark):
+            answers[k] = saved(answers_of(requests_of(with_answers([k + 1] if k < order else []), k, order, shards), order), f"order{k}")
         stats[k] = figures(answers[k])
 
     def work(batches):

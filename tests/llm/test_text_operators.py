@@ -159,3 +159,13 @@ def test_language_model_blocks(spark, monkeypatch):
     want = sorted(map(tuple, ngram_lm.score_texts(df.coalesce(1), F.lit(False)).collect()))
     assert want == sorted(map(tuple, ngram_lm.score_texts(df.repartition(7), F.lit(False)).collect()))
     assert ngram_lm.score_texts(df.limit(0), F.lit(False)).count() == 0
+
+
+def test_language_model_registered_order(spark, tmp_path):
+    rng = random.Random(8)
+    texts = [" ".join(rng.choice("abcd") for _ in range(rng.randint(3, 30))) for _ in range(60)]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r.doc_id: r for r in ngram_lm.op5_ngram_lm(spark, str(tmp_path)).collect()}
+    assert {r.held_out for r in got.values()} == {True, False}
+    want, _ = brute.kneser_ney([t for i, t in enumerate(texts) if not got[i].held_out], texts, 3)
+    assert all(abs(got[i].score - w[3]) < 1e-9 * max(1, -w[3]) for i, w in enumerate(want))
