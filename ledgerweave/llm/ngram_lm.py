@@ -34,8 +34,10 @@ from ledgerweave.llm.base import saved, table
 ORDER = 3
 #: Text of a block, and the fingerprints of the marks before and after a text.
 BLOCK_BYTES = 8 << 20
+#: Tokens of all blocks a shard is made for: no shard gets many more requests of one order, whatever the corpus.
+SHARD_TOKENS = 2 << 20
 START, STOP = U(0x243F6A8885A308D3), U(0x13198A2E03707344)
-BLOCKS = "p long, ids array<long>, held array<boolean>, lens binary, words binary, idx binary"
+BLOCKS = "p long, tokens long, ids array<long>, held array<boolean>, lens binary, words binary, idx binary"
 ANSWERS = "p long, level int, shard int, body binary"
 
 
@@ -69,9 +71,9 @@ def blocks_of(docs: DataFrame, held) -> DataFrame:
             p = (TaskContext.get().partitionId() << 24) + seq
             seq += 1
             return pa.RecordBatch.from_arrays(
-                [pa.array([p]), pa.array([[i for r in rows for i in r[0]]], pa.list_(pa.int64())), pa.array([[h for r in rows for h in r[1]]], pa.list_(pa.bool_())),
+                [pa.array([p]), pa.array([int(lens.sum()) + 2 * len(lens)]), pa.array([[i for r in rows for i in r[0]]], pa.list_(pa.int64())), pa.array([[h for r in rows for h in r[1]]], pa.list_(pa.bool_())),
                  pa.array([packed(lens)], pa.binary()), pa.array([words[order].tobytes()], pa.binary()), pa.array([packed(place[idx])], pa.binary())],
-                names=["p", "ids", "held", "lens", "words", "idx"])
+                names=["p", "tokens", "ids", "held", "lens", "words", "idx"])
 
         for b in batches:
             for lo, hi, data, offs in text_chunks(b.column(2)):
@@ -181,6 +183,11 @@ KEY = [np.uint64] + [np.uint32, np.uint32, np.uint64, np.uint32, np.uint32, np.u
 ANSWER = KEY[1:] + [np.uint8]
 
 
+def shards_for(tokens: int, least: int) -> int:
+    """Shards of an order: a block asks for at most as many n-grams as it has tokens."""
+    return max(8, least, -(-tokens // SHARD_TOKENS))
+
+
 def requests_of(rows: DataFrame, k: int, order: int, shards: int) -> DataFrame:
     """Blocks (with their answers of order k + 1) -> requests of order k by shard."""
     cuts = bounds(shards)
@@ -349,8 +356,8 @@ def shuffles_removed(spark: SparkSession):
 def score_texts(docs: DataFrame, held, order: int = ORDER) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of each row of ``docs`` (doc_id, text)."""
     spark = docs.sparkSession
-    shards = max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
     blocks = saved(blocks_of(docs, held), "blocks")
+    shards = shards_for(blocks.agg(F.sum("tokens").alias("n")).first().n or 0, int(spark.conf.get("spark.sql.shuffle.partitions")))
     answers, stats = {}, {}
 
     def with_answers(levels):

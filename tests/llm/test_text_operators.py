@@ -169,3 +169,17 @@ def test_language_model_registered_order(spark, tmp_path):
     assert {r.held_out for r in got.values()} == {True, False}
     want, _ = brute.kneser_ney([t for i, t in enumerate(texts) if not got[i].held_out], texts, 3)
     assert all(abs(got[i].score - w[3]) < 1e-9 * max(1, -w[3]) for i, w in enumerate(want))
+
+
+def test_language_model_shards_follow_the_input(spark, monkeypatch):
+    rng = random.Random(9)
+    df = spark.createDataFrame([(i, " ".join(str(rng.randrange(500)) for _ in range(80))) for i in range(100)], "doc_id long, text string").coalesce(1)
+    want = sorted(map(tuple, ngram_lm.score_texts(df, F.lit(False)).collect()))
+    n_shards = lambda n: ngram_lm.shards_for(n << 21, 12)
+    assert [n_shards(n) for n in (0, 1, 12, 13, 720)] == [12, 12, 12, 13, 720]
+    used = []
+    real = ngram_lm.figures
+    monkeypatch.setattr(ngram_lm, "figures", lambda answers: used.append(answers.where("p = -1").count()) or real(answers))
+    monkeypatch.setattr(ngram_lm, "SHARD_TOKENS", 100)
+    assert sorted(map(tuple, ngram_lm.score_texts(df, F.lit(False)).collect())) == want
+    assert used[0] >= 80  # 8200 tokens, so 82 shards of the highest order, whatever the shuffle partitions
