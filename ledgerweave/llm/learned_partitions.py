@@ -5,7 +5,7 @@
 2. A small network learns, for a vector, the parts its neighbours lie in.  It stands for the partition from then on.
 3. Every row of the table is indexed under its most probable part; a query goes to its several most probable parts, and the rows
    there are ranked by exact distance.  How many parts is measured on sampled rows that were not learned from: the least
-   number that covers ``COVER`` of their true neighbours.
+   number that covers ``COVER`` of the true neighbours of distinct vectors (copies of one vector would count as often as they stand).
 
 The sample and the network have fixed sizes; rows are routed in Spark.  A part is dealt to as many groups as its row count
 asks for, so large parts stay bounded per task.  Nearness: Euclidean distance in double precision, ties to the smaller vec_id.
@@ -26,7 +26,7 @@ from ledgerweave.llm.vectors import best, matrix, usable
 
 K = 10
 #: Rows sampled for the graph, parts, neighbours of the graph, and the share of true neighbours that probing must cover.
-SAMPLE, PARTS, NEIGHBOURS, COVER = 4096, 16, 16, 0.94
+SAMPLE, PARTS, NEIGHBOURS, COVER = 4096, 16, 16, 0.98
 #: Tables up to this size have one part; rows of a group of a part.
 SMALL, GROUP = 1000, 4096
 HIDDEN, STEPS = 128, 600
@@ -124,7 +124,7 @@ class Router:
 def learn(x: np.ndarray, parts: int = PARTS, cover: float = COVER, seed: int = 7) -> tuple[Router, int]:
     """Router and number of parts to probe, from sampled vectors."""
     rng = np.random.default_rng(seed)
-    asked, x = x[:len(x) // 4], x[len(x) // 4:]
+    asked, x = np.unique(x[:len(x) // 4], axis=0), x[len(x) // 4:]  # copies of one vector are one query
     k = min(NEIGHBOURS, len(x) - 1)
     graph = neighbour_graph(x, k)
     part = balanced_parts(graph, parts, rng)

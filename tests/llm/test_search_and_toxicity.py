@@ -83,6 +83,18 @@ def test_learned_partitions_recall(spark, monkeypatch):
     assert hit >= 0.9 * total
 
 
+@pytest.mark.parametrize("explicit", [None, 0.9])
+def test_cover_is_of_distinct_vectors(explicit):
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(2400, 12))
+    x[rng.random(2400) < 0.5] = x[0]  # half of the sample is one vector
+    router, probes = learned_partitions.learn(x) if explicit is None else learned_partitions.learn(x, cover=explicit)
+    asked, x = np.unique(x[:600], axis=0), x[600:]
+    near = np.argsort((x * x).sum(1)[None, :] - 2 * asked @ x.T, axis=1, kind="stable")[:, :10]
+    found = (router.order(asked)[:, :probes, None] == router.order(x)[:, 0][near][:, None, :]).any(1).mean()
+    assert found >= (explicit or 0.98), (found, probes)
+
+
 def test_balanced_parts():
     x = np.array([v for _, v in vector_rows(1024, 8)])
     graph = learned_partitions.neighbour_graph(x, 8)
