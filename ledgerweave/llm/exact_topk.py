@@ -69,37 +69,38 @@ class SortedLists:
 
 
 def exact_top(vectors: DataFrame, is_query, k: int = K) -> DataFrame:
-    """query_id, rank, vec_id, score (long) of the k largest inner products; ``vectors`` (vec_id, z array<long>)."""
+    """query_id, rank, vec_id, score (long) of the k largest inner products; ``vectors`` (vec_id, z array<long>, row)."""
     vectors = saved(vectors, "integers")
     queries = vectors.where(is_query)
     n, m = vectors.count(), queries.count()
     nv, nq = max(1, -(-n // VECTORS)), max(1, -(-m // QUERIES))
-    block = lambda of, size: F.pmod(F.xxhash64(F.lit(of), "vec_id"), F.lit(size)).cast("int")
+    block = lambda of, size: F.pmod(F.xxhash64(F.lit(of), "vec_id", "row"), F.lit(size)).cast("int")
     spread = lambda size: F.explode(F.sequence(F.lit(0), F.lit(size - 1)))
     left = vectors.withColumn("vb", block(1, nv)).withColumn("qb", spread(nq))
     right = queries.withColumn("qb", block(2, nq)).withColumn("vb", spread(nv))
 
     def search(vs: pa.Table, qs: pa.Table) -> pa.Table:
-        ids, z = vs.column("vec_id").to_numpy(), matrix(vs.column("z"))
-        out = [], [], []
+        ids, rows, z = vs.column("vec_id").to_numpy(), vs.column("row").to_numpy(), matrix(vs.column("z"))
+        out = [], [], [], []
         if len(ids) and qs.num_rows:
             lists = SortedLists(z)
-            for q, x in zip(qs.column("vec_id").to_numpy(), matrix(qs.column("z"))):
+            for q, row, x in zip(qs.column("vec_id").to_numpy(), qs.column("row").to_numpy(), matrix(qs.column("z"))):
                 at, score = lists.search(x, k + 1)  # one more, as the query itself may be there
-                at, score = at[ids[at] != q], score[ids[at] != q]
+                other = (ids[at] != q) | (rows[at] != row)
+                at, score = at[other], score[other]
                 o = np.lexsort((ids[at], -score))[:k]
-                for column, values in zip(out, (np.full(len(o), q), ids[at[o]], score[o])):
+                for column, values in zip(out, (np.full(len(o), q), np.full(len(o), row), ids[at[o]], score[o])):
                     column.append(values)
         cat = lambda x: pa.array(np.concatenate(x) if x else np.zeros(0, np.int64), pa.int64())
-        return pa.table({"query_id": cat(out[0]), "vec_id": cat(out[1]), "score": cat(out[2])})
+        return pa.table({"query_id": cat(out[0]), "query_row": cat(out[1]), "vec_id": cat(out[2]), "score": cat(out[3])})
 
-    found = left.groupBy("vb", "qb").cogroup(right.groupBy("vb", "qb")).applyInArrow(search, "query_id long, vec_id long, score long")
+    found = left.groupBy("vb", "qb").cogroup(right.groupBy("vb", "qb")).applyInArrow(search, "query_id long, query_row long, vec_id long, score long")
     return best(found, k, ascending=False)
 
 
 def integers(df: DataFrame, scale: int = SCALE) -> DataFrame:
-    """(vec_id, z): each component x of a usable vector as floor(scale * x)."""
-    return usable(df, zero=True).select("vec_id", F.transform("v", lambda x: F.floor(x * float(scale)).cast("long")).alias("z"))
+    """(vec_id, z, row): each component x of a usable vector as floor(scale * x)."""
+    return usable(df, zero=True).select("vec_id", F.transform("v", lambda x: F.floor(x * float(scale)).cast("long")).alias("z"), "row")
 
 
 def op7_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -142,14 +142,14 @@ def learn(x: np.ndarray, parts: int = PARTS, cover: float = COVER, seed: int = 7
 
 
 def nearest(vectors: DataFrame, is_query, k: int = K, parts: int = PARTS, cover: float = COVER) -> DataFrame:
-    """query_id, rank, vec_id, score (distance) of the k nearest rows found; ``vectors`` (vec_id, v array<double>)."""
+    """query_id, rank, vec_id, score (distance) of the k nearest rows found; ``vectors`` (vec_id, v array<double>, row)."""
     spark = vectors.sparkSession
     vectors = saved(vectors, "vectors")
     n = vectors.count()
     if n <= SMALL:
         routed, probes, router = vectors.withColumn("parts", F.array(F.lit(0))), 1, None
     else:
-        sample = vectors.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).collect()  # a fixed number of rows
+        sample = vectors.orderBy(F.xxhash64("vec_id", "row"), "vec_id", "row").limit(SAMPLE).collect()  # a fixed number of rows
         router, probes = learn(np.array([r.v for r in sample]), parts, cover)
         own = spark.sparkContext.broadcast(router)
 
@@ -158,39 +158,40 @@ def nearest(vectors: DataFrame, is_query, k: int = K, parts: int = PARTS, cover:
                 if b.num_rows:
                     order = own.value.order(matrix(b.column(1)))[:, :probes].astype(np.int32)
                     cuts = np.arange(0, order.size + 1, probes, dtype=np.int32)
-                    yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.ListArray.from_arrays(pa.array(cuts), pa.array(order.ravel()))], names=["vec_id", "v", "parts"])
+                    yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), pa.ListArray.from_arrays(pa.array(cuts), pa.array(order.ravel()))], names=["vec_id", "v", "row", "parts"])
 
-        routed = saved(vectors.mapInArrow(route, "vec_id long, v array<double>, parts array<int>"), "routed")
-    index = routed.select("vec_id", "v", F.col("parts")[0].alias("part"))
+        routed = saved(vectors.select("vec_id", "v", "row").mapInArrow(route, "vec_id long, v array<double>, row long, parts array<int>"), "routed")
+    index = routed.select("vec_id", "v", "row", F.col("parts")[0].alias("part"))
     counts = {r.part: r["count"] for r in index.groupBy("part").count().collect()}  # one row a part
     groups = F.create_map(*[F.lit(x) for p, c in counts.items() for x in (p, -(-c // GROUP))]) if counts else F.create_map(F.lit(0), F.lit(1))
-    index = index.withColumn("g", F.pmod(F.xxhash64("vec_id"), groups[F.col("part")]).cast("int"))
-    asked = (routed.where(is_query).select("vec_id", "v", F.explode("parts").alias("part")).where(groups[F.col("part")].isNotNull())
+    index = index.withColumn("g", F.pmod(F.xxhash64("vec_id", "row"), groups[F.col("part")]).cast("int"))
+    asked = (routed.where(is_query).select("vec_id", "v", "row", F.explode("parts").alias("part")).where(groups[F.col("part")].isNotNull())
              .withColumn("g", F.explode(F.sequence(F.lit(0), groups[F.col("part")] - 1))))
     # queries are dealt too, each of their groups meeting each group of a part
     nq = max(1, -(-routed.where(is_query).count() // GROUP))
-    asked = asked.withColumn("q", F.pmod(F.xxhash64(F.lit(1), "vec_id"), F.lit(nq)).cast("int"))
+    asked = asked.withColumn("q", F.pmod(F.xxhash64(F.lit(1), "vec_id", "row"), F.lit(nq)).cast("int"))
     index = index.withColumn("q", F.explode(F.sequence(F.lit(0), F.lit(nq - 1))))
 
     def search(vs: pa.Table, qs: pa.Table) -> pa.Table:
-        ids, out = vs.column("vec_id").to_numpy(), ([], [], [])
+        ids, rows, out = vs.column("vec_id").to_numpy(), vs.column("row").to_numpy(), ([], [], [], [])
         if len(ids) and qs.num_rows:
             x = matrix(vs.column("v"))
             sq = (x * x).sum(1)
-            for q, y in zip(qs.column("vec_id").to_numpy(), matrix(qs.column("v"))):
+            for q, row, y in zip(qs.column("vec_id").to_numpy(), qs.column("row").to_numpy(), matrix(qs.column("v"))):
+                own_row = (ids == q) & (rows == row)
                 rough = sq - 2 * (x @ y)
-                rough[ids == q] = np.inf
+                rough[own_row] = np.inf
                 bar = np.partition(rough, k - 1)[k - 1] if len(rough) > k else np.inf
-                at = np.flatnonzero((rough <= bar + 1e-9 * (abs(bar) + y @ y + sq.max()) if np.isfinite(bar) else np.isfinite(rough)) & (ids != q))
+                at = np.flatnonzero((rough <= bar + 1e-9 * (abs(bar) + y @ y + sq.max()) if np.isfinite(bar) else np.isfinite(rough)) & ~own_row)
                 score = np.sqrt(((x[at] - y) ** 2).sum(1))
                 o = np.lexsort((ids[at], score))[:k]
-                for column, values in zip(out, (np.full(len(o), q), ids[at[o]], score[o])):
+                for column, values in zip(out, (np.full(len(o), q), np.full(len(o), row), ids[at[o]], score[o])):
                     column.append(values)
         cat = lambda c, t: pa.array(np.concatenate(c) if c else np.zeros(0), t)
-        return pa.table({"query_id": cat(out[0], pa.int64()), "vec_id": cat(out[1], pa.int64()), "score": cat(out[2], pa.float64())})
+        return pa.table({"query_id": cat(out[0], pa.int64()), "query_row": cat(out[1], pa.int64()), "vec_id": cat(out[2], pa.int64()), "score": cat(out[3], pa.float64())})
 
     keys = ["part", "g", "q"]
-    found = index.groupBy(*keys).cogroup(asked.groupBy(*keys)).applyInArrow(search, "query_id long, vec_id long, score double")
+    found = index.groupBy(*keys).cogroup(asked.groupBy(*keys)).applyInArrow(search, "query_id long, query_row long, vec_id long, score double")
     return best(found, k, ascending=True)
 
 

@@ -10,17 +10,18 @@ from pyspark.sql.window import Window
 
 
 def usable(df: DataFrame, zero: bool) -> DataFrame:
-    """(vec_id, v array<double>) of the rows that take part in a search.
+    """(vec_id, v array<double>, row) of the rows that take part in a search; ``row`` tells rows of one vec_id apart.
 
     Out are: null ids; vectors that are null, empty, or hold null or non-finite components; zero vectors unless ``zero``;
-    vectors of another length than the most frequent one.  Rows repeated in vec_id count once (the smaller vector).
+    vectors of another length than the most frequent one.  Rows equal in vec_id and vector count once; rows of one vec_id with
+    different vectors are rows of their own, as queries too.
     """
     v = df.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("v")).where("vec_id is not null and size(v) > 0")
     v = v.where(F.forall("v", lambda x: F.coalesce(F.abs(x) < float("inf"), F.lit(False))))
     if not zero:
         v = v.where(F.exists("v", lambda x: x != 0))
     size = v.groupBy(F.size("v").alias("n")).count().orderBy(F.desc("count"), "n").first()
-    return v.where(F.size("v") == (size.n if size else 0)).groupBy("vec_id").agg(F.min("v").alias("v"))
+    return v.where(F.size("v") == (size.n if size else 0)).dropDuplicates(["vec_id", "v"]).withColumn("row", F.xxhash64("v"))
 
 
 def matrix(col) -> np.ndarray:
@@ -30,7 +31,7 @@ def matrix(col) -> np.ndarray:
 
 
 def best(found: DataFrame, k: int, ascending: bool) -> DataFrame:
-    """The k best rows (query_id, vec_id, score) of each query with their rank, ties to the smaller vec_id."""
-    w = Window.partitionBy("query_id").orderBy(F.col("score") if ascending else F.col("score").desc(), "vec_id")
+    """The k best rows (query_id, query_row, vec_id, score) of each query row with their rank, ties to the smaller vec_id."""
+    w = Window.partitionBy("query_id", "query_row").orderBy(F.col("score") if ascending else F.col("score").desc(), "vec_id")
     return (found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
             .select("query_id", "rank", "vec_id", "score"))

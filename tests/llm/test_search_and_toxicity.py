@@ -50,6 +50,22 @@ def test_exact_topk_oracle(spark, duck001):
     assert got == sorted(duck001.execute(exact_topk.OP7_SQL).fetchall())
 
 
+def test_repeated_ids_are_rows(spark):
+    rows = [(100, [1.0, 0.0]), (100, [0.0, 1.0]), (1, [2.0, 0.0]), (1, [0.0, 3.0]), (1, [0.0, 3.0])]
+    z = {("a", 100): (1, 0), ("b", 100): (0, 1), ("a", 1): (2, 0), ("b", 1): (0, 3)}
+    table = table_of(spark, rows)
+    got = exact_topk.exact_top(exact_topk.integers(table), F.col("vec_id") % 100 == 0).collect()
+    near = learned_partitions.nearest(vectors.usable(table, zero=False), F.col("vec_id") % 100 == 0).collect()
+    want, close = [], []
+    for q in (("a", 100), ("b", 100)):
+        others = [c for c in z if c != q]
+        top = sorted((-1024 * 1024 * int(np.dot(z[q], z[c])), c[1]) for c in others)
+        want += [(100, r, c, -s) for r, (s, c) in enumerate(top, 1)]
+        close += [(100, r, c, s) for r, (s, c) in enumerate(sorted((float(np.hypot(*np.subtract(z[q], z[c]))), c[1]) for c in others), 1)]
+    assert sorted(tuple(r) for r in got) == sorted(want)
+    assert sorted(tuple(r) for r in near) == [(*c[:3], pytest.approx(c[3])) for c in sorted(close)]
+
+
 def nearest_by_force(z, q, k=10):
     return sorted((float(np.sqrt(((z[c] - z[q]) ** 2).sum())), c) for c in z if c != q)[:k]
 
