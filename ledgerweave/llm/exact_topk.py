@@ -1,9 +1,10 @@
 """Exact top-k search by inner product, without random access.
 
 A vector is an object with one sorted list per component.  For a query the lists are read from their better end, all to
-the same depth; an object's score lies between its read components plus, for each unread one, the list's worst
-product, and plus the product at the depth reached.  Reading stops when nothing outside the k best lower bounds can have an upper
-bound that reaches them; what is left is resolved to full scores.
+the same depth, step by step; an object met in a list has a lower bound of its read components plus, for each unread one, the list's worst
+product, and an upper bound of the read components plus the products at the depth reached.  Reading stops at the first step where the k-th
+best lower bound is above the score that an object not yet met could have.  Of the objects met, those whose upper bound reaches the
+k best lower bounds are resolved to full scores from the block's rows; where reading goes to the end of the lists, the bounds are the scores.
 
 Queries and vectors meet in blocks of bounded size (each block of queries against each block of vectors, a stated query set against
 all rows), so neither side has to fit anywhere.  Lists are kept per block, as ranks of the block's objects.
@@ -26,46 +27,53 @@ K = 10
 SCALE = 1024
 #: Vectors and queries of a block.
 VECTORS, QUERIES = 4096, 1024
-#: Depths, as shares of a list, at which the bounds are looked at.
-DEPTHS = (1 / 8, 1 / 4, 1 / 2, 3 / 4)
+#: Steps in which a list is read.
+STEPS = 16
 
 
 class SortedLists:
     """One sorted list per component over the objects of a block."""
 
     def __init__(self, values: np.ndarray):
-        # sums of products stay exact in doubles while they are below 2^53
-        small = len(values) == 0 or np.abs(values).max() ** 2 < (1 << 52) // values.shape[1]
-        self.kind = np.float64 if small else np.int64
-        self.values = values.astype(self.kind)
-        order = np.argsort(values, axis=0, kind="stable")
-        self.sorted = np.take_along_axis(self.values, order, 0)
-        self.place = np.empty(order.shape, np.int32)  # in the ascending list
-        np.put_along_axis(self.place, order, np.arange(len(values), dtype=np.int32)[:, None], 0)
-        self.back = len(values) - 1 - self.place
-
-    def search(self, query: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """Objects that may be among the k best (ties kept), with full scores."""
-        n, down = len(self.values), query > 0  # lists of positive components are read from their large end
-        query = query.astype(self.kind)
-        if np.abs(query).max() * np.abs(self.values).max(initial=0) * len(query) >= 1 << 53:  # rare: whole integers
-            return np.arange(n), self.values.astype(np.int64) @ query.astype(np.int64)
+        self.values = values
+        self.largest = int(np.abs(values).max(initial=0))
+        self.order = np.argsort(values, axis=0, kind="stable")  # objects of each list, smallest value first
+        self.sorted = np.take_along_axis(values, self.order, 0)
+
+    def search(self, query: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, int]:
+        """Objects that may be among the k best (ties kept), with full scores, and the depth to which the lists were read."""
+        n, d = self.values.shape
+        down = query > 0  # lists of positive components are read from their large end
+        # sums of products are exact in doubles below 2^53, else whole integers
+        exact = self.largest * int(np.abs(query).max(initial=0)) * d < 1 << 53
+        query = query.astype(np.float64 if exact else np.int64)
         worst = np.where(down, self.sorted[0], self.sorted[-1]) * query
-        left, values, place = np.arange(n), self.values, np.where(down, self.back, self.place)
-        for share in DEPTHS:
-            depth = int(n * share)
-            if depth < 1 or len(left) <= 4 * k:
+        lower, met, seen = np.full(n, worst.sum()), np.zeros(n, bool), np.zeros((n, d), bool)
+        lists, depth = np.arange(d), 0
+        for step in range(1, STEPS + 1):
+            start, depth = depth, n * step // STEPS
+            if depth == start:
                 continue
-            reached = np.where(down, self.sorted[n - depth], self.sorted[depth - 1]) * query
-            read = (place < depth).astype(self.kind)
-            known = (read * values) @ query
-            lower = known + worst.sum() - read @ worst
-            upper = known + reached.sum() - read @ reached
-            # what is unread is among them too: its upper bound is the threshold of the depth
-            keep = upper >= np.partition(lower, len(lower) - k)[len(lower) - k]
-            if not keep.all():
-                left, values, place = left[keep], values[keep], place[keep]
-        return left, (values @ query).astype(np.int64)
+            read = np.arange(start, depth)[:, None]
+            at = np.where(down, n - 1 - read, read)
+            objects = self.order[at, lists]
+            products = self.sorted[at, lists] * query
+            # each read product takes the place of the list's worst
+            if exact:
+                lower += np.bincount(objects.ravel(), weights=(products - worst).ravel(), minlength=n)
+            else:
+                np.add.at(lower, objects, products - worst)
+            seen[objects, lists] = met[objects] = True
+            reached = products[-1]
+            # an object not met yet scores the threshold at most; one that ties may have the smaller id
+            if n - k > 0 and met.sum() >= k and np.partition(lower, n - k)[n - k] > reached.sum():
+                break
+        left = np.flatnonzero(met)
+        if depth < n:
+            upper = lower[left] + (reached - worst).sum() - seen[left].astype(query.dtype) @ (reached - worst)
+            left = left[upper >= np.partition(lower, n - k)[n - k]]
+            return left, (self.values[left].astype(query.dtype) @ query).astype(np.int64), depth
+        return left, lower.astype(np.int64), depth
 
 
 def exact_top(vectors: DataFrame, is_query, k: int = K) -> DataFrame:
@@ -85,7 +93,7 @@ def exact_top(vectors: DataFrame, is_query, k: int = K) -> DataFrame:
         if len(ids) and qs.num_rows:
             lists = SortedLists(z)
             for q, row, x in zip(qs.column("vec_id").to_numpy(), qs.column("row").to_numpy(), matrix(qs.column("z"))):
-                at, score = lists.search(x, k + 1)  # one more, as the query itself may be there
+                at, score, _ = lists.search(x, k + 1)  # one more, as the query itself may be there
                 other = (ids[at] != q) | (rows[at] != row)
                 at, score = at[other], score[other]
                 o = np.lexsort((ids[at], -score))[:k]

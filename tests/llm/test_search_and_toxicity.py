@@ -38,6 +38,22 @@ def test_exact_topk(spark, monkeypatch):
     assert sorted(tuple(r) for r in got) == want
 
 
+@pytest.mark.parametrize("scale", [1, 1 << 21])
+@pytest.mark.parametrize("n", [1, 3, 15, 40, 700])
+def test_lists_are_read_in_steps(n, scale):
+    rng = np.random.default_rng(n)
+    x = rng.integers(-9, 10, (n, 6)) * scale
+    x[::3] *= 40  # few objects lead: the lists need not be read to the end
+    lists, depths = exact_topk.SortedLists(x), []
+    for q in x[:30]:
+        at, score, depth = lists.search(q, 4)
+        want = x @ q
+        assert (score == want[at]).all() and len(set(at)) == len(at)
+        assert set(np.flatnonzero(want >= np.sort(want)[-4:].min())) <= set(at)
+        depths.append(depth)
+    assert max(depths) <= n and (n < 700 or np.mean(depths) < 0.8 * n)
+
+
 def test_exact_topk_few(spark):
     rows = [(100, [1.0, 2.0]), (1, [1.0, 0.0])]
     got = exact_topk.exact_top(exact_topk.integers(table_of(spark, rows)), F.col("vec_id") % 100 == 0).collect()
