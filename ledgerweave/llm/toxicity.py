@@ -2,7 +2,8 @@
 
 A character model (trigrams of all documents, counted in Spark into a table of fixed size) is the language side; the channel
 side says how a letter may have been written: as itself, as a look-alike sign, repeated, or letter by letter with gaps.  Every
-suspicious token (signs among letters, three equal letters in a row, runs of single letters) spans a lattice of sources,
+suspicious token (signs among letters, three equal letters in a row, two where the word is no known feature, runs of single letters
+and signs between spaces or . - _) spans a lattice of sources,
 and Viterbi decoding picks the likeliest one.  A classifier then scores the *restored* text: whether words and word
 beginnings occur, weighted by a logistic regression.
 
@@ -44,6 +45,8 @@ _LETTER = np.zeros(256, bool)
 _LETTER[ord("a"):ord("z") + 1] = _LETTER[ord("A"):ord("Z") + 1] = _LETTER[0x80:] = True
 _SIGN = np.zeros(256, bool)
 _SIGN[[ord(c) for c in LOOKS if ord(c) < 0x80]] = True
+_GAP = np.zeros(256, bool)
+_GAP[[ord(c) for c in ".-_"]] = True
 _CORE = _LETTER.copy()
 _CORE[[ord(c) for c in "0123456789@$"]] = True
 
@@ -176,8 +179,29 @@ def _prints(data: np.ndarray, s: np.ndarray, e: np.ndarray, row: np.ndarray) ->
     return np.concatenate(h), np.concatenate(r)
 
 
-def features(data: np.ndarray, offs: np.ndarray, decoder: Decoder) -> tuple[np.ndarray, np.ndarray, int]:
-    """(feature fingerprints, rows, restored tokens) of the restored texts; features may repeat."""
+def _apart(data: np.ndarray, offs: np.ndarray):
+    """Runs of APART or more single characters (letters and signs, a letter among them) between spaces or . - _: their strings, their rows."""
+    s, e, row = word_spans(np.where(_GAP[data], np.uint8(0x20), data), offs)
+    if not len(s):
+        return [], []
+    whole = np.concatenate(([0], np.cumsum((data & 0xC0) != 0x80)))
+    single = (whole[e] - whole[s] == 1) & (_LETTER[data[s]] | _SIGN[data[s]])
+    cut = np.flatnonzero(np.concatenate(([True], (single[1:] != single[:-1]) | (row[1:] != row[:-1]))))
+    size = np.diff(np.concatenate((cut, [len(s)])))
+    letters = np.concatenate(([0], np.cumsum(_LETTER[data[s]])))
+    raw, words, rows = data.tobytes(), [], []
+    run = single[cut] & (size >= APART) & (letters[cut + size] > letters[cut])
+    for a, n in zip(cut[run], size[run]):
+        words.append(" ".join(raw[x:y].decode("utf-8", "ignore").lower() for x, y in zip(s[a:a + n], e[a:a + n])))
+        rows.append(row[a])
+    return words, rows
+
+
+def features(data: np.ndarray, offs: np.ndarray, decoder: Decoder, keys: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, int]:
+    """(feature fingerprints, rows, restored tokens) of the restored texts; features may repeat.
+
+    With the known features ``keys``, words with doubled letters that are none of them count as written and as restored.
+    """
     s, e, row = _cores(data, offs)
     if not len(s):
         return np.zeros(0, U), np.zeros(0, np.int64), 0
@@ -188,19 +212,29 @@ def features(data: np.ndarray, offs: np.ndarray, decoder: Decoder) -> tuple[np.n
     triple[2:] = (low[2:] == low[1:-1]) & (low[1:-1] == low[:-2]) & (low[2:] < 0x80) & _LETTER[low[2:]]
     triples = total(triple)
     odd = ((signs[e] > signs[s]) & (letters[e] > letters[s])) | ((e - s > 2) & (triples[e] > triples[np.minimum(s + 2, e)]))
-    # single letters standing apart: runs of APART or more words of one byte in one row
-    single = (e - s == 1) & _LETTER[data[s]]
-    cut = np.flatnonzero(np.concatenate(([True], (single[1:] != single[:-1]) | (row[1:] != row[:-1]))))
-    size = np.diff(np.concatenate((cut, [len(s)])))
-    runs = [(a, n) for a, n in zip(cut[single[cut] & (size >= APART)], size[single[cut] & (size >= APART)])]
     raw = data.tobytes()
     words, rows = [], []
     for i in np.flatnonzero(odd):
         words.append(decoder.restore(raw[s[i]:e[i]].decode("utf-8", "ignore")))
         rows.append(row[i])
-    for a, n in runs:
-        words.append(decoder.restore(" ".join(chr(low[j]) for j in s[a:a + n])))
-        rows.append(row[a])
+    for w, r in zip(*_apart(data, offs)):
+        words.append(decoder.restore(w))
+        rows.append(r)
+    if keys is not None and len(keys):
+        double = np.zeros(len(data), bool)
+        double[1:] = (low[1:] == low[:-1]) & (low[1:] < 0x80) & _LETTER[low[1:]]
+        doubles = total(double)
+        at = np.flatnonzero(~odd & (doubles[e] > doubles[np.minimum(s + 1, e)]))
+        own = Prints(low).spans(s[at], e[at]) if len(at) else np.zeros(0, U)
+        unknown = keys[np.minimum(np.searchsorted(keys, own), len(keys) - 1)] != own
+        at, (_, one, back) = at[unknown], np.unique(own[unknown], return_index=True, return_inverse=True)
+        order = np.argsort(back, kind="stable")
+        for i, same in zip(one, np.split(order, np.cumsum(np.bincount(back, minlength=len(one)))[:-1])):
+            shown = raw[s[at[i]]:e[at[i]]].decode("utf-8", "ignore").lower()
+            meant = decoder.restore(shown)
+            if meant != shown:
+                words.extend([meant] * len(same))
+                rows.extend(row[at[same]])
     h, r = _prints(data, s[~odd], e[~odd], row[~odd])
     if words:
         again = [w.encode() for w in words]
@@ -276,7 +310,7 @@ def _hits(data, offs, decoder, keys) -> tuple[np.ndarray, np.ndarray]:
     """(row, feature) pairs, each once, of known features."""
     if not len(keys):
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    h, r, _ = features(data, offs, decoder)
+    h, r, _ = features(data, offs, decoder, keys)
     p = np.minimum(np.searchsorted(keys, h), len(keys) - 1)
     hit = keys[p] == h
     both = np.unique(r[hit] * len(keys) + p[hit])

@@ -151,6 +151,31 @@ def test_deobfuscation(decoder, shown, meant):
     assert decoder.restore(shown) == meant
 
 
+@pytest.mark.parametrize("shown", ["1 d 1 0 t", "$ t u p 1 d", "! d ! o t", "i.d.i.o.t", "i-d-i-o-t", "i_d_i_o_t", "1.d-1_0 t", "i. d. i. o. t.", "iddiot", "stuppid", "I D D I O T",
+                                   "$-t-u-u-p-!-d", "d é b i l e", "d.é.b.i.l.e", "1dd1oott", "m.0.r.0.n"])
+def test_combined_obfuscation_is_found(decoder, shown):
+    meant = ["idiot", "stupid", "moron", "débile"]
+    _prints_of = lambda t: toxicity.features(*one_text(t), decoder)[0]
+    keys = np.unique(np.concatenate([_prints_of(w) for w in meant]))
+    row, found = toxicity._hits(*one_text(f"said the {shown} again"), decoder, keys)
+    assert any(keys[f] in whole_print(w) for f in found for w in meant), shown
+
+
+def one_text(t):
+    data = np.frombuffer(t.encode(), np.uint8)
+    return data, np.array([0, len(data)])
+
+
+def whole_print(w):
+    data, offs = one_text(w)
+    return toxicity.Prints(toxicity.LOWER[data]).spans(offs[:1], offs[1:])
+
+
+def test_plain_words_stay(decoder):
+    keys = np.unique(toxicity.features(*one_text("idiot stupid"), decoder)[0])
+    assert not len(toxicity._hits(*one_text("all good books will need 1 2 3 letters e.g. a-b U.S. moon"), decoder, keys)[0])
+
+
 def labelled(seed, n=900):
     rng = random.Random(seed)
     plain = ["".join(rng.choice("aeiounrstlm") for _ in range(rng.randint(2, 7))) for _ in range(300)]
