@@ -1,8 +1,8 @@
 """From raw documents to token ids: five stages, each one operator, each written as Parquet and read again.
 
 1. toxicity: a document the classifier (learned from the training fold of ``labels``) scores 0.5 or more goes.
-2. near_duplicates: of each group of documents linked by word shingles (five words, similarity 0.75) the smallest doc_id stays;
-   documents without a doc_id stay, rows equal in doc_id and text become one.
+2. near_duplicates: of each group of documents linked by word shingles (five words, similarity 0.75) one row stays, of the smallest doc_id;
+   documents without a doc_id stay, rows equal in doc_id and text become one; rows of one doc_id with other texts are judged each by itself.
 3. repeated_passages: of a passage of 200 bytes or more that occurs several times only the first copy stays (cut at whole characters).
    A text may become empty; the document stays, and n_chars follows the text.
 4. source_mix: documents are taken as often as their source's target asks for, none more than three times.
@@ -25,9 +25,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = saved(jaccard_join.jaccard_components(docs).where("doc_id is not null"), "components")
-    gone = saved(found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows"), F.min("component_id").alias("component_id"))
-                 .where("rows > 1 or doc_id <> component_id"), "gone")
+    found = saved(jaccard_join.set_components(docs).where("doc_id is not null").withColumn("first", F.expr("f is null or (doc_id = component_id and f = first_f)")), "components")
+    gone = saved(found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows"), F.min("first").alias("first")).where("rows > 1 or not first"), "gone")
     # only documents that may be gone, or stand more than once, are shuffled
     own = spark.sparkContext.broadcast(key_filter(gone, "doc_id"))
 
@@ -37,8 +36,11 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
         return pd.Series(own.value.has(doc_id.to_numpy()))
 
     docs = docs.withColumn("_may", F.col("doc_id").isNotNull() & may(F.coalesce(F.col("doc_id").cast("long"), F.lit(0))))
-    rest = (docs.where("_may").join(gone.where("doc_id <> component_id").select("doc_id"), "doc_id", "left_anti")
-            .dropDuplicates(["doc_id", "text"]))
+    # a row is known by its doc_id and the id of its shingle set: another text of the same doc_id is another row
+    rest = jaccard_join.with_set_id(docs.where("_may"), "_f")
+    rest = rest.join(found.where("not first").select("doc_id", F.col("f").alias("_f")).distinct(), ["doc_id", "_f"], "left_anti")
+    one = rest.groupBy("doc_id", "_f", F.when(F.col("_f").isNull(), F.col("text")).alias("_t")).agg(F.min_by(F.struct(*docs.columns), F.coalesce("text", F.lit(""))).alias("row"))
+    rest = one.select("row.*")
     return docs.where("not _may").unionByName(rest).select(*[c for c in docs.columns if c != "_may"])
 
 

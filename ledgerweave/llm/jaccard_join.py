@@ -127,6 +127,19 @@ def document_sets(docs: DataFrame, k: int = WORDS) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(sets, "doc_id long, f long, n long, sketch binary")
 
 
+def with_set_id(docs: DataFrame, name: str, k: int = WORDS) -> DataFrame:
+    """The rows of ``docs`` (text, more columns) with their set id (null: empty) as a last column."""
+    text = docs.columns.index("text")
+
+    def work(batches):
+        for b in batches:
+            for lo, hi, data, offs in text_chunks(b.column(text)):
+                x, counts = shingle_sets(data, offs, k)
+                yield b.slice(lo, hi - lo).append_column(name, pa.array(set_ids(x, counts), mask=counts == 0))
+
+    return docs.mapInArrow(work, docs.select("*", F.lit(None).cast("long").alias(name)).schema)
+
+
 def prefix_rows(docs: DataFrame, frequent: np.ndarray, k: int = WORDS, threshold: int = THRESHOLD) -> DataFrame:
     """(f, n, h): the prefix shingles of each set, once per set and task."""
     order = np.argsort(frequent)
@@ -352,6 +365,11 @@ def long_list_pairs(lists: DataFrame, sets: DataFrame, threshold: int) -> DataFr
 
 def jaccard_components(docs: DataFrame, k: int = WORDS, threshold: int = THRESHOLD) -> DataFrame:
     """(doc_id, n_shingles, component_id) per row of ``docs`` (doc_id, text); component_id is the smallest doc_id reachable."""
+    return set_components(docs, k, threshold).select("doc_id", "n_shingles", "component_id")
+
+
+def set_components(docs: DataFrame, k: int = WORDS, threshold: int = THRESHOLD) -> DataFrame:
+    """``jaccard_components`` with f, the row's set id (null: empty), and first_f, the set id of the component's first row by doc_id and f."""
     own = saved(document_sets(docs, k), "docsets")
     sets = saved(own.where("f is not null").groupBy("f").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("sketch").alias("sketch")), "sigs")
     lists = saved(candidate_lists(docs, k, threshold), "lists")
@@ -376,10 +394,10 @@ def jaccard_components(docs: DataFrame, k: int = WORDS, threshold: int = THRESHO
     more = verified(across, docs, sets, k, threshold)
     label = components(links.unionByName(more))
     of = sets.select("f", "doc_id").join(label.select(F.col("node").alias("f"), "label"), "f", "left").withColumn("label", F.coalesce("label", "f"))
-    small = of.groupBy("label").agg(F.min("doc_id").alias("component_id"))
-    of = of.join(small, "label").select("f", "component_id")
+    small = of.groupBy("label").agg(F.min(F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "f"))).alias("first"))
+    of = of.join(small, "label").select("f", F.col("first.doc_id").alias("component_id"), F.col("first.f").alias("first_f"))
     return (own.select("doc_id", "n", "f").join(of, "f", "left")
-            .select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id")))
+            .select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"), "f", "first_f"))
 
 
 def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -227,6 +227,19 @@ def test_toxicity_without_labels(spark):
     assert toxicity.score(docs.limit(0), model).count() == 0 and toxicity.accepted(docs, model, 0.6).count() == 2
 
 
+def test_near_duplicates_by_row(spark):
+    import corpus_pipeline
+
+    text = lambda w, n=40: " ".join(f"{w}{i}" for i in range(n))
+    docs = [(1, text("a")), (2, text("a") + " more"), (2, text("b")), (3, text("b") + " more"), (4, text("c")), (4, text("d")), (4, text("d")), (4, text("c").upper()),
+            (5, None), (5, None), (5, " "), (None, text("a")), (None, text("a")), (6, text("b", 39)), (7, text("e"))]
+    df = spark.createDataFrame([(d, "s", t) for d, t in docs], "doc_id long, source string, text string").repartition(3)
+    got = corpus_pipeline.drop_near_duplicates(spark, df, "")
+    assert got.columns == df.columns
+    want = [(1, text("a")), (2, text("b")), (4, text("c").upper()), (4, text("d")), (5, None), (5, " "), (None, text("a")), (None, text("a")), (7, text("e"))]
+    assert sorted(((r.doc_id, r.text) for r in got.collect()), key=repr) == sorted(want, key=repr)
+
+
 def test_pipeline(spark, tmp_path):
     import corpus_pipeline
 
