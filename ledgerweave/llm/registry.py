@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ledgerweave.llm import chat_format, collocations, exact_topk, hard_negatives, jaccard_join, learned_partitions, ngram_lm, piece_codec, source_mix, suffix_dedup, token_counts, toxicity
+from ledgerweave.llm import best_fit_packing, chat_format, collocations, exact_topk, hard_negatives, jaccard_join, learned_partitions, ngram_lm, piece_codec, source_mix, suffix_dedup, token_counts, toxicity
 
 QUERIES = {
     "op1_learned_partitions": learned_partitions.op1_learned_partitions,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_suffix_array_dedup": suffix_dedup.op8_suffix_array_dedup,
     "op9_token_counts": token_counts.op9_token_counts,
     "op10_ngram_jaccard_join": jaccard_join.op10_ngram_jaccard_join,
+    "op11_best_fit_packing": best_fit_packing.op11_best_fit_packing,
     "op12_hard_negatives": hard_negatives.op12_hard_negatives,
     "op13_collocations": collocations.op13_collocations,
 }

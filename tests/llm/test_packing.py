@@ -1,0 +1,136 @@
+"""Best-fit packing against the tokenizers library and the rules of a packing."""
+
+import random
+import zlib
+from collections import defaultdict
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from ledgerweave.llm import best_fit_packing as bp
+
+CAP = 64
+
+
+@pytest.fixture(scope="module")
+def path():
+    import public_tokenizers
+    return public_tokenizers.path(bp.VOCABULARY)
+
+
+@pytest.fixture(scope="module")
+def library(path):
+    from tokenizers import Tokenizer
+    return Tokenizer.from_file(path)
+
+
+def ids_of(library, text):
+    return [*library.encode(text or "", add_special_tokens=False).ids, bp.END]
+
+
+def check_sequences(rows, capacity):
+    """Every sequence is gapless from 0 and no longer than ``capacity``."""
+    seqs = defaultdict(list)
+    for r in rows:
+        seqs[r.sequence_id].append((r.offset, r.length))
+    for parts in seqs.values():
+        at = 0
+        for offset, length in sorted(parts):
+            assert offset == at
+            at += length
+        assert at <= capacity
+    return len(seqs)
+
+
+def best_fit_decreasing(lengths, capacity):
+    gaps = []
+    for n in sorted(lengths, reverse=True):
+        fit = [i for i, g in enumerate(gaps) if g >= n]
+        if fit:
+            i = min(fit, key=lambda i: gaps[i])
+            gaps[i] -= n
+        else:
+            gaps.append(capacity - n)
+    return len(gaps)
+
+
+def odd_texts(seed=1, n=400):
+    rng = random.Random(seed)
+    parts = [" ", "  ", "\n", "\n\n", "\t", " ", " ", "　", "\u0085", "a", "Bc", "é", "ñandú", "日本", "12", "٣", "'s", "'", "!", "...", "“", "😀", "don't", "we'll",
+             "<|endoftext|>", "<|end", "\x1c", "\r\n", "​", "ℵ", "Ⅻ", "é", "x1"]
+    return ["".join(rng.choice(parts) for _ in range(rng.randint(0, 14))) for _ in range(n)]
+
+
+def test_cut_texts_have_the_ids_of_the_library(spark, path, library):
+    texts = odd_texts() + [None, "", "a", " ", "word " * 3000, "x" * 5000, " " * 700]
+    docs = spark.createDataFrame([(i, t, "z", 1) for i, t in enumerate(texts)], "doc_id long, text string, row string, length int").repartition(3)
+    got = defaultdict(list)
+    for r in bp.token_pieces(docs, path, CAP, with_ids=True).collect():
+        assert r.length == len(r.ids) and r.ids_crc32 == zlib.crc32(np.array(r.ids, "<u4").tobytes())
+        got[r.doc_id].append((r.piece, r.start, r.ids))
+    for i, t in enumerate(texts):
+        want, parts = ids_of(library, t), sorted(got[i])
+        assert [x for _, _, ids in parts for x in ids] == want, t
+        assert [p for p, _, _ in parts] == list(range(len(parts)))
+        assert [s for _, s, _ in parts] == list(np.cumsum([0] + [len(ids) for _, _, ids in parts])[:-1])
+        assert all(len(ids) == CAP for _, _, ids in parts[1:])
+        assert len(parts) == -(-len(want) // CAP)
+
+
+def test_other_tokenizers_encode_whole_texts(spark):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+    path = public_tokenizers.path("word_bpe_49k.json")
+    assert not bp.splittable(open(path, encoding="utf-8").read())
+    docs = spark.createDataFrame([(1, "Some Words  here"), (2, None)], "doc_id long, text string")
+    got = {r.doc_id: r.ids for r in bp.token_pieces(docs, path, with_ids=True).collect()}
+    assert got == {i: [*Tokenizer.from_file(path).encode(t, add_special_tokens=False).ids, bp.END] for i, t in ((1, "Some Words  here"), (2, ""))}
+
+
+@pytest.mark.parametrize("kind", ["mixed", "tiny", "halves", "one", "same", "empty"])
+def test_pack(spark, kind, monkeypatch):
+    monkeypatch.setattr(bp, "PART_ROWS", 16)
+    rng = random.Random(kind)
+    lengths = {"mixed": [rng.randint(1, CAP) for _ in range(300)], "tiny": [rng.randint(1, 5) for _ in range(300)], "halves": [CAP // 2] * 51 + [CAP // 2 + 1] * 20 + [CAP // 2 - 1] * 20,
+               "one": [7], "same": [20] * 90 + [CAP] * 3, "empty": []}[kind]
+    pieces = spark.createDataFrame([(i, n, "c") for i, n in enumerate(lengths)], "row long, length long, gap string").repartition(3)
+    rows = bp.pack(pieces, CAP).collect()
+    assert sorted((r.row, r.length, r.gap) for r in rows) == [(i, n, "c") for i, n in enumerate(lengths)]
+    n = check_sequences(rows, CAP)
+    assert n <= best_fit_decreasing(lengths, CAP) * 1.03 + 1
+
+
+def test_sweep_places_by_rank():
+    moves, shrinks = bp.sweep({40: 3, 10: 5}, {64: 1, 45: 1, 30: 2})
+    # the 40s go to 45, then 64; one is left; the 10s go to 30, three a sequence
+    assert moves == [(40, 0, 1, 45, 0, 1), (40, 1, 2, 64, 0, 1), (10, 0, 5, 30, 0, 3)]
+    assert sorted(shrinks) == [(30, 0, 1, 0), (30, 1, 2, 10), (45, 0, 1, 5), (64, 0, 1, 24)]
+
+
+def test_repeated_rows_and_sequences(spark, path, library):
+    rows = [(None, "a b c")] * 3 + [(5, "some words"), (5, "other words"), (5, "some words")] + [(6, "tail " * 100)]
+    docs = spark.createDataFrame(rows, "doc_id int, text string")
+    packed = bp.pack(bp.token_pieces(docs, path, CAP, with_ids=True), CAP)
+    assert packed.count() == 6 + -(-len(ids_of(library, rows[-1][1])) // CAP)
+    got = bp.sequences(packed).collect()
+    assert check_sequences(packed.collect(), CAP) == len(got)
+    ends = sorted(i for s in got for i in s.ids)
+    assert ends == sorted(x for _, t in rows for x in ids_of(library, t))
+
+
+def test_op11_against_the_library(spark, library):
+    sf = "/root/testdata/sf0.001"
+    rows = bp.op11_best_fit_packing(spark, sf).collect()
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    parts = defaultdict(list)
+    for r in rows:
+        parts[r.doc_id].append(r)
+    assert set(parts) == set(texts)
+    for d, t in texts.items():
+        want = ids_of(library, t)
+        for r in parts[d]:
+            assert r.ids_crc32 == zlib.crc32(np.array(want[r.start:r.start + r.length], "<u4").tobytes())
+        assert sum(r.length for r in parts[d]) == len(want) and sorted(r.piece for r in parts[d]) == list(range(len(parts[d])))
+    n = check_sequences(rows, bp.CAPACITY)
+    assert n <= best_fit_decreasing([r.length for r in rows], bp.CAPACITY) + 1
