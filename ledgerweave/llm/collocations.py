@@ -42,7 +42,7 @@ MASS, PER_BYTE = 1 << 22, 0.75
 #: Partitions a task deals its sums to; more are reached in a second step.
 FAN = 4096
 #: Sums a task or a merge holds at least before they are put together.
-HELD = 1 << 21
+HELD = 1 << 20
 #: Bytes of text handled at once.
 SLICE = 1 << 20
 #: Bits of the filter of the second pass, for each phrase left and at most.
@@ -136,14 +136,14 @@ class Summary:
     """A Misra-Gries summary of at most ``capacity`` counters (None: no limit), merged from others."""
 
     def __init__(self, capacity: int | None = None, held: int | None = None):
-        self.capacity, self.held = capacity, max(held or HELD, capacity or 0)
+        self.capacity, self.held = capacity, max(held or HELD, 2 * (capacity or 0))
         self.keys, self.counts, self.size, self.off = [], [], 0, 0
 
     def add(self, keys: np.ndarray, counts: np.ndarray) -> None:
         self.keys.append(keys)
         self.counts.append(counts)
         self.size += len(keys)
-        if self.size > 2 * self.held:
+        if self.capacity is not None and self.size > self.held:
             self.compact()
 
     def compact(self) -> tuple[np.ndarray, np.ndarray]:
@@ -163,6 +163,21 @@ class Summary:
         return k[c + self.off >= threshold]
 
 
+def planes(x: np.ndarray) -> bytes:
+    """Whole numbers byte by byte of equal weight, so that bytes that are mostly equal stand together and compress."""
+    return np.ascontiguousarray(x).view(np.uint8).reshape(len(x), x.itemsize).T.tobytes()
+
+
+def from_planes(raw: bytes, kind) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(size, -1).T).view(kind).ravel()
+
+
+def keys_of(raw: bytes, kind) -> np.ndarray:
+    """Sorted keys from the planes of their differences."""
+    return np.cumsum(from_planes(raw, kind), dtype=U)
+
+
 ENTRIES = "p long, mass long, lang string, words long, keys binary, counts binary"
 
 
@@ -181,8 +196,8 @@ def _entry_rows(k: np.ndarray, c: np.ndarray, low: int, totals: dict | None = No
         pa.array([int(c[a:b].sum()) for a, b in spans] + [0] * z, pa.int64()),
         pa.array([None] * len(spans) + list(totals), pa.string()),
         pa.array([None] * len(spans) + list(totals.values()), pa.int64()),
-        pa.array([inner[a:b].tobytes() for a, b in spans] + [None] * z, pa.binary()),
-        pa.array([c32[a:b].tobytes() for a, b in spans] + [None] * z, pa.binary()),
+        pa.array([planes(np.diff(inner[a:b], prepend=inner.dtype.type(0))) for a, b in spans] + [None] * z, pa.binary()),
+        pa.array([planes(c32[a:b]) for a, b in spans] + [None] * z, pa.binary()),
     ], names=["p", "mass", "lang", "words", "keys", "counts"])
 
 
@@ -217,7 +232,7 @@ def summaries(docs: DataFrame, bits: int, longest: int = LONGEST, fan: int = FAN
             yield b.filter(pc.less(b.column(0), 0))
             for part, keys, counts in zip(*(b.column(c).to_pylist() for c in ("p", "keys", "counts"))):
                 if part >= 0:
-                    held.add(np.frombuffer(keys, np.uint64) | U(part << (32 + second)), np.frombuffer(counts, np.uint32).astype(np.int64))
+                    held.add(keys_of(keys, np.uint64) | U(part << (32 + second)), from_planes(counts, np.uint32).astype(np.int64))
                 if held.size > HELD:
                     yield _entry_rows(*held.compact(), 32)
                     held = Summary()
@@ -237,7 +252,7 @@ def survivors(entries: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
         for b in batches:
             for part, total, keys, counts in zip(*(b.column(c).to_pylist() for c in ("p", "total", "keys", "counts"))):
                 p, summary = part, summary or Summary(total // threshold + 1)
-                summary.add(np.frombuffer(keys, np.uint32).astype(U), np.frombuffer(counts, np.uint32).astype(np.int64))
+                summary.add(keys_of(keys, np.uint32), from_planes(counts, np.uint32).astype(np.int64))
         if summary:
             k = summary.frequent(threshold) | U(p << 32)
             yield pa.RecordBatch.from_arrays([pa.array(k.view(np.int64))], names=["key"])
