@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
 
@@ -33,6 +34,26 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release() -> None:
+    """Give memory that is free back to the system: a Python worker outlives its task and would keep it."""
+    import ctypes
+
+    import pyarrow as pa
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # not every C library has it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def freed(work):
+    """``work`` (iterator of batches -> iterator of batches) that releases its memory when it ends."""
+    def run(batches):
+        try:
+            yield from work(batches)
+        finally:
+            release()
+    return run
+
+
 #: Bits of a membership filter: a fixed size, so its broadcast is bounded whatever the data.
 FILTER_BITS = 1 << 25
 

@@ -17,7 +17,7 @@ Rounds end when every piece is placed.  Pieces and gaps are written tables, so a
 
 Tokens: where the tokenizer is a plain byte-level BPE, texts are cut at places where its pre-tokenizer always starts a new token, equal
 chunks (compared byte by byte) are encoded once per task and joined back by position; a text that holds an added token's string, and
-every text under another tokenizer, is a chunk as a whole.
+every text under another tokenizer, is encoded as it is.
 
 Null and empty texts are one piece that holds the end id only; ties are ordered by rank, which follows row order; repeated rows are
 pieces of their own, also with a null or repeated doc_id; an empty table gives no rows; other columns are ignored.
@@ -37,14 +37,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ledgerweave.llm.arrays import SPACE, text_chunks
-from ledgerweave.llm.base import saved, table
-from ledgerweave.llm.pieces import TABLE_VALUES, TABLE_WORDS, ragged
+from ledgerweave.llm.base import freed, saved, table
+from ledgerweave.llm.pieces import ragged
 
 VOCABULARY = "byte_bpe_50k.json"
 CAPACITY = 1024
 END = 2
-#: Rows handled at once when tokenizing.
-ROWS = 500
+#: Bytes of text tokenized at once, and distinct chunks remembered by a task.
+SLICE, REMEMBERED = 4 << 20, 600_000
 #: Parts that the pieces of one length are ranked in: at least, and one for so many pieces.
 PARTS, PART_ROWS = 64, 1 << 14
 
@@ -55,6 +55,7 @@ SOLID = GRAPHIC.copy()
 SOLID[0xC3:0xE0] = True
 SOLID[0xE4:0xF5] = True
 
+WORD_HEADS = pa.array([bytes([0x20, b]) for b in np.flatnonzero(SOLID).tolist()], pa.large_binary())
 
 # ---------------------------------------------------------------- tokens
 
@@ -85,59 +86,89 @@ def chunk_starts(data: np.ndarray, offs: np.ndarray) -> np.ndarray:
 
 
 class ChunkIds:
-    """Ids of the distinct chunks a task has met; emptied when it reaches its limits.  Place 0 holds the end id."""
+    """Ids of texts; those of the distinct chunks a task has met are kept, up to a limit.  Place 0 holds the end id."""
 
     def __init__(self, tokenizer_json: str, end: int):
         from tokenizers import Tokenizer
         self.tokenizer, self.end = Tokenizer.from_str(tokenizer_json), end
+        self.added = [a["content"] for a in json.loads(tokenizer_json).get("added_tokens") or ()]
+        # an added token between two chunks keeps them apart as the ends of a text would
+        self.between = self.added[0] if self.added and splittable(tokenizer_json) else None
+        self.between_id = self.tokenizer.token_to_id(self.between) if self.between else None
+        # a character of a byte-level token stands for a byte
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=False) if self.between else {}
+        self.token_bytes = np.zeros(max(vocabulary.values(), default=-1) + 1, np.int64)
+        self.token_bytes[list(vocabulary.values())] = [len(t) for t in vocabulary]
         self.clear()
 
     def clear(self) -> None:
-        self.place: dict[bytes, int] = {}
+        self.chunks = pa.array([], pa.large_binary())
         self.flat, self.start, self.count = np.array([self.end], np.int32), np.zeros(1, np.int64), np.ones(1, np.int64)
 
+    def encode(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def joined_ids(self, chunks: pa.Array, between: str) -> np.ndarray:
+        """Ids of chunks joined to one text."""
+        one = pa.ListArray.from_arrays(pa.array([0, len(chunks)], pa.int32()), chunks.cast(pa.binary()))
+        return np.array(self.encode([str(pc.binary_join(one, between.encode())[0].as_buffer(), "utf-8")])[0], np.int32)
+
     def places(self, data: np.ndarray, start: np.ndarray) -> np.ndarray:
         """Places in ``start`` and ``count`` of the chunks that begin at ``start``."""
-        if len(self.place) > TABLE_WORDS or len(self.flat) > TABLE_VALUES:
+        if len(self.chunks) > REMEMBERED:
             self.clear()
-        if not len(start):
-            return start
         cuts = np.append(start, len(data))
         chunks = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(start), [None, pa.py_buffer(cuts), pa.py_buffer(np.ascontiguousarray(data))]).dictionary_encode()
-        distinct = chunks.dictionary.to_pylist()
-        new = [c for c in distinct if c not in self.place]
-        if new:
-            ids = [e.ids for e in self.tokenizer.encode_batch([c.decode() for c in new], add_special_tokens=False)]
-            count = np.fromiter(map(len, ids), np.int64, len(ids))
-            self.place.update(zip(new, range(len(self.start), len(self.start) + len(new))))
-            self.start = np.concatenate((self.start, len(self.flat) + np.cumsum(count) - count))
-            self.count = np.concatenate((self.count, count))
-            self.flat = np.concatenate([self.flat, *(np.asarray(i, np.int32) for i in ids)])
-        return np.fromiter(map(self.place.__getitem__, distinct), np.int64, len(distinct))[chunks.indices.to_numpy()]
-
-
-def id_slices(batch: pa.RecordBatch, table_: ChunkIds, split: bool, added: list[str]):
-    """(first row, end row, ids of all texts one after the other with the end id behind each, their offsets) of slices of a batch (_, text)."""
-    def of(lo: int, col: pa.Array, whole: bool):
-        for a, b, data, offs in text_chunks(col):
-            start = offs[:-1][np.diff(offs) > 0] if whole else chunk_starts(data, offs)
-            at = table_.places(data, start)
-            row = np.searchsorted(offs, start, "right") - 1
-            chunks = np.bincount(row, minlength=b - a)
-            at = np.insert(at, np.cumsum(chunks), 0)
-            count = table_.count[at]
-            ends = np.cumsum(chunks + 1)
-            yield lo + a, lo + b, ragged(table_.flat, table_.start[at], count), np.concatenate(([0], np.cumsum(count)[ends - 1]))
-
-    text = batch.column(1)
-    for lo in range(0, len(text), ROWS):
-        col = text.slice(lo, ROWS)
-        whole = np.full(len(col), not split)
-        for a in added if split else ():
-            whole |= pc.fill_null(pc.match_substring(col, a), False).to_numpy(zero_copy_only=False)
-        edges = [0, *(np.flatnonzero(whole[1:] != whole[:-1]) + 1).tolist(), len(col)]
-        for a, b in zip(edges[:-1], edges[1:]):
-            yield from of(lo + a, col.slice(a, b - a), bool(whole[a]))
+        known = pc.index_in(chunks.dictionary, value_set=self.chunks)
+        new = pc.is_null(known).to_numpy(zero_copy_only=False)
+        place = known.fill_null(0).to_numpy().astype(np.int64) + 1
+        if new.any():
+            # which of them begin with a space and a character that is none: their first two bytes
+            head = pc.binary_slice(chunks.dictionary, 0, 2)
+            word = new & pc.is_in(head, value_set=WORD_HEADS).to_numpy(zero_copy_only=False)
+            for which, between in ((word, ""), (new & ~word, self.between)):
+                if not which.any():
+                    continue
+                fresh = chunks.dictionary.filter(pa.array(which))
+                ids = self.joined_ids(fresh, between)
+                if between:
+                    border = np.flatnonzero(np.append(ids, self.between_id) == self.between_id)
+                    count, ids = np.diff(border, prepend=-1) - 1, ids[ids != self.between_id]
+                else:  # a token starts with each chunk: the bytes of the tokens tell which are whose
+                    upto = np.cumsum(self.token_bytes[ids])
+                    count = np.diff(np.searchsorted(upto, np.cumsum(pc.binary_length(fresh).to_numpy()), "right"), prepend=0)
+                place[which] = len(self.chunks) + 1 + np.arange(len(fresh))
+                self.start = np.concatenate((self.start, len(self.flat) + np.cumsum(count) - count))
+                self.count = np.concatenate((self.count, count))
+                self.flat = np.concatenate((self.flat, ids))
+                self.chunks = pa.concat_arrays([self.chunks, fresh])
+        return place[chunks.indices.to_numpy()]
+
+    def cut_ids(self, data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts one after the other with the end id behind each, their offsets), by chunks."""
+        start = chunk_starts(data, offs)
+        at = self.places(data, start) if len(start) else start
+        chunks = np.bincount(np.searchsorted(offs, start, "right") - 1, minlength=len(offs) - 1)
+        at = np.insert(at, np.cumsum(chunks), 0)
+        count = self.count[at]
+        return ragged(self.flat, self.start[at], count), np.concatenate(([0], np.cumsum(count)[np.cumsum(chunks + 1) - 1]))
+
+    def whole_ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The same, each text encoded as it is."""
+        ids = [[*i, self.end] for i in self.encode([t or "" for t in texts.to_pylist()])]
+        return np.concatenate([np.array(i, np.int32) for i in ids]), np.cumsum([0, *map(len, ids)])
+
+
+def id_slices(texts: pa.Array, chunks: ChunkIds):
+    """(first row, end row, ids, their offsets) of slices of a text column."""
+    whole = np.full(len(texts), chunks.between is None)
+    for a in chunks.added if chunks.between else ():
+        whole |= pc.fill_null(pc.match_substring(texts, a), False).to_numpy(zero_copy_only=False)
+    edges = [0, *(np.flatnonzero(whole[1:] != whole[:-1]) + 1).tolist(), len(texts)] if len(texts) else [0]
+    for lo, hi in zip(edges[:-1], edges[1:]):
+        col = texts.slice(lo, hi - lo)
+        for a, b, data, offs in text_chunks(col, SLICE):
+            yield lo + a, lo + b, *(chunks.whole_ids(col.slice(a, b - a)) if whole[lo] else chunks.cut_ids(data, offs))
 
 
 def piece_cuts(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -154,15 +185,14 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY,
     """(doc_id, piece, start, length, ids_crc32[, ids], row) of every piece of ``docs`` (doc_id, text); ``row`` is its own."""
     with open(tokenizer_path, encoding="utf-8") as f:
         tokenizer = f.read()
-    split, added = splittable(tokenizer), [a["content"] for a in json.loads(tokenizer).get("added_tokens") or ()]
     sent = docs.sparkSession.sparkContext.broadcast(tokenizer)  # a few MB
     names = ["doc_id", "piece", "start", "length", "ids_crc32"] + (["ids"] if with_ids else [])
     schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, piece int, start long, length long, ids_crc32 long" + (", ids array<int>" if with_ids else "")
 
     def work(batches):
-        table_ = ChunkIds(sent.value, end)
+        chunks = ChunkIds(sent.value, end)
         for b in batches:
-            for lo, hi, ids, offs in id_slices(b, table_, split, added):
+            for lo, hi, ids, offs in id_slices(b.column(1), chunks):
                 row, piece, start, length = piece_cuts(np.diff(offs), capacity)
                 at = offs[row] + start
                 raw = memoryview(ids.astype("<u4", copy=False)).cast("B")
@@ -172,7 +202,7 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY,
                     cols.append(pa.ListArray.from_arrays(pa.array(np.append(at, len(ids)).astype(np.int32)), pa.array(ids)))
                 yield pa.RecordBatch.from_arrays(cols, names=names)
 
-    return docs.select("doc_id", "text").mapInArrow(work, schema).withColumn("row", F.monotonically_increasing_id())
+    return docs.select("doc_id", "text").mapInArrow(freed(work), schema).withColumn("row", F.monotonically_increasing_id())
 
 
 # ---------------------------------------------------------------- packing
