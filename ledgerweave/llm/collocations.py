@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ledgerweave.llm.arrays import LOWER, Prints, mix, text_chunks
-from ledgerweave.llm.base import key_filter, saved, table
+from ledgerweave.llm.base import freed, key_filter, saved, table
 from ledgerweave.llm.pieces import ragged
 
 LONGEST = 4
@@ -42,7 +42,7 @@ MASS, PER_BYTE = 1 << 22, 0.75
 #: Partitions a task deals its sums to; more are reached in a second step.
 FAN = 4096
 #: Sums a task or a merge holds at least before they are put together.
-HELD = 1 << 20
+HELD = 1 << 19
 #: Bytes of text handled at once.
 SLICE = 1 << 20
 #: Bits of the filter of the second pass, for each phrase left and at most.
@@ -222,7 +222,7 @@ def summaries(docs: DataFrame, bits: int, longest: int = LONGEST, fan: int = FAN
                         held = Summary()
         yield _entry_rows(*held.compact(), 32 + second, totals)
 
-    out = docs.mapInArrow(count, ENTRIES)
+    out = docs.mapInArrow(freed(count), ENTRIES)
     if not second:
         return out
 
@@ -239,7 +239,7 @@ def summaries(docs: DataFrame, bits: int, longest: int = LONGEST, fan: int = FAN
         yield _entry_rows(*held.compact(), 32)
 
     # rows of a leading part come together, so that each hands on long runs of its inner partitions
-    return out.repartition("p").mapInArrow(deal, ENTRIES)
+    return out.repartition("p").mapInArrow(freed(deal), ENTRIES)
 
 
 def survivors(entries: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
@@ -287,7 +287,7 @@ def exact_counts(docs: DataFrame, keys: DataFrame, bits: int, threshold: int = T
                     yield _phrases(words, at[one], n, c, values)
 
     schema = "lang string, words int, phrase string, f long"
-    found = docs.mapInArrow(count, schema)
+    found = docs.mapInArrow(freed(count), schema)
     return found.groupBy("lang", "words", "phrase").agg(F.sum("f").alias("f")).where(F.col("f") >= threshold)
 
 
