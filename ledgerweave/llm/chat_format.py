@@ -4,7 +4,7 @@ A message's content is an array of parts (kind, text, ref, units).  A visitor ov
 text is escaped, an image, audio or document becomes a placeholder in its place, and is recorded as an attachment with its
 reference and the tokens the placeholder expands to.  A conversation becomes one string of marked turns plus
 a loss mask (spans of the assistant's bodies, in code points).  Control strings inside texts get a backslash
-after their first character (and one more if they had some), so no text can end a turn, and reading back removes it:
+after their first character (and one more if they had some), also where they stand across text parts, so no text can end a turn, and reading back removes it:
 the escape is a bijection, checked by the round trip of ``read_back``.
 
 All of it is DataFrame expressions.  A conversation is one row of the result and so is built in one place; the largest must fit
@@ -61,9 +61,13 @@ def visited(content: Column) -> Column:
     """struct(body, attachments array<kind, ref, tokens>) of a content array, in order."""
     parts = F.coalesce(F.filter(content, lambda p: p.isNotNull()), F.array().cast(f"array<{PART}>"))
     is_text = lambda p: F.coalesce(p["kind"], F.lit("")) == "text"
-    body = F.transform(parts, lambda p: F.when(is_text(p), escaped(F.coalesce(p["text"], F.lit("")))).otherwise(_placeholder(F.coalesce(p["kind"], F.lit("")))))
+    # text parts that follow each other are one text when they are escaped, so that no control string forms across their border
+    said = F.aggregate(parts, F.struct(F.lit("").alias("done"), F.lit("").alias("text")), lambda s, p: F.when(
+        is_text(p), F.struct(s["done"].alias("done"), F.concat(s["text"], F.coalesce(p["text"], F.lit(""))).alias("text"))).otherwise(
+        F.struct(F.concat(s["done"], escaped(s["text"]), _placeholder(F.coalesce(p["kind"], F.lit("")))).alias("done"), F.lit("").alias("text"))),
+        lambda s: F.concat(s["done"], escaped(s["text"])))
     found = F.transform(F.filter(parts, lambda p: ~is_text(p)), lambda p: F.struct(p["kind"].alias("kind"), p["ref"].alias("ref"), _tokens(p).alias("tokens")))
-    return F.struct(F.array_join(body, "").alias("body"), found.alias("attachments"))
+    return F.struct(said.alias("body"), found.alias("attachments"))
 
 
 def format_chat(messages: DataFrame, loss_role: str = "assistant") -> DataFrame:
@@ -92,8 +96,8 @@ def read_back(formatted: Column) -> Column:
     turns = F.split(formatted, r"<\|turn\|>")
     turns = F.slice(turns, 2, F.greatest(F.size(turns) - 1, F.lit(0)))
     return F.transform(turns, lambda t: F.struct(
-        unescaped(F.split(t, r"<\|body\|>")[0]).alias("role"),
-        unescaped(F.regexp_replace(F.split(t, r"<\|body\|>", 2)[1], r"<\|end\|>$", "")).alias("text")))
+        unescaped(F.get(F.split(t, r"<\|body\|>"), F.lit(0))).alias("role"),
+        unescaped(F.regexp_replace(F.coalesce(F.get(F.split(t, r"<\|body\|>", 2), F.lit(1)), F.lit("")), r"<\|end\|>$", "")).alias("text")))
 
 
 def masked_text(formatted: Column, mask: Column) -> Column:
