@@ -17,6 +17,7 @@ empty table gives no rows; other columns of the input are ignored.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import groupby
 
@@ -39,7 +40,9 @@ LOOKS = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "gb",
 #: Log probabilities of the channel: a letter as itself, as a look-alike, a letter repeated, a sign meant as itself.
 PLAIN, LOOK, REPEAT, SIGN = np.log(0.9), np.log(0.04), np.log(0.02), np.log(0.9)
 #: Least letters that are joined when they stand apart, and tokens remembered by a task.
-APART, REMEMBERED = 3, 100_000
+APART, REMEMBERED = 3, 20_000
+#: Bytes of text looked at at once.
+SLICE = 1 << 18
 
 _LETTER = np.zeros(256, bool)
 _LETTER[ord("a"):ord("z") + 1] = _LETTER[ord("A"):ord("Z") + 1] = _LETTER[0x80:] = True
@@ -273,7 +276,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Model:
         decoder, held = Decoder(own.value), []
         for b in batches:
             y = b.column(1).to_numpy()
-            for lo, hi, data, offs in text_chunks(b.column(0)):
+            for lo, hi, data, offs in text_chunks(b.column(0), SLICE):
                 h, r, _ = features(data, offs, decoder)
                 o = np.lexsort((h, r))
                 h, r = h[o], r[o]
@@ -295,7 +298,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Model:
     def rows_of(batches):
         decoder = Decoder(own.value)
         for b in batches:
-            for lo, hi, data, offs in text_chunks(b.column(0)):
+            for lo, hi, data, offs in text_chunks(b.column(0), SLICE):
                 found = [[] for _ in range(hi - lo)]
                 for r, f in zip(*_hits(data, offs, decoder, keys)):
                     found[r].append(int(f))
@@ -344,7 +347,7 @@ def score(docs: DataFrame, model: Model, keep: str = "doc_id") -> DataFrame:
         m = own.value
         decoder = Decoder(m.characters)
         for b in batches:
-            for lo, hi, data, offs in text_chunks(b.column(1)):
+            for lo, hi, data, offs in text_chunks(b.column(1), SLICE):
                 r, f = _hits(data, offs, decoder, m.keys)
                 z = m.intercept + np.bincount(r, weights=m.weights[f] if len(f) else None, minlength=hi - lo)
                 yield pa.RecordBatch.from_arrays([b.column(0).slice(lo, hi - lo), pa.array(1 / (1 + np.exp(-z)))], names=[keep, "score"])
@@ -353,20 +356,22 @@ def score(docs: DataFrame, model: Model, keep: str = "doc_id") -> DataFrame:
 
 
 def accepted(docs: DataFrame, model: Model, limit: float = 0.5) -> DataFrame:
-    """The rows of ``docs`` (text, more columns) that score below ``limit``."""
+    """The rows of ``docs`` (text, more columns) that score below ``limit``; only texts go to Python, and one boolean comes back for each."""
     own = docs.sparkSession.sparkContext.broadcast(model)
-    text = docs.columns.index("text")
 
-    def work(batches):
+    @F.arrow_udf("boolean")
+    def below(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         m = own.value
         decoder = Decoder(m.characters)
-        for b in batches:
-            for lo, hi, data, offs in text_chunks(b.column(text)):
+        for col in texts:
+            z = np.full(len(col), m.intercept)
+            for lo, hi, data, offs in text_chunks(col, SLICE):
                 r, f = _hits(data, offs, decoder, m.keys)
-                z = m.intercept + np.bincount(r, weights=m.weights[f] if len(f) else None, minlength=hi - lo)
-                yield b.slice(lo, hi - lo).filter(pa.array(1 / (1 + np.exp(-z)) < limit))
+                if len(f):
+                    z[lo:hi] += np.bincount(r, weights=m.weights[f], minlength=hi - lo)
+            yield pa.array(1 / (1 + np.exp(-z)) < limit)
 
-    return docs.mapInArrow(work, docs.schema)
+    return docs.where(below("text"))
 
 
 def fold(doc_id="doc_id"):
