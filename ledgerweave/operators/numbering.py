@@ -1,62 +1,76 @@
 """Skew-safe ``ROW_NUMBER() OVER (PARTITION BY keys ORDER BY order)``.
 
 A plain window sends every row of one key to one task; a transaction holding
-a third of the day would be sorted by one core.  Here each key is cut into
-*slices* by a column that is monotone in the first ordering column
-(``slice = first_order_col div block``).  Rows are numbered inside
-(key, slice) in parallel; per-slice row counts (one small row per slice) give
+a third of the day would be sorted by one core.  Here keys of at most ``block`` rows
+are numbered by the plain window, and larger ones are cut into *slices* of about ``block`` rows
+by bounds of their own: quantiles of the first ordering column, from a mergeable sketch (KLL) of the key's rows.
+A bound cuts between values, so slices follow the data (sparse, dense or clustered values alike) and only rows that share one value stay together.
+Rows are numbered inside (key, slice) in parallel; per-slice row counts (one small row per slice) give
 each slice its offset, the count of rows of the same key in earlier slices.
 ``row_number = local number + offset`` equals the plain window exactly,
 because every row of an earlier slice sorts before every row of a later one.
 
-The data is shuffled once, on (keys, slice).  The per-slice counts are read
-from the same exchange and joined back co-partitioned, so only the small
-count table moves again.
-
-A slice that is itself hot (many rows sharing one value of the first ordering
-column) is cut further, and only its rows are: see ``hot_numbers``.
+The row counts per key, one aggregation, say which keys are larger; without any (the usual day) there are no slices and the plan is the
+plain window.  A slice is larger than ``hot_rows`` only by true ties (copies, or many rows without a value);
+its rows are cut further, see ``hot_numbers``, and without such slices that branch is not planned.  All plans give the same numbers.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerweave.operators.joins import broadcast_if_small
 from ledgerweave.session import keep
 
 SLICE = "_slice"
 LOCAL_RN = "_rn_local"
+KEY_ROWS = "_key_rows"
 SLICE_ROWS = "_slice_rows"
 SLICE_OFFSET = "_slice_offset"
-# NULL ordering values sort first, so their slice must be below every real one.
-NULL_SLICE = -(1 << 62)
-
-
-def slice_of(order_col: str, block: int) -> Column:
-    """Monotone slice of a long ordering column; NULL goes to the lowest slice.
+BOUNDS = "_bounds"
+# Rows without a value sort first.
+NULL_SLICE = -1
+# Size of a sketch: its rank error is about 2.3 / k, 0.03 % of a key's rows; some hundred kilobytes, for keys above a block only.
+SKETCH = 8192
+# Bounds of a key at most (a key of more blocks has larger slices).
+MOST_BOUNDS = 8192
+# Bounds are broadcast up to this many bytes; beyond, they meet the rows by a join that splits skewed keys.
+BROADCAST_BYTES = 8 << 20
 
-    ``div`` truncates toward zero, which is still non-decreasing in the input.
-    """
-    if block < 2:
-        raise ValueError("block must be at least 2")
-    return F.coalesce(F.expr(f"CAST(`{order_col}` AS BIGINT) div {int(block)}"), F.lit(NULL_SLICE))
 
+def key_rows(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """(keys, KEY_ROWS): rows of each key, combined map-side."""
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(KEY_ROWS))
 
-def add_slices(df: DataFrame, order_col: str, block: int) -> DataFrame:
-    """Add the slice column (no shuffle yet)."""
-    return df.withColumn(SLICE, slice_of(order_col, block))
 
+def slice_bounds(df: DataFrame, large: DataFrame, keys: Sequence[str], order_col: str, block: int) -> DataFrame:
+    """(keys, BOUNDS): for each key of ``large`` (keys, KEY_ROWS) the values its slices end with, in order.
 
-def local_numbers(sliced: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
-    """Row number inside each (key, slice): hash-partitions the lines on (keys, slice).
-
-    This is the one full shuffle of the lines; a join on the same keys
-    afterwards reuses the partitioning.
+    One pass over the rows of these keys, whose sketches merge map-side; at most a bound per ``block`` rows.
     """
-    w = Window.partitionBy(*keys, SLICE).orderBy(*order)
-    return sliced.withColumn(LOCAL_RN, F.row_number().over(w).cast("long"))
+    if block < 2:
+        raise ValueError("block must be at least 2")
+    most = large.agg(F.max(KEY_ROWS)).first()[0] or 0
+    ranks = min(MOST_BOUNDS, -(-most // block))
+    rows = df.join(broadcast_if_small(large.select(*keys, KEY_ROWS), BROADCAST_BYTES), list(keys))
+    sketch = rows.groupBy(*keys).agg(F.kll_sketch_agg_bigint(F.col(order_col).cast("long"), F.lit(SKETCH)).alias("_sketch"),
+                                     F.first(KEY_ROWS).alias(KEY_ROWS), F.count(order_col).alias("_values"))
+    # asked at the ranks of the largest key; a smaller one takes as many of them as it has blocks.  Without any value all rows are ties
+    asked = F.kll_sketch_get_quantile_bigint("_sketch", F.array(*[F.lit(i / ranks) for i in range(1, ranks)]).cast("array<double>"))
+    sketch = sketch.withColumn(BOUNDS, F.when(F.col("_values") > 0, asked).otherwise(F.array().cast("array<bigint>")))
+    part = f"least({ranks}, ceil({KEY_ROWS} / {int(block)}))"
+    thinned = F.expr(f"filter({BOUNDS}, (b, i) -> floor((i + 1) * {part} / {ranks}) > floor(i * {part} / {ranks}))")
+    return sketch.select(*keys, F.array_sort(F.array_distinct(thinned)).alias(BOUNDS))
+
+
+def with_slices(df: DataFrame, bounds: DataFrame, keys: Sequence[str], order_col: str) -> DataFrame:
+    """``df`` with its slice: the number of bounds below the row's value; 0 for keys without bounds."""
+    below = F.expr(f"size(filter({BOUNDS}, b -> b < `{order_col}`))")
+    slice_ = F.when(F.col(BOUNDS).isNull(), F.lit(0)).when(F.col(order_col).isNull(), F.lit(NULL_SLICE)).otherwise(below)
+    return df.join(broadcast_if_small(bounds, BROADCAST_BYTES), list(keys), "left").withColumn(SLICE, slice_.cast("int")).drop(BOUNDS)
 
 
 def slice_offsets(sliced: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -70,35 +84,47 @@ def slice_offsets(sliced: DataFrame, keys: Sequence[str]) -> DataFrame:
     return counts.withColumn(SLICE_OFFSET, F.coalesce(F.sum(SLICE_ROWS).over(w), F.lit(0)).cast("long"))
 
 
+def any_row(df: DataFrame) -> bool:
+    return bool(df.limit(1).count())
+
+
 def ordered_row_number(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str], block: int, out: str,
                        hot_rows: int) -> DataFrame:
-    """Exact row number per key (``order_cols`` ascending, NULL first), computed slice by slice.
+    """Exact row number per key (``order_cols`` ascending, NULL first).
 
     ``keys`` must be non-null surrogate columns (NULL keys still form one
     group, as in a window, when mapped to a value no real key takes).
-    ``df`` must be a materialised table: it is read by several branches.
+    ``df`` must be a materialised table: it is read several times.
     """
-    sliced = add_slices(df, order_cols[0], block)
-    offsets = keep(slice_offsets(sliced, keys))
-    return numbered_lines(sliced, offsets, keys, order_cols, out, hot_rows).drop(SLICE)
+    return numbered_lines(df, keep(key_rows(df, keys)), keys, order_cols, block, out, hot_rows)
 
 
-def numbered_lines(sliced: DataFrame, offsets: DataFrame, keys: Sequence[str], order_cols: Sequence[str], out: str,
-                   hot_rows: int, carried: Sequence[str] = ()) -> DataFrame:
-    """``sliced`` with ``out``: the local number plus the offset of the slice.
+def numbered_lines(df: DataFrame, per_key: DataFrame, keys: Sequence[str], order_cols: Sequence[str], block: int, out: str, hot_rows: int,
+                   carried: DataFrame | None = None) -> DataFrame:
+    """``df`` with ``out``, the row number in its key, and the columns of ``carried`` (a row per key; rows of other keys are dropped).
 
-    ``offsets`` has one row per (keys, slice): SLICE_ROWS, SLICE_OFFSET and columns ``carried`` to the lines.  Rows of slices above ``hot_rows`` take
-    their local number from ``hot_numbers``; the others from one window.  Both branches are always in the plan, so the
-    form does not depend on the data; without hot slices the second one is empty.
+    ``per_key`` (keys, KEY_ROWS, persisted) says which keys are cut into slices.
     """
+    keys, order = list(keys), [F.col(c).asc_nulls_first() for c in order_cols]
+    large = per_key.where(F.col(KEY_ROWS) > block)
+    # a row per key is merged, never the rows broadcast to it: their size says little after compression
+    with_carried = lambda d: d if carried is None else d.join(carried.hint("merge"), keys)
+    if not any_row(large):
+        w = Window.partitionBy(*keys).orderBy(*order)
+        return with_carried(df.withColumn(out, F.row_number().over(w).cast("long")))
+    bounds = keep(slice_bounds(df, large, keys, order_cols[0], block))
+    sliced = with_slices(df, bounds, keys, order_cols[0])
+    offsets = keep(slice_offsets(with_slices(df.join(broadcast_if_small(large.select(*keys), BROADCAST_BYTES), keys, "left_semi"), bounds, keys, order_cols[0]), keys))
     of_slice = [*keys, SLICE]
-    hot = offsets.where(F.col(SLICE_ROWS) > hot_rows).select(*of_slice, SLICE_OFFSET, *carried)
-    order = [F.col(c).asc_nulls_first() for c in order_cols]
-    cold = local_numbers(sliced, keys, order).join(
-        offsets.where(F.col(SLICE_ROWS) <= hot_rows).select(*of_slice, SLICE_OFFSET, *carried), of_slice)
-    warm = hot_numbers(sliced.withColumn(TAG, F.monotonically_increasing_id()).join(hot, of_slice), of_slice, order_cols)
-    both = cold.unionByName(warm)
-    return both.withColumn(out, F.col(LOCAL_RN) + F.col(SLICE_OFFSET)).drop(LOCAL_RN, SLICE_OFFSET)
+    w = Window.partitionBy(*of_slice).orderBy(*order)
+    hot = offsets.where(F.col(SLICE_ROWS) > hot_rows).select(*of_slice, SLICE_OFFSET)
+    is_hot = any_row(hot)
+    rows = sliced.join(broadcast_if_small(hot.drop(SLICE_OFFSET), BROADCAST_BYTES), of_slice, "left_anti") if is_hot else sliced
+    cold = rows.withColumn(LOCAL_RN, F.row_number().over(w).cast("long")).join(offsets.select(*of_slice, SLICE_OFFSET).hint("merge"), of_slice, "left")
+    if is_hot:
+        warm = hot_numbers(sliced.withColumn(TAG, F.monotonically_increasing_id()).join(broadcast_if_small(hot, BROADCAST_BYTES), of_slice), of_slice, order_cols)
+        cold = cold.unionByName(warm)
+    return with_carried(cold.withColumn(out, F.col(LOCAL_RN) + F.coalesce(F.col(SLICE_OFFSET), F.lit(0))).drop(LOCAL_RN, SLICE_OFFSET, SLICE))
 
 
 # ---------------------------------------------------------------- rows of hot slices

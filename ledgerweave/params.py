@@ -21,8 +21,8 @@ class FeedParams:
     ``periods`` limits the run to some processing dates; ``None`` means every
     period present in the source (a backfill is one job, not one job per day).
     ``rerun`` fixes the re-run digit instead of reading it from the run log.
-    ``line_block`` is the width, in extraction-sequence units, of the slices a
-    transaction is cut into for line numbering (bounds the rows per task).
+    ``line_block`` is the number of lines above which a transaction is cut into slices of about as many
+    for line numbering (bounds the rows per task).
     """
 
     source: str
@@ -40,12 +40,14 @@ class FeedParams:
     periods: tuple[dt.date, ...] | None = None
     rerun: int | None = None
     line_block: int = 1 << 20
-    # a slice with more lines (many sharing one extraction sequence) is cut further (default 4 * line_block)
+    # a slice with more lines, which share one extraction sequence, is cut further (default 4 * line_block)
     hot_slice_rows: int | None = None
     # a small side is broadcast only up to this many bytes of values (checked); beyond, it is shuffled
     broadcast_bytes: int = 8 << 20
     # lines of a transaction per delivered file; None: one file per group, whatever its size
     rows_per_file: int | None = None
+    # bytes after which a file is cut into pieces that different tasks write; None: one task per file
+    piece_bytes: int | None = 128 << 20
 
     def __post_init__(self):
         if self.event_type is None:
@@ -55,7 +57,7 @@ class FeedParams:
 
     @property
     def hot_slice_limit(self) -> int:
-        """With unique extraction sequences a slice has at most 2 * line_block lines."""
+        """Slices follow the data, so one above this has many lines of one extraction sequence."""
         return int(self.hot_slice_rows or 4 * self.line_block)
 
     @property

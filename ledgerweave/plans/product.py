@@ -6,13 +6,13 @@ for any number of days, with one shuffle of the lines:
 1. scan (period filter and column pruning reach parquet), unpivot in one pass,
    re-run digit per period (broadcast, one row per day), code expression;
 2. the coded lines are written once as a work table (lineage cut, read back
-   columnar by each branch), then hash-partitioned on (periodo, code,
-   slice) -- the only full shuffle of lines;
-3. local line numbers inside each (periodo, code, slice) (W1, see
-   ``operators.numbering``; rows of a hot slice take a path of their own),
-   account mapping (broadcast behind a byte check), then the group assignment;
-4. per-slice and per-code counts come from one map-side aggregation of the
-   work table (``slice_table``), and the group assignment is a multi-level
+   columnar by each branch), then hash-partitioned on (periodo, code), large transactions by slice too
+   -- the only full shuffle of lines;
+3. line numbers inside each (periodo, code) (W1, see
+   ``operators.numbering``; large transactions are cut into slices),
+   the group assignment, then the account mapping (broadcast behind a byte check);
+4. the counts per code come from one map-side aggregation of the
+   work table (``transaction_table``), and the group assignment is a multi-level
    prefix sum over one row per code (``operators.balance``).
 
 Building the frame is not free of work: it writes the work table and checks the size of the mapping (one small job).
@@ -46,10 +46,9 @@ WORK_COLUMNS = ["periodo", "fecha_efectiva", "fecha_posteo", "ctacon", "moneda_o
                 "consecutivo_extraccion", "valor_movimiento", "naturaleza", CODE, TKEY]
 
 
-def _sliced(movements_src: DataFrame, run_log: DataFrame | None, params: FeedParams) -> DataFrame:
-    """Coded lines with their slice, written once as a work table."""
-    coded = coded_lines(movements_src, run_log, params).select(*WORK_COLUMNS)
-    return materialize(numbering.add_slices(coded, "consecutivo_extraccion", params.line_block), "coded_lines")
+def _work_table(movements_src: DataFrame, run_log: DataFrame | None, params: FeedParams) -> DataFrame:
+    """Coded lines, written once as a work table."""
+    return materialize(coded_lines(movements_src, run_log, params).select(*WORK_COLUMNS), "coded_lines")
 
 
 def journal_lines(movements_src: DataFrame, mapping: DataFrame, run_log: DataFrame | None,
@@ -59,74 +58,55 @@ def journal_lines(movements_src: DataFrame, mapping: DataFrame, run_log: DataFra
     Lines are numbered before the account mapping, as in the reference, so
     copies made by duplicate mapping rows share a line number.
     """
-    sliced = _sliced(movements_src, run_log, params)
-    numbered = numbering.ordered_row_number(sliced, KEYS, LINE_ORDER, params.line_block, "contador_linea",
+    numbered = numbering.ordered_row_number(_work_table(movements_src, run_log, params), KEYS, LINE_ORDER, params.line_block, "contador_linea",
                                             params.hot_slice_limit)
     mapped = map_accounts(numbered, prepared_mapping(mapping, params), params, prepared=True)
     return constant_columns(mapped, params).select(*JOURNAL_COLUMNS)
 
 
-def slice_table(sliced: DataFrame, mapping: DataFrame, params: FeedParams, mapping_is_small: bool) -> DataFrame:
-    """One row per (periodo, code, slice): line offset of the slice and lines of its transaction.
+def transaction_table(lines: DataFrame, mapping: DataFrame, params: FeedParams, mapping_is_small: bool) -> DataFrame:
+    """One row per (periodo, code): its lines before and after the account mapping, and whether it has several sequences.
 
     One aggregation over the coded lines gives both counts the plan needs:
-    ``pre`` (lines before the account mapping, for line numbers) and ``post``
-    (lines after it; a duplicated mapping row multiplies a line, as in the
+    before the mapping for line numbers, after it for the groups (a duplicated mapping row multiplies a line, as in the
     reference), using the number of mapping rows per account (broadcast behind
-    the same byte check as the mapping).  A window over the slices of
-    each transaction (one row per slice) turns them into the slice offset and
-    the transaction total.  The table is small (about one row per
-    transaction) and feeds two branches, so it is persisted; a lost block is
+    the same byte check as the mapping).  It feeds several branches, so it is persisted; a lost block is
     recomputed from the work table.
     """
     mult = mapping_for(mapping, params).groupBy("VALOR_ORIGEN").agg(F.count(F.lit(1)).alias("_copies"))
     if mapping_is_small:                       # fewer rows than the mapping itself
         mult = F.broadcast(mult)
-    per_slice = (sliced.join(mult, F.col("ctacon").cast("string") == F.col("VALOR_ORIGEN"), "left")
-                 .groupBy(*KEYS, numbering.SLICE)
-                 .agg(F.count(F.lit(1)).alias("_pre"), F.sum(F.coalesce("_copies", F.lit(1))).alias("_post"),
-                      F.min("consecutivo").alias("_low"), F.max("consecutivo").alias("_high")))
-    w_before = Window.partitionBy(*KEYS).orderBy(numbering.SLICE).rowsBetween(Window.unboundedPreceding, -1)
-    w_all = Window.partitionBy(*KEYS)
-    w_first = Window.partitionBy(*KEYS).orderBy(numbering.SLICE)
-    table = per_slice.select(
-        *KEYS, numbering.SLICE,
-        F.coalesce(F.sum("_pre").over(w_before), F.lit(0)).cast("long").alias(numbering.SLICE_OFFSET),
-        F.sum("_post").over(w_all).cast("long").alias(balance.COUNT),
-        (F.row_number().over(w_first) == 1).alias("_first"),
-        F.col("_pre").alias(numbering.SLICE_ROWS),
-        (F.min("_low").over(w_all) != F.max("_high").over(w_all)).alias("_mixed"),
-    )
-    return keep(table)
+    return keep(lines.join(mult, F.col("ctacon").cast("string") == F.col("VALOR_ORIGEN"), "left").groupBy(*KEYS)
+                .agg(F.count(F.lit(1)).alias(numbering.KEY_ROWS), F.sum(F.coalesce("_copies", F.lit(1))).cast("long").alias(balance.COUNT),
+                     (F.min("consecutivo") != F.max("consecutivo")).alias("_mixed")))
 
 
 def ledger_product(movements_src: DataFrame, mapping: DataFrame, run_log: DataFrame | None,
                    params: FeedParams) -> DataFrame:
     """Final product (C11): 20 columns, partition column ``periodo`` last."""
-    return product_and_slices(movements_src, mapping, run_log, params)[0]
+    return product_and_transactions(movements_src, mapping, run_log, params)[0]
 
 
-def product_and_slices(movements_src: DataFrame, mapping: DataFrame, run_log: DataFrame | None,
-                       params: FeedParams) -> tuple[DataFrame, DataFrame]:
-    """The product, and the small slice table it was planned from (for the run's control counts)."""
-    sliced = _sliced(movements_src, run_log, params)
+def product_and_transactions(movements_src: DataFrame, mapping: DataFrame, run_log: DataFrame | None,
+                             params: FeedParams) -> tuple[DataFrame, DataFrame]:
+    """The product, and the small transaction table it was planned from (for the run's control counts)."""
+    lines = _work_table(movements_src, run_log, params)
     m = mapping_for(mapping, params)
     small = value_bytes(m) <= params.broadcast_bytes      # one check for both mapping joins
-    slices = slice_table(sliced, mapping, params, small)
+    transactions = transaction_table(lines, mapping, params, small)
 
     # one row per transaction (the NULL code too: it shifts the running totals)
-    counts = slices.where("_first").select(
-        "periodo", F.when(F.col(TKEY) != "", F.col(TKEY)).alias(CODE), balance.COUNT)
+    counts = transactions.select("periodo", F.when(F.col(TKEY) != "", F.col(TKEY)).alias(CODE), balance.COUNT)
     groups = (balance.assign_groups(counts, ["periodo"], CODE, params.large_limit, params.bucket_length,
                                     params.bin_width)
               .where(F.col(CODE).isNotNull())
               .select("periodo", F.col(CODE).alias(TKEY), balance.GROUP))
-    # the group of a transaction travels with the offsets of its slices, so the lines are joined once
-    offsets = slices.select(*KEYS, numbering.SLICE, numbering.SLICE_ROWS, numbering.SLICE_OFFSET).join(groups, KEYS)
-    numbered = numbering.numbered_lines(sliced, offsets, KEYS, LINE_ORDER, "contador_linea", params.hot_slice_limit,
-                                        [balance.GROUP])
+    # lines without a code match no group: they need no number either
+    named = F.col(TKEY) != ""
+    numbered = numbering.numbered_lines(lines.where(named), transactions.where(named), KEYS, LINE_ORDER, params.line_block, "contador_linea",
+                                        params.hot_slice_limit, groups)
     mapped = map_accounts(numbered, F.broadcast(m) if small else m, params, prepared=True)
-    return constant_columns(mapped, params).select(*PRODUCT_COLUMNS), slices
+    return constant_columns(mapped, params).select(*PRODUCT_COLUMNS), transactions
 
 
 def pending_periods(movements_src: DataFrame, run_log: DataFrame, source: str) -> DataFrame:
@@ -142,6 +122,17 @@ def pending_periods(movements_src: DataFrame, run_log: DataFrame, source: str) -
     return periods.join(done, "periodo", "left_anti")
 
 
+def pending_by_files(files: DataFrame, run_log: DataFrame, source: str) -> DataFrame:
+    """Days of ``files`` (``sources.partitions.partition_files``) that ``source`` has not run since their files last changed.
+
+    No row of the movements is read: a day is pending when the log has no run of it, or when a file of it is as new as its last run or newer.
+    """
+    runs = (run_log.where(F.col("FUENTE") == F.lit(source)).groupBy(F.col("PERIODO_EJECUTADO_FAH").alias("periodo"))
+            .agg(F.max("ULT_FECHA_DE_CARGUE").alias("_run")))
+    # a day run without a time counts as run long ago
+    return files.join(runs, "periodo", "left").where("_run is null or modificado >= _run").select("periodo")
+
+
 def periods_list(df: DataFrame) -> tuple[dt.date, ...]:
     """Pending periods as parameters (one small row per day)."""
     return tuple(r["periodo"] for r in df.orderBy("periodo").collect())

@@ -28,15 +28,51 @@ def test_ordered_row_number_equals_window(spark, seed, block, hot):
         sorted(map(tuple, want.select(cols).collect()), key=repr)
 
 
-def test_slice_is_monotone(spark):
-    df = spark.createDataFrame([(v,) for v in [None, -9, -1, 0, 1, 5, 9, 10, 11]], "x long")
-    got = [r[0] for r in df.select(numbering.slice_of("x", 5)).collect()]
-    assert got == sorted(got)
+def bounds_of(spark, rows, block):
+    """{key: bounds} and the rows of each (key, slice)."""
+    df = session.materialize(spark.createDataFrame(rows, "k string, seq long").repartition(4))
+    per_key = numbering.key_rows(df, ["k"])
+    bounds = numbering.slice_bounds(df, per_key.where(F.col(numbering.KEY_ROWS) > block), ["k"], "seq", block)
+    sliced = numbering.with_slices(df, bounds, ["k"], "seq").collect()
+    count = {}
+    for r in sliced:
+        count.setdefault((r.k, r[numbering.SLICE]), []).append(r.seq)
+    return {r.k: r[numbering.BOUNDS] for r in bounds.collect()}, count
+
+
+@pytest.mark.parametrize("values", ["dense", "sparse", "clustered"])
+def test_slices_follow_the_data(spark, values):
+    """However the values lie, a key of many distinct values is cut into about rows / block slices of about block rows."""
+    rnd = random.Random(values)
+    n, block = 20000, 500
+    seq = {"dense": range(n), "sparse": [rnd.randint(-10 ** 15, 10 ** 15) for _ in range(n)],
+           "clustered": [i if i % 10 else 10 ** 12 + i * 7919 for i in range(n)]}[values]
+    bounds, count = bounds_of(spark, [("big", s) for s in seq] + [("small", s) for s in range(400)], block)
+    assert set(bounds) == {"big"} and bounds["big"] == sorted(set(bounds["big"]))
+    sizes = [len(v) for (k, _), v in count.items() if k == "big"]
+    assert len(sizes) == n // block and max(sizes) <= 1.2 * block and min(sizes) >= 0.8 * block
+    assert count["small", 0] and len([1 for k, _ in count if k == "small"]) == 1
+    spans = sorted((min(v), max(v)) for (k, _), v in count.items() if k == "big")
+    assert all(x[1] < y[0] for x, y in zip(spans, spans[1:]))           # slices do not overlap
+
+
+def test_only_ties_stay_together(spark):
+    rows = [("a", 5)] * 3000 + [("a", v) for v in range(1000, 3000)] + [("n", None)] * 900 + [("n", 1)] * 2 + [("only", None)] * 800
+    _, count = bounds_of(spark, rows, 100)
+    assert all(len(set(v)) == 1 for v in count.values() if len(v) > 150)
+    assert sorted(map(len, (v for (k, _), v in count.items() if k != "a"))) == [2, 800, 900]
 
 
 def test_block_must_split(spark):
     with pytest.raises(ValueError):
-        numbering.slice_of("x", 1)
+        numbering.slice_bounds(spark.range(1), spark.range(1), ["id"], "id", 1)
+
+
+def test_usual_days_have_no_slices(spark):
+    """Without a key above the block the plan is one window, with ties only among large keys' slices the hot branch."""
+    df = session.materialize(spark.createDataFrame([("a", 1, 1)] * 30 + [("b", i, 1) for i in range(30)], "k string, seq long, tie long"))
+    windows = lambda block, hot: numbering.ordered_row_number(df, ["k"], ["seq", "tie"], block, "rn", hot)._jdf.queryExecution().optimizedPlan().toString().count("Window [")
+    assert windows(100, 400) == 1 and windows(10, 40) < windows(10, 20)
 
 
 @pytest.mark.parametrize("seed", [5, 6])

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 import oracle_harness as H
 from conftest import SF001
 from ledgerweave import oracle_sql as O
+from ledgerweave import session
 from ledgerweave.operators import journal, numbering
 from ledgerweave.sources.fixtures import feed_params
 from ledgerweave.plans import product
@@ -49,12 +50,13 @@ def test_hot_transaction_matches_oracle(spark, duck001):
 
 def test_hot_transaction_is_sliced(spark):
     p = feed_params(line_block=4096)
-    coded = journal.coded_lines(hot_movements(spark), fixtures.run_log(spark, SF001), p)
-    sliced = numbering.add_slices(coded, "consecutivo_extraccion", p.line_block)
-    per = sliced.groupBy(journal.TKEY, numbering.SLICE).count()
+    coded = session.materialize(journal.coded_lines(hot_movements(spark), fixtures.run_log(spark, SF001), p))
+    keys = [journal.TKEY]
+    large = numbering.key_rows(coded, keys).where(F.col(numbering.KEY_ROWS) > p.line_block)
+    bounds = numbering.slice_bounds(coded, large, keys, "consecutivo_extraccion", p.line_block)
+    per = numbering.with_slices(coded, bounds, keys, "consecutivo_extraccion").groupBy(journal.TKEY, numbering.SLICE).count()
     stats = per.agg(F.count("*").alias("slices"), F.max("count").alias("biggest"), F.sum("count").alias("n")).first()
-    # extraction sequences span 0..150000 at sf0.01: about 37 slices of about 2100 lines each
-    assert stats["slices"] >= 30 and stats["biggest"] <= 2 * p.line_block
+    assert stats["slices"] >= stats["n"] // p.line_block and stats["biggest"] <= 1.2 * p.line_block
 
 
 def copies_movements(spark):
@@ -76,7 +78,7 @@ def test_all_slices_hot_equals_none_hot(spark):
     from conftest import SF0001
     mov, mp, log = (fixtures.movements(spark, SF0001), fixtures.account_mapping(spark, SF0001),
                     fixtures.run_log(spark, SF0001))
-    a = product.ledger_product(mov, mp, log, feed_params(hot_slice_rows=1))
+    a = product.ledger_product(mov, mp, log, feed_params(line_block=2, hot_slice_rows=1))
     b = product.ledger_product(mov, mp, log, feed_params())
     assert sorted(map(tuple, a.collect()), key=repr) == sorted(map(tuple, b.collect()), key=repr)
 
@@ -85,6 +87,6 @@ def test_journal_lines_all_slices_hot(spark):
     from conftest import SF0001
     mov, mp, log = (fixtures.movements(spark, SF0001), fixtures.account_mapping(spark, SF0001),
                     fixtures.run_log(spark, SF0001))
-    a = product.journal_lines(mov, mp, log, feed_params(hot_slice_rows=1))
+    a = product.journal_lines(mov, mp, log, feed_params(line_block=2, hot_slice_rows=1))
     b = product.journal_lines(mov, mp, log, feed_params())
     assert sorted(map(tuple, a.collect()), key=repr) == sorted(map(tuple, b.collect()), key=repr)
