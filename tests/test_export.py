@@ -25,19 +25,17 @@ def _files(root):
     return out
 
 
-def deliver(spark, df, spec, out, rerun=1, rows_per_file=None):
-    """One report through counts, manifest, staging and renames."""
+def deliver(spark, df, spec, out, rerun=1, rows_per_file=None, piece_bytes=None):
+    """One report through counts, manifest and delivery."""
     specs, loaded = {spec.name: spec}, {spec.name: df}
     rows = export.file_rows(specs, loaded, counts_of(spark), rows_per_file)
     man = session.materialize(export.manifest(rows, specs, rerun, str(out)), "manifest")
-    staging = f"{out}-staging"
-    export.write_files({spec.name: export.render_report(df, spec, rows_per_file=rows_per_file)}, specs, man, staging, loaded=loaded)
-    export.finalize_files(spark, staging, man.toLocalIterator())
+    export.write_files({spec.name: export.render_report(df, spec, rows_per_file=rows_per_file)}, specs, man, str(out), loaded=loaded, piece_bytes=piece_bytes)
     return man
 
 
 def counts_of(spark):
-    return spark.createDataFrame([], "periodo date, grupo long, lineas long, cabeceras long, con_delimitador long")
+    return spark.createDataFrame([], "periodo date, grupo long, lineas long, cabeceras long")
 
 
 def test_golden_bytes(spark, tmp_path):
@@ -69,10 +67,11 @@ def test_iso_8859_1_and_strict(spark, tmp_path):
     bad = spark.createDataFrame([(1, "日本", "x", 1, day)], "ORDEN int, A string, B string, grupo long, periodo date")
     with pytest.raises(Exception):
         deliver(spark, bad, spec, tmp_path / "bad")
+    assert not (tmp_path / "bad").exists() or os.listdir(tmp_path / "bad") == []
     one_col = export.ReportSpec(name="E", query="own text", encoding="ISO-8859-1", template="E.{EXTENCION}")
     empty = spark.createDataFrame([(1, None, 1, day)], "ORDEN int, A string, grupo long, periodo date")
-    with pytest.raises(Exception, match="empty line"):
-        deliver(spark, empty, one_col, tmp_path / "empty")
+    deliver(spark, empty, one_col, tmp_path / "empty")
+    assert _files(tmp_path / "empty") == {"E.txt": b"\r\n"}
 
 
 def test_group_routing(spark):
