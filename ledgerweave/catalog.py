@@ -11,7 +11,7 @@ import datetime as dt
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -19,11 +19,12 @@ from ledgerweave.functions.columns import format_date, lpad_zero, normalise_date
 from ledgerweave.operators import balance, journal, numbering, reports, runlog
 from ledgerweave.params import FeedParams
 from ledgerweave.plans import export, product
-from ledgerweave.plans.run import METADATA_VERSION, export_feed
+from ledgerweave.plans.run import METADATA_VERSION, export_feed, rerun_numbers
 from ledgerweave.plans.tables import overwrite_partitions, replace_table
 from ledgerweave.session import materialize, work_dir
 from ledgerweave.sources import fixtures, registry
 from ledgerweave.sources.fixtures import feed_params
+from ledgerweave.sources.partitions import partition_files
 from ledgerweave.sources.tables import read_table
 from ledgerweave.streaming.daily_feed import start_daily_feed
 
@@ -31,11 +32,12 @@ from ledgerweave.streaming.daily_feed import start_daily_feed
 # run; earliest on ties), with the re-run digit and limits of FIXTURES §3.
 DAY_SETTINGS = dict(rerun=3, large_limit=3, bin_width=100)
 # Reports, routing and export run with limits that give every day several groups and some large transactions;
-# lines are numbered with narrow slices, of which the fuller ones count as hot.
+# transactions of more than two lines are cut into slices, of which those with several lines count as hot.
 REPORT_SETTINGS = dict(large_limit=8, bin_width=40)
-HOT_SETTINGS = dict(line_block=50, hot_slice_rows=4)
+HOT_SETTINGS = dict(line_block=2, hot_slice_rows=1)
 RUN_TS = dt.datetime(2026, 1, 1, 0, 0, 0)
 DELIVERY = "delivery"              # relative root of file paths in the manifest queries
+PIECE_BYTES = 4096                 # of the sink queries, so that most files are written by several tasks
 MONTH_LIMIT = 750                  # balance of lineitem by ship month (FIXTURES §3)
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -272,11 +274,11 @@ def _report(kind: str, prod: DataFrame) -> DataFrame:
     return reports.report_metadata(prod, fixtures.SOURCE) if kind == "METADATA" else reports.REPORTS[kind](prod)
 
 
-def _files(prod: DataFrame, kinds=registry.KINDS) -> DataFrame:
+def _files(prod: DataFrame, kinds=registry.KINDS, root: str = DELIVERY) -> DataFrame:
     """Manifest of the reports over a written product table."""
     specs = {SPECS[k].name: SPECS[k] for k in kinds}
     rows = export.file_rows(specs, {}, export.product_counts(prod))
-    return export.manifest(rows, specs, 1, DELIVERY)
+    return export.manifest(rows, specs, 1, root)
 
 
 def q_report_split_by_group(spark, sf):
@@ -290,22 +292,21 @@ def q_report_header_row(spark, sf):
 
 
 def _written(spark, sf, kinds) -> tuple[DataFrame, str, DataFrame]:
-    """Manifest, folder and product of reports written to staging."""
+    """Manifest, folder and product of delivered reports; files are cut into pieces of a few kilobytes."""
     prod = _product_table(spark, sf)
     specs = {SPECS[k].name: SPECS[k] for k in kinds}
     loaded = {SPECS[k].name: _report(k, prod) for k in kinds}
-    files = materialize(_files(prod, kinds), "manifest")
     path = work_dir(spark, f"sink-{uuid.uuid4().hex}")
-    export.write_files({n: export.render_report(df, specs[n]) for n, df in loaded.items()}, specs, files, path, loaded=loaded)
+    files = materialize(_files(prod, kinds, path), "manifest")
+    export.write_files({n: export.render_report(df, specs[n]) for n, df in loaded.items()}, specs, files, path, loaded=loaded, piece_bytes=PIECE_BYTES)
     return files, path, prod
 
 
 def _read_back(spark, files: DataFrame, path: str, encoding: str) -> DataFrame:
-    """Lines of staged files with the file they are in and their place."""
-    folder = f"{path}/{export.encoding_dir(encoding)}"
-    text = (spark.read.option("basePath", folder).option("encoding", encoding).text(folder).withColumn("id", F.col("id").cast("string"))
+    """Lines of delivered files with the file they are in and their place."""
+    text = (spark.read.option("encoding", encoding).text(path).withColumn("archivo", F.regexp_extract(F.input_file_name(), r"([^/]+)$", 1))
             .withColumn("at", F.monotonically_increasing_id()))
-    return text.join(files.select("id", "report", "periodo", "grupo", "parte"), "id")
+    return text.join(files.select("archivo", "report", "periodo", "grupo", "parte"), "archivo")
 
 
 def q_sink_report_lines(spark, sf):
@@ -314,11 +315,13 @@ def q_sink_report_lines(spark, sf):
 
 
 def q_file_order(spark, sf):
-    """O1, O2: of every file the first and last data lines in file order, and how many lines are out of it."""
+    """O1, O2: of every file the first and last data lines, and the sum of a number for each line and the one before it, which any other order changes."""
     files, path, _ = _written(spark, sf, ["HEADER", "LINES", "CONTROL"])
     back = _read_back(spark, files, path, "UTF-8").where(~F.col("value").startswith("TRANSACTION_NUMBER,"))
-    return (back.groupBy("report", "periodo", "grupo")
-            .agg(F.min_by("value", "at").alias("primera"), F.max_by("value", "at").alias("ultima"), F.count(F.lit(1)).alias("lineas")))
+    before = F.coalesce(F.lag("value").over(Window.partitionBy("report", "periodo", "grupo").orderBy("at")), F.lit(""))
+    pair = F.conv(F.substring(F.md5(F.concat(before, F.lit("\n"), "value")), 1, 8), 16, 10).cast("long")
+    return (back.withColumn("par", pair).groupBy("report", "periodo", "grupo")
+            .agg(F.min_by("value", "at").alias("primera"), F.max_by("value", "at").alias("ultima"), F.count(F.lit(1)).alias("lineas"), F.sum("par").alias("pares")))
 
 
 def q_run_manifest(spark, sf):
@@ -339,16 +342,36 @@ def q_run_summary(spark, sf):
         F.sum("registros").alias("registros_escritos"), F.countDistinct("periodo").alias("periodos"))
 
 
+def _stored(spark, sf, text: str, args: dict, numbers: DataFrame | None = None) -> DataFrame:
+    spec = export.ReportSpec(name="TEXT", query=text)
+    return export.load_reports(spark, _product(spark, sf), {spec.name: spec}, args, numbers)[spec.name]
+
+
 def q_query_source(spark, sf):
-    _product(spark, sf).createOrReplaceTempView("ledger_product")
-    return spark.sql(registry.CONTROL_SQL, args={"desde": None, "hasta": None})
+    return _stored(spark, sf, registry.CONTROL_SQL, {"desde": None, "hasta": None})
 
 
 def q_query_parameters(spark, sf):
     """A stored text with its parameters bound: version, application and the days of the run (the first half of 1996)."""
-    _product(spark, sf).createOrReplaceTempView("ledger_product")
     days = (dt.date(1996, 1, 1), dt.date(1996, 6, 1))
-    return spark.sql(registry.METADATA_SQL, args=export.report_args(fixtures.SOURCE, METADATA_VERSION, days))
+    return _stored(spark, sf, registry.METADATA_SQL, export.report_args(fixtures.SOURCE, METADATA_VERSION, days))
+
+
+def q_query_identifiers(spark, sf):
+    """A stored text that names its tables and reads its re-run number by parameters: a run spans days, so the numbers are a table."""
+    mov, _, log = _inputs(spark, sf)
+    days = journal.movements_projection(mov).select("periodo").where(F.col("periodo").isNotNull()).distinct()
+    numbers = rerun_numbers(log, product.periods_list(days), feed_params())
+    return _stored(spark, sf, registry.RUNS_SQL, {"desde": None, "hasta": None}, numbers)
+
+
+def q_pending_by_files(spark, sf):
+    """Pending days of a partitioned table from file times alone: the log has run the even months after the files were written, the others before."""
+    mov = fixtures.movements(spark, sf)
+    path = work_dir(spark, f"movements-{uuid.uuid4().hex}")
+    mov.write.partitionBy("PERIODO").parquet(path)
+    late = F.when(F.month("PERIODO_EJECUTADO_FAH") % 4 == 0, F.lit(dt.datetime(2100, 1, 1)).cast("timestamp_ntz")).otherwise(F.col(runlog.LOADED))
+    return product.pending_by_files(partition_files(spark, path, "PERIODO"), fixtures.run_log(spark, sf).withColumn(runlog.LOADED, late), fixtures.SOURCE)
 
 
 def q_sink_replace_table(spark, sf):
@@ -451,6 +474,7 @@ QUERIES: dict[str, Query] = {
     "parameter_column": q_parameter_column,
     "transaction_counts": q_transaction_counts,
     "pending_periods": q_pending_periods,
+    "pending_by_files": q_pending_by_files,
     "size_split": q_size_split,
     "large_group_rank": q_large_group_rank,
     "running_total": q_running_total,
@@ -477,6 +501,7 @@ QUERIES: dict[str, Query] = {
     "run_summary": q_run_summary,
     "query_source": q_query_source,
     "query_parameters": q_query_parameters,
+    "query_identifiers": q_query_identifiers,
     "sink_replace_table": q_sink_replace_table,
     "sink_overwrite_partition": q_sink_overwrite_partition,
     "run_log_upsert": q_run_log_upsert,

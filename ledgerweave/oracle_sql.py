@@ -64,14 +64,17 @@ unp AS (
 
 
 def coded_sql(rerun: str | None = None) -> str:
-    """``coded``: lines with the number of the run (``rerun``: SQL text instead of the log's) and the code."""
-    logged = (f"COALESCE((SELECT CAST(max(NUM_VECES_REPROCESADO) + 1 AS BIGINT) FROM run_log g "
-              f"WHERE g.FUENTE = '{SOURCE}' AND g.PERIODO_EJECUTADO_FAH = unp.periodo), 1)")
+    """``coded``: lines with the number of the run (``rerun``: SQL text instead of the log's, which is ``$logged``) and the code."""
+    number = "COALESCE(numero, 1)" if rerun is None else rerun.replace("$logged", "COALESCE(numero, 1)")
     return f"""
+logged AS (
+  SELECT PERIODO_EJECUTADO_FAH AS periodo, CAST(max(NUM_VECES_REPROCESADO) + 1 AS BIGINT) AS numero
+  FROM run_log WHERE FUENTE = '{SOURCE}' GROUP BY ALL
+),
 coded AS (
   SELECT *, 'AK' || strftime(fecha_efectiva, '%Y%m%d') || strftime(fecha_posteo, '%Y%m%d')
             || lpad(CAST(consecutivo AS VARCHAR), 4, '0') || left(CAST(codigo_reproceso AS VARCHAR), 1) AS codigo_transaccion
-  FROM (SELECT *, {logged if rerun is None else rerun.replace("$logged", logged)} AS codigo_reproceso FROM unp)
+  FROM (SELECT unp.*, {number} AS codigo_reproceso FROM unp LEFT JOIN logged USING (periodo))
 )"""
 
 
@@ -114,12 +117,22 @@ grouped AS (
 )"""
 
 
-PRODUCT = """
+def product_sql(limit: int, width: int | None = None) -> str:
+    """``product``: each line with its group, by windows over the lines alone: a code's lines are counted on its rows and summed up on one of them."""
+    return f"""
 product AS (
-  SELECT j.* EXCLUDE (periodo), g.grupo_salida, j.periodo
-  FROM journal j JOIN grouped g USING (periodo, codigo_transaccion)
+  SELECT * EXCLUDE (periodo, total, primero, grandes_hasta, grandes, acumulado),
+         CAST(IF(total > {limit}, grandes_hasta, grandes + (acumulado - 1) // {width or limit} + 1) AS BIGINT) AS grupo_salida, periodo
+  FROM (SELECT *, count(*) FILTER (primero AND total > {limit}) OVER upto AS grandes_hasta,
+               count(*) FILTER (primero AND total > {limit}) OVER (PARTITION BY periodo) AS grandes,
+               sum(total) FILTER (primero AND total <= {limit}) OVER upto AS acumulado
+        FROM (SELECT *, count(*) OVER same AS total, row_number() OVER same = 1 AS primero
+              FROM journal WINDOW same AS (PARTITION BY periodo, codigo_transaccion))
+        WINDOW upto AS (PARTITION BY periodo ORDER BY codigo_transaccion NULLS FIRST))
+  WHERE codigo_transaccion IS NOT NULL
 )"""
 
+
 # lines and transactions per file group: what the control report and the files are made of
 PER_GROUP = """
 per_group AS (
@@ -131,7 +144,7 @@ per_group AS (
 def with_product(limit: int = LIMIT, width: int | None = None, day: str | None = None, rerun: str | None = None,
                  more: str = "") -> str:
     """``WITH`` clause ending in ``product`` and ``per_group``, plus ``more`` tables."""
-    parts = [VIEWS, lines_sql(day), coded_sql(rerun), NUMBERED, JOURNAL, groups_sql("journal", "codigo_transaccion", limit, width, "periodo"), PRODUCT, PER_GROUP]
+    parts = [VIEWS, lines_sql(day), coded_sql(rerun), NUMBERED, JOURNAL, product_sql(limit, width), PER_GROUP]
     return "WITH " + ",".join(parts + ([more] if more else []))
 
 

@@ -124,7 +124,7 @@ ORACLE: dict[str, str] = {
         '{SOURCE}' AS origen_transaccion, 'MOVIMIENTO {SOURCE}' AS desc_origen_transaccion
  FROM unp""",
     "parameter_column": LINES + f" SELECT periodo, consecutivo_extraccion, naturaleza, valor_movimiento, '{BOOK}' AS tipo_libro_contable FROM unp",
-    "transaction_counts": PROD + " SELECT periodo, codigo_transaccion, total_registros FROM counted",
+    "transaction_counts": PROD + " SELECT periodo, codigo_transaccion, count(*) AS total_registros FROM journal GROUP BY ALL",
     "pending_periods": LINES + (f" SELECT DISTINCT periodo FROM movp WHERE periodo IS NOT NULL AND periodo NOT IN "
                                 f"(SELECT PERIODO_EJECUTADO_FAH FROM run_log WHERE FUENTE = '{SOURCE}')"),
     "size_split": MONTHS + " SELECT mes, total_registros, es_grande FROM grouped",
@@ -154,12 +154,14 @@ ORACLE: dict[str, str] = {
  FROM (SELECT periodo, grupo_salida AS grupo, {_line(LINE)} AS value FROM product
        UNION ALL SELECT periodo, grupo, '{_names(LINE)}' FROM per_group)""",
     "file_order": REP + f"""
- SELECT 'ARCHIVO_' || tipo || '_{SOURCE}' AS report, periodo, CAST(grupo AS VARCHAR) AS grupo,
-        first(value ORDER BY orden, value) AS primera, last(value ORDER BY orden, value) AS ultima, count(*) AS lineas
- FROM (SELECT 'LINES' AS tipo, periodo, grupo_salida AS grupo, (codigo_transaccion, contador_linea) AS orden, {_line(LINE)} AS value FROM product
-       UNION ALL SELECT DISTINCT 'HEADER', periodo, grupo_salida, (codigo_transaccion, 0), {_line(HEADER)} FROM product
-       UNION ALL SELECT 'CONTROL', periodo, grupo, ('', IF(tipo_registro = 'LINE', 1, 2)),
-                        periodo_formateado || ',' || tipo_registro || ',' || recuento FROM ({CONTROL}))
+ SELECT report, periodo, grupo, first(value ORDER BY orden, value) AS primera, last(value ORDER BY orden, value) AS ultima, count(*) AS lineas,
+        CAST(sum(CAST('0x' || left(md5(antes || chr(10) || value), 8) AS BIGINT)) AS BIGINT) AS pares
+ FROM (SELECT *, COALESCE(lag(value) OVER (PARTITION BY report, periodo, grupo ORDER BY orden, value), '') AS antes
+       FROM (SELECT 'ARCHIVO_' || tipo || '_{SOURCE}' AS report, periodo, CAST(grupo AS VARCHAR) AS grupo, orden, value
+             FROM (SELECT 'LINES' AS tipo, periodo, grupo_salida AS grupo, (codigo_transaccion, contador_linea) AS orden, {_line(LINE)} AS value FROM product
+                   UNION ALL SELECT DISTINCT 'HEADER', periodo, grupo_salida, (codigo_transaccion, 0), {_line(HEADER)} FROM product
+                   UNION ALL SELECT 'CONTROL', periodo, grupo, ('', IF(tipo_registro = 'LINE', 1, 2)),
+                                    periodo_formateado || ',' || tipo_registro || ',' || recuento FROM ({CONTROL}))))
  GROUP BY ALL""",
     "run_manifest": FILES + """
  SELECT report, periodo, grupo, parte, registros, registros + cabecera AS lineas, total_archivos, archivo, 'delivery/' || archivo AS ruta, encoding,
@@ -174,6 +176,11 @@ ORACLE: dict[str, str] = {
     "sink_encoded_report": REP + f" SELECT CAST(grupo AS VARCHAR) AS grupo, periodo, file_content_string AS value FROM ({METADATA})",
     "query_source": REP + CONTROL,
     "query_parameters": REP + f" SELECT * FROM ({METADATA}) WHERE periodo BETWEEN DATE '1996-01-01' AND DATE '1996-06-01'",
+    "query_identifiers": REP + """
+ SELECT p.periodo, COALESCE(numero, 1) AS reproceso, lineas, cabeceras
+ FROM (SELECT periodo, sum(lineas)::BIGINT AS lineas, sum(cabeceras)::BIGINT AS cabeceras FROM per_group GROUP BY periodo) p LEFT JOIN logged USING (periodo)""",
+    "pending_by_files": LINES + (f" SELECT DISTINCT periodo FROM movp WHERE periodo IS NOT NULL AND NOT (month(periodo) % 4 = 0 AND periodo IN "
+                                 f"(SELECT PERIODO_EJECUTADO_FAH FROM run_log WHERE FUENTE = '{SOURCE}'))"),
     "sink_replace_table": PROD + " SELECT * FROM product",
     "daily_feed": PROD + " SELECT * FROM product",
     "sink_overwrite_partition": O.with_product(rerun=f"IF(periodo = {DAY}, 3, $logged)") + " SELECT * FROM product",

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import contextlib
 import contextvars
+import datetime as dt
 import os
 import tempfile
 import uuid
@@ -44,7 +45,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     sc = spark.sparkContext
     current = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not current:
-        if not sc.master.startswith("local"):
+        if sc.master.split("[")[0] != "local":
             raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS / object store) for this cluster")
         current = tempfile.mkdtemp(prefix="ledgerweave-ckpt-")
     if not sc.getCheckpointDir():
@@ -69,6 +70,11 @@ def ship_package(spark: SparkSession) -> None:
     sc._ledgerweave_shipped = True
 
 
+def now(spark: SparkSession) -> dt.datetime:
+    """The time in the session's time zone, without fractions: what file times are compared with."""
+    return spark.sql("SELECT CAST(date_trunc('second', current_timestamp()) AS timestamp_ntz) AS t").first()["t"]
+
+
 def work_dir(spark: SparkSession, name: str) -> str:
     """A folder for written work tables or exports, under the shared checkpoint folder."""
     root = spark.conf.get("ledgerweave.work.dir", None) or ensure_checkpoint_dir(spark)

@@ -68,7 +68,7 @@ def _select_list(layout) -> str:
 
 METADATA_SQL = """
 SELECT o.ORDEN, o.file_content_string, g.grupo, g.periodo
-FROM (SELECT DISTINCT grupo_salida AS grupo, periodo FROM ledger_product
+FROM (SELECT DISTINCT grupo_salida AS grupo, periodo FROM IDENTIFIER(:producto)
       WHERE grupo_salida IS NOT NULL AND (:desde IS NULL OR periodo BETWEEN :desde AND :hasta)) g
 LATERAL VIEW inline(array(
   named_struct('ORDEN', 1, 'file_content_string', concat('Metadata version number : ', CAST(:version AS STRING))),
@@ -82,25 +82,33 @@ SELECT {_select_list(header_layout())},
 FROM (SELECT DISTINCT codigo_transaccion, tipo_evento, tipo_libro_contable, fecha_efectiva,
                       desc_origen_transaccion, tipo_de_comprobante, origen_transaccion, moneda,
                       grupo_salida AS grupo, periodo
-      FROM ledger_product WHERE :desde IS NULL OR periodo BETWEEN :desde AND :hasta)
+      FROM IDENTIFIER(:producto) WHERE :desde IS NULL OR periodo BETWEEN :desde AND :hasta)
 """
 
 LINES_SQL = f"""
 SELECT {_select_list(lines_layout())},
        grupo_salida AS grupo, periodo
-FROM ledger_product WHERE :desde IS NULL OR periodo BETWEEN :desde AND :hasta
+FROM IDENTIFIER(:producto) WHERE :desde IS NULL OR periodo BETWEEN :desde AND :hasta
 """
 
 CONTROL_SQL = """
 WITH c AS (
   SELECT periodo, grupo_salida AS grupo, count(1) AS lineas, count(DISTINCT codigo_transaccion) AS cabeceras
-  FROM ledger_product WHERE :desde IS NULL OR periodo BETWEEN :desde AND :hasta
+  FROM IDENTIFIER(:producto) WHERE :desde IS NULL OR periodo BETWEEN :desde AND :hasta
   GROUP BY periodo, grupo_salida
 )
 SELECT date_format(periodo, 'yyyyMMdd') AS periodo_formateado, t.tipo_registro, t.recuento, grupo, periodo
 FROM c LATERAL VIEW stack(2, 'LINE', lineas, 'HEADER', cabeceras) t AS tipo_registro, recuento
 """
 
+# a text that reads the run's numbers, one a day
+RUNS_SQL = """
+SELECT p.periodo, CAST(n.rerun AS BIGINT) AS reproceso, count(1) AS lineas, count(DISTINCT p.codigo_transaccion) AS cabeceras
+FROM IDENTIFIER(:producto) p JOIN IDENTIFIER(:numeros) n ON p.periodo = n.periodo
+WHERE :desde IS NULL OR p.periodo BETWEEN :desde AND :hasta
+GROUP BY p.periodo, n.rerun
+"""
+
 DISCOVERY_SQL = """
 SELECT d.ID_PRODUCTO_DATOS, d.NOMBRE_REPORTE, d.ENCODING, d.FORMATO_NOMBRE_ARCHIVO, d.EXTENSION, d.DELIMITADOR,
        d.FLAG_ENCABEZADO, d.RUTA_DESTINO, d.FLAG_CONSECUTIVO, d.CONSECUTIVO_INICIO, d.CONSECUTIVO_FIN,

@@ -89,8 +89,8 @@ def test_empty_day(spark, frames):
 def test_feed_checks_count_the_quirks(frames):
     from ledgerweave.plans.run import feed_checks
     mov, mapping, log = frames
-    table, slices = product.product_and_slices(mov, mapping, log, feed_params())
-    checks = feed_checks(slices, mapping, export.product_counts(table), feed_params())
+    table, transactions = product.product_and_transactions(mov, mapping, log, feed_params())
+    checks = feed_checks(transactions, mapping, table.agg(*export.product_totals(table)).first().asDict(), feed_params())
     # 12345 and 1234 share code ...12341; the NULL-date line has no code; key 10 has two rows
     assert checks == {"codigos_con_colision": 1, "lineas_sin_codigo": 1, "claves_mapeo_duplicadas": 1,
                       "valores_con_delimitador": 0}

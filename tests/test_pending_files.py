@@ -1,0 +1,103 @@
+"""Pending days from file times, and stored texts that name their tables and numbers by parameters."""
+
+import datetime as dt
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+import oracle_harness as H
+from conftest import SF0001
+from ledgerweave import catalog
+from ledgerweave.operators.run_log_table import RunLogTable
+from ledgerweave.oracles import ORACLE
+from ledgerweave.plans import export, product
+from ledgerweave.plans.run import run_pending
+from ledgerweave.session import now
+from ledgerweave.sources import fixtures, registry
+from ledgerweave.sources.fixtures import feed_params
+from ledgerweave.sources.partitions import partition_files
+
+LOG = "FUENTE string, PERIODO_EJECUTADO_FAH date, NUM_VECES_REPROCESADO int, ULT_FECHA_DE_CARGUE timestamp_ntz"
+JAN, FEB, MAR = (dt.date(1995, m, 1) for m in (1, 2, 3))
+
+
+def touched(folder, when):
+    for name in os.listdir(folder):
+        os.utime(os.path.join(folder, name), (when, when))
+
+
+def seconds(t):
+    return (t - dt.datetime(1970, 1, 1)).total_seconds()          # the session's zone is UTC
+
+
+def test_days_by_file_times(spark, tmp_path):
+    path = str(tmp_path / "mov")
+    spark.range(60).select(F.col("id"), F.when(F.col("id") % 4 == 0, "2024-01-05").when(F.col("id") % 4 == 1, "2024-01-06").when(F.col("id") % 4 == 2, "2024-01-07")
+                           .otherwise("no date").alias("PERIODO")).write.partitionBy("PERIODO").parquet(path)
+    ran = dt.datetime(2025, 6, 1, 12)
+    for day, at in (("2024-01-05", ran - dt.timedelta(days=1)), ("2024-01-06", ran + dt.timedelta(seconds=1)), ("2024-01-07", ran - dt.timedelta(days=9))):
+        touched(f"{path}/PERIODO={day}", seconds(at))
+    files = partition_files(spark, path, "PERIODO")
+    assert {r.periodo.isoformat() for r in files.collect()} == {"2024-01-05", "2024-01-06", "2024-01-07"}
+    assert all(r.archivos >= 1 and r.bytes > 0 for r in files.collect())
+    log = spark.createDataFrame([("A", dt.date(2024, 1, 5), 1, ran), ("A", dt.date(2024, 1, 6), 3, ran), ("A", dt.date(2024, 1, 5), 2, ran - dt.timedelta(days=3)),
+                                 ("B", dt.date(2024, 1, 7), 1, ran)], LOG)
+    days = lambda source: [d.isoformat() for d in product.periods_list(product.pending_by_files(files, log, source))]
+    assert days("A") == ["2024-01-06", "2024-01-07"]               # changed after its run; never run by A
+    assert days("B") == ["2024-01-05", "2024-01-06"]
+    assert days("C") == ["2024-01-05", "2024-01-06", "2024-01-07"]
+
+
+def test_no_row_is_read(spark, tmp_path):
+    path = str(tmp_path / "mov")
+    spark.range(3).withColumn("PERIODO", F.lit("2024-01-05")).write.partitionBy("PERIODO").parquet(path)
+    with open(f"{path}/PERIODO=2024-01-05/part-broken.parquet", "wb") as f:
+        f.write(b"not parquet")                                   # would fail any reader
+    df = product.pending_by_files(partition_files(spark, path, "PERIODO"), spark.createDataFrame([], LOG), "A")
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "binaryFile" in plan and "content" not in plan and "parquet" not in plan.split("Location")[0].lower()
+    assert df.count() == 1
+
+
+def test_run_pending_by_files(spark, tmp_path):
+    path = str(tmp_path / "movements")
+    mov = fixtures.movements(spark, SF0001).where(F.col("PERIODO").isin(JAN, FEB, MAR))
+    mov.write.partitionBy("PERIODO").parquet(path)
+    for day in (JAN, FEB, MAR):
+        touched(f"{path}/PERIODO={day}", seconds(now(spark)) - 3600)
+    log = RunLogTable.create(spark, str(tmp_path / "log"))
+    args = (feed_params(), fixtures.registered(spark), fixtures.MASTER_NAME, str(tmp_path / "feed"))
+
+    def run():
+        read = spark.read.parquet(path).withColumn("PERIODO", F.col("PERIODO").cast("date"))
+        res = run_pending(spark, read, fixtures.account_mapping(spark, SF0001), log, *args, files=partition_files(spark, path, "PERIODO"))
+        return res and {r.periodo: r.n for r in res["manifest"].groupBy("periodo").agg(F.max("registros").alias("n")).collect()}
+
+    first = run()
+    assert set(first) == {JAN, FEB, MAR} and run() is None
+    # a file arrives for a day that was run
+    mov.where(F.col("PERIODO") == FEB).limit(5).write.mode("append").partitionBy("PERIODO").parquet(path)
+    again = run()
+    assert set(again) == {FEB} and again[FEB] > first[FEB]
+    assert {(r[1], r[2]) for r in log.log().collect()} == {(JAN, 1), (FEB, 2), (MAR, 1)}
+
+
+@pytest.mark.parametrize("key", ["pending_by_files", "query_identifiers", "query_source", "query_parameters"])
+def test_keys(spark, duck0001, key):
+    r = H.compare(spark, SF0001, catalog.QUERIES[key], ORACLE[key], duck0001)
+    assert r["ok"], r
+
+
+def test_texts_name_their_tables(spark):
+    day = dt.date(2024, 1, 5)
+    numbers = spark.createDataFrame([(day, 4)], "periodo date, rerun int")
+    spec = export.ReportSpec(name="R", query=registry.RUNS_SQL)
+    frames = []
+    for code in ("a", "b"):                                       # two runs in one session, planned before either is read
+        lines = spark.createDataFrame([(day, code, 1), (day, code, 1), (day, f"{code}2", 1)], "periodo date, codigo_transaccion string, grupo_salida long")
+        frames.append(export.load_reports(spark, lines.limit(2 if code == "a" else 3), {"R": spec}, {"desde": None, "hasta": None}, numbers)["R"])
+    assert [[tuple(r) for r in f.collect()] for f in frames] == [[(day, 4, 2, 1)], [(day, 4, 3, 2)]]
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith(("ledger_product_", "run_numbers_"))]
+    with pytest.raises(Exception):                                # a text that asks for what the run does not have
+        export.load_reports(spark, numbers, {"R": spec}, {"desde": None, "hasta": None})
