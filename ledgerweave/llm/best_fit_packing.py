@@ -16,7 +16,7 @@ gap, and rank among the sequences of that gap.  A round then does this for all o
 Rounds end when every piece is placed.  Pieces and gaps are written tables, so a lost executor costs a task.
 
 Tokens: where the tokenizer is a plain byte-level BPE, texts are cut at places where its pre-tokenizer always starts a new token, equal
-chunks (compared byte by byte) are encoded once per task and joined back by position; a text that holds an added token's string, and
+chunks (compared byte by byte) are encoded once per Python worker, while its bounded table holds them, and joined back by position; a text that holds an added token's string, and
 every text under another tokenizer, is encoded as it is.
 
 Null and empty texts are one piece that holds the end id only; ties are ordered by rank, which follows row order; repeated rows are
@@ -43,7 +43,7 @@ from ledgerweave.llm.pieces import ragged
 VOCABULARY = "byte_bpe_50k.json"
 CAPACITY = 1024
 END = 2
-#: Bytes of text tokenized at once, and distinct chunks remembered by a task.
+#: Bytes of text tokenized at once, and distinct chunks remembered by a worker.
 SLICE, REMEMBERED = 4 << 20, 600_000
 #: Parts that the pieces of one length are ranked in: at least, and one for so many pieces.
 PARTS, PART_ROWS = 64, 1 << 14
@@ -86,7 +86,7 @@ def chunk_starts(data: np.ndarray, offs: np.ndarray) -> np.ndarray:
 
 
 class ChunkIds:
-    """Ids of texts; those of the distinct chunks a task has met are kept, up to a limit.  Place 0 holds the end id."""
+    """Ids of texts; those of the distinct chunks met are kept, up to a limit.  Place 0 holds the end id."""
 
     def __init__(self, tokenizer_json: str, end: int):
         from tokenizers import Tokenizer
@@ -99,12 +99,16 @@ class ChunkIds:
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=False) if self.between else {}
         self.token_bytes = np.zeros(max(vocabulary.values(), default=-1) + 1, np.int64)
         self.token_bytes[list(vocabulary.values())] = [len(t) for t in vocabulary]
-        self.clear()
-
-    def clear(self) -> None:
-        self.chunks = pa.array([], pa.large_binary())
+        self.chunks, self.met = pa.array([], pa.large_binary()), np.zeros(0, bool)
         self.flat, self.start, self.count = np.array([self.end], np.int32), np.zeros(1, np.int64), np.ones(1, np.int64)
 
+    def thin(self) -> None:
+        """Keep the chunks that were met again since they came in."""
+        at = np.concatenate(([0], np.flatnonzero(self.met) + 1))
+        self.chunks, self.met = self.chunks.filter(pa.array(self.met)), np.zeros(len(at) - 1, bool)
+        self.flat, self.count = ragged(self.flat, self.start[at], self.count[at]), self.count[at]
+        self.start = np.cumsum(self.count) - self.count
+
     def encode(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
@@ -116,12 +120,13 @@ class ChunkIds:
     def places(self, data: np.ndarray, start: np.ndarray) -> np.ndarray:
         """Places in ``start`` and ``count`` of the chunks that begin at ``start``."""
         if len(self.chunks) > REMEMBERED:
-            self.clear()
+            self.thin()
         cuts = np.append(start, len(data))
         chunks = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(start), [None, pa.py_buffer(cuts), pa.py_buffer(np.ascontiguousarray(data))]).dictionary_encode()
         known = pc.index_in(chunks.dictionary, value_set=self.chunks)
         new = pc.is_null(known).to_numpy(zero_copy_only=False)
         place = known.fill_null(0).to_numpy().astype(np.int64) + 1
+        self.met[place[~new] - 1] = True
         if new.any():
             # which of them begin with a space and a character that is none: their first two bytes
             head = pc.binary_slice(chunks.dictionary, 0, 2)
@@ -141,7 +146,7 @@ class ChunkIds:
                 self.start = np.concatenate((self.start, len(self.flat) + np.cumsum(count) - count))
                 self.count = np.concatenate((self.count, count))
                 self.flat = np.concatenate((self.flat, ids))
-                self.chunks = pa.concat_arrays([self.chunks, fresh])
+                self.chunks, self.met = pa.concat_arrays([self.chunks, fresh]), np.append(self.met, np.zeros(len(fresh), bool))
         return place[chunks.indices.to_numpy()]
 
     def cut_ids(self, data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -159,6 +164,18 @@ class ChunkIds:
         return np.concatenate([np.array(i, np.int32) for i in ids]), np.cumsum([0, *map(len, ids)])
 
 
+#: The table of this Python worker; its tasks, one after the other, share it.
+_OWN: dict[tuple[int, int], ChunkIds] = {}
+
+
+def own_chunk_ids(tokenizer_json: str, end: int) -> ChunkIds:
+    key = hash(tokenizer_json), end
+    if key not in _OWN:
+        _OWN.clear()
+        _OWN[key] = ChunkIds(tokenizer_json, end)
+    return _OWN[key]
+
+
 def id_slices(texts: pa.Array, chunks: ChunkIds):
     """(first row, end row, ids, their offsets) of slices of a text column."""
     whole = np.full(len(texts), chunks.between is None)
@@ -190,7 +207,7 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY,
     schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, piece int, start long, length long, ids_crc32 long" + (", ids array<int>" if with_ids else "")
 
     def work(batches):
-        chunks = ChunkIds(sent.value, end)
+        chunks = own_chunk_ids(sent.value, end)
         for b in batches:
             for lo, hi, ids, offs in id_slices(b.column(1), chunks):
                 row, piece, start, length = piece_cuts(np.diff(offs), capacity)
