@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ledgerweave.llm.arrays import U, mix, shingle_sets, text_chunks
-from ledgerweave.llm.base import components, key_filter, saved, table
+from ledgerweave.llm.base import components, freed, key_filter, saved, table
 
 WORDS = 5
 THRESHOLD = 75
@@ -66,7 +66,7 @@ def frequent_shingles(texts: DataFrame, k: int = WORDS, most: int = FREQUENT) ->
         if held:
             yield flush()
 
-    counts = saved(texts.select("text").mapInArrow(count, "h long, c long").groupBy("h").agg(F.sum("c").alias("c")), "frequent")
+    counts = saved(texts.select("text").mapInArrow(freed(count), "h long, c long").groupBy("h").agg(F.sum("c").alias("c")), "frequent")
     steps = counts.groupBy(F.floor(F.log2("c") * 8).alias("step")).count().orderBy(F.desc("step")).collect()  # at most 8 * 63 rows
     total, least = 0, None
     for r in steps:
@@ -124,7 +124,7 @@ def document_sets(docs: DataFrame, k: int = WORDS) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([b.column(0).slice(lo, hi - lo), pa.array(set_ids(x, counts), mask=counts == 0), pa.array(counts), pa.array(sk, pa.binary())],
                                                  names=["doc_id", "f", "n", "sketch"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(sets, "doc_id long, f long, n long, sketch binary")
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(freed(sets), "doc_id long, f long, n long, sketch binary")
 
 
 def with_set_id(docs: DataFrame, name: str, k: int = WORDS) -> DataFrame:
@@ -137,7 +137,7 @@ def with_set_id(docs: DataFrame, name: str, k: int = WORDS) -> DataFrame:
                 x, counts = shingle_sets(data, offs, k)
                 yield b.slice(lo, hi - lo).append_column(name, pa.array(set_ids(x, counts), mask=counts == 0))
 
-    return docs.mapInArrow(work, docs.select("*", F.lit(None).cast("long").alias(name)).schema)
+    return docs.mapInArrow(freed(work), docs.select("*", F.lit(None).cast("long").alias(name)).schema)
 
 
 def prefix_rows(docs: DataFrame, frequent: np.ndarray, k: int = WORDS, threshold: int = THRESHOLD) -> DataFrame:
@@ -176,7 +176,7 @@ def prefix_rows(docs: DataFrame, frequent: np.ndarray, k: int = WORDS, threshold
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(f[r]), pa.array(counts[r]), pa.ListArray.from_arrays(pa.array(cuts.astype(np.int32)), pa.array(np.concatenate([y for _, y in rows]).view(np.int64)))], names=["f", "n", "prefix"])
 
-    return docs.select("text").mapInArrow(prefixes, "f long, n long, prefix array<long>").select("f", "n", F.explode("prefix").alias("h"))
+    return docs.select("text").mapInArrow(freed(prefixes), "f long, n long, prefix array<long>").select("f", "n", F.explode("prefix").alias("h"))
 
 
 def sketch_passes(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
@@ -194,7 +194,7 @@ def sketch_passes(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFram
             ok = differ <= n - 2 * -(-threshold * n // (100 + threshold))
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], names=["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
-    return p.mapInArrow(keep, "a long, b long")
+    return p.mapInArrow(freed(keep), "a long, b long")
 
 
 def divide_skip(query: np.ndarray, members: list[np.ndarray], threshold: int = THRESHOLD) -> np.ndarray:
@@ -249,7 +249,7 @@ def verified(pairs: DataFrame, docs: DataFrame, sets: DataFrame, k: int, thresho
                 blobs = pa.array([own.tobytes() for own in np.split(x, np.cumsum(counts)[:-1])], pa.binary())
                 yield pa.RecordBatch.from_arrays([b.column(0).slice(lo, hi - lo), pa.array(f), blobs], names=["doc_id", "f", "x"]).filter(pa.array((counts > 0) & by_f.value.has(f)))
 
-    full = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(read, "doc_id long, f long, x binary")
+    full = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(freed(read), "doc_id long, f long, x binary")
     part = F.pmod(F.xxhash64("b"), F.lit(SALTS)).cast("int")
     roles = pairs.select(F.col("b").alias("f"), "a", part.alias("part"), "b")
     roles = roles.unionByName(roles.select(F.col("a").alias("f"), "a", "part", F.lit(None).cast("long").alias("b")).distinct())
@@ -283,7 +283,7 @@ def verified(pairs: DataFrame, docs: DataFrame, sets: DataFrame, k: int, thresho
         if out is not None:
             yield out
 
-    return saved(rows.mapInArrow(search, "a long, b long"), "links")
+    return saved(rows.mapInArrow(freed(search), "a long, b long"), "links")
 
 
 def candidate_lists(docs: DataFrame, k: int, threshold: int) -> DataFrame:
@@ -360,7 +360,7 @@ def long_list_pairs(lists: DataFrame, sets: DataFrame, threshold: int) -> DataFr
                 yield pa.RecordBatch.from_arrays([pa.array(a[fresh]), pa.array(b[fresh])], names=["a", "b"])
 
     rows = rows.repartition("h", "lo", "hi").sortWithinPartitions("h", "lo", "hi")
-    return rows.mapInArrow(work, "a long, b long")
+    return rows.mapInArrow(freed(work), "a long, b long")
 
 
 def jaccard_components(docs: DataFrame, k: int = WORDS, threshold: int = THRESHOLD) -> DataFrame:

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerweave.llm.base import table
+from ledgerweave.llm.base import freed, table
 from ledgerweave.llm.pieces import MARK, WordTable, encoder, model_bytes, processor, ragged, separable, word_slices
 
 MODEL = "piece_bpe_32k.model"
@@ -37,7 +37,7 @@ def encode(docs: DataFrame, model_path: str) -> DataFrame:
                 cuts = np.concatenate(([0], np.cumsum(n)))[np.searchsorted(start, offs)]
                 yield pa.RecordBatch.from_arrays([b.column(0).slice(lo, hi - lo), pa.ListArray.from_arrays(pa.array(cuts.astype(np.int32)), pa.array(ragged(words.flat, at, n)))], names=["doc_id", "ids"])
 
-    return docs.select("doc_id", "text").mapInArrow(work, f"doc_id {kind}, ids array<int>")
+    return docs.select("doc_id", "text").mapInArrow(freed(work), f"doc_id {kind}, ids array<int>")
 
 
 def decode(encoded: DataFrame, model_path: str) -> DataFrame:
@@ -72,7 +72,7 @@ def decode(encoded: DataFrame, model_path: str) -> DataFrame:
                         out.append(t[1:] if cuts[r + 1] > cuts[r] and leads[ids[cuts[r]]] else t)
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(out, pa.string())], names=["doc_id", "ids", "decoded"])
 
-    return encoded.select("doc_id", "ids").mapInArrow(work, f"doc_id {kind}, ids array<int>, decoded string")
+    return encoded.select("doc_id", "ids").mapInArrow(freed(work), f"doc_id {kind}, ids array<int>, decoded string")
 
 
 def op3_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:

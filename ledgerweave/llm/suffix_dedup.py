@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 
 from ledgerweave.llm.arrays import Prints, text_chunks
-from ledgerweave.llm.base import key_filter, saved, table
+from ledgerweave.llm.base import freed, key_filter, saved, table
 
 LENGTH = 200
 GRAM = 32
@@ -96,7 +96,7 @@ def anchor_counts(docs: DataFrame, length: int) -> DataFrame:
         if size:
             yield flush()
 
-    return docs.select("text").mapInArrow(count, "g long, c long").groupBy("g").agg(F.sum("c").alias("c")).where("c > 1")
+    return docs.select("text").mapInArrow(freed(count), "g long, c long").groupBy("g").agg(F.sum("c").alias("c")).where("c > 1")
 
 
 RUNS = "g long, id long, key long, pos int, m int, flags int, ctx binary, s int, e int"
@@ -162,7 +162,7 @@ def repeated_runs(docs: DataFrame, length: int, keep_first: bool, twice, hot) ->
         if held:
             yield from flush()
 
-    return docs.select(F.col("doc_id").cast("long"), "key", "f", "text").mapInArrow(read, RUNS)
+    return docs.select(F.col("doc_id").cast("long"), "key", "f", "text").mapInArrow(freed(read), RUNS)
 
 
 def _rows(g, ident, key, pos, m, flags, ctx, s=None, e=None):
@@ -287,7 +287,7 @@ def spans_of(runs: DataFrame, length: int, keep_first: bool) -> DataFrame:
         if held:
             yield from decide(pa.Table.from_batches(held).combine_chunks())
 
-    return runs.repartition("g").sortWithinPartitions("g").mapInArrow(work, "key long, s int, e int")
+    return runs.repartition("g").sortWithinPartitions("g").mapInArrow(freed(work), "key long, s int, e int")
 
 
 def repeat_spans(docs: DataFrame, length: int = LENGTH, keep_first: bool = False) -> DataFrame:
@@ -354,7 +354,7 @@ def cut_texts(docs: DataFrame, length: int = LENGTH, keep_first: bool = False, w
 
     touched = docs.where("may").join(spans, "key", "left").select("doc_id", "text", "spans", "more")
     schema = StructType([docs.schema["doc_id"], *(StructField(c, LongType()) for c in ("n_bytes", "n_removed", "n_spans")), StructField("kept", BinaryType()), docs.schema["more"]])
-    touched = touched.mapInArrow(cut, schema)
+    touched = touched.mapInArrow(freed(cut), schema)
     return (docs.where("not may").select("doc_id", F.octet_length("text").cast("long").alias("n_bytes"), F.lit(0).cast("long").alias("n_removed"),
                                          F.lit(0).cast("long").alias("n_spans"), F.col("text").cast("binary").alias("kept"), "more")
             .unionByName(touched))

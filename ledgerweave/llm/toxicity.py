@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerweave.llm.arrays import LOWER, U, Prints, mix, text_chunks, word_spans
-from ledgerweave.llm.base import saved, table
+from ledgerweave.llm.base import freed, release, saved, table
 
 #: Labelled rows learned from, features kept, and the lengths (bytes) of word beginnings used as features.
 TRAIN_ROWS, FEATURES, STEMS = 12_000, 4096, (4, 5, 6, 7, 8)
@@ -80,7 +80,7 @@ def character_counts(docs: DataFrame) -> np.ndarray:
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["i", "c"])
 
     out = np.zeros(SYMBOLS ** 3, np.int64)
-    for r in docs.select("text").mapInArrow(count, "i long, c long").groupBy("i").agg(F.sum("c").alias("c")).collect():
+    for r in docs.select("text").mapInArrow(freed(count), "i long, c long").groupBy("i").agg(F.sum("c").alias("c")).collect():
         out[r.i] = r.c
     return out
 
@@ -288,7 +288,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Model:
             yield pa.RecordBatch.from_arrays([pa.array(u.view(np.int64)), pa.array(np.bincount(at[y == 1], minlength=len(u))), pa.array(np.bincount(at[y == 0], minlength=len(u)))], names=["h", "n1", "n0"])
 
     # the features that tell most: G^2 of presence against the label
-    counts = sample.mapInArrow(count, "h long, n1 long, n0 long").groupBy("h").agg(F.sum("n1").alias("n1"), F.sum("n0").alias("n0")).where("n1 + n0 >= 3")
+    counts = sample.mapInArrow(freed(count), "h long, n1 long, n0 long").groupBy("h").agg(F.sum("n1").alias("n1"), F.sum("n0").alias("n0")).where("n1 + n0 >= 3")
     share = (F.col("n1") + F.col("n0")) / float(n1 + n0)
     part = lambda x, m: F.when(x > 0, x * F.log(x / m)).otherwise(0.0)
     gain = sum(part(F.col(c), n_ * share) + part(n_ - F.col(c), n_ * (1 - share)) for c, n_ in (("n1", float(n1)), ("n0", float(n0))))
@@ -304,7 +304,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Model:
                     found[r].append(int(f))
                 yield pa.RecordBatch.from_arrays([pa.array(found, pa.list_(pa.int32())), b.column(1).slice(lo, hi - lo)], names=["found", "label"])
 
-    got = sample.mapInArrow(rows_of, "found array<int>, label int").collect()
+    got = sample.mapInArrow(freed(rows_of), "found array<int>, label int").collect()
     weights, intercept = logistic([r.found for r in got], np.array([r.label for r in got], float), len(keys))
     return Model(characters, keys, weights, intercept)
 
@@ -352,7 +352,7 @@ def score(docs: DataFrame, model: Model, keep: str = "doc_id") -> DataFrame:
                 z = m.intercept + np.bincount(r, weights=m.weights[f] if len(f) else None, minlength=hi - lo)
                 yield pa.RecordBatch.from_arrays([b.column(0).slice(lo, hi - lo), pa.array(1 / (1 + np.exp(-z)))], names=[keep, "score"])
 
-    return docs.select(keep, "text").mapInArrow(work, f"{keep} {kind}, score double")
+    return docs.select(keep, "text").mapInArrow(freed(work), f"{keep} {kind}, score double")
 
 
 def accepted(docs: DataFrame, model: Model, limit: float = 0.5) -> DataFrame:
@@ -363,13 +363,17 @@ def accepted(docs: DataFrame, model: Model, limit: float = 0.5) -> DataFrame:
     def below(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         m = own.value
         decoder = Decoder(m.characters)
-        for col in texts:
-            z = np.full(len(col), m.intercept)
-            for lo, hi, data, offs in text_chunks(col, SLICE):
-                r, f = _hits(data, offs, decoder, m.keys)
-                if len(f):
-                    z[lo:hi] += np.bincount(r, weights=m.weights[f], minlength=hi - lo)
-            yield pa.array(1 / (1 + np.exp(-z)) < limit)
+        try:
+            for col in texts:
+                z = np.full(len(col), m.intercept)
+                for lo, hi, data, offs in text_chunks(col, SLICE):
+                    r, f = _hits(data, offs, decoder, m.keys)
+                    if len(f):
+                        z[lo:hi] += np.bincount(r, weights=m.weights[f], minlength=hi - lo)
+                yield pa.array(1 / (1 + np.exp(-z)) < limit)
+        finally:
+            decoder.memory.clear()
+            release()
 
     return docs.where(below("text"))
 
