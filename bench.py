@@ -49,6 +49,11 @@ def balance_prefix_levels(spark, sf):
     return balance.assign_groups(c, ["periodo"], journal.CODE, p.large_limit, p.bucket_length)
 
 
+def export_run_large(spark, sf):
+    """A whole run with the feed's own limits: few files a day, each as large as its group (``export_run`` has many small ones)."""
+    return catalog.delivered(spark, sf, feed_params())
+
+
 HEADLINE = {
     "ledger_product": catalog.q_ledger_product,
     "ledger_product_day": catalog.q_ledger_product_day,
@@ -61,6 +66,7 @@ HEADLINE = {
     "run_manifest": catalog.q_run_manifest,
     "run_log_upsert": catalog.q_run_log_upsert,
     "export_run": catalog.q_export_run,
+    "export_run_large": export_run_large,
 }
 
 

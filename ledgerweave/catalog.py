@@ -20,7 +20,7 @@ from ledgerweave.operators import balance, journal, numbering, reports, runlog
 from ledgerweave.params import FeedParams
 from ledgerweave.plans import export, product
 from ledgerweave.plans.run import METADATA_VERSION, export_feed, rerun_numbers
-from ledgerweave.plans.tables import overwrite_partitions, replace_table
+from ledgerweave.plans.tables import overwrite_bucketed, overwrite_partitions, replace_table
 from ledgerweave.session import materialize, work_dir
 from ledgerweave.sources import fixtures, registry
 from ledgerweave.sources.fixtures import feed_params
@@ -37,6 +37,7 @@ REPORT_SETTINGS = dict(large_limit=8, bin_width=40)
 HOT_SETTINGS = dict(line_block=2, hot_slice_rows=1)
 RUN_TS = dt.datetime(2026, 1, 1, 0, 0, 0)
 DELIVERY = "delivery"              # relative root of file paths in the manifest queries
+BUCKETS = 8                        # of the bucketed product table
 PIECE_BYTES = 4096                 # of the sink queries, so that most files are written by several tasks
 MONTH_LIMIT = 750                  # balance of lineitem by ship month (FIXTURES §3)
 
@@ -379,6 +380,19 @@ def q_sink_replace_table(spark, sf):
     return replace_table(_product(spark, sf, feed_params()), path)
 
 
+def _bucketed(spark, sf) -> DataFrame:
+    """The product as a table in files by transaction code."""
+    return overwrite_bucketed(_product(spark, sf), work_dir(spark, f"bucketed-{uuid.uuid4().hex}"), BUCKETS)
+
+
+def q_bucketed_header(spark, sf):
+    return reports.report_header(_bucketed(spark, sf))
+
+
+def q_bucketed_control(spark, sf):
+    return reports.report_control(_bucketed(spark, sf))
+
+
 def q_sink_overwrite_partition(spark, sf):
     path = work_dir(spark, f"product-{uuid.uuid4().hex}")
     replace_table(_product(spark, sf, feed_params()), path)
@@ -441,13 +455,17 @@ def q_daily_feed(spark, sf):
     return spark.read.parquet(f"{root}/product")
 
 
-def q_export_run(spark, sf):
+def delivered(spark, sf, params: FeedParams) -> DataFrame:
     """A whole run; the delivered files are read again and counted: (file name, lines)."""
-    result = export_feed(spark, sf, feed_params(**REPORT_SETTINGS))
+    result = export_feed(spark, sf, params)
     name = F.regexp_extract(F.input_file_name(), r"([^/]+)$", 1)
     return spark.read.text(f"{result['root']}/delivery").groupBy(name.alias("archivo")).agg(F.count(F.lit(1)).alias("lineas"))
 
 
+def q_export_run(spark, sf):
+    return delivered(spark, sf, feed_params(**REPORT_SETTINGS))
+
+
 def q_sink_encoded_report(spark, sf):
     files, path, _ = _written(spark, sf, ["METADATA"])
     return _read_back(spark, files, path, "ISO-8859-1").select("grupo", "periodo", "value")
@@ -503,6 +521,8 @@ QUERIES: dict[str, Query] = {
     "query_parameters": q_query_parameters,
     "query_identifiers": q_query_identifiers,
     "sink_replace_table": q_sink_replace_table,
+    "bucketed_header": q_bucketed_header,
+    "bucketed_control": q_bucketed_control,
     "sink_overwrite_partition": q_sink_overwrite_partition,
     "run_log_upsert": q_run_log_upsert,
     "fn_lpad": q_fn_lpad,

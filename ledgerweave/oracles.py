@@ -183,6 +183,8 @@ ORACLE: dict[str, str] = {
                                  f"(SELECT PERIODO_EJECUTADO_FAH FROM run_log WHERE FUENTE = '{SOURCE}'))"),
     "sink_replace_table": PROD + " SELECT * FROM product",
     "daily_feed": PROD + " SELECT * FROM product",
+    "bucketed_header": REP + f" SELECT DISTINCT {_columns(HEADER)}, grupo_salida AS grupo, periodo FROM product",
+    "bucketed_control": REP + CONTROL,
     "sink_overwrite_partition": O.with_product(rerun=f"IF(periodo = {DAY}, 3, $logged)") + " SELECT * FROM product",
     "run_log_upsert": LINES + "," + RUN_LOG_UPSERT,
     "fn_lpad": ("SELECT l_orderkey, l_linenumber, lpad(CAST(l_orderkey AS VARCHAR), 4, '0') AS seq4, "

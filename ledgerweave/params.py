@@ -46,6 +46,8 @@ class FeedParams:
     broadcast_bytes: int = 8 << 20
     # lines of a transaction per delivered file; None: one file per group, whatever its size
     rows_per_file: int | None = None
+    # files by transaction code that a day of the product table is kept in; None: as the tasks write it
+    buckets: int | None = None
     # bytes after which a file is cut into pieces that different tasks write; None: one task per file
     piece_bytes: int | None = 128 << 20
 

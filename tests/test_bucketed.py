@@ -1,0 +1,102 @@
+"""The product as a table in files by transaction code: read without a shuffle of the lines, days replaced one by one."""
+
+import datetime as dt
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+import oracle_harness as H
+from conftest import SF0001
+from ledgerweave import catalog
+from ledgerweave.operators import reports
+from ledgerweave.oracles import ORACLE
+from ledgerweave.plans import export
+from ledgerweave.plans.run import export_feed
+from ledgerweave.plans.tables import bucketed_table, overwrite_bucketed
+from ledgerweave.sources.fixtures import feed_params
+
+D1, D2 = dt.date(1995, 1, 1), dt.date(1995, 2, 1)
+
+
+@pytest.fixture(scope="module")
+def table(spark, tmp_path_factory):
+    path = str(tmp_path_factory.mktemp("b") / "product")
+    return overwrite_bucketed(catalog.q_ledger_product(spark, SF0001), path, 4), path
+
+
+def exchanges_over_lines(df):
+    """Exchanges that have no aggregation between them and the scan."""
+    node, found = df._jdf.queryExecution().executedPlan().initialPlan(), []
+
+    def walk(n, above):
+        here = above + [n.nodeName()]
+        kids = n.children()
+        if not kids.size() and n.nodeName().startswith("Scan"):
+            tail = here[::-1]
+            cut = next((i for i, x in enumerate(tail) if "Aggregate" in x), len(tail))
+            found.append([x for x in tail[:cut] if x == "Exchange"])
+        for i in range(kids.size()):
+            walk(kids.apply(i), here)
+
+    walk(node, [])
+    return found, node
+
+
+def test_header_has_no_exchange(spark, table):
+    df = reports.report_header(table[0])
+    _, root = exchanges_over_lines(df)
+    assert "Exchange" not in root.toString().replace("ShuffleExchange", "Exchange") and "Bucketed: true" in root.toString() or "SelectedBucketsCount" in root.toString()
+    assert root.toString().count("Exchange") == 0
+
+
+def test_control_and_counts_move_no_lines(spark, table):
+    for df in (reports.report_control(table[0]), export.product_counts(table[0])):
+        found, _ = exchanges_over_lines(df)
+        assert found and all(not x for x in found)
+        # what moves is a row per day, group and task
+        assert "codigo_transaccion" not in [line for line in df._jdf.queryExecution().executedPlan().initialPlan().toString().split("\n") if "Exchange" in line][0]
+
+
+def test_files_are_one_per_day_and_bucket(table):
+    for folder, _, names in os.walk(table[1]):
+        files = [n for n in names if n.endswith(".parquet")]
+        if files:
+            buckets = [n.split("_")[-1] for n in files]
+            assert len(files) <= 4 and len(set(buckets)) == len(buckets)
+
+
+def test_days_are_replaced_one_by_one(spark, tmp_path):
+    path = str(tmp_path / "t")
+    make = lambda day, n, mark: spark.range(n).select(F.concat(F.lit("c"), F.col("id") % 7).alias("codigo_transaccion"), F.lit(mark).alias("m"), F.lit(day).alias("periodo"))
+    overwrite_bucketed(make(D1, 20, "a").unionByName(make(D2, 30, "a")), path, 4)
+    out = overwrite_bucketed(make(D2, 5, "b"), path, 4)
+    assert {(r.periodo, r.m): r["count"] for r in out.groupBy("periodo", "m").count().collect()} == {(D1, "a"): 20, (D2, "b"): 5}
+    # another session's catalog does not know the table: it is made again from the files
+    name = bucketed_table(spark, path, out.schema, 4)
+    spark.sql(f"DROP TABLE {name}")                               # external: the files stay
+    again = bucketed_table(spark, path, out.schema, 4)
+    assert again == name and spark.table(again).count() == 25
+
+
+def test_other_days_are_not_lost(spark, tmp_path):
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "static")
+    try:
+        with pytest.raises(RuntimeError, match="dynamic"):
+            overwrite_bucketed(spark.range(1).select(F.lit("c").alias("codigo_transaccion"), F.lit(D1).alias("periodo")), str(tmp_path / "t"), 2)
+    finally:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+
+
+@pytest.mark.parametrize("key", ["bucketed_header", "bucketed_control"])
+def test_keys(spark, duck0001, key):
+    assert H.compare(spark, SF0001, catalog.QUERIES[key], ORACLE[key], duck0001)["ok"]
+
+
+def test_run_over_a_bucketed_product(spark, tmp_path):
+    files = []
+    for buckets in (None, 4):
+        root = tmp_path / f"r{buckets}"
+        export_feed(spark, SF0001, feed_params(periods=(D1, D2), buckets=buckets), root=str(root), loaded_at=dt.datetime(2026, 1, 1))
+        files.append({n: (root / "delivery" / n).read_bytes() for n in os.listdir(root / "delivery")})
+    assert files[0] == files[1] and files[0]
