@@ -84,8 +84,8 @@ def work_dir(spark: SparkSession, name: str) -> str:
 class Owned:
     """Work tables and persisted frames of one run; ``release`` deletes its own and nothing else."""
 
-    def __init__(self, spark: SparkSession):
-        self.spark, self.tables, self.frames = spark, [], []
+    def __init__(self, spark: SparkSession, tables: list[str] | None = None):
+        self.spark, self.tables, self.frames = spark, list(tables or ()), []
 
     def release(self) -> None:
         while self.frames:
@@ -99,19 +99,24 @@ class Owned:
 _OWNER: contextvars.ContextVar[Owned | None] = contextvars.ContextVar("ledgerweave_owner", default=None)
 
 
+def owner() -> Owned | None:
+    """The owner of the work tables made here and now, if there is one."""
+    return _OWNER.get()
+
+
 @contextlib.contextmanager
 def owned(spark: SparkSession):
     """What ``materialize`` and ``keep`` make inside belongs to this block and goes at its end, also after a failure.
 
     Frames that read the work tables must have been written by then.  Runs in other threads have owners of their own.
     """
-    owner = Owned(spark)
-    token = _OWNER.set(owner)
+    own = Owned(spark)
+    token = _OWNER.set(own)
     try:
-        yield owner
+        yield own
     finally:
         _OWNER.reset(token)
-        owner.release()
+        own.release()
 
 
 def materialize(df, name: str = "work"):
@@ -125,9 +130,8 @@ def materialize(df, name: str = "work"):
     """
     spark = df.sparkSession
     path = work_dir(spark, f"{name}-{uuid.uuid4().hex}")
-    owner = _OWNER.get()
-    if owner:
-        owner.tables.append(path)
+    if own := owner():
+        own.tables.append(path)
     df.write.mode("error").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -138,7 +142,6 @@ def keep(df):
     A lost block is recomputed from its lineage (a work table).
     """
     df = df.persist(StorageLevel.MEMORY_AND_DISK)
-    owner = _OWNER.get()
-    if owner:
-        owner.frames.append(df)
+    if own := owner():
+        own.frames.append(df)
     return df
