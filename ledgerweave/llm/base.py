@@ -10,6 +10,8 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerweave.session import owner
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -27,9 +29,14 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def saved(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as a work table in the shared folder and read it back: cuts lineage, survives lost executors."""
+    """Write ``df`` as a work table in the shared folder and read it back: cuts lineage, survives lost executors.
+
+    Inside ``session.owned`` the table goes at the end of that block.
+    """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    if own := owner():
+        own.tables.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
