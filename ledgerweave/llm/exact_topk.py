@@ -77,7 +77,7 @@ class SortedLists:
 
 
 def exact_top(vectors: DataFrame, is_query, k: int = K) -> DataFrame:
-    """query_id, rank, vec_id, score (long) of the k largest inner products; ``vectors`` (vec_id, z array<long>, row)."""
+    """query_id, rank, vec_id, score (long) of the k largest inner products; ``vectors`` (vec_id, z array<long>, row, n)."""
     vectors = saved(vectors, "integers")
     queries = vectors.where(is_query)
     n, m = vectors.count(), queries.count()
@@ -102,13 +102,13 @@ def exact_top(vectors: DataFrame, is_query, k: int = K) -> DataFrame:
         cat = lambda x: pa.array(np.concatenate(x) if x else np.zeros(0, np.int64), pa.int64())
         return pa.table({"query_id": cat(out[0]), "query_row": cat(out[1]), "vec_id": cat(out[2]), "score": cat(out[3])})
 
-    found = left.groupBy("vb", "qb").cogroup(right.groupBy("vb", "qb")).applyInArrow(search, "query_id long, query_row long, vec_id long, score long")
+    found = left.groupBy("n", "vb", "qb").cogroup(right.groupBy("n", "vb", "qb")).applyInArrow(search, "query_id long, query_row long, vec_id long, score long")
     return best(found, k, ascending=False)
 
 
 def integers(df: DataFrame, scale: int = SCALE) -> DataFrame:
-    """(vec_id, z, row): each component x of a usable vector as floor(scale * x)."""
-    return usable(df, zero=True).select("vec_id", F.transform("v", lambda x: F.floor(x * float(scale)).cast("long")).alias("z"), "row")
+    """(vec_id, z, row, n): each component x of a usable vector as floor(scale * x)."""
+    return usable(df, zero=True).select("vec_id", F.transform("v", lambda x: F.floor(x * float(scale)).cast("long")).alias("z"), "row", "n")
 
 
 def op7_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -116,10 +116,11 @@ def op7_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 OP7_SQL = """
-WITH x AS (SELECT vec_id, unnest(embedding) AS x, generate_subscripts(embedding, 1) AS i FROM embeddings),
-bad AS (SELECT DISTINCT vec_id FROM x WHERE x IS NULL OR NOT isfinite(x)),
-v AS (SELECT vec_id, i, CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT) AS z FROM x WHERE vec_id NOT IN (SELECT vec_id FROM bad)),
-s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(sum(q.z * c.z) AS BIGINT) AS score
-      FROM v q JOIN v c ON q.i = c.i AND q.vec_id <> c.vec_id WHERE q.vec_id % 100 = 0 GROUP BY 1, 2),
-r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
+WITH t AS (SELECT row_number() OVER () AS r, vec_id, embedding, len(embedding) AS n FROM embeddings WHERE vec_id IS NOT NULL),
+x AS (SELECT r, vec_id, n, unnest(embedding) AS x, generate_subscripts(embedding, 1) AS i FROM t),
+bad AS (SELECT DISTINCT r FROM x WHERE x IS NULL OR NOT isfinite(x)),
+v AS (SELECT r, vec_id, n, i, CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT) AS z FROM x WHERE r NOT IN (SELECT r FROM bad)),
+s AS (SELECT q.r AS qr, c.r AS cr, q.vec_id AS query_id, c.vec_id, CAST(sum(q.z * c.z) AS BIGINT) AS score
+      FROM v q JOIN v c ON q.i = c.i AND q.n = c.n AND q.r <> c.r WHERE q.vec_id % 100 = 0 GROUP BY ALL),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY qr ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10"""

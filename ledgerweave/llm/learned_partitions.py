@@ -7,6 +7,9 @@
    there are ranked by exact distance.  How many parts is measured on sampled rows that were not learned from: the least
    number that covers ``COVER`` of the true neighbours of distinct vectors (copies of one vector would count as often as they stand).
 
+Vectors of different length do not meet.  Parts are learned for the most frequent length; rows of any other length are one part, which is
+searched whole.
+
 The sample and the network have fixed sizes; rows are routed in Spark.  A part is dealt to as many groups as its row count
 asks for, so large parts stay bounded per task.  Nearness: Euclidean distance in double precision, ties to the smaller vec_id.
 
@@ -142,14 +145,16 @@ def learn(x: np.ndarray, parts: int = PARTS, cover: float = COVER, seed: int = 7
 
 
 def nearest(vectors: DataFrame, is_query, k: int = K, parts: int = PARTS, cover: float = COVER) -> DataFrame:
-    """query_id, rank, vec_id, score (distance) of the k nearest rows found; ``vectors`` (vec_id, v array<double>, row)."""
+    """query_id, rank, vec_id, score (distance) of the k nearest rows found; ``vectors`` (vec_id, v array<double>, row, n)."""
     spark = vectors.sparkSession
     vectors = saved(vectors, "vectors")
-    n = vectors.count()
-    if n <= SMALL:
-        routed, probes, router = vectors.withColumn("parts", F.array(F.lit(0))), 1, None
+    sizes = vectors.groupBy("n").count().orderBy(F.desc("count"), "n").first()  # one row
+    one_part = lambda v: v.withColumn("parts", F.array(F.lit(0)))
+    if not sizes or sizes["count"] <= SMALL:
+        routed = one_part(vectors)
     else:
-        sample = vectors.orderBy(F.xxhash64("vec_id", "row"), "vec_id", "row").limit(SAMPLE).collect()  # a fixed number of rows
+        usual = vectors.where(F.col("n") == sizes.n)
+        sample = usual.orderBy(F.xxhash64("vec_id", "v"), "vec_id", "row").limit(SAMPLE).collect()  # a fixed number of rows
         router, probes = learn(np.array([r.v for r in sample]), parts, cover)
         own = spark.sparkContext.broadcast(router)
 
@@ -158,14 +163,15 @@ def nearest(vectors: DataFrame, is_query, k: int = K, parts: int = PARTS, cover:
                 if b.num_rows:
                     order = own.value.order(matrix(b.column(1)))[:, :probes].astype(np.int32)
                     cuts = np.arange(0, order.size + 1, probes, dtype=np.int32)
-                    yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), pa.ListArray.from_arrays(pa.array(cuts), pa.array(order.ravel()))], names=["vec_id", "v", "row", "parts"])
+                    yield pa.RecordBatch.from_arrays([*b.columns, pa.ListArray.from_arrays(pa.array(cuts), pa.array(order.ravel()))], names=[*b.schema.names, "parts"])
 
-        routed = saved(vectors.select("vec_id", "v", "row").mapInArrow(route, "vec_id long, v array<double>, row long, parts array<int>"), "routed")
-    index = routed.select("vec_id", "v", "row", F.col("parts")[0].alias("part"))
+        placed = usual.select("vec_id", "v", "row", "n").mapInArrow(route, "vec_id long, v array<double>, row long, n int, parts array<int>")
+        routed = saved(placed.unionByName(one_part(vectors.where(F.col("n") != sizes.n))), "routed")
+    index = routed.select("vec_id", "v", "row", "n", F.col("parts")[0].alias("part"))
     counts = {r.part: r["count"] for r in index.groupBy("part").count().collect()}  # one row a part
     groups = F.create_map(*[F.lit(x) for p, c in counts.items() for x in (p, -(-c // GROUP))]) if counts else F.create_map(F.lit(0), F.lit(1))
     index = index.withColumn("g", F.pmod(F.xxhash64("vec_id", "row"), groups[F.col("part")]).cast("int"))
-    asked = (routed.where(is_query).select("vec_id", "v", "row", F.explode("parts").alias("part")).where(groups[F.col("part")].isNotNull())
+    asked = (routed.where(is_query).select("vec_id", "v", "row", "n", F.explode("parts").alias("part")).where(groups[F.col("part")].isNotNull())
              .withColumn("g", F.explode(F.sequence(F.lit(0), groups[F.col("part")] - 1))))
     # queries are dealt too, each of their groups meeting each group of a part
     nq = max(1, -(-routed.where(is_query).count() // GROUP))
@@ -190,7 +196,7 @@ def nearest(vectors: DataFrame, is_query, k: int = K, parts: int = PARTS, cover:
         cat = lambda c, t: pa.array(np.concatenate(c) if c else np.zeros(0), t)
         return pa.table({"query_id": cat(out[0], pa.int64()), "query_row": cat(out[1], pa.int64()), "vec_id": cat(out[2], pa.int64()), "score": cat(out[3], pa.float64())})
 
-    keys = ["part", "g", "q"]
+    keys = ["n", "part", "g", "q"]
     found = index.groupBy(*keys).cogroup(asked.groupBy(*keys)).applyInArrow(search, "query_id long, query_row long, vec_id long, score double")
     return best(found, k, ascending=True)
 

@@ -10,18 +10,17 @@ from pyspark.sql.window import Window
 
 
 def usable(df: DataFrame, zero: bool) -> DataFrame:
-    """(vec_id, v array<double>, row) of the rows that take part in a search; ``row`` tells rows of one vec_id apart.
+    """(vec_id, v array<double>, row, n) of the rows that take part in a search; ``row`` is each row's own, n its length.
 
-    Out are: null ids; vectors that are null, empty, or hold null or non-finite components; zero vectors unless ``zero``;
-    vectors of another length than the most frequent one.  Rows equal in vec_id and vector count once; rows of one vec_id with
-    different vectors are rows of their own, as queries too.
+    Out are: null ids; vectors that are null, empty, or hold null or non-finite components; zero vectors unless ``zero``.
+    Every row is a row of its own, repeated rows too.  Vectors of different length have no distance or product and do not meet.
+    The result has to be written before it is read twice, as ``row`` comes from its order.
     """
     v = df.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("v")).where("vec_id is not null and size(v) > 0")
     v = v.where(F.forall("v", lambda x: F.coalesce(F.abs(x) < float("inf"), F.lit(False))))
     if not zero:
         v = v.where(F.exists("v", lambda x: x != 0))
-    size = v.groupBy(F.size("v").alias("n")).count().orderBy(F.desc("count"), "n").first()
-    return v.where(F.size("v") == (size.n if size else 0)).dropDuplicates(["vec_id", "v"]).withColumn("row", F.xxhash64("v"))
+    return v.select("vec_id", "v", F.monotonically_increasing_id().alias("row"), F.size("v").alias("n"))
 
 
 def matrix(col) -> np.ndarray:

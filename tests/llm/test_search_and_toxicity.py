@@ -29,13 +29,15 @@ def test_exact_topk(spark, monkeypatch):
     monkeypatch.setattr(exact_topk, "VECTORS", 150)
     monkeypatch.setattr(exact_topk, "QUERIES", 4)
     rows = vector_rows(800, 8) + [(2000 + i, [0.25] * 8) for i in range(60)]
-    got = exact_topk.exact_top(exact_topk.integers(table_of(spark, rows + ODD + rows[:5])), F.col("vec_id") % 100 == 0).collect()
-    z = {i: np.floor(1024 * np.array(v, np.float32).astype(float)).astype(int) for i, v in rows + [(9006, [0.0] * 8)]}
+    rows += rows[:5] + [(300, rows[7][1]), (3000, [0.1] * 3), (3001, [0.2] * 3)]  # repeated rows and ids, another length
+    got = exact_topk.exact_top(exact_topk.integers(table_of(spark, rows + ODD)), F.col("vec_id") % 100 == 0).collect()
+    z = [(i, np.floor(1024 * np.array(v, np.float32).astype(float)).astype(int)) for i, v in rows + [(9006, [0.0] * 8), (9007, [0.5] * 3)]]
     want = []
-    for q in sorted(i for i in z if i % 100 == 0):
-        s = sorted((-int(z[q] @ z[c]), c) for c in z if c != q)[:10]
-        want += [(q, r, c, -s_) for r, (s_, c) in enumerate(s, 1)]
-    assert sorted(tuple(r) for r in got) == want
+    for n, (q, x) in enumerate(z):
+        if q % 100 == 0:
+            s = sorted((-int(x @ y), c) for m, (c, y) in enumerate(z) if m != n and len(y) == len(x))[:10]
+            want += [(q, r, c, -s_) for r, (s_, c) in enumerate(s, 1)]
+    assert sorted(tuple(r) for r in got) == sorted(want)
 
 
 @pytest.mark.parametrize("scale", [1, 1 << 21])
@@ -68,7 +70,7 @@ def test_exact_topk_oracle(spark, duck001):
 
 def test_repeated_ids_are_rows(spark):
     rows = [(100, [1.0, 0.0]), (100, [0.0, 1.0]), (1, [2.0, 0.0]), (1, [0.0, 3.0]), (1, [0.0, 3.0])]
-    z = {("a", 100): (1, 0), ("b", 100): (0, 1), ("a", 1): (2, 0), ("b", 1): (0, 3)}
+    z = {("a", 100): (1, 0), ("b", 100): (0, 1), ("a", 1): (2, 0), ("b", 1): (0, 3), ("c", 1): (0, 3)}
     table = table_of(spark, rows)
     got = exact_topk.exact_top(exact_topk.integers(table), F.col("vec_id") % 100 == 0).collect()
     near = learned_partitions.nearest(vectors.usable(table, zero=False), F.col("vec_id") % 100 == 0).collect()
@@ -95,6 +97,18 @@ def test_one_part_is_exact(spark):
         assert [(c, s) for _, c, s in own] == [(c, pytest.approx(s, rel=1e-12)) for s, c in nearest_by_force(z, q)]
 
 
+def test_other_lengths_do_not_meet(spark, monkeypatch):
+    monkeypatch.setattr(learned_partitions, "SMALL", 100)
+    rows = vector_rows(1500, 8) + [(5000 + i, v) for i, v in vector_rows(150, 5, seed=2)] + [(100, [0.0, 1.0])]
+    got = learned_partitions.nearest(vectors.usable(table_of(spark, rows), zero=False), F.col("vec_id") % 100 == 0).collect()
+    z = [(i, np.array(v, np.float32).astype(float)) for i, v in rows]
+    by = {i: len(v) for i, v in z[:-1]}
+    assert all(by[r.query_id] == by[r.vec_id] for r in got) and {r.query_id for r in got} == {i for i in by if i % 100 == 0}
+    for q in (5000, 5100):  # rows of another length are searched whole
+        own = sorted((r.rank, r.vec_id) for r in got if r.query_id == q)
+        assert [c for _, c in own] == [c for _, c in nearest_by_force({i: v for i, v in z if len(v) == 5}, q)]
+
+
 def test_learned_partitions_recall(spark, monkeypatch):
     monkeypatch.setattr(learned_partitions, "GROUP", 700)
     rows = vector_rows(6000, 16, seed=3)
