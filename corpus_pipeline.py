@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from ledgerweave.llm import jaccard_join, piece_codec, source_mix, suffix_dedup, toxicity
 from ledgerweave.llm.base import key_filter, saved, table
+from ledgerweave.session import Owned, owned
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,13 +36,14 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
         import pandas as pd
         return pd.Series(own.value.has(doc_id.to_numpy()))
 
-    docs = docs.withColumn("_may", F.col("doc_id").isNotNull() & may(F.coalesce(F.col("doc_id").cast("long"), F.lit(0))))
+    # a row travels whole in one column, so its own columns clash with none here
+    rows = docs.select(F.struct("*").alias("row"), "doc_id", "text")
+    rows = rows.withColumn("may", F.col("doc_id").isNotNull() & may(F.coalesce(F.col("doc_id").cast("long"), F.lit(0))))
     # a row is known by its doc_id and the id of its shingle set: another text of the same doc_id is another row
-    rest = jaccard_join.with_set_id(docs.where("_may"), "_f")
-    rest = rest.join(found.where("not first").select("doc_id", F.col("f").alias("_f")).distinct(), ["doc_id", "_f"], "left_anti")
-    one = rest.groupBy("doc_id", "_f", F.when(F.col("_f").isNull(), F.col("text")).alias("_t")).agg(F.min_by(F.struct(*docs.columns), F.coalesce("text", F.lit(""))).alias("row"))
-    rest = one.select("row.*")
-    return docs.where("not _may").unionByName(rest).select(*[c for c in docs.columns if c != "_may"])
+    rest = jaccard_join.with_set_id(rows.where("may"), "f")
+    rest = rest.join(found.where("not first").select("doc_id", "f").distinct(), ["doc_id", "f"], "left_anti")
+    one = rest.groupBy("doc_id", "f", F.when(F.col("f").isNull(), F.col("text")).alias("t")).agg(F.min_by("row", F.coalesce("text", F.lit(""))).alias("row"))
+    return rows.where("not may").select("row.*").unionByName(one.select("row.*"))
 
 
 def cut_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -76,7 +78,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
-        docs = saved(stage(spark, docs, sf_dir), name)
+        with owned(spark) as work:
+            docs = saved(stage(spark, docs, sf_dir), name)
+            written = work.tables.pop()     # a stage's own table stays until the next one is written, its other work tables go now
+        if before:
+            Owned(spark, [before]).release()
+        before = written
     return docs
