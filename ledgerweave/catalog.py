@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 
 from ledgerweave.functions.columns import format_date, lpad_zero, normalise_date, parse_tag, source_from_name
 from ledgerweave.operators import balance, journal, numbering, reports, runlog
+from ledgerweave.operators.kept_balance import KeptBalance
 from ledgerweave.params import FeedParams
 from ledgerweave.plans import export, product
 from ledgerweave.plans.run import METADATA_VERSION, export_feed, rerun_numbers
@@ -205,6 +206,17 @@ def q_balance_groups(spark, sf):
     return balance.assign_groups(c, [], "mes", MONTH_LIMIT, 4)
 
 
+def q_balance_kept(spark, sf):
+    """The groups of a kept balance: built from the lines of even extraction numbers, then updated by the others, which come late."""
+    p = feed_params(**REPORT_SETTINGS)
+    lines = materialize(journal.map_accounts(_coded(spark, sf, p), fixtures.account_mapping(spark, sf), p).select("periodo", journal.CODE, "consecutivo_extraccion"), "lines")
+    late = F.col("consecutivo_extraccion") % 2 != 0
+    kept = KeptBalance(spark, work_dir(spark, f"balance-{uuid.uuid4().hex}"), p.large_limit, p.bin_width, p.bucket_length)
+    kept.build(balance.transaction_counts(lines.where(~late), ["periodo"], journal.CODE))
+    kept.update(balance.transaction_counts(lines.where(late), ["periodo"], journal.CODE))
+    return kept.groups().where(F.col(journal.CODE).isNotNull())
+
+
 def q_assign_groups_join(spark, sf):
     li, _ = _month_counts(spark, sf)
     return balance.balance_groups(li, [], "mes", MONTH_LIMIT, 4)
@@ -497,6 +509,7 @@ QUERIES: dict[str, Query] = {
     "large_group_rank": q_large_group_rank,
     "running_total": q_running_total,
     "balance_groups": q_balance_groups,
+    "balance_kept": q_balance_kept,
     "assign_groups_join": q_assign_groups_join,
     "report_metadata": q_report_metadata,
     "report_header": q_report_header,

@@ -132,6 +132,7 @@ ORACLE: dict[str, str] = {
     "running_total": MONTHS + " SELECT mes, acumulado FROM grouped WHERE NOT es_grande",
     "balance_groups": MONTHS + " SELECT mes, total_registros, grupo_salida FROM grouped",
     "assign_groups_join": MONTHS + " SELECT mes, l_orderkey, l_linenumber, grupo_salida FROM li JOIN grouped USING (mes)",
+    "balance_kept": REP + " SELECT periodo, codigo_transaccion, count(*) AS total_registros, any_value(grupo_salida) AS grupo_salida FROM product GROUP BY periodo, codigo_transaccion",
     "report_metadata": REP + METADATA,
     "report_header": REP + f" SELECT DISTINCT {_columns(HEADER)}, grupo_salida AS grupo, periodo FROM product",
     "report_lines": REP + f" SELECT {_columns(LINE)}, grupo_salida AS grupo, periodo FROM product",

@@ -17,7 +17,7 @@ from ledgerweave.catalog import QUERIES  # noqa: E402
 from ledgerweave.session import local_session  # noqa: E402
 
 WRITERS = {"export_run", "sink_encoded_report", "sink_report_lines", "file_order", "sink_replace_table",
-           "sink_overwrite_partition", "daily_feed", "pending_by_files", "bucketed_header", "bucketed_control"}
+           "sink_overwrite_partition", "daily_feed", "pending_by_files", "bucketed_header", "bucketed_control", "balance_kept"}
 
 
 def walk(node, out: Counter, seen: set | None = None) -> None:
