@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ledgerweave.llm.arrays import U, mix, shingle_sets, text_chunks
+from ledgerweave.llm.arrays import CHUNK, U, mix, shingle_sets, text_chunks
 from ledgerweave.llm.base import components, freed, key_filter, saved, table
 
 WORDS = 5
@@ -127,17 +127,23 @@ def document_sets(docs: DataFrame, k: int = WORDS) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(freed(sets), "doc_id long, f long, n long, sketch binary")
 
 
-def with_set_id(docs: DataFrame, name: str, k: int = WORDS) -> DataFrame:
-    """The rows of ``docs`` (text, more columns) with their set id (null: empty) as a last column."""
-    text = docs.columns.index("text")
+def set_ids_of(wanted, k: int = WORDS):
+    """A function of (doc_id, text) columns -> struct(may, f): whether doc_id is in ``wanted`` (a broadcast ``KeyFilter``), and then the text's set id (null: empty).
 
-    def work(batches):
-        for b in batches:
-            for lo, hi, data, offs in text_chunks(b.column(text)):
-                x, counts = shingle_sets(data, offs, k)
-                yield b.slice(lo, hi - lo).append_column(name, pa.array(set_ids(x, counts), mask=counts == 0))
-
-    return docs.mapInArrow(freed(work), docs.select("*", F.lit(None).cast("long").alias(name)).schema)
+    Rows stay in the JVM, and one Python function gives both.
+    """
+    @F.arrow_udf("struct<may: boolean, f: bigint>")
+    def of(doc_id: pa.Array, text: pa.Array) -> pa.Array:
+        at = np.flatnonzero(wanted.value.has(doc_id.fill_null(0).to_numpy()) & doc_id.is_valid().to_numpy(zero_copy_only=False))
+        f, known = np.zeros(len(doc_id), np.int64), np.zeros(len(doc_id), bool)
+        for lo, hi, data, offs in text_chunks(text.take(pa.array(at)), CHUNK // 4):
+            x, counts = shingle_sets(data, offs, k)
+            f[at[lo:hi]], known[at[lo:hi]] = set_ids(x, counts), counts > 0
+        may = np.zeros(len(doc_id), bool)
+        may[at] = True
+        return pa.StructArray.from_arrays([pa.array(may), pa.array(f, mask=~known)], names=["may", "f"])
+
+    return of
 
 
 def prefix_rows(docs: DataFrame, frequent: np.ndarray, k: int = WORDS, threshold: int = THRESHOLD) -> DataFrame:

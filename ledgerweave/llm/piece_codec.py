@@ -24,9 +24,26 @@ MODEL = "piece_bpe_32k.model"
 
 def encode(docs: DataFrame, model_path: str) -> DataFrame:
     """(doc_id, ids array<int>) of each row of ``docs`` (doc_id, text), without begin or end ids."""
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return docs.select("doc_id", "text").mapInArrow(freed(encoding(model_bytes(model_path))), f"doc_id {kind}, ids array<int>")
+
+
+def decode(encoded: DataFrame, model_path: str) -> DataFrame:
+    """``encoded`` (doc_id, ids) with ``decoded``, the text the library's decode(ids) gives; null ids decode to an empty text."""
+    kind = encoded.schema["doc_id"].dataType.simpleString()
+    return encoded.select("doc_id", "ids").mapInArrow(freed(decoding(model_bytes(model_path))), f"doc_id {kind}, ids array<int>, decoded string")
+
+
+def encode_and_decode(docs: DataFrame, model_path: str) -> DataFrame:
+    """``decode`` of ``encode``, one after the other in one Python worker."""
+    kind = docs.schema["doc_id"].dataType.simpleString()
     model = model_bytes(model_path)
+    first, second = encoding(model), decoding(model)
+    return docs.select("doc_id", "text").mapInArrow(freed(lambda batches: second(first(batches))), f"doc_id {kind}, ids array<int>, decoded string")
+
+
+def encoding(model: bytes):
     split = separable(model)
-    kind = docs.schema["doc_id"].dataType.simpleString()
 
     def work(batches):
         sp = processor(model)
@@ -37,14 +54,10 @@ def encode(docs: DataFrame, model_path: str) -> DataFrame:
                 cuts = np.concatenate(([0], np.cumsum(n)))[np.searchsorted(start, offs)]
                 yield pa.RecordBatch.from_arrays([b.column(0).slice(lo, hi - lo), pa.ListArray.from_arrays(pa.array(cuts.astype(np.int32)), pa.array(ragged(words.flat, at, n)))], names=["doc_id", "ids"])
 
-    return docs.select("doc_id", "text").mapInArrow(freed(work), f"doc_id {kind}, ids array<int>")
-
+    return work
 
-def decode(encoded: DataFrame, model_path: str) -> DataFrame:
-    """``encoded`` (doc_id, ids) with ``decoded``, the text the library's decode(ids) gives; null ids decode to an empty text."""
-    model = model_bytes(model_path)
-    kind = encoded.schema["doc_id"].dataType.simpleString()
 
+def decoding(model: bytes):
     def work(batches):
         sp = processor(model)
         n = sp.get_piece_size()
@@ -72,13 +85,13 @@ def decode(encoded: DataFrame, model_path: str) -> DataFrame:
                         out.append(t[1:] if cuts[r + 1] > cuts[r] and leads[ids[cuts[r]]] else t)
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(out, pa.string())], names=["doc_id", "ids", "decoded"])
 
-    return encoded.select("doc_id", "ids").mapInArrow(freed(work), f"doc_id {kind}, ids array<int>, decoded string")
+    return work
 
 
 def op3_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
     path = public_tokenizers.path(MODEL)
-    both = decode(encode(table(spark, sf_dir, "documents"), path), path)
+    both = encode_and_decode(table(spark, sf_dir, "documents"), path)
     return both.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
                        F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
                        F.sha2("decoded", 256).alias("decoded_sha256"))

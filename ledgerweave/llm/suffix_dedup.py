@@ -323,10 +323,9 @@ def cut_texts(docs: DataFrame, length: int = LENGTH, keep_first: bool = False, w
     spans = repeat_spans(docs, length, keep_first)
     own = spark.sparkContext.broadcast(key_filter(spans, "key"))
 
-    @F.pandas_udf("boolean")
-    def may(key):
-        import pandas as pd
-        return pd.Series(own.value.has(key.to_numpy()))
+    @F.arrow_udf("boolean")
+    def may(key: pa.Array) -> pa.Array:
+        return pa.array(own.value.has(key.to_numpy()))
 
     docs = docs.withColumn("may", may("key"))
 
