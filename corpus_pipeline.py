@@ -31,19 +31,14 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     # only documents that may be gone, or stand more than once, are shuffled
     own = spark.sparkContext.broadcast(key_filter(gone, "doc_id"))
 
-    @F.pandas_udf("boolean")
-    def may(doc_id):
-        import pandas as pd
-        return pd.Series(own.value.has(doc_id.to_numpy()))
-
-    # a row travels whole in one column, so its own columns clash with none here
-    rows = docs.select(F.struct("*").alias("row"), "doc_id", "text")
-    rows = rows.withColumn("may", F.col("doc_id").isNotNull() & may(F.coalesce(F.col("doc_id").cast("long"), F.lit(0))))
-    # a row is known by its doc_id and the id of its shingle set: another text of the same doc_id is another row
-    rest = jaccard_join.with_set_id(rows.where("may"), "f")
+    # a row travels whole in one column, so its own columns clash with none here; it is known by its doc_id and the id of its shingle set,
+    # as another text of the same doc_id is another row
+    x = jaccard_join.set_ids_of(own)(F.col("doc_id").cast("long"), F.col("text"))
+    rows = docs.select(F.struct("*").alias("row"), "doc_id", "text", x.alias("x"))
+    rest = rows.where("x.may").select("row", "doc_id", "text", "x.f")
     rest = rest.join(found.where("not first").select("doc_id", "f").distinct(), ["doc_id", "f"], "left_anti")
     one = rest.groupBy("doc_id", "f", F.when(F.col("f").isNull(), F.col("text")).alias("t")).agg(F.min_by("row", F.coalesce("text", F.lit(""))).alias("row"))
-    return rows.where("not may").select("row.*").unionByName(one.select("row.*"))
+    return rows.where("not x.may").select("row.*").unionByName(one.select("row.*"))
 
 
 def cut_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -61,7 +56,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     import public_tokenizers
     path = public_tokenizers.path(piece_codec.MODEL)
-    both = piece_codec.decode(piece_codec.encode(docs, path), path)
+    both = piece_codec.encode_and_decode(docs, path)
     return both.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
