@@ -6,7 +6,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-from ledgerweave.llm.arrays import Prints, text_chunks
+from ledgerweave.llm.arrays import text_chunks
 
 MARK = "▁"
 #: Limits of a task's table of distinct marked words: words, and values held for them.
@@ -61,38 +61,45 @@ def marked_words(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.nda
 
 
 class WordTable:
-    """Values (ragged int32) of the distinct marked words a task has met, by fingerprint; emptied when it reaches its limits."""
+    """Values (ragged int32) of the distinct marked words a task has met, compared byte by byte; emptied when it reaches its limits."""
 
     def __init__(self, value):
         self.value = value  # list of marked words -> list of int lists
         self.clear()
 
     def clear(self) -> None:
-        self.keys, self.start, self.count, self.flat = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32)
+        self.words = pa.array([], pa.large_binary())
+        self.start, self.count, self.flat = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32)
 
-    def add(self, keys: np.ndarray, words: list[bytes]) -> None:
-        got = self.value(words)
+    def add(self, words: pa.Array) -> None:
+        got = self.value(words.to_pylist())
         count = np.fromiter(map(len, got), np.int64, len(got))
-        start = len(self.flat) + np.cumsum(count) - count
+        self.start = np.concatenate((self.start, len(self.flat) + np.cumsum(count) - count))
+        self.count = np.concatenate((self.count, count))
         self.flat = np.concatenate([self.flat, *(np.asarray(g, np.int32) for g in got)])
-        keys, start, count = np.concatenate((self.keys, keys)), np.concatenate((self.start, start)), np.concatenate((self.count, count))
-        o = np.argsort(keys)
-        self.keys, self.start, self.count = keys[o], start[o], count[o]
+        self.words = pa.concat_arrays([self.words, words])
 
     def lookup(self, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Place in ``flat`` and length of the values of each word."""
-        if len(self.keys) > TABLE_WORDS or len(self.flat) > TABLE_VALUES:
+        if len(self.words) > TABLE_WORDS or len(self.flat) > TABLE_VALUES:
             self.clear()
-        u, at, back = np.unique(Prints(data).spans(start, end), return_index=True, return_inverse=True)
-        p = np.searchsorted(self.keys, u)
-        new = np.ones(len(u), bool)
-        if len(self.keys):
-            new = self.keys[np.minimum(p, len(self.keys) - 1)] != u
+        if not len(start):
+            return start, start
+        size = end - start
+        if (start[1:] == end[:-1]).all():
+            raw = data[start[0]:end[-1]]
+        else:
+            raw = ragged(data, start, size)
+        cuts = np.concatenate(([0], np.cumsum(size)))
+        words = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(start), [None, pa.py_buffer(cuts), pa.py_buffer(np.ascontiguousarray(raw))]).dictionary_encode()
+        known = pc.index_in(words.dictionary, value_set=self.words)
+        new = pc.is_null(known).to_numpy(zero_copy_only=False)
+        place = known.fill_null(0).to_numpy().astype(np.int64)
         if new.any():
-            raw = data.tobytes()
-            self.add(u[new], [raw[start[i]:end[i]] for i in at[new]])
-        p = np.searchsorted(self.keys, u)[back]
-        return self.start[p], self.count[p]
+            place[new] = len(self.words) + np.arange(int(new.sum()))
+            self.add(words.dictionary.filter(pa.array(new)))
+        place = place[words.indices.to_numpy()]
+        return self.start[place], self.count[place]
 
 
 def ragged(flat: np.ndarray, start: np.ndarray, count: np.ndarray) -> np.ndarray:

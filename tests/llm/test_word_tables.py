@@ -1,0 +1,43 @@
+"""Words that polynomial fingerprints take for each other keep their own ids."""
+
+import public_tokenizers
+import sentencepiece
+
+from ledgerweave.llm import pieces, piece_codec, token_counts
+
+
+def thue_morse(n, letters):
+    return "".join(letters[bin(i).count("1") % 2] for i in range(n))
+
+
+def test_long_words_that_collide(spark):
+    path = public_tokenizers.path(piece_codec.MODEL)
+    library = sentencepiece.SentencePieceProcessor(model_file=path)
+    texts = [thue_morse(4096, x) for x in ("ab", "ba", "xé", "éx")] + [thue_morse(2048, "ab") + " " + thue_morse(2048, "ba") + " end"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    want = library.encode(texts)
+    assert len({tuple(w) for w in want[:2]}) == 2
+    got = {r.doc_id: (r.ids, r.decoded) for r in piece_codec.encode_and_decode(docs, path).collect()}
+    assert got == {i: (w, t) for i, (w, t) in enumerate(zip(want, texts))}
+    assert {r.doc_id: r.n_tokens for r in token_counts.count_tokens(docs, path).collect()} == {i: len(w) for i, w in enumerate(want)}
+
+
+def test_encode_then_decode_is_both(spark):
+    path = public_tokenizers.path(piece_codec.MODEL)
+    docs = spark.createDataFrame([(1, "some  words"), (2, None), (None, "x ▁ y"), (3, "")], "doc_id int, text string")
+    one = piece_codec.encode_and_decode(docs, path).collect()
+    two = piece_codec.decode(piece_codec.encode(docs, path), path).collect()
+    assert sorted(map(tuple, one), key=repr) == sorted(map(tuple, two), key=repr)
+
+
+def test_table_is_emptied(monkeypatch):
+    import numpy as np
+    monkeypatch.setattr(pieces, "TABLE_WORDS", 3)
+    table = pieces.WordTable(lambda words: [list(w) for w in words])
+    for _ in range(3):
+        for word in (b"ab", b"c", b"", b"defg", b"ab"):
+            data = np.frombuffer(b"zz" + word + b"yy" + word, np.uint8)
+            n = len(word)
+            start, end = np.array([2, n + 4]), np.array([2 + n, 2 * n + 4])
+            at, count = table.lookup(data, start, end)
+            assert [table.flat[a:a + c].tolist() for a, c in zip(at, count)] == [list(word)] * 2
