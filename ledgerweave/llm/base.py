@@ -28,17 +28,30 @@ def shared_dir(spark: SparkSession) -> str:
     return d.rstrip("/")
 
 
-def saved(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as a work table in the shared folder and read it back: cuts lineage, survives lost executors.
-
-    Inside ``session.owned`` the table goes at the end of that block.
-    """
+def written(df: DataFrame, name: str) -> str:
+    """Path of a work table in the shared folder, written from ``df``; inside ``session.owned`` it goes at the end of that block."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     if own := owner():
         own.tables.append(path)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return path
+
+
+def saved(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as a work table and read it back: cuts lineage, survives lost executors."""
+    return df.sparkSession.read.schema(df.schema).parquet(written(df, name))
+
+
+def session_with(spark: SparkSession, settings: dict[str, str]) -> SparkSession:
+    """A session of the same cluster with the settings of ``spark`` and some of its own, which no other job gets."""
+    own = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if spark.conf.isModifiable(key):
+            own.conf.set(key, value)
+    for key, value in settings.items():
+        own.conf.set(key, value)
+    return own
 
 
 def release() -> None:

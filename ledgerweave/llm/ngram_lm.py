@@ -20,7 +20,6 @@ an empty table gives no rows; other columns are ignored.  64-bit fingerprints st
 from __future__ import annotations
 
 import tempfile
-from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerweave.llm.arrays import U, mix, text_chunks, word_prints
-from ledgerweave.llm.base import saved, table
+from ledgerweave.llm.base import session_with, table, written
 
 ORDER = 3
 #: Text of a block, and the fingerprints of the marks before and after a text.
@@ -341,35 +340,31 @@ def scores(block: Block, slices: dict, order: int, stats: dict[int, np.ndarray])
     return block.size - 1, *(np.add.reduceat(x, block.first) for x in (known, base, full))
 
 
-@contextmanager
-def shuffles_removed(spark: SparkSession):
-    """Shuffle files of a write go when it is done: the table is in the shared folder then, and no later job reads them."""
-    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-    old = spark.conf.get(key, None)
-    spark.conf.set(key, "true")
-    try:
-        yield
-    finally:
-        spark.conf.set(key, old) if old is not None else spark.conf.unset(key)
+#: Shuffle files of a write go when it is done: the table is in the shared folder then, and no later job reads them.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def score_texts(docs: DataFrame, held, order: int = ORDER) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of each row of ``docs`` (doc_id, text)."""
     spark = docs.sparkSession
-    blocks = saved(blocks_of(docs, held), "blocks")
+    blocks = blocks_of(docs, held)
+    blocks_path = written(blocks, "blocks")
+    blocks = spark.read.schema(blocks.schema).parquet(blocks_path)
     shards = shards_for(blocks.agg(F.sum("tokens").alias("n")).first().n or 0, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    answers, stats = {}, {}
+    # the orders are written in a session of their own, so that its setting meets no other job
+    writer = session_with(spark, {CLEANUP: "true"})
+    paths, stats = {}, {}
 
-    def with_answers(levels):
-        rows = blocks.selectExpr("*", "cast(null as int) level", "cast(null as int) shard", "cast(null as binary) body")
+    def with_answers(of: SparkSession, levels):
+        read = lambda path, schema: of.read.schema(schema).parquet(path)
+        rows = read(blocks_path, blocks.schema).selectExpr("*", "cast(null as int) level", "cast(null as int) shard", "cast(null as binary) body")
         for k in levels:
-            rows = rows.unionByName(answers[k].where("p >= 0"), allowMissingColumns=True)
+            rows = rows.unionByName(read(paths[k], ANSWERS).where("p >= 0"), allowMissingColumns=True)
         return rows.repartition("p").sortWithinPartitions("p", F.col("shard").asc_nulls_first()) if levels else rows
 
     for k in range(order, 0, -1):
-        with shuffles_removed(spark):
-            answers[k] = saved(answers_of(requests_of(with_answers([k + 1] if k < order else []), k, order, shards), order), f"order{k}")
-        stats[k] = figures(answers[k])
+        paths[k] = written(answers_of(requests_of(with_answers(writer, [k + 1] if k < order else []), k, order, shards), order), f"order{k}")
+        stats[k] = figures(spark.read.schema(ANSWERS).parquet(paths[k]))
 
     def work(batches):
         for block, slices, _ in _blocks(batches, range(1, order + 1)):
@@ -378,7 +373,7 @@ def score_texts(docs: DataFrame, held, order: int = ORDER) -> DataFrame:
                 [pa.array(block.ids, pa.int64()), pa.array(block.held), pa.array(n), pa.array(known), pa.array(np.full(len(n), int(stats[1][6]))), pa.array(base), pa.array(full)],
                 names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
-    return with_answers(range(1, order + 1)).mapInArrow(work, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+    return with_answers(spark, range(1, order + 1)).mapInArrow(work, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
 
 
 def op5_ngram_lm(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -46,3 +46,16 @@ def test_columns_of_any_name_stay(spark):
 def test_packed_rows_without_an_owner(spark):
     pieces = spark.createDataFrame([(1, 10), (2, 20)], "row long, length long")
     assert best_fit_packing.pack(pieces, 32).count() == 2
+
+
+def test_a_session_of_its_own(spark):
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "77m")
+    try:
+        before = spark.conf.get(key, None)
+        own = base.session_with(spark, {key: "true"})
+        assert own.conf.get(key) == "true" and spark.conf.get(key, None) == before
+        assert own.conf.get("spark.sql.files.maxPartitionBytes") == "77m"
+        assert base.shared_dir(own) == base.shared_dir(spark)
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
