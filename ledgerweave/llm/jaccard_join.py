@@ -134,16 +134,17 @@ def set_ids_of(wanted, k: int = WORDS):
     """
     @F.arrow_udf("struct<may: boolean, f: bigint>")
     def of(doc_id: pa.Array, text: pa.Array) -> pa.Array:
-        at = np.flatnonzero(wanted.value.has(doc_id.fill_null(0).to_numpy()) & doc_id.is_valid().to_numpy(zero_copy_only=False))
+        may = wanted.value.has(doc_id.fill_null(0).to_numpy()) & doc_id.is_valid().to_numpy(zero_copy_only=False)
         f, known = np.zeros(len(doc_id), np.int64), np.zeros(len(doc_id), bool)
-        for lo, hi, data, offs in text_chunks(text.take(pa.array(at)), CHUNK // 4):
-            x, counts = shingle_sets(data, offs, k)
-            f[at[lo:hi]], known[at[lo:hi]] = set_ids(x, counts), counts > 0
-        may = np.zeros(len(doc_id), bool)
-        may[at] = True
+        for first in range(0, len(doc_id), 500):
+            at = first + np.flatnonzero(may[first:first + 500])
+            for lo, hi, data, offs in text_chunks(text.take(pa.array(at)), CHUNK // 4):
+                x, counts = shingle_sets(data, offs, k)
+                f[at[lo:hi]], known[at[lo:hi]] = set_ids(x, counts), counts > 0
         return pa.StructArray.from_arrays([pa.array(may), pa.array(f, mask=~known)], names=["may", "f"])
 
-    return of
+    # else a filter on ``may`` would be pushed below and the function run twice
+    return of.asNondeterministic()
 
 
 def prefix_rows(docs: DataFrame, frequent: np.ndarray, k: int = WORDS, threshold: int = THRESHOLD) -> DataFrame:
