@@ -33,11 +33,11 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
     # a row travels whole in one column, so its own columns clash with none here; it is known by its doc_id and the id of its shingle set,
     # as another text of the same doc_id is another row
-    x = jaccard_join.set_ids_of(own)(F.col("doc_id").cast("long"), F.col("text"))
-    rows = docs.select(F.struct("*").alias("row"), "doc_id", "text", x.alias("x"))
-    rest = rows.where("x.may").select("row", "doc_id", "text", "x.f")
+    rows = docs.select(F.struct("*").alias("row"))
+    rows = rows.withColumn("x", jaccard_join.set_ids_of(own)(F.col("row.doc_id").cast("long"), F.col("row.text")))
+    rest = rows.where("x.may").select("row", "row.doc_id", "x.f")
     rest = rest.join(found.where("not first").select("doc_id", "f").distinct(), ["doc_id", "f"], "left_anti")
-    one = rest.groupBy("doc_id", "f", F.when(F.col("f").isNull(), F.col("text")).alias("t")).agg(F.min_by("row", F.coalesce("text", F.lit(""))).alias("row"))
+    one = rest.groupBy("doc_id", "f", F.when(F.col("f").isNull(), F.col("row.text")).alias("t")).agg(F.min_by("row", F.coalesce("row.text", F.lit(""))).alias("row"))
     return rows.where("not x.may").select("row.*").unionByName(one.select("row.*"))
 
 
