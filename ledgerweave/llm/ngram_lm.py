@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerweave.llm.arrays import U, mix, text_chunks, word_prints
-from ledgerweave.llm.base import session_with, table, written
+from ledgerweave.llm.base import freed, session_with, table, written
 
 ORDER = 3
 #: Text of a block, and the fingerprints of the marks before and after a text.
@@ -85,7 +85,7 @@ def blocks_of(docs: DataFrame, held) -> DataFrame:
         if rows:
             yield flush()
 
-    return docs.select(F.col("doc_id").cast("long"), F.coalesce(held, F.lit(False)), "text").mapInArrow(work, BLOCKS)
+    return docs.select(F.col("doc_id").cast("long"), F.coalesce(held, F.lit(False)), "text").mapInArrow(freed(work), BLOCKS)
 
 
 class Block:
@@ -199,7 +199,7 @@ def requests_of(rows: DataFrame, k: int, order: int, shards: int) -> DataFrame:
             out = [(p, k, s, body_of(np.diff(keys[x:y], prepend=U(0)), *(v[x:y] for v in figures))) for s, (x, y) in enumerate(zip(edge[:-1], edge[1:])) if y > x]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.int32(), pa.int32(), pa.binary()))], names=["p", "level", "shard", "body"])
 
-    return rows.mapInArrow(work, ANSWERS)
+    return rows.mapInArrow(freed(work), ANSWERS)
 
 
 class Answers:
@@ -373,7 +373,7 @@ def score_texts(docs: DataFrame, held, order: int = ORDER) -> DataFrame:
                 [pa.array(block.ids, pa.int64()), pa.array(block.held), pa.array(n), pa.array(known), pa.array(np.full(len(n), int(stats[1][6]))), pa.array(base), pa.array(full)],
                 names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
-    return with_answers(spark, range(1, order + 1)).mapInArrow(work, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+    return with_answers(spark, range(1, order + 1)).mapInArrow(freed(work), "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
 
 
 def op5_ngram_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
