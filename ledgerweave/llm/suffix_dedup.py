@@ -44,7 +44,7 @@ BLOCK = 40
 ANCHOR_BITS = 1 << 27
 HOT_RUNS = 20_000
 #: Bytes of runs that a task folds, or sorts, at once (whole anchors).
-FOLD_BYTES, SORT_BYTES = 4 << 20, 1 << 20
+FOLD_BYTES, SORT_BYTES = 2 << 20, 1 << 19
 POS = np.uint64(0xFFFFFFFF)
 SEEN, HOT = 1, 2
 
@@ -87,7 +87,7 @@ def anchor_counts(docs: DataFrame, length: int) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array(x.view(np.int64)), pa.array(c)], names=["g", "c"])
 
         for b in batches:
-            for _, _, data, offs in text_chunks(b.column(0), CHUNK // 2):
+            for _, _, data, offs in text_chunks(b.column(0), CHUNK // 4):
                 held.append(anchor_runs(data, offs, length)[2])
                 size += len(held[-1])
                 if size > 500_000:
@@ -138,7 +138,7 @@ def repeated_runs(docs: DataFrame, length: int, keep_first: bool, twice, hot) ->
 
         for b in batches:
             ids, keys, texts = b.column(0).fill_null(-(1 << 63)).to_numpy(), b.column(1).to_numpy(), b.column(2).to_numpy()
-            for lo, hi, data, offs in text_chunks(b.column(3), CHUNK // 2):
+            for lo, hi, data, offs in text_chunks(b.column(3), CHUNK // 4):
                 start, m, g, row, prints = anchor_runs(data, offs, length)
                 take = twice.value.has(g.view(np.int64))
                 if not keep_first:  # a whole copy of a text this task has read adds nothing
