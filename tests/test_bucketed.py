@@ -79,6 +79,17 @@ def test_days_are_replaced_one_by_one(spark, tmp_path):
     assert again == name and spark.table(again).count() == 25
 
 
+def test_days_are_replaced_without_a_session_setting(spark, tmp_path):
+    make = lambda day, n: spark.range(n).select(F.concat(F.lit("c"), F.col("id") % 7).alias("codigo_transaccion"), F.lit(day).alias("periodo"))
+    spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
+    try:
+        overwrite_bucketed(make(D1, 20).unionByName(make(D2, 30)), str(tmp_path / "t"), 4)
+        out = overwrite_bucketed(make(D2, 5), str(tmp_path / "t"), 4)
+        assert {r.periodo: r["count"] for r in out.groupBy("periodo").count().collect()} == {D1: 20, D2: 5}
+    finally:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+
+
 def test_other_days_are_not_lost(spark, tmp_path):
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "static")
     try:
