@@ -66,3 +66,15 @@ def test_small_bins_are_contiguous_after_large(spark):
     small = sorted({rows[c] for c, n in [(d[1], d[2]) for d in data] if n <= 8})
     assert large == [1, 2, 3]
     assert small == list(range(4, 4 + len(small)))
+
+
+def test_rows_are_moved_once_for_all_levels(spark):
+    """The totals above the finest level come from kept rows per bucket, not from the codes' window again."""
+    counts = spark.createDataFrame([(1, f"AK{d:08d}{p:08d}{n:04d}1", n) for d in range(3) for p in range(3) for n in range(1, 5)], "k int, code string, n long")
+    out = balance.prefix_running_sums(counts, ["k"], "code", (10, 18), {"n": F.col("n")})
+    want, total = {}, 0
+    for r in sorted(counts.collect(), key=lambda r: r.code):
+        total += r.n
+        want[r.code] = total
+    assert {r.code: r._run_n for r in out.collect()} == want and {r._all_n for r in out.collect()} == {total}
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("windowspecdefinition(k") == 4    # codes, finest buckets, top buckets and their sum

@@ -6,7 +6,8 @@ import decimal
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF001
+from conftest import SF0001, SF001
+from ledgerweave.functions.columns import compact_day, format_date
 from ledgerweave.operators import journal, reports
 from ledgerweave.sources.fixtures import feed_params
 from ledgerweave.plans import product
@@ -105,3 +106,15 @@ def test_slicing_does_not_change_line_numbers(spark):
     a = product.ledger_product(mov, mp, log, feed_params(line_block=2))
     b = product.ledger_product(mov, mp, log, feed_params())
     assert sorted(map(tuple, a.collect()), key=repr) == sorted(map(tuple, b.collect()), key=repr)
+
+
+def test_code_is_stored_once(spark):
+    lines = product._work_table(fixtures.movements(spark, SF0001), fixtures.run_log(spark, SF0001), fixtures.feed_params())
+    assert "codigo_transaccion" not in lines.columns and "_tkey" in lines.columns
+
+
+def test_day_of_a_code_is_the_formatted_day(spark):
+    days = ["0001-01-01", "0999-12-31", "1000-01-01", "1996-02-29", "9999-12-31", "10000-01-01", "-0044-03-15"]
+    df = spark.range(1).selectExpr(f"explode(array({', '.join(f'''date'{d}' ''' if len(d) == 10 else f'''cast('{d}' as date)''' for d in days)}, cast(null as date))) as d")
+    rows = df.select(compact_day("d").alias("a"), format_date("d").alias("b"), "d").select("a", "b").collect()
+    assert len(rows) == 8 and all(r.a == r.b for r in rows)
