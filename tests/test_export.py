@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from conftest import SF0001
 from ledgerweave.functions.filenames import file_name
-from ledgerweave import session
+from ledgerweave import catalog, session
 from ledgerweave.plans import export
 from ledgerweave.plans.run import export_feed, run_days
 from ledgerweave.sources import fixtures
@@ -160,3 +160,9 @@ def test_run_pending_then_nothing_left(spark, tmp_path):
     assert dt.date(1995, 1, 1) in days and dt.date(1995, 2, 1) not in days           # the log has the even months
     new_log = spark.read.parquet(res["run_log"])
     assert run_pending(spark, mov, mapping, new_log, *args, root=str(tmp_path / "run2")) is None
+
+
+def test_header_rows_compute_the_product_once(spark):
+    """The manifest reads the counts from a work table, not the product again for every report."""
+    plan = catalog.q_report_header_row(spark, SF0001)._jdf.queryExecution().optimizedPlan().toString()
+    assert "row_number" not in plan and "codigo_transaccion" not in plan
