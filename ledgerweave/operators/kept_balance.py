@@ -29,7 +29,7 @@ BROADCAST_BYTES = 8 << 20
 
 
 class KeptBalance:
-    """Groups of the codes of each day, kept under ``root``; ``prefixes`` are the code's prefix lengths: that of a leaf, then finer ones."""
+    """Groups of the codes of each day, kept under ``root``; ``prefixes`` are the code's prefix lengths, of which the first is a leaf's."""
 
     def __init__(self, spark: SparkSession, root: str, limit: int, bin_width: int | None = None, prefixes: tuple[int, ...] = (10, 18)):
         self.spark, self.root = spark, root.rstrip("/")
@@ -40,14 +40,22 @@ class KeptBalance:
         # a letter before the prefix: a folder's name is never empty, and '' (the NULL code) still sorts first
         return counts.select(DAY, CODE, COUNT, F.concat(F.lit("p"), F.coalesce(F.substring(CODE, 1, self.prefixes[0]), F.lit(""))).alias(PREFIX))
 
+    def _by_leaf(self, counts: DataFrame) -> DataFrame:
+        """``counts`` with a leaf's rows in one task: they are moved once and sorted once, for their running totals and for their file."""
+        return counts.withColumn(PREFIX, F.coalesce(PREFIX, F.lit("p"))).repartition(DAY, PREFIX)   # not null, or the write sorts again
+
+    def _delete(self, folder: str) -> None:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{folder}")
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
     def _write(self, counts: DataFrame) -> tuple[str, DataFrame]:
-        """Folder of the leaves of ``counts`` (periodo, code, lines, prefijo), written, and their nodes."""
+        """Folder of the leaves of ``counts`` (periodo, code, lines, prefijo; a leaf's in one task), written, and their nodes."""
         large = F.col(COUNT) > self.limit
-        run = prefix_running_sums(counts, [DAY, PREFIX], CODE, self.prefixes[1:], {
+        run = prefix_running_sums(counts, [DAY, PREFIX], CODE, (), {
             "small": F.when(large, 0).otherwise(F.col(COUNT)), "large": F.when(large, 1).otherwise(0)})
         folder = f"leaves-{uuid.uuid4().hex}"
         leaves = run.select(CODE, COUNT, F.col("_run_small").alias("acumulado"), F.col("_run_large").alias("rango"), DAY, PREFIX)
-        leaves.repartition(DAY, PREFIX).write.partitionBy(DAY, PREFIX).parquet(f"{self.root}/{folder}")
+        leaves.write.partitionBy(DAY, PREFIX).parquet(f"{self.root}/{folder}")
         # values are not negative, so the largest running total is the leaf's
         nodes = self._read(folder).groupBy(DAY, PREFIX).agg(F.max("acumulado").alias(SMALL), F.max("rango").alias(LARGE), F.lit(folder).alias(FOLDER))
         return folder, nodes
@@ -71,27 +79,35 @@ class KeptBalance:
 
     def build(self, counts: DataFrame) -> int:
         """The first version, from the lines of each (periodo, code)."""
-        _, nodes = self._write(self._prefixed(counts.where(F.col(COUNT) > 0)))
+        _, nodes = self._write(self._by_leaf(self._prefixed(counts.where(F.col(COUNT) > 0))))
         return self.nodes.commit(nodes, None, "build")
 
     def update(self, late: DataFrame) -> list[tuple]:
         """Add the lines of ``late`` (periodo, code, lines; less than 0 takes lines away); returns the (day, prefix) leaves rewritten."""
         late = self._prefixed(late.groupBy(DAY, CODE).agg(F.sum(COUNT).alias(COUNT)))
+        work = f"late-{uuid.uuid4().hex}"       # summed once, read for the touched prefixes and for their leaves
+        late.write.parquet(f"{self.root}/{work}")
+        try:
+            return self._add(self.spark.read.schema(late.schema).parquet(f"{self.root}/{work}"))
+        finally:
+            self._delete(work)
+
+    def _add(self, late: DataFrame) -> list[tuple]:
         touched = late.select(DAY, PREFIX).distinct()
+        hit = self.spark.createDataFrame(touched.collect(), touched.schema)  # a row per touched prefix
         for _ in range(ATTEMPTS):
             base = self.nodes.current()
             old = self.nodes.read(base)
-            hit = self.spark.createDataFrame(touched.collect(), touched.schema)  # a row per touched prefix
             leaves = self._leaves(old.join(F.broadcast(hit), [DAY, PREFIX]))
-            counts = (leaves.select(DAY, CODE, COUNT, PREFIX).unionByName(late).groupBy(DAY, CODE, PREFIX).agg(F.sum(COUNT).alias(COUNT)).where(F.col(COUNT) > 0))
-            folder, new = self._write(counts)
+            # leaves first, then their sums: the rows are moved to their leaf's task and summed there
+            moved = self._by_leaf(leaves.select(DAY, CODE, COUNT, PREFIX).unionByName(late))
+            folder, new = self._write(moved.groupBy(DAY, CODE, PREFIX).agg(F.sum(COUNT).alias(COUNT)).where(F.col(COUNT) > 0))
             nodes = old.join(F.broadcast(hit), [DAY, PREFIX], "left_anti").unionByName(new)
             try:
                 self.nodes.commit(nodes, base, f"update {folder}")
                 return sorted(tuple(r) for r in hit.collect())
             except Conflict:
-                path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{folder}")
-                path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+                self._delete(folder)
         raise Conflict(f"{self.root}: {ATTEMPTS} attempts")
 
     def groups(self, days: list | None = None) -> DataFrame:
