@@ -40,8 +40,8 @@ from ledgerweave.llm.base import freed, key_filter, saved, table
 LENGTH = 200
 GRAM = 32
 BLOCK = 40
-#: Bits of the filter of repeated anchors (16 MB), and runs of one anchor from which it is dealt start by start.
-ANCHOR_BITS = 1 << 27
+#: Bits of the filter of repeated anchors: so many each, up to 16 MB in all; and runs of one anchor from which it is dealt start by start.
+BITS_EACH, ANCHOR_BITS = 256, 1 << 27
 HOT_RUNS = 20_000
 #: Bytes of runs that a task folds, or sorts, at once (whole anchors).
 FOLD_BYTES, SORT_BYTES = 2 << 20, 1 << 19
@@ -99,6 +99,11 @@ def anchor_counts(docs: DataFrame, length: int) -> DataFrame:
     return docs.select("text").mapInArrow(freed(count), "g long, c long").groupBy("g").agg(F.sum("c").alias("c")).where("c > 1")
 
 
+def anchor_bits(anchors: int) -> int:
+    """Size of the filter of so many repeated anchors, a power of two; a task's Python worker holds it whole."""
+    return min(ANCHOR_BITS, 1 << max(20, (anchors * BITS_EACH - 1).bit_length()))
+
+
 RUNS = "g long, id long, key long, pos int, m int, flags int, ctx binary, s int, e int"
 
 
@@ -301,7 +306,7 @@ def repeat_spans(docs: DataFrame, length: int = LENGTH, keep_first: bool = False
         whole = whole.where(F.coalesce("doc_id", F.lit(-(1 << 63))) > F.col("first"))
     whole = whole.select("key", F.lit(0).alias("s"), F.col("bytes").cast("int").alias("e")).distinct()
     counts = saved(anchor_counts(docs, length), "anchors")
-    twice = spark.sparkContext.broadcast(key_filter(counts, "g", ANCHOR_BITS))
+    twice = spark.sparkContext.broadcast(key_filter(counts, "g", anchor_bits(counts.count())))
     hot = spark.sparkContext.broadcast(key_filter(counts.where(F.col("c") > HOT_RUNS), "g", 1 << 20))
     spans = spans_of(repeated_runs(docs, length, keep_first, twice, hot), length, keep_first)
     return saved(spans.unionByName(whole).groupBy("key").agg(F.collect_list(F.struct("s", "e")).alias("spans")), "spans")

@@ -2,8 +2,10 @@
 
 import os
 
+import pyarrow as pa
+
 import corpus_pipeline
-from ledgerweave.llm import base, best_fit_packing, jaccard_join
+from ledgerweave.llm import base, best_fit_packing, jaccard_join, suffix_dedup
 from ledgerweave.session import owned
 
 
@@ -59,3 +61,21 @@ def test_a_session_of_its_own(spark):
         assert base.shared_dir(own) == base.shared_dir(spark)
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_stages_read_small_batches(spark):
+    """A stage's tasks hold a few megabytes of texts at once, and a few repeated anchors need no filter of full size."""
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.nbytes])], names=["n"])
+
+    before = spark.conf.get(corpus_pipeline.ARROW_BYTES)
+    try:
+        docs = spark.range(0, 64, 1, 1).selectExpr("id as doc_id", "repeat('x', 500000) as text")
+        stage = corpus_pipeline.in_small_batches(lambda spark, docs, sf_dir: docs.mapInArrow(sizes, "n long"))
+        held = [r.n for r in stage(spark, docs, "").collect()]
+        assert sum(held) > 64 * 500_000 and max(held) < 2 * corpus_pipeline.BATCH_BYTES
+    finally:
+        spark.conf.set(corpus_pipeline.ARROW_BYTES, before)
+    assert suffix_dedup.anchor_bits(0) == 1 << 20 and suffix_dedup.anchor_bits(50_000) == 1 << 24
+    assert suffix_dedup.anchor_bits(10 ** 9) == suffix_dedup.ANCHOR_BITS
