@@ -1,0 +1,77 @@
+"""Disk of a run: shuffles and work tables go when nothing reads them any more, and large tables are numbered in passes."""
+
+import os
+import time
+
+import pytest
+from conftest import SF0001
+from pyspark.sql import functions as F
+
+from ledgerweave import catalog, session
+from ledgerweave.operators import numbering
+from ledgerweave.plans import product
+from ledgerweave.sources import fixtures
+
+
+@pytest.fixture
+def work(spark, tmp_path):
+    spark.conf.set("ledgerweave.work.dir", str(tmp_path))
+    yield tmp_path
+    spark.conf.unset("ledgerweave.work.dir")
+
+
+def shuffle_files(spark) -> set[str]:
+    files = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().getAllFiles()
+    return {n for n in (files.apply(i).getName() for i in range(files.size())) if n.startswith("shuffle_")}
+
+
+def left(spark, before: set[str]) -> set[str]:
+    for _ in range(50):     # files are deleted in the background
+        if not (rest := shuffle_files(spark) - before):
+            return rest
+        time.sleep(0.2)
+    return rest
+
+
+def grouped(spark):
+    return spark.range(1000).repartition(5).groupBy((F.col("id") % 7).alias("k")).agg(F.count("*").alias("n")).withColumn("periodo", F.lit("2024-01-01").cast("date"))
+
+
+def test_work_table_leaves_no_shuffle(spark, work):
+    before = shuffle_files(spark)
+    got = session.materialize(grouped(spark))
+    assert got.sparkSession is spark and sorted(r["n"] for r in got.collect()) == [142] * 1 + [143] * 6
+    assert left(spark, before) == set()
+
+
+def test_setting_meets_no_other_job(spark):
+    before = spark.conf.get(session.SHUFFLE_CLEANUP, None)
+    own = session.freeing(grouped(spark))
+    assert own.sparkSession.conf.get(session.SHUFFLE_CLEANUP) == "true"
+    assert own.sparkSession.conf.get("spark.sql.shuffle.partitions") == spark.conf.get("spark.sql.shuffle.partitions")
+    assert spark.conf.get(session.SHUFFLE_CLEANUP, None) == before
+
+
+@pytest.mark.parametrize("block, hot", [(1 << 20, 1 << 22), (2, 1), (10, 20)])
+def test_passes_give_the_same_numbers(spark, work, monkeypatch, block, hot):
+    rows = [(i % 3, "k" * (i % 11), i * 37 % 101 if i % 9 else None, str(i % 2), i % 5) for i in range(900)]
+    df = session.materialize(spark.createDataFrame(rows, "p int, k string, seq long, nat string, tie long").repartition(4))
+    order = ["seq", "nat", "tie"]
+    tell = lambda d: sorted(map(tuple, d.collect()), key=str)
+    whole = tell(numbering.ordered_row_number(df, ["p", "k"], order, block, "rn", hot))
+    monkeypatch.setattr(numbering, "PASS_ROWS", 300)
+    assert tell(numbering.ordered_row_number(df, ["p", "k"], order, block, "rn", hot, [df])) == whole
+    assert not os.path.exists(df._work_path)
+    assert len([n for n in os.listdir(work) if n.startswith("numbered-")]) == 3
+
+
+def test_product_in_passes(spark, work, monkeypatch):
+    p = fixtures.feed_params(**catalog.REPORT_SETTINGS)
+    made = lambda: product.ledger_product(fixtures.movements(spark, SF0001), fixtures.account_mapping(spark, SF0001), fixtures.run_log(spark, SF0001), p)
+    whole = made()
+    monkeypatch.setattr(numbering, "PASS_ROWS", 2000)
+    passes = made()
+    assert passes.dtypes == whole.dtypes and passes.count() == whole.count()
+    assert passes.exceptAll(whole).count() == 0
+    # the numbered rows are read back: no shuffle is left to do
+    assert "Exchange hashpartitioning" not in passes._jdf.queryExecution().executedPlan().toString()
