@@ -75,3 +75,8 @@ def test_product_in_passes(spark, work, monkeypatch):
     assert passes.exceptAll(whole).count() == 0
     # the numbered rows are read back: no shuffle is left to do
     assert "Exchange hashpartitioning" not in passes._jdf.queryExecution().executedPlan().toString()
+
+
+def test_split_reads_the_control_report_once(spark, work):
+    plan = catalog.q_report_split_by_group(spark, SF0001)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan     # neither branch computes the product
