@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ledgerweave import catalog, session
 from ledgerweave.operators import numbering
-from ledgerweave.plans import product
+from ledgerweave.plans import product, tables
 from ledgerweave.sources import fixtures
 
 
@@ -44,6 +44,14 @@ def test_work_table_leaves_no_shuffle(spark, work):
     assert left(spark, before) == set()
 
 
+@pytest.mark.parametrize("write", [tables.replace_table, tables.overwrite_partitions])
+def test_table_sinks_leave_no_shuffle(spark, tmp_path, write):
+    before = shuffle_files(spark)
+    table = write(grouped(spark), str(tmp_path / "t"))
+    assert left(spark, before) == set()
+    assert table.count() == 7
+
+
 def test_setting_meets_no_other_job(spark):
     before = spark.conf.get(session.SHUFFLE_CLEANUP, None)
     own = session.freeing(grouped(spark))
@@ -52,6 +60,14 @@ def test_setting_meets_no_other_job(spark):
     assert spark.conf.get(session.SHUFFLE_CLEANUP, None) == before
 
 
+def test_bucketed_table_is_read_as_written_last(spark, tmp_path):
+    lines = lambda *rows: spark.createDataFrame([*rows], "codigo_transaccion string, n int, periodo string").withColumn("periodo", F.col("periodo").cast("date"))
+    path = str(tmp_path / "b")
+    assert tables.overwrite_bucketed(lines(("a", 1, "2024-01-01"), ("b", 2, "2024-02-01")), path, 2).count() == 2
+    got = tables.overwrite_bucketed(lines(("a", 3, "2024-01-01"), ("a", 4, "2024-01-01")), path, 2)
+    assert sorted(r["n"] for r in got.collect()) == [2, 3, 4]
+
+
 @pytest.mark.parametrize("block, hot", [(1 << 20, 1 << 22), (2, 1), (10, 20)])
 def test_passes_give_the_same_numbers(spark, work, monkeypatch, block, hot):
     rows = [(i % 3, "k" * (i % 11), i * 37 % 101 if i % 9 else None, str(i % 2), i % 5) for i in range(900)]
@@ -77,6 +93,11 @@ def test_product_in_passes(spark, work, monkeypatch):
     assert "Exchange hashpartitioning" not in passes._jdf.queryExecution().executedPlan().toString()
 
 
+def test_product_table_alone_is_left(spark, work):
+    catalog._product_table(spark, SF0001)
+    assert [n.split("-")[0] for n in os.listdir(work)] == ["product"]
+
+
 def test_split_reads_the_control_report_once(spark, work):
     plan = catalog.q_report_split_by_group(spark, SF0001)._jdf.queryExecution().optimizedPlan().toString()
     assert "Window" not in plan     # neither branch computes the product
